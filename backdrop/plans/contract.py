@@ -13,8 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from backdrop.config import configure
+from backdrop.functions import columns as C
 from backdrop.functions.segmenters import ThresholdSegmenter
 from backdrop.operators import frames as FO
+from backdrop.operators import results as R
+from backdrop.operators import sequence as SEQ
+from backdrop.operators import summary as SUM
+from backdrop.sources import messages as MSG
 from backdrop.sources import tables as V
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +96,309 @@ def painted_per_session(spark, sf_dir):
 
 
 query("painted_per_session", session_count_sql())(painted_per_session)
+
+
+# --------------------------------------------------------------------------
+# Files, turns and log views in SQL (mirrors backdrop.sources.tables).
+
+_FILES = r"""
+files AS (
+  SELECT source AS session_id, doc_id, n_chars,
+         source || '_' || CAST(doc_id AS VARCHAR) || (['.png', '.JPG', '.jpeg', '.txt', '.gif'])[doc_id % 5 + 1] AS filename
+  FROM documents
+),
+images AS (
+  SELECT * FROM files WHERE regexp_matches(lower(filename), '\.(png|jpe?g)$')
+)"""
+
+_TURNS = """
+turns AS (
+  SELECT strftime(TIMESTAMP '2024-01-01 00:00:00' + to_hours(conv_id), '%Y%m%d_%H%M%S') || '_' || printf('%08x', conv_id)
+           AS session_id,
+         conv_id, turn, role, text
+  FROM conversations
+)"""
+
+_LOG = """
+log AS (
+  SELECT event_id, ts, user_id AS client_id, event_type, value, props,
+         CASE WHEN event_type = 'signup' THEN 'user' || CAST(user_id AS VARCHAR)
+              ELSE strftime(ts, '%Y%m%d_%H%M%S') || '_' || printf('%08x', event_id) END AS session_id,
+         CASE WHEN event_type = 'error' THEN 'error' ELSE 'success' END AS status
+  FROM events
+)"""
+
+
+def _display_sql(col: str) -> str:
+    head = f"array_to_string(string_split({col}, '_')[1:2], '_')"
+    return f"coalesce(strftime(try_strptime({head}, '%Y%m%d_%H%M%S'), '%d/%m/%Y %H:%M:%S'), {col})"
+
+
+def _images(spark, sf_dir):
+    return V.files(_t(spark, sf_dir, "documents")).where(C.is_image_name("filename"))
+
+
+@query("scan_extension_filter", f"""
+WITH {_FILES}
+SELECT session_id, filename, 'input/' || session_id || '/' || filename AS input_path FROM images
+""")
+def scan_extension_filter(spark, sf_dir):
+    """S1 + P1: image files of every session folder, any letter case."""
+    return _images(spark, sf_dir).select("session_id", "filename",
+                                         C.session_path("input", "session_id", "filename").alias("input_path"))
+
+
+@query("image_counts", f"""
+WITH {_FILES}
+SELECT session_id, count(*) FILTER (WHERE regexp_matches(lower(filename), '\\.(png|jpe?g)$')) AS image_count,
+       count(*) AS file_count
+FROM files GROUP BY session_id
+""")
+def image_counts(spark, sf_dir):
+    """G1: image files per session, contents never read."""
+    files = V.files(_t(spark, sf_dir, "documents"))
+    counts = files.groupBy("session_id").agg(F.count_if(C.is_image_name("filename")).alias("image_count"),
+                                             F.count(F.lit(1)).alias("file_count"))
+    return counts
+
+
+@query("enumerate_frames", f"""
+WITH {_FILES}
+SELECT session_id, filename, frame_id FROM (
+  SELECT session_id, filename, n_chars, row_number() OVER (PARTITION BY session_id ORDER BY filename) - 1 AS frame_id
+  FROM images
+) WHERE n_chars >= 200
+""")
+def enumerate_frames(spark, sf_dir):
+    """O1 + O2 (+ P2 drop): number image files in name order, then drop unreadable ones."""
+    numbered = SEQ.enumerate_frames(_images(spark, sf_dir), "session_id", ["filename"])
+    return R.handle_unreadable(numbered, "drop", data_col=None).select("session_id", "filename", "frame_id")
+
+
+@query("result_rows", f"""
+WITH {_FILES}
+SELECT session_id, frame_id, filename,
+       'input/' || session_id || '/' || filename AS input_path,
+       CASE WHEN n_chars >= 200 THEN 'output/' || session_id || '/' || filename END AS output_path,
+       CASE WHEN n_chars >= 200 THEN 'success' ELSE 'unreadable' END AS status,
+       CASE WHEN n_chars >= 200 THEN NULL ELSE 'frame could not be decoded' END AS message
+FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY filename) - 1 AS frame_id FROM images)
+""")
+def result_rows(spark, sf_dir):
+    """P2 (status) + P3 + K3: the result table of a folder job."""
+    numbered = SEQ.enumerate_frames(_images(spark, sf_dir), "session_id", ["filename"])
+    marked = R.handle_unreadable(numbered, "status", data_col=None)
+    return R.result_rows(marked, "input", "output")
+
+
+@query("unreadable_rows", f"""
+WITH {_FILES}
+SELECT session_id, count(*) FILTER (WHERE n_chars < 200) AS unreadable, count(*) FILTER (WHERE n_chars >= 200) AS readable
+FROM images GROUP BY session_id
+""")
+def unreadable_rows(spark, sf_dir):
+    """What the drop policy removes and keeps, per session."""
+    marked = R.handle_unreadable(_images(spark, sf_dir), "status", data_col=None)
+    return marked.groupBy("session_id").agg(F.count_if(F.col("status") == "unreadable").alias("unreadable"),
+                                            F.count_if(F.col("status") == "success").alias("readable"))
+
+
+def _turn_files(spark, sf_dir, role):
+    t = V.turns(_t(spark, sf_dir, "conversations"))
+    return t.where(F.col("role") == role).select("session_id", F.format_string("turn_%d.jpg", "turn").alias("filename"))
+
+
+@query("session_history", f"""
+WITH {_TURNS},
+i AS (SELECT session_id, count(*) AS input_count FROM turns WHERE role = 'user' GROUP BY session_id),
+o AS (SELECT session_id, count(*) AS output_count FROM turns WHERE role = 'assistant' GROUP BY session_id)
+SELECT i.session_id, {_display_sql('i.session_id')} AS display_time,
+       i.input_count, coalesce(o.output_count, 0) AS output_count,
+       'input/' || i.session_id AS input_path, 'output/' || i.session_id AS output_path
+FROM i LEFT JOIN o ON i.session_id = o.session_id
+""")
+def session_history(spark, sf_dir):
+    """G1 + J1 + O3 + D2: sessions newest first with input and output counts."""
+    hist = SUM.session_history(_turn_files(spark, sf_dir, "user"), _turn_files(spark, sf_dir, "assistant"),
+                               "input", "output")
+    return hist.select("session_id", "display_time", "input_count", "output_count", "input_path", "output_path")
+
+
+@query("session_display_time", f"""
+WITH {_LOG}
+SELECT event_id, session_id, {_display_sql('session_id')} AS display_time FROM log
+""")
+def session_display_time(spark, sf_dir):
+    """D1 + D2: stamp-form ids parsed and shown as dd/MM/yyyy HH:mm:ss, raw id otherwise."""
+    lg = V.log(_t(spark, sf_dir, "events"))
+    return lg.select("event_id", "session_id", C.session_display_time("session_id").alias("display_time"))
+
+
+@query("status_summary", f"""
+WITH {_LOG}
+SELECT client_id, count(*) FILTER (WHERE status = 'success') AS n_success, count(*) AS n_total,
+       (count(*) FILTER (WHERE status = 'success')) / count(*) AS success_ratio
+FROM log GROUP BY client_id
+""")
+def status_summary(spark, sf_dir):
+    """G2 + P5: successful frames out of all, per client."""
+    return SUM.status_summary(V.log(_t(spark, sf_dir, "events")), "client_id")
+
+
+@query("completeness", f"""
+WITH {_TURNS},
+a AS (SELECT session_id, count(*) AS announced FROM turns WHERE role = 'user' GROUP BY session_id),
+r AS (SELECT session_id, count(*) AS received FROM turns WHERE role = 'assistant' GROUP BY session_id)
+SELECT a.session_id, a.announced, coalesce(r.received, 0) AS received,
+       greatest(a.announced - coalesce(r.received, 0), 0) AS missing,
+       coalesce(r.received, 0) >= a.announced AS complete
+FROM a LEFT JOIN r ON a.session_id = r.session_id
+""")
+def completeness(spark, sf_dir):
+    """Frames returned against frames sent, per session."""
+    t = V.turns(_t(spark, sf_dir, "conversations"))
+    announced = t.where(F.col("role") == "user").groupBy("session_id").agg(F.count(F.lit(1)).alias("announced"))
+    return SUM.completeness(t.where(F.col("role") == "assistant"), announced)
+
+
+@query("passthrough_fallback", f"""
+WITH {_TURNS},
+s AS (SELECT session_id, turn, text FROM turns WHERE role = 'user'),
+r AS (SELECT session_id, turn - 1 AS turn, text AS reply FROM turns WHERE role = 'assistant')
+SELECT s.session_id, s.turn AS frame_id,
+       CASE WHEN length(r.reply) > 0 THEN 'processed' ELSE 'original' END AS shown_from,
+       md5(CASE WHEN length(r.reply) > 0 THEN r.reply ELSE s.text END) AS shown_md5
+FROM s LEFT JOIN r ON s.session_id = r.session_id AND s.turn = r.turn
+""")
+def passthrough_fallback(spark, sf_dir):
+    """The returned frame when there is a usable one, else the frame sent."""
+    t = V.turns(_t(spark, sf_dir, "conversations"))
+    sent = t.where(F.col("role") == "user").select("session_id", "turn", "text")
+    replies = t.where(F.col("role") == "assistant").select("session_id", (F.col("turn") - 1).alias("turn"),
+                                                           F.col("text").alias("reply"))
+    shown = R.with_fallback(sent, replies, ["session_id", "turn"], "text", "reply")
+    return shown.select("session_id", F.col("turn").alias("frame_id"), "shown_from",
+                        F.md5("shown").alias("shown_md5"))
+
+
+@query("frame_counter", f"""
+WITH {_LOG}
+SELECT event_id, client_id, row_number() OVER (PARTITION BY client_id ORDER BY ts, event_id) AS frame_count FROM log
+""")
+def frame_counter(spark, sf_dir):
+    """Running frame counter per client."""
+    lg = V.log(_t(spark, sf_dir, "events")).select("event_id", "client_id", "ts")
+    return SEQ.frame_counter(lg, "client_id", ["ts", "event_id"]).select("event_id", "client_id", "frame_count")
+
+
+@query("last_result", f"""
+WITH {_LOG}
+SELECT client_id, event_id AS last_event_id, status AS last_status, value AS last_value, n_frames FROM (
+  SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY ts DESC, event_id DESC) AS rn,
+         count(*) OVER (PARTITION BY client_id) AS n_frames
+  FROM log
+) WHERE rn = 1
+""")
+def last_result(spark, sf_dir):
+    """The latest result per client, with the client's frame count."""
+    lg = V.log(_t(spark, sf_dir, "events"))
+    last = SEQ.latest_per_key(lg, "client_id", ["ts", "event_id"], ["event_id", "status", "value"],
+                              extra=[F.count(F.lit(1)).alias("n_frames")])
+    return last.select("client_id", F.col("event_id").alias("last_event_id"), F.col("status").alias("last_status"),
+                       F.col("value").alias("last_value"), "n_frames")
+
+
+@query("first_n", f"""
+WITH {_LOG}
+SELECT event_id, client_id, seq FROM (
+  SELECT event_id, client_id, row_number() OVER (PARTITION BY client_id ORDER BY ts, event_id) - 1 AS seq FROM log
+) WHERE seq < 10
+""")
+def first_n(spark, sf_dir):
+    """The first 10 frames of each client's stream."""
+    lg = V.log(_t(spark, sf_dir, "events")).select("event_id", "client_id", "ts")
+    return SEQ.first_n(lg, "client_id", ["ts", "event_id"], 10).select("event_id", "client_id", "seq")
+
+
+@query("end_marker", f"""
+WITH {_LOG},
+n AS (SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY ts, event_id) AS rn FROM log),
+e AS (SELECT client_id, min(rn) AS end_rn FROM n WHERE event_type = 'signup' GROUP BY client_id)
+SELECT n.event_id, n.client_id, n.event_id AS frame_id
+FROM n LEFT JOIN e ON n.client_id = e.client_id
+WHERE e.end_rn IS NULL OR n.rn < e.end_rn
+""")
+def end_marker(spark, sf_dir):
+    """O5 + T5: frames before the first END marker (frame_id 0xFFFFFFFF) per client."""
+    lg = V.log(_t(spark, sf_dir, "events")).select(
+        "event_id", "client_id", "ts",
+        F.when(F.col("event_type") == "signup", F.lit(C.END_MARKER)).otherwise(F.col("event_id")).alias("frame_id"))
+    return SEQ.take_until_end(lg, "client_id", ["ts", "event_id"]).select("event_id", "client_id", "frame_id")
+
+
+@query("json_messages", f"""
+WITH {_LOG},
+l AS (
+  SELECT event_id, CASE WHEN status = 'error' THEN 'not json ' || CAST(event_id AS VARCHAR)
+                        ELSE CAST(json_object('message', event_type || ':' || props) AS VARCHAR) END AS line
+  FROM log
+)
+SELECT event_id, line, CASE WHEN json_valid(line) THEN json_extract_string(line, '$.message') END AS message FROM l
+""")
+def json_messages(spark, sf_dir):
+    """D5 + S5: messages encoded one JSON object per line, then parsed; bad lines give NULL."""
+    lg = V.log(_t(spark, sf_dir, "events"))
+    body = F.concat(F.col("event_type"), F.lit(":"), F.col("props"))
+    line = F.when(F.col("status") == "error", F.concat(F.lit("not json "), F.col("event_id").cast("string"))) \
+        .otherwise(C.json_line(body.alias("message")))
+    lines = lg.select("event_id", line.alias("line"))
+    return MSG.parse_json_lines(lines, "line").select("event_id", "line", "message")
+
+
+# --------------------------------------------------------------------------
+# Channel handling and the recomposite.
+
+_PX4 = """
+px4 AS (
+  SELECT CAST(label AS VARCHAR) AS session_id, vec_id AS frame_id, i, (i - 1) // 4 AS k, (i - 1) % 4 AS c,
+         LEAST(GREATEST(CAST(floor((CAST(embedding[i] AS DOUBLE) + 1.0) * 127.5) AS INTEGER), 0), 255) AS p
+  FROM embeddings, unnest(generate_series(1, len(embedding))) AS g(i)
+)"""
+
+
+@query("normalise_bgra", f"""
+WITH {_PX4}
+SELECT session_id, frame_id, 3 AS n_channels, string_agg(printf('%02X', p), '' ORDER BY i) AS bgr_hex
+FROM px4 WHERE c < 3 GROUP BY session_id, frame_id
+""")
+def normalise_bgra(spark, sf_dir):
+    """A1: 4x4 BGRA frames to BGR (alpha dropped)."""
+    out = FO.normalise(V.frames(_t(spark, sf_dir, "embeddings"), "bgra"))
+    return out.select("session_id", "frame_id", "n_channels", F.hex("data").alias("bgr_hex"))
+
+
+@query("channel_swap", f"""
+WITH {_PX4}
+SELECT session_id, frame_id, string_agg(printf('%02X', p), '' ORDER BY k, 2 - c) AS rgb_hex
+FROM px4 WHERE c < 3 GROUP BY session_id, frame_id
+""")
+def channel_swap(spark, sf_dir):
+    """A2: BGR(A) frames to RGB byte order."""
+    out = FO.swap_channels(V.frames(_t(spark, sf_dir, "embeddings"), "bgra"))
+    return out.select("session_id", "frame_id", F.hex("data").alias("rgb_hex"))
+
+
+@query("recomposite_identity", f"""
+WITH {_PX}
+SELECT session_id, frame_id,
+       count(*) FILTER (WHERE (CASE WHEN x > 0.2 THEN 192 ELSE p END) = 192) AS sentinel_px,
+       string_agg(repeat(printf('%02X', CASE WHEN x > 0.2 THEN 192 ELSE p END), 3), '' ORDER BY i) AS out_hex
+FROM px GROUP BY session_id, frame_id
+""")
+def recomposite_identity(spark, sf_dir):
+    """A5 after A4: backdrop where the processed frame shows the backdrop colour,
+    original elsewhere; gives the composite back."""
+    fr = V.frames(_t(spark, sf_dir, "embeddings"), "grey").withColumn("original", F.col("data"))
+    done = FO.remove_backdrop(fr, ThresholdSegmenter(_LEVEL))
+    again = FO.recomposite(done, "original")
+    return again.select("session_id", "frame_id", "sentinel_px", F.hex("data").alias("out_hex"))
