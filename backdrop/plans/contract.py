@@ -19,6 +19,7 @@ from backdrop.operators import frames as FO
 from backdrop.operators import results as R
 from backdrop.operators import sequence as SEQ
 from backdrop.operators import summary as SUM
+from backdrop.sources import captures as CAP
 from backdrop.sources import messages as MSG
 from backdrop.sources import tables as V
 
@@ -402,3 +403,85 @@ def recomposite_identity(spark, sf_dir):
     done = FO.remove_backdrop(fr, ThresholdSegmenter(_LEVEL))
     again = FO.recomposite(done, "original")
     return again.select("session_id", "frame_id", "sentinel_px", F.hex("data").alias("out_hex"))
+
+
+# --------------------------------------------------------------------------
+# Captures: documents packed into capture bytes in the JVM (at most 16 frames
+# per capture, so no group is unbounded), then decoded by the real decoder.
+
+_FRAMES_PER_CAPTURE = 16
+
+
+def _packed_captures(spark, sf_dir, framing):
+    docs = SEQ.sequence_number(_t(spark, sf_dir, "documents").select("source", "doc_id", "text"),
+                               "source", ["doc_id"], name="rank")
+    capture = F.concat(F.col("source"), F.lit("_"), F.floor(F.col("rank") / _FRAMES_PER_CAPTURE).cast("string"))
+    name = C.utf8_bytes(C.frame_file_name(F.col("source"), F.col("doc_id")))
+    payload = C.utf8_bytes("text")
+    if framing == "session":
+        rec = F.concat(C.uint32_be_bytes(F.octet_length(name)), name, C.uint32_be_bytes(F.col("doc_id")),
+                       C.uint32_be_bytes(F.octet_length(payload)), payload)
+    else:
+        rec = F.concat(C.uint32_be_bytes(F.octet_length(payload)), payload)
+    grouped = docs.select(capture.alias("capture"), "doc_id", rec.alias("rec")).groupBy("capture").agg(
+        F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct("doc_id", "rec"))).alias("recs"))
+    body = F.aggregate("recs", F.expr("X''"), lambda acc, x: F.concat(acc, x["rec"]))
+    if framing == "session":
+        content = F.concat(C.uint32_be_bytes(F.col("n")), body)
+    else:
+        content = F.concat(body, F.expr("X'00000000'"))
+    return grouped.select("capture", content.alias("content"))
+
+
+_CAPTURE_DOCS = """
+ranked AS (
+  SELECT doc_id, source, text, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS rank FROM documents
+),
+cd AS (
+  SELECT source || '_' || CAST(rank // 16 AS VARCHAR) AS capture, doc_id, source, text,
+         row_number() OVER (PARTITION BY source, rank // 16 ORDER BY doc_id) - 1 AS seq,
+         count(*) OVER (PARTITION BY source, rank // 16) AS n
+  FROM ranked
+)"""
+
+
+@query("capture_decode", f"""
+WITH {_CAPTURE_DOCS}
+SELECT capture, seq, source || '_' || CAST(doc_id AS VARCHAR) || '.jpg' AS filename, doc_id AS frame_id,
+       strlen(text) AS size, md5(text) AS payload_md5, n AS announced, false AS truncated,
+       CASE WHEN strlen(text) > 0 THEN 'success' ELSE 'unreadable' END AS status,
+       CASE WHEN strlen(text) > 0 THEN NULL ELSE 'zero-size payload' END AS message
+FROM cd
+UNION ALL
+SELECT capture, NULL, NULL, NULL, NULL, NULL, max(n), false, 'end', 'complete; ' || CAST(count(*) AS VARCHAR) || ' frames'
+FROM cd GROUP BY capture
+""")
+def capture_decode(spark, sf_dir):
+    """S3 + D3 + D4 + P6: session-framed captures decoded to frame rows plus a trailer per capture."""
+    recs = CAP.decode_captures(_packed_captures(spark, sf_dir, "session"), "session", name_col="capture")
+    return recs.select("capture", "seq", "filename", "frame_id", F.octet_length("payload").alias("size"),
+                       F.md5("payload").alias("payload_md5"), "announced", "truncated", "status", "message")
+
+
+@query("capture_decode_bare", f"""
+WITH {_CAPTURE_DOCS}
+SELECT capture, seq, strlen(text) AS size, md5(text) AS payload_md5, 'success' AS status FROM cd
+UNION ALL
+SELECT capture, NULL, NULL, NULL, 'end' FROM cd GROUP BY capture
+""")
+def capture_decode_bare(spark, sf_dir):
+    """Bare length-prefixed captures (size 0 ends a capture)."""
+    recs = CAP.decode_captures(_packed_captures(spark, sf_dir, "bare"), "bare", name_col="capture")
+    return recs.select("capture", "seq", F.octet_length("payload").alias("size"),
+                       F.md5("payload").alias("payload_md5"), "status")
+
+
+@query("capture_completeness", f"""
+WITH {_CAPTURE_DOCS}
+SELECT capture, max(n) AS announced, count(*) AS received, count(*) AS usable, false AS truncated, true AS complete
+FROM cd GROUP BY capture
+""")
+def capture_completeness(spark, sf_dir):
+    """G3 on captures: announced against received frames."""
+    recs = CAP.decode_captures(_packed_captures(spark, sf_dir, "session"), "session", name_col="capture")
+    return CAP.capture_completeness(recs)
