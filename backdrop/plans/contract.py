@@ -22,6 +22,8 @@ from backdrop.operators import summary as SUM
 from backdrop.sources import captures as CAP
 from backdrop.sources import messages as MSG
 from backdrop.sources import tables as V
+from backdrop.streaming import jobs as J
+from backdrop.streaming import state as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -485,3 +487,88 @@ def capture_completeness(spark, sf_dir):
     """G3 on captures: announced against received frames."""
     recs = CAP.decode_captures(_packed_captures(spark, sf_dir, "session"), "session", name_col="capture")
     return CAP.capture_completeness(recs)
+
+
+# --------------------------------------------------------------------------
+# Streaming twins: the same operators through readStream -> state -> sink,
+# drained with an availableNow trigger; results read back from the sink.
+
+
+def _stream_table(spark, sf_dir, name):
+    schema = _t(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+def _drain_to_files(spark, df, kind, mode="append"):
+    base = J.scratch_path(spark, kind)
+    if mode == "append":
+        J.drain(J.write_stream(df, f"{base}/out", f"{base}/ckpt", partition_by=None))
+    else:  # aggregates: every micro-batch rewrites the complete result
+        def sink(batch, _epoch):
+            batch.write.mode("overwrite").parquet(f"{base}/out")
+        q = df.writeStream.outputMode("complete").foreachBatch(sink) \
+            .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start()
+        J.drain(q)
+    return spark.read.parquet(f"{base}/out")
+
+
+@query("stream_composite_threshold", ORACLE["composite_threshold"])
+def stream_composite_threshold(spark, sf_dir):
+    """T1 + T3 + T5: the composite on a stream of frames, drained with availableNow."""
+    fr = V.frames(_stream_table(spark, sf_dir, "embeddings"), "grey")
+    out = J.frame_transform(fr, ThresholdSegmenter(_LEVEL))
+    out = out.select("session_id", "frame_id", "status", "painted", F.hex("data").alias("out_hex"))
+    return _drain_to_files(spark, out, "stream-composite")
+
+
+@query("stream_frame_counter", ORACLE["frame_counter"])
+def stream_frame_counter(spark, sf_dir):
+    """G4 on a stream: the counter lives in the state store."""
+    lg = V.log(_stream_table(spark, sf_dir, "events")).select("event_id", "client_id", "ts")
+    out = ST.count_frames(lg, "client_id", ["ts", "event_id"]).select("event_id", "client_id", "frame_count")
+    return _drain_to_files(spark, out, "stream-counter")
+
+
+@query("stream_first_n", ORACLE["first_n"])
+def stream_first_n(spark, sf_dir):
+    """O4 on a stream: each client stops after 10 frames."""
+    lg = V.log(_stream_table(spark, sf_dir, "events")).select("event_id", "client_id", "ts")
+    out = ST.bound_frames(lg, "client_id", ["ts", "event_id"], limit=10).select("event_id", "client_id", "seq")
+    return _drain_to_files(spark, out, "stream-first-n")
+
+
+@query("stream_end_marker", ORACLE["end_marker"])
+def stream_end_marker(spark, sf_dir):
+    """O5 + T5 on a stream: each client stops at its first END marker."""
+    lg = V.log(_stream_table(spark, sf_dir, "events")).select(
+        "event_id", "client_id", "ts",
+        F.when(F.col("event_type") == "signup", F.lit(C.END_MARKER)).otherwise(F.col("event_id")).alias("frame_id"))
+    out = ST.bound_frames(lg, "client_id", ["ts", "event_id"], marker_col="frame_id")
+    return _drain_to_files(spark, out.select("event_id", "client_id", "frame_id"), "stream-end")
+
+
+@query("stream_last_result", ORACLE["last_result"])
+def stream_last_result(spark, sf_dir):
+    """O6 on a stream: latest result per client as a streaming aggregate."""
+    lg = V.log(_stream_table(spark, sf_dir, "events"))
+    last = ST.latest_per_key(lg, "client_id", ["ts", "event_id"], ["event_id", "status", "value"])
+    out = last.select("client_id", F.col("event_id").alias("last_event_id"), F.col("status").alias("last_status"),
+                      F.col("value").alias("last_value"), "n_frames")
+    return _drain_to_files(spark, out, "stream-last", mode="complete")
+
+
+@query("stream_json_messages", f"""
+WITH {_LOG},
+l AS (
+  SELECT CASE WHEN status = 'error' THEN 'not json ' || CAST(event_id AS VARCHAR)
+              ELSE CAST(json_object('message', event_type || ':' || props) AS VARCHAR) END AS line
+  FROM log
+)
+SELECT line, CASE WHEN json_valid(line) THEN json_extract_string(line, '$.message') END AS message FROM l
+""")
+def stream_json_messages(spark, sf_dir):
+    """S5 on a stream: JSON lines landing as text files, parsed per micro-batch."""
+    base = J.scratch_path(spark, "feed")
+    json_messages(spark, sf_dir).select(F.col("line").alias("value")).write.text(f"{base}/landing")
+    feed = MSG.read_messages(spark, f"{base}/landing", streaming=True, max_files_per_trigger=4)
+    return _drain_to_files(spark, feed.select(F.col("value").alias("line"), "message"), "stream-json")
