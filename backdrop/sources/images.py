@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from backdrop import schemas
 from backdrop.functions import columns as C
@@ -19,6 +20,17 @@ from backdrop.operators import results as R
 from backdrop.operators import sequence as SEQ
 
 
+# The fixed schema of Spark's image source (streams must declare it).
+IMAGE_SOURCE_SCHEMA = T.StructType([T.StructField("image", T.StructType([
+    T.StructField("origin", T.StringType()),
+    T.StructField("height", T.IntegerType()),
+    T.StructField("width", T.IntegerType()),
+    T.StructField("nChannels", T.IntegerType()),
+    T.StructField("mode", T.IntegerType()),
+    T.StructField("data", T.BinaryType()),
+]))])
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Driver-side existence test through the Hadoop file system."""
     jvm = spark.sparkContext._jvm
@@ -32,11 +44,22 @@ def empty_frames(spark: SparkSession, schema=schemas.FRAMES) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _session_dir(spark: SparkSession, root: str, session_id: str) -> str | None:
+    """``<root>/<id>`` or ``<root>/session_id=<id>``, whichever exists."""
+    for name in (session_id, f"session_id={session_id}"):
+        path = f"{root.rstrip('/')}/{name}"
+        if path_exists(spark, path):
+            return path
+    return None
+
+
 def _image_reader(spark: SparkSession, streaming: bool, max_files_per_trigger: int | None = None):
     reader = spark.readStream if streaming else spark.read
     reader = reader.format("image").option("pathGlobFilter", C.IMAGE_GLOB).option("recursiveFileLookup", "true")
-    if streaming and max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if streaming:
+        reader = reader.schema(IMAGE_SOURCE_SCHEMA)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return reader
 
 
@@ -56,17 +79,47 @@ def _as_frames(images: DataFrame, session_id: str | None = None) -> DataFrame:
     ).where(C.is_image_name("filename"))
 
 
+def _zero_length_files(spark: SparkSession, path: str) -> DataFrame:
+    """Paths of zero-byte files under ``path``. Spark's file sources skip
+    them, so they come from a driver-side metadata listing."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, it = [], fs.listFiles(p, True)
+    while it.hasNext():
+        st = it.next()
+        if st.getLen() == 0:
+            found.append(st.getPath().toString())
+    return spark.createDataFrame([(f,) for f in found], "path string")
+
+
+def empty_image_files(spark: SparkSession, path: str, session_id: str | None = None) -> DataFrame:
+    """Zero-byte image files, which Spark's file sources skip; the reference
+    reports them as unreadable. Driver-side listing of file metadata only."""
+    rows = _zero_length_files(spark, path).withColumnRenamed("path", "origin")
+    session = F.lit(session_id) if session_id is not None else C.parent_name("origin")
+    return rows.select(
+        session.alias("session_id"), F.lit(None).cast("long").alias("frame_id"),
+        C.file_name("origin").alias("filename"), "origin",
+        F.lit(-1).alias("height"), F.lit(-1).alias("width"), F.lit(-1).alias("n_channels"),
+        F.lit(schemas.MODE_INVALID).alias("mode"), F.lit(None).cast("binary").alias("data"),
+    ).where(C.is_image_name("filename"))
+
+
 def read_image_folder(spark: SparkSession, root: str, session_id: str | None = None, number: bool = True,
-                      on_unreadable: str = "status") -> DataFrame:
+                      on_unreadable: str = "status", report_empty: bool = True) -> DataFrame:
     """S1 (+ O1/O2): frames of one session folder, or of every session under ``root``.
 
     Frames are numbered per session in name order before unreadable ones are
-    dropped (``on_unreadable="drop"``) or marked (``"status"``).
+    dropped (``on_unreadable="drop"``) or marked (``"status"``). Zero-byte
+    files are reported as unreadable frames (``report_empty``).
     """
-    path = root if session_id is None else f"{root.rstrip('/')}/{session_id}"
-    if not path_exists(spark, path):
+    path = root if session_id is None else _session_dir(spark, root, session_id)
+    if path is None or not path_exists(spark, path):
         return empty_frames(spark)
     frames = _as_frames(_image_reader(spark, False).load(path), session_id)
+    if report_empty:
+        frames = frames.unionByName(empty_image_files(spark, path, session_id))
     if number:
         frames = SEQ.enumerate_frames(frames.drop("frame_id"), "session_id", ["filename"], name="frame_id") \
             .select(*schemas.FRAMES.fieldNames())
@@ -94,7 +147,8 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     (``binaryFile`` skips the ``content`` column when it is not selected)."""
     if not path_exists(spark, root):
         return spark.createDataFrame([], "session_id string, filename string")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
+    files = files.unionByName(_zero_length_files(spark, root))
     return files.select(C.parent_name("path").alias("session_id"), C.file_name("path").alias("filename"))
 
 
