@@ -7,6 +7,8 @@ in storage; the segmenter sees RGB, as the reference's model does.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 
 from backdrop import schemas
@@ -51,10 +53,18 @@ def composite(bgr: np.ndarray, mask: np.ndarray, bg_rgb=BG_COLOR, cutoff: float
     """
     if mask_true not in ("background", "foreground"):
         raise ValueError("mask_true must be 'background' or 'foreground'")
-    hit = np.asarray(mask, dtype=np.float64) > cutoff
+    mask = np.asarray(mask)
+    if mask.dtype.kind in "biu":  # category mask: x > cutoff  <=>  x >= floor(cutoff) + 1, in its own type
+        level = math.floor(cutoff) + 1
+        m = mask.view(np.uint8) if mask.dtype.kind == "b" else mask
+        info = np.iinfo(m.dtype)
+        hit = np.ones(m.shape, bool) if level <= info.min else (
+            np.zeros(m.shape, bool) if level > info.max else m >= m.dtype.type(level))
+    else:
+        hit = mask.astype(np.float64, copy=False) > cutoff
     painted = hit if mask_true == "background" else ~hit
-    bg_bgr = np.asarray(bg_rgb, dtype=np.uint8)[::-1]
-    out = np.where(painted[..., None], bg_bgr, bgr).astype(np.uint8, copy=False)
+    out = np.array(bgr, dtype=np.uint8, order="C", copy=True)
+    np.copyto(_as_pixels(out), _pixel(bg_rgb), where=painted)
     return out, painted
 
 
@@ -67,14 +77,34 @@ def sentinel_mask(bgr: np.ndarray, bg_rgb=BG_COLOR) -> np.ndarray:
 def recomposite(original_bgr: np.ndarray, processed_bgr: np.ndarray, bg_rgb=BG_COLOR) -> tuple[np.ndarray, np.ndarray]:
     """Backdrop colour where the processed frame shows it, original elsewhere."""
     is_bg = sentinel_mask(processed_bgr, bg_rgb)
-    bg_bgr = np.asarray(bg_rgb, dtype=np.uint8)[::-1]
-    out = np.where(is_bg[..., None], bg_bgr, original_bgr).astype(np.uint8, copy=False)
+    out = np.array(original_bgr, dtype=np.uint8, order="C", copy=True)
+    np.copyto(_as_pixels(out), _pixel(bg_rgb), where=is_bg)
     return out, is_bg
 
 
+def _as_pixels(bgr: np.ndarray) -> np.ndarray:
+    """A C-contiguous ``uint8[..., 3]`` viewed as one 3-byte item per pixel."""
+    return bgr.view(np.dtype("V3")).reshape(bgr.shape[:-1])
+
+
+def _pixel(bg_rgb) -> np.ndarray:
+    """The backdrop colour as one 3-byte BGR item."""
+    return np.asarray(bg_rgb, dtype=np.uint8)[::-1].copy().view(np.dtype("V3"))[0]
+
+
+def luma_x1000(rgb: np.ndarray) -> np.ndarray:
+    """``299 R + 587 G + 114 B`` in int32 (BT.601 weights, scaled by 1000)."""
+    acc = np.multiply(rgb[..., 0], np.int32(299), dtype=np.int32)
+    acc += np.multiply(rgb[..., 1], np.int32(587), dtype=np.int32)
+    acc += np.multiply(rgb[..., 2], np.int32(114), dtype=np.int32)
+    return acc
+
+
 def luma(rgb: np.ndarray) -> np.ndarray:
-    """Integer BT.601 luma; exact for grey pixels (weights sum to 1000)."""
-    r = rgb[..., 0].astype(np.int32)
-    g = rgb[..., 1].astype(np.int32)
-    b = rgb[..., 2].astype(np.int32)
-    return (299 * r + 587 * g + 114 * b + 500) // 1000
+    """Integer BT.601 luma, rounded; exact for grey pixels (weights sum to 1000)."""
+    return (luma_x1000(rgb) + 500) // 1000
+
+
+def luma_at_least(rgb: np.ndarray, level: int) -> np.ndarray:
+    """``luma(rgb) >= level`` without the division."""
+    return luma_x1000(rgb) >= np.int32(1000 * int(level) - 500)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from backdrop.functions.pixels import luma
+from backdrop.functions.pixels import luma_at_least
 
 
 class Segmenter:
@@ -30,7 +30,7 @@ class ThresholdSegmenter(Segmenter):
         self.level = int(level)
 
     def __call__(self, rgb):
-        return (luma(rgb) >= self.level).astype(np.uint8)
+        return luma_at_least(rgb, self.level).view(np.uint8)
 
 
 class KeyColorSegmenter(Segmenter):

@@ -6,7 +6,7 @@ so :func:`sequence_number` first counts rows per key (a partial aggregate)
 and splits keys above ``rows_per_segment`` rows into ordered segments of
 their first order column. Each segment is numbered by its own window task,
 and a small per-segment count table, prefix-summed, supplies the offsets.
-Keys below the limit take the plain window path unchanged.
+Keys below the limit stay in one segment, so they cost one window as before.
 """
 
 from __future__ import annotations
@@ -19,9 +19,6 @@ from backdrop.functions.columns import END_MARKER
 
 # Rows one window task may take for one key before the key is split.
 ROWS_PER_SEGMENT = 2_000_000
-# Hot-key tables up to this many rows are broadcast; larger ones are joined
-# by a shuffle (AQE splits skewed partitions of that join).
-BROADCAST_MAX_ROWS = 1_000_000
 # Splitters per hot key when the first order column is not numeric.
 _SAMPLES_PER_SEGMENT = 16
 _MAX_STRING_SPLITS = 4096
@@ -47,15 +44,15 @@ def _sortable_number(df: DataFrame, name: str) -> Column | None:
     return None
 
 
-def _maybe_broadcast(df: DataFrame, n_rows: int) -> DataFrame:
-    return F.broadcast(df) if n_rows <= BROADCAST_MAX_ROWS else df
-
-
 def sequence_number(df: DataFrame, by, order, name: str = "seq", start: int = 0,
                     rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
     """Number rows per ``by`` key in ``order`` (ascending), from ``start``.
 
     ``order`` should end in a unique tie-breaker, as with any row_number.
+    One lazy plan, no driver round trip: the hot-key table and the offset
+    table have at most ``total rows / rows_per_segment`` rows, and AQE
+    broadcasts them from their measured runtime size (a shuffle join, with
+    AQE's skew split, beyond that).
     """
     by, order = _names(by), _names(order)
     lead = order[0]
@@ -65,11 +62,6 @@ def sequence_number(df: DataFrame, by, order, name: str = "seq", start: int = 0,
         aggs += [F.min(num).alias("_lo"), F.max(num).alias("_hi")]
     n_seg = F.ceil(F.col("_n") / F.lit(rows_per_segment)).cast("long")
     hot = df.groupBy(*by).agg(*aggs).where(F.col("_n") > rows_per_segment).withColumn("_k", n_seg)
-    # One small aggregate job; both numbers are bounded by total rows / rows_per_segment.
-    n_hot, n_segments = hot.agg(F.count(F.lit(1)), F.coalesce(F.sum("_k"), F.lit(0))).first()
-    if n_hot == 0:
-        w = Window.partitionBy(*by).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(w) + F.lit(start - 1))
 
     if num is not None:
         # Equal-width ranges of the order value: O(1) per row in the JVM, and
@@ -77,19 +69,18 @@ def sequence_number(df: DataFrame, by, order, name: str = "seq", start: int = 0,
         hot = hot.select(*by, "_k", "_lo", ((F.col("_hi") - F.col("_lo")) / F.col("_k")).alias("_width"))
         seg = F.when(F.col("_width") <= 0, F.lit(0)).otherwise(
             F.least(F.floor((num - F.col("_lo")) / F.col("_width")), F.col("_k") - 1))
-        with_seg = df.join(_maybe_broadcast(hot, n_hot), by, "left")
+        with_seg = df.join(hot, by, "left")
         with_seg = with_seg.withColumn("_hot", F.col("_k").isNotNull()) \
             .withColumn(_SEG, F.coalesce(seg, F.lit(0)).cast("long")).drop("_k", "_lo", "_width")
     else:
         # Splitters from a bounded sample of the hot keys' order values.
         frac = min(1.0, _SAMPLES_PER_SEGMENT / rows_per_segment)
-        sample = df.join(_maybe_broadcast(hot.select(*by), n_hot), by, "left_semi").select(*by, lead) \
-            .sample(fraction=frac, seed=17)
+        sample = df.join(hot.select(*by), by, "left_semi").select(*by, lead).sample(fraction=frac, seed=17)
         ranked = sample.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(lead)))
         splits = ranked.where(F.col("_r") % _SAMPLES_PER_SEGMENT == 0).groupBy(*by).agg(
             F.slice(F.array_sort(F.collect_list(lead)), 1, _MAX_STRING_SPLITS).alias("_splits"))
-        splits = hot.select(*by).join(splits, by, "left")
-        with_seg = df.join(_maybe_broadcast(splits.withColumn("_h", F.lit(True)), n_hot), by, "left")
+        splits = hot.select(*by).join(splits, by, "left").withColumn("_h", F.lit(True))
+        with_seg = df.join(splits, by, "left")
         with_seg = with_seg.withColumn("_hot", F.col("_h").isNotNull()).withColumn(
             _SEG, F.coalesce(F.size(F.filter("_splits", lambda s: s <= F.col(lead))), F.lit(0)).cast("long")
         ).drop("_splits", "_h")
@@ -101,7 +92,7 @@ def sequence_number(df: DataFrame, by, order, name: str = "seq", start: int = 0,
     offsets = counts.withColumn(
         "_off", F.sum("_c").over(Window.partitionBy(*by).orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1))
     ).where(F.col(_SEG) > 0).select(*by, _SEG, "_off")
-    out = local.drop("_hot").join(_maybe_broadcast(offsets, int(n_segments)), [*by, _SEG], "left")
+    out = local.drop("_hot").join(offsets, [*by, _SEG], "left")
     return out.withColumn(name, F.col("_local") + F.coalesce(F.col("_off"), F.lit(0)) + F.lit(start - 1)) \
         .drop("_local", "_off", _SEG)
 
