@@ -91,7 +91,51 @@ def export_png(df: DataFrame, root: str, input_root: str | None = None) -> DataF
     return slim.mapInArrow(run, schemas.RESULTS)
 
 
-def replies(processed: DataFrame, key: str = "session_id") -> DataFrame:
-    """K2: the reply to each sent frame; no usable frame -> ``data`` NULL."""
+def replies(processed: DataFrame, key: str = "session_id", original_col: str | None = "original") -> DataFrame:
+    """K2: the reply to each sent frame.
+
+    A processed frame when processing succeeded; the frame as sent when
+    processing failed (the server's pass-through, P4); ``data`` NULL when the
+    frame could not be decoded (the zero-length reply), which the receiver
+    answers by showing its own frame (:func:`backdrop.operators.results.with_fallback`).
+    """
     ok = F.col("status") == schemas.SUCCESS
-    return processed.select(key, "frame_id", F.when(ok, F.col("data")).alias("data"), "height", "width", "status")
+    reply = F.when(ok, F.col("data"))
+    if original_col is not None and original_col in processed.columns:
+        reply = reply.when(F.col("status") == schemas.ERROR, F.col(original_col))
+    return processed.select(key, "frame_id", "filename", reply.alias("data"), "height", "width", "status", "message")
+
+
+def land_payloads(records: DataFrame, root: str, session_col: str = "session_id") -> DataFrame:
+    """Write each decoded capture payload (an encoded image) to
+    ``<root>/<session>/<filename>`` so Spark's ``image`` source can decode it
+    on the executors. Same path on retry (temporary name + rename). Returns
+    ``session_id, seq, filename, path, status, message``."""
+    local_root = _local_path(root).rstrip("/")
+    slim = records.select(F.col(session_col).alias("session_id"), "seq", "filename", "payload", "status", "message")
+    out_schema = "session_id string, seq long, filename string, path string, status string, message string"
+
+    def run(batches):
+        for batch in batches:
+            d = batch.to_pydict()
+            paths, status, message = [], list(d["status"]), list(d["message"])
+            for i in range(batch.num_rows):
+                target = None
+                if status[i] == schemas.SUCCESS:
+                    try:
+                        name = os.path.basename(d["filename"][i] or f"frame_{d['seq'][i]}.jpg")
+                        folder = os.path.join(local_root, d["session_id"][i])
+                        os.makedirs(folder, exist_ok=True)
+                        target = os.path.join(folder, name)
+                        tmp = f"{target}.tmp-{os.getpid()}"
+                        with open(tmp, "wb") as fh:
+                            fh.write(d["payload"][i])
+                        os.replace(tmp, target)
+                    except Exception as exc:  # noqa: BLE001 - reported in the row
+                        status[i], message[i], target = schemas.ERROR, f"{type(exc).__name__}: {exc}", None
+                paths.append(target)
+            yield pa.RecordBatch.from_pydict({
+                "session_id": d["session_id"], "seq": d["seq"], "filename": d["filename"], "path": paths,
+                "status": status, "message": message})
+
+    return slim.mapInArrow(run, out_schema)

@@ -31,6 +31,14 @@ IMAGE_SOURCE_SCHEMA = T.StructType([T.StructField("image", T.StructType([
 ]))])
 
 
+BINARY_FILE_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("modificationTime", T.TimestampType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("content", T.BinaryType()),
+])
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Driver-side existence test through the Hadoop file system."""
     jvm = spark.sparkContext._jvm
@@ -142,6 +150,16 @@ def stream_image_folder(spark: SparkSession, landing: str, max_files_per_trigger
     return _as_frames(_image_reader(spark, True, max_files_per_trigger).load(landing))
 
 
+def stream_file_names(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """``session_id, filename`` of image files as they land; contents are not read."""
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA) \
+        .option("pathGlobFilter", C.IMAGE_GLOB).option("recursiveFileLookup", "true")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    files = reader.load(landing)
+    return files.select(C.parent_name("path").alias("session_id"), C.file_name("path").alias("filename"))
+
+
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """``session_id, filename`` of every file under ``root`` without reading contents
     (``binaryFile`` skips the ``content`` column when it is not selected)."""
