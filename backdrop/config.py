@@ -7,12 +7,11 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Frames are large rows (a 640x480 BGR frame is 900 KiB). Arrow batches of
-# the default 10,000 rows would hold gigabytes per task, so the pixel
-# operators want small batches. Relational queries do not care.
-FRAME_BATCH_ROWS = 64
-
-_DEFAULT_ARROW_ROWS = "10000"
+# Frames are large rows (a 640x480 BGR frame is 900 KiB). Spark cuts the
+# Arrow batches fed to ``mapInArrow`` by bytes as well as by rows, so a batch
+# of large frames stays bounded while small frames still travel 10,000 rows
+# at a time.
+ARROW_BATCH_BYTES = 64 << 20
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -22,8 +21,8 @@ def configure(spark: SparkSession) -> SparkSession:
     tuned them keeps its own choice.
     """
     conf = spark.conf
-    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", _DEFAULT_ARROW_ROWS) == _DEFAULT_ARROW_ROWS:
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(FRAME_BATCH_ROWS))
+    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) in (None, "-1", "-1b"):
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
     conf.set("spark.sql.adaptive.enabled", "true")
     conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     return spark
@@ -57,7 +56,7 @@ def make_session(master: str | None = None, cores: int | None = None, app: str =
         .config("spark.sql.shuffle.partitions", str(cores or os.cpu_count() or 8))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.execution.arrow.maxRecordsPerBatch", str(FRAME_BATCH_ROWS))
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
         .config("spark.driver.memory", os.environ.get("BACKDROP_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()

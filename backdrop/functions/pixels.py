@@ -30,8 +30,8 @@ def to_bgr(stack: np.ndarray) -> np.ndarray:
     c = stack.shape[-1]
     if c == 3:
         return stack
-    if c == 1:
-        return np.repeat(stack, 3, axis=-1)
+    if c == 1:  # a read-only view; copies happen only where bytes are written
+        return np.broadcast_to(stack, stack.shape[:-1] + (3,))
     if c == 4:
         return stack[..., :3]
     raise ValueError(f"unsupported channel count {c}")

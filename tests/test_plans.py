@@ -53,6 +53,9 @@ def test_live_replies_and_counts(spark, tmp):
     os.makedirs(os.path.join(landing, "client2"))
     with open(os.path.join(landing, "client2", "bad.jpg"), "wb") as fh:
         fh.write(b"broken")
+    # Across micro-batches frames count in arrival (modification-time) order.
+    for k, rel in enumerate(["client1/f0.png", "client1/f1.png", "client2/bad.jpg"]):
+        os.utime(os.path.join(landing, rel), (1_700_000_000 + k, 1_700_000_000 + k))
     replies_out, counts_out = os.path.join(tmp, "replies"), os.path.join(tmp, "counts")
     for q in B.run_live(spark, landing, replies_out, counts_out, max_files_per_trigger=2):
         J.drain(q)
