@@ -10,8 +10,9 @@ from pyspark.sql import SparkSession
 # Frames are large rows (a 640x480 BGR frame is 900 KiB). Spark cuts the
 # Arrow batches fed to ``mapInArrow`` by bytes as well as by rows, so a batch
 # of large frames stays bounded while small frames still travel 10,000 rows
-# at a time.
-ARROW_BATCH_BYTES = 64 << 20
+# at a time. 16 MiB measured faster than the 64 MiB default for 640x480
+# frames (the working set of one batch stays in cache).
+ARROW_BATCH_BYTES = 16 << 20
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -21,7 +22,7 @@ def configure(spark: SparkSession) -> SparkSession:
     tuned them keeps its own choice.
     """
     conf = spark.conf
-    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) in (None, "-1", "-1b"):
+    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) in (None, "-1", "-1b", "67108864b"):
         conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
     conf.set("spark.sql.adaptive.enabled", "true")
     conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
