@@ -41,7 +41,7 @@ def process_folder(spark: SparkSession, input_root: str, output_root: str, sessi
     if export != "parquet":
         raise ValueError("export must be 'png' or 'parquet'")
     SK.write_frames(processed, output_root)
-    done = spark.read.parquet(output_root).where(F.col("session_id").isNotNull())
+    done = SK.read_frames(spark, output_root)
     if session_id is not None:
         done = done.where(F.col("session_id") == session_id)
     return R.result_rows(done, input_root, output_root)

@@ -19,7 +19,9 @@ from backdrop.operators import frames as FO
 from backdrop.operators import results as R
 from backdrop.operators import sequence as SEQ
 from backdrop.operators import summary as SUM
+from backdrop.sinks import frames as SK
 from backdrop.sources import captures as CAP
+from backdrop.sources import images as IM
 from backdrop.sources import messages as MSG
 from backdrop.sources import tables as V
 from backdrop.streaming import jobs as J
@@ -572,3 +574,45 @@ def stream_json_messages(spark, sf_dir):
     json_messages(spark, sf_dir).select(F.col("line").alias("value")).write.text(f"{base}/landing")
     feed = MSG.read_messages(spark, f"{base}/landing", streaming=True, max_files_per_trigger=4)
     return _drain_to_files(spark, feed.select(F.col("value").alias("line"), "message"), "stream-json")
+
+
+# --------------------------------------------------------------------------
+# Sinks end to end: composited frames written, read back by Spark, compared
+# with the composite oracle.
+
+
+@query("png_export_roundtrip", f"""
+WITH {_PX}
+SELECT session_id, frame_id, 'success' AS status,
+       string_agg(repeat(printf('%02X', CASE WHEN x > 0.2 THEN 192 ELSE p END), 3), '' ORDER BY i) AS out_hex
+FROM px GROUP BY session_id, frame_id
+""")
+def png_export_roundtrip(spark, sf_dir):
+    """K1 (PNG) + S1: export composited frames as PNG files, read them back
+    through Spark's image source."""
+    fr = V.frames(_t(spark, sf_dir, "embeddings"), "grey")
+    done = FO.remove_backdrop(fr, ThresholdSegmenter(_LEVEL))
+    root = J.scratch_path(spark, "png-export")
+    results = SK.export_png(done, root)
+    results.write.parquet(f"{root}/_results")  # runs the export; the result table is the job's output
+    back = IM.read_image_folder(spark, root, number=False)
+    status = spark.read.parquet(f"{root}/_results").select("session_id", "filename", "status")
+    return back.join(status, ["session_id", "filename"]).select(
+        "session_id", F.regexp_extract("filename", r"frame_(\d+)\.png", 1).cast("long").alias("frame_id"),
+        "status", F.hex("data").alias("out_hex"))
+
+
+@query("parquet_sink_roundtrip", f"""
+WITH {_PX}
+SELECT session_id, frame_id, count(*) FILTER (WHERE x > 0.2) AS painted,
+       string_agg(repeat(printf('%02X', CASE WHEN x > 0.2 THEN 192 ELSE p END), 3), '' ORDER BY i) AS out_hex
+FROM px GROUP BY session_id, frame_id
+""")
+def parquet_sink_roundtrip(spark, sf_dir):
+    """K1 (parquet by session): the frames table written and read back."""
+    fr = V.frames(_t(spark, sf_dir, "embeddings"), "grey")
+    done = FO.remove_backdrop(fr, ThresholdSegmenter(_LEVEL))
+    root = J.scratch_path(spark, "frames-table")
+    SK.write_frames(done, root, mode="overwrite")
+    back = SK.read_frames(spark, root)
+    return back.select("session_id", "frame_id", "painted", F.hex("data").alias("out_hex"))

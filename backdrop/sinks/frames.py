@@ -29,6 +29,15 @@ def write_frames(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).partitionBy("session_id").parquet(path)
 
 
+def read_frames(spark, path: str) -> DataFrame:
+    """The frames table of :func:`write_frames`, with ``session_id`` kept as
+    text (partition type inference would turn ``0012`` into ``12``)."""
+    from pyspark.sql import types as T
+    inferred = spark.read.parquet(path).schema
+    fields = [T.StructField(f.name, T.StringType()) if f.name == "session_id" else f for f in inferred.fields]
+    return spark.read.schema(T.StructType(fields)).option("basePath", path).parquet(path)
+
+
 def write_results(results: DataFrame, path: str, mode: str = "append") -> None:
     """K3: the result table."""
     results.select(*schemas.RESULTS.fieldNames()).write.mode(mode).parquet(path)

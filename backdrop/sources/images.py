@@ -87,17 +87,43 @@ def _as_frames(images: DataFrame, session_id: str | None = None) -> DataFrame:
     ).where(C.is_image_name("filename"))
 
 
+def _local_dir(path: str) -> str | None:
+    """The POSIX path of a local (or shared-mount) directory, else None."""
+    import os
+    if path.startswith("file:"):
+        path = path[len("file:"):]
+        while path.startswith("//"):
+            path = path[1:]
+    elif "://" in path:
+        return None
+    return path if os.path.isdir(path) else None
+
+
 def _zero_length_files(spark: SparkSession, path: str) -> DataFrame:
     """Paths of zero-byte files under ``path``. Spark's file sources skip
-    them, so they come from a driver-side metadata listing."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found, it = [], fs.listFiles(p, True)
-    while it.hasNext():
-        st = it.next()
-        if st.getLen() == 0:
-            found.append(st.getPath().toString())
+    them, so they come from a driver-side metadata listing: ``os.scandir`` on
+    a POSIX mount, the Hadoop file system otherwise."""
+    import os
+    found = []
+    local = _local_dir(path)
+    if local is not None:
+        stack = [local]
+        while stack:
+            with os.scandir(stack.pop()) as it:
+                for entry in it:
+                    if entry.is_dir(follow_symlinks=False):
+                        stack.append(entry.path)
+                    elif entry.is_file() and entry.stat().st_size == 0:
+                        found.append("file:" + os.path.abspath(entry.path))
+    else:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        it = fs.listFiles(p, True)
+        while it.hasNext():
+            st = it.next()
+            if st.getLen() == 0:
+                found.append(st.getPath().toString())
     return spark.createDataFrame([(f,) for f in found], "path string")
 
 
