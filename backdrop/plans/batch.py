@@ -97,7 +97,3 @@ def history(spark: SparkSession, input_root: str, output_root: str) -> DataFrame
     from backdrop.operators import summary as SUM
     return SUM.session_history(IM.list_files(spark, input_root), IM.list_files(spark, output_root),
                                input_root, output_root, sessions=IM.list_session_dirs(spark, input_root))
-
-
-def landing_path(root: str, session_id: str) -> str:
-    return os.path.join(root, session_id)

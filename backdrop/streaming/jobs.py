@@ -60,12 +60,6 @@ def run_frame_stream(spark: SparkSession, landing: str, out: str, checkpoint: st
     return write_stream(processed, out, checkpoint or scratch_path(spark, "frames-ckpt"), trigger)
 
 
-def run_batch_job(df: DataFrame, writer) -> None:
-    """Run a per-micro-batch function as a ``foreachBatch`` sink would (used for
-    sinks that need batch operations such as overwrite)."""
-    writer(df, 0)
-
-
 def drain(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
     """Block until an ``availableNow``/``once`` query has processed everything."""
     query.awaitTermination(timeout_s)
