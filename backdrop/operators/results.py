@@ -53,3 +53,21 @@ def with_fallback(sent: DataFrame, replies: DataFrame, keys, value_col: str, rep
     usable = F.coalesce(F.length(F.col(reply_col)) > 0, F.lit(False))
     return joined.withColumn(out_col, F.when(usable, F.col(reply_col)).otherwise(F.col(value_col))) \
         .withColumn("shown_from", F.when(usable, F.lit("processed")).otherwise(F.lit("original")))
+
+
+# Slim tables up to this many rows are broadcast when joined to frames.
+ATTACH_BROADCAST_ROWS = 1_000_000
+
+
+def attach(frames: DataFrame, table: DataFrame, keys, how: str = "left",
+           max_broadcast_rows: int = ATTACH_BROADCAST_ROWS) -> DataFrame:
+    """Join a slim per-frame table (ids, statuses) to frame rows.
+
+    The table is counted (an action on slim columns) and broadcast when it
+    is within the limit, so the frame bytes are never shuffled; beyond it
+    the join is a shuffle join.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    if table.count() <= max_broadcast_rows:
+        table = F.broadcast(table)
+    return frames.join(table, keys, how)

@@ -63,7 +63,7 @@ def process_captures(spark: SparkSession, captures: str, landing: str, output_ro
     landed.write.format("noop").mode("overwrite").save()  # files must exist before the image scan plans
     images = IM.read_image_folder(spark, landing, number=False)
     ids = frames.select("session_id", "filename", F.coalesce("frame_id", "seq").alias("_fid"))
-    numbered = images.join(ids, ["session_id", "filename"], "left") \
+    numbered = R.attach(images, ids, ["session_id", "filename"], "left") \
         .withColumn("frame_id", F.col("_fid")).drop("_fid")
     processed = J.frame_transform(numbered, segmenter, **kw)
     return SK.export_png(processed, output_root, landing)

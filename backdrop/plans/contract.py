@@ -463,7 +463,7 @@ FROM cd GROUP BY capture
 def capture_decode(spark, sf_dir):
     """S3 + D3 + D4 + P6: session-framed captures decoded to frame rows plus a trailer per capture."""
     recs = CAP.decode_captures(_packed_captures(spark, sf_dir, "session"), "session", name_col="capture")
-    return recs.select("capture", "seq", "filename", "frame_id", F.octet_length("payload").alias("size"),
+    return recs.select("capture", "seq", "filename", "frame_id", F.octet_length("payload").cast("long").alias("size"),
                        F.md5("payload").alias("payload_md5"), "announced", "truncated", "status", "message")
 
 
@@ -476,7 +476,7 @@ SELECT capture, NULL, NULL, NULL, 'end' FROM cd GROUP BY capture
 def capture_decode_bare(spark, sf_dir):
     """Bare length-prefixed captures (size 0 ends a capture)."""
     recs = CAP.decode_captures(_packed_captures(spark, sf_dir, "bare"), "bare", name_col="capture")
-    return recs.select("capture", "seq", F.octet_length("payload").alias("size"),
+    return recs.select("capture", "seq", F.octet_length("payload").cast("long").alias("size"),
                        F.md5("payload").alias("payload_md5"), "status")
 
 
@@ -597,7 +597,7 @@ def png_export_roundtrip(spark, sf_dir):
     results.write.parquet(f"{root}/_results")  # runs the export; the result table is the job's output
     back = IM.read_image_folder(spark, root, number=False)
     status = spark.read.parquet(f"{root}/_results").select("session_id", "filename", "status")
-    return back.join(status, ["session_id", "filename"]).select(
+    return R.attach(back, status, ["session_id", "filename"], "inner").select(
         "session_id", F.regexp_extract("filename", r"frame_(\d+)\.png", 1).cast("long").alias("frame_id"),
         "status", F.hex("data").alias("out_hex"))
 

@@ -20,6 +20,9 @@ from backdrop.operators import results as R
 from backdrop.operators import sequence as SEQ
 
 
+# Listings up to this many files are broadcast when numbers are joined to frames.
+NUMBERING_BROADCAST_FILES = 1_000_000
+
 # The fixed schema of Spark's image source (streams must declare it).
 IMAGE_SOURCE_SCHEMA = T.StructType([T.StructField("image", T.StructType([
     T.StructField("origin", T.StringType()),
@@ -155,8 +158,16 @@ def read_image_folder(spark: SparkSession, root: str, session_id: str | None = N
     if report_empty:
         frames = frames.unionByName(empty_image_files(spark, path, session_id))
     if number:
-        frames = SEQ.enumerate_frames(frames.drop("frame_id"), "session_id", ["filename"], name="frame_id") \
-            .select(*schemas.FRAMES.fieldNames())
+        # Number a content-free listing and join the numbers back on the
+        # (unique) file key. The listing is counted first (metadata only) and
+        # broadcast when it is within the limit, so decoded frames are never
+        # shuffled; beyond it the join falls back to a shuffle join.
+        names = list_files(spark, path, images_only=True)
+        if session_id is not None:
+            names = names.withColumn("session_id", F.lit(session_id))
+        numbered = SEQ.enumerate_frames(names, "session_id", ["filename"], name="frame_id")
+        frames = R.attach(frames.drop("frame_id"), numbered, ["session_id", "filename"], "left",
+                          max_broadcast_rows=NUMBERING_BROADCAST_FILES).select(*schemas.FRAMES.fieldNames())
     if on_unreadable == "drop":
         return R.handle_unreadable(frames, "drop")
     return frames
@@ -164,9 +175,10 @@ def read_image_folder(spark: SparkSession, root: str, session_id: str | None = N
 
 def replay_folder(spark: SparkSession, folder: str, session_id: str | None = None) -> DataFrame:
     """A folder replayed in name order, numbered from 0, unreadable frames
-    skipped (their numbers leave gaps)."""
-    return read_image_folder(spark, folder, session_id, number=True, on_unreadable="drop").orderBy(
-        "session_id", "frame_id")
+    skipped (their numbers leave gaps). ``frame_id`` carries the order; the
+    frames themselves are not sorted (that would shuffle pixel bytes), a
+    consumer that needs them in order sorts its own slim output."""
+    return read_image_folder(spark, folder, session_id, number=True, on_unreadable="drop")
 
 
 def stream_image_folder(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -186,14 +198,17 @@ def stream_file_names(spark: SparkSession, landing: str, max_files_per_trigger:
     return files.select(C.parent_name("path").alias("session_id"), C.file_name("path").alias("filename"))
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
+def list_files(spark: SparkSession, root: str, images_only: bool = False) -> DataFrame:
     """``session_id, filename`` of every file under ``root`` without reading contents
     (``binaryFile`` skips the ``content`` column when it is not selected)."""
     if not path_exists(spark, root):
         return spark.createDataFrame([], "session_id string, filename string")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
-    files = files.unionByName(_zero_length_files(spark, root))
-    return files.select(C.parent_name("path").alias("session_id"), C.file_name("path").alias("filename"))
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if images_only:
+        reader = reader.option("pathGlobFilter", C.IMAGE_GLOB)
+    files = reader.load(root).select("path").unionByName(_zero_length_files(spark, root))
+    out = files.select(C.parent_name("path").alias("session_id"), C.file_name("path").alias("filename"))
+    return out.where(C.is_image_name("filename")) if images_only else out
 
 
 def list_session_dirs(spark: SparkSession, root: str) -> DataFrame:
