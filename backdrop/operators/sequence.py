@@ -77,8 +77,12 @@ def sequence_number(df: DataFrame, by, order, name: str = "seq", start: int = 0,
         frac = min(1.0, _SAMPLES_PER_SEGMENT / rows_per_segment)
         sample = df.join(hot.select(*by), by, "left_semi").select(*by, lead).sample(fraction=frac, seed=17)
         ranked = sample.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(lead)))
+        sorted_splits = F.array_sort(F.collect_list(lead))
+        # Above the limit keep every k-th splitter, so the segments still
+        # cover the whole range evenly (larger, never unbounded at one end).
+        step = F.greatest(F.ceil(F.size(sorted_splits) / F.lit(_MAX_STRING_SPLITS)), F.lit(1))
         splits = ranked.where(F.col("_r") % _SAMPLES_PER_SEGMENT == 0).groupBy(*by).agg(
-            F.slice(F.array_sort(F.collect_list(lead)), 1, _MAX_STRING_SPLITS).alias("_splits"))
+            F.filter(sorted_splits, lambda x, i: i % step == 0).alias("_splits"))
         splits = hot.select(*by).join(splits, by, "left").withColumn("_h", F.lit(True))
         with_seg = df.join(splits, by, "left")
         with_seg = with_seg.withColumn("_hot", F.col("_h").isNotNull()).withColumn(

@@ -57,3 +57,19 @@ def test_latest_per_key(spark, skewed):
     want = brute(skewed.withColumn("neg", -F.col("event_id")), "client_id",
                  [F.col("ts").desc(), F.col("event_id").desc()], 1).where("want = 1").collect()
     assert {r["client_id"]: r["event_id"] for r in want} == {k: v["event_id"] for k, v in last.items()}
+
+
+def test_string_splitters_are_thinned_evenly(spark, skewed, monkeypatch):
+    monkeypatch.setattr(SEQ, "_MAX_STRING_SPLITS", 2)
+    got = SEQ.sequence_number(skewed, "client_id", ["name", "event_id"], name="seq", rows_per_segment=50)
+    both = got.join(brute(skewed, "client_id", ["name", "event_id"], 0).select("event_id", "want"), "event_id")
+    assert both.where(F.col("seq") != F.col("want")).count() == 0
+
+
+def test_attach_same_result_broadcast_or_shuffle(spark, skewed):
+    from backdrop.operators import results as R
+    ids = skewed.select("event_id", (F.col("event_id") * 2).alias("x"))
+    a = R.attach(skewed, ids, "event_id")
+    b = R.attach(skewed, ids, "event_id", max_broadcast_rows=0)
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert "BroadcastHashJoin" in a._jdf.queryExecution().executedPlan().toString()
