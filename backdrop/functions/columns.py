@@ -100,9 +100,9 @@ def utf8_bytes(text) -> Column:
 
 
 def utf8_text(binary) -> Column:
-    """Strict UTF-8 decode; NULL when the bytes are not valid UTF-8."""
-    return F.try_validate_utf8(F.decode(_c(binary), "UTF-8")) if hasattr(F, "try_validate_utf8") else F.decode(
-        _c(binary), "UTF-8")
+    """Strict UTF-8 decode; NULL when the bytes are not valid UTF-8
+    (``decode`` would fail the query under ANSI mode)."""
+    return F.try_validate_utf8(_c(binary).cast("string"))
 
 
 def has_payload(payload) -> Column:
