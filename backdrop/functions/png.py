@@ -14,7 +14,7 @@ def _chunk(kind: bytes, body: bytes) -> bytes:
     return struct.pack("!I", len(body)) + kind + body + struct.pack("!I", zlib.crc32(kind + body) & 0xFFFFFFFF)
 
 
-def encode_png(bgr: np.ndarray, level: int = 6) -> bytes:
+def encode_png(bgr: np.ndarray, level: int = 1) -> bytes:
     """``uint8[h, w, 3]`` BGR (or ``[h, w]`` grey) to PNG bytes."""
     if bgr.ndim == 2:
         h, w = bgr.shape
