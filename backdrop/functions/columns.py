@@ -73,10 +73,19 @@ def stamp(ts) -> Column:
 
 
 def session_started_at(session_id) -> Column:
-    """The time encoded in the first two ``_`` fields of an id, or NULL."""
+    """The time encoded in the first two ``_`` fields of an id, or NULL.
+
+    Built field by field as a TIMESTAMP_NTZ, so no session time zone (and no
+    daylight-saving gap) can shift it; impossible dates give NULL.
+    """
     head = F.substring_index(_c(session_id), "_", 2)
-    parsed = F.try_to_timestamp(head, F.lit(STAMP_PATTERN))
-    return parsed.cast("timestamp_ntz")
+    well_formed = head.rlike(r"^[0-9]{8}_[0-9]{6}$")
+
+    def part(pos, n):
+        return F.substring(head, pos, n).cast("int")
+
+    ts = F.try_make_timestamp_ntz(part(1, 4), part(5, 2), part(7, 2), part(10, 2), part(12, 2), part(14, 2))
+    return F.when(well_formed, ts)
 
 
 def session_display_time(session_id) -> Column:

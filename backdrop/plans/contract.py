@@ -496,9 +496,15 @@ def capture_completeness(spark, sf_dir):
 # drained with an availableNow trigger; results read back from the sink.
 
 
+# Files per micro-batch: bounds each micro-batch, and so each key's group in
+# the state operators, however large the backlog an availableNow run drains.
+STREAM_FILES_PER_TRIGGER = 64
+
+
 def _stream_table(spark, sf_dir, name):
     schema = _t(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet") \
+        .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(sf_dir)
 
 
 def _drain_to_files(spark, df, kind, mode="append"):
