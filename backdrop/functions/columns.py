@@ -57,14 +57,19 @@ def frame_file_name(prefix, frame_id) -> Column:
     return F.format_string("%s_%d.jpg", _c(prefix), _c(frame_id))
 
 
-def new_session_id(now: datetime | None = None, suffix: str | None = None) -> str:
-    """One id per job, second resolution, optionally with a suffix.
+def new_session_id(now: datetime | None = None, suffix: str | None = None, unique: bool = True) -> str:
+    """One id per job: ``yyyyMMdd_HHmmss`` plus ``_`` and 8 hex digits.
 
-    Computed once on the driver and used as a literal, so every row of a job
-    carries the same id.
+    A second-resolution stamp alone collides when two jobs start in the same
+    second, so a random suffix is added unless ``unique=False``. Computed
+    once on the driver and used as a literal, so every row of a job carries
+    the same id.
     """
-    stamp = (now or datetime.now()).strftime(STAMP_PYTHON)
-    return f"{stamp}_{suffix}" if suffix else stamp
+    import uuid
+    stamp_text = (now or datetime.now()).strftime(STAMP_PYTHON)
+    if suffix is None and unique:
+        suffix = uuid.uuid4().hex[:8]
+    return f"{stamp_text}_{suffix}" if suffix else stamp_text
 
 
 def stamp(ts) -> Column:

@@ -47,6 +47,15 @@ def process_folder(spark: SparkSession, input_root: str, output_root: str, sessi
     return R.result_rows(done, input_root, output_root)
 
 
+def compact_folder(spark: SparkSession, input_root: str, table: str, mode: str = "append") -> None:
+    """Decode an image folder once into a parquet frames table (K1 layout).
+
+    Many small image files cost listing and open time on every read; the
+    table is read back with :func:`backdrop.sinks.frames.read_frames`.
+    """
+    SK.write_frames(IM.read_image_folder(spark, input_root), table, mode)
+
+
 def capture_session(capture_col: str = "capture"):
     """Session id of a capture file: its name without the extension."""
     return F.regexp_replace(C.file_name(capture_col), r"\.[^.]*$", "")

@@ -32,7 +32,8 @@ def test_utf8(spark):
 
 def test_session_ids(spark):
     sid = C.new_session_id(datetime(2024, 1, 2, 3, 4, 5), "abcdef01")
-    assert sid == "20240102_030405_abcdef01" and re.fullmatch(r"\d{8}_\d{6}", C.new_session_id())
+    assert sid == "20240102_030405_abcdef01" and re.fullmatch(r"\d{8}_\d{6}_[0-9a-f]{8}", C.new_session_id())
+    assert re.fullmatch(r"\d{8}_\d{6}", C.new_session_id(unique=False))
     ids = [sid, "20240102_030405", "plain", "2024_x", "20241399_000000_ab"]
     df = spark.createDataFrame([(i,) for i in ids], "s string")
     got = {r["s"]: r["d"] for r in df.select("s", C.session_display_time("s").alias("d")).collect()}

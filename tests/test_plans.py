@@ -76,3 +76,14 @@ def test_history_over_folders(spark, image_root, tmp):
     assert {r["session_id"] for r in rows} >= {SESSION}
     assert all(r["output_count"] == 0 for r in rows)
     assert IM.list_files(spark, os.path.join(tmp, "none")).count() == 0
+
+
+def test_compact_folder(spark, image_root, tmp):
+    from backdrop.sinks import frames as SK
+    table = os.path.join(tmp, "compact")
+    B.compact_folder(spark, image_root, table)
+    back = SK.read_frames(spark, table)
+    direct = IM.read_image_folder(spark, image_root)
+    cols = ["session_id", "frame_id", "filename", "mode", "data"]
+    assert sorted(map(repr, back.select(*cols).collect())) == sorted(map(repr, direct.select(*cols).collect()))
+    assert dict(back.dtypes)["session_id"] == "string"
