@@ -80,13 +80,15 @@ def process_captures(spark: SparkSession, captures: str, landing: str, output_ro
 
 def run_live(spark: SparkSession, landing: str, replies_out: str, counts_out: str | None = None,
              checkpoint: str | None = None, trigger="availableNow", max_files_per_trigger: int | None = None,
-             segmenter="threshold", **kw) -> list[StreamingQuery]:
+             segmenter="threshold", latest_out: str | None = None, **kw) -> list[StreamingQuery]:
     """Entry 3: each client's frames land under ``<landing>/<client>/``.
 
     One query appends a reply per frame (K2: processed, passed through on
     error, NULL when undecodable). A second, light query keeps the running
     frame count per client (G4) in the state store; it lists files without
-    reading them, so frame bytes never enter the state operator.
+    reading them, so frame bytes never enter the state operator. A third
+    (``latest_out``) keeps each client's latest result (O6): name and status,
+    not the frame, rewritten as a whole table every micro-batch.
     """
     from backdrop.streaming import state as ST
 
@@ -98,6 +100,11 @@ def run_live(spark: SparkSession, landing: str, replies_out: str, counts_out: st
         names = IM.stream_file_names(spark, landing, max_files_per_trigger)
         counted = ST.count_frames(names, "session_id", ["filename"], name="frame_count")
         queries.append(J.write_stream(counted, counts_out, os.path.join(ck, "counts"), trigger))
+    if latest_out is not None:
+        slim = J.frame_transform(IM.stream_image_folder(spark, landing, max_files_per_trigger), segmenter, **kw) \
+            .select("session_id", "filename", "status")
+        latest = ST.latest_per_key(slim, "session_id", ["filename"], ["filename", "status"])
+        queries.append(J.write_complete(latest, latest_out, os.path.join(ck, "latest"), trigger))
     return queries
 
 

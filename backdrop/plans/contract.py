@@ -512,11 +512,7 @@ def _drain_to_files(spark, df, kind, mode="append"):
     if mode == "append":
         J.drain(J.write_stream(df, f"{base}/out", f"{base}/ckpt", partition_by=None))
     else:  # aggregates: every micro-batch rewrites the complete result
-        def sink(batch, _epoch):
-            batch.write.mode("overwrite").parquet(f"{base}/out")
-        q = df.writeStream.outputMode("complete").foreachBatch(sink) \
-            .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start()
-        J.drain(q)
+        J.drain(J.write_complete(df, f"{base}/out", f"{base}/ckpt"))
     return spark.read.parquet(f"{base}/out")
 
 

@@ -51,6 +51,15 @@ def write_stream(df: DataFrame, out: str, checkpoint: str, trigger="availableNow
     return _trigger(writer, trigger).start(out)
 
 
+def write_complete(df: DataFrame, out: str, checkpoint: str, trigger="availableNow") -> StreamingQuery:
+    """A streaming aggregate in complete mode, the whole result rewritten to
+    ``out`` each micro-batch (for small per-key results such as O6)."""
+    def sink(batch, _epoch):
+        batch.write.mode("overwrite").parquet(out)
+    writer = df.writeStream.outputMode("complete").foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return _trigger(writer, trigger).start()
+
+
 def run_frame_stream(spark: SparkSession, landing: str, out: str, checkpoint: str | None = None,
                      trigger="availableNow", max_files_per_trigger: int | None = None,
                      segmenter="threshold", **kw) -> StreamingQuery:

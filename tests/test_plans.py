@@ -57,8 +57,11 @@ def test_live_replies_and_counts(spark, tmp):
     for k, rel in enumerate(["client1/f0.png", "client1/f1.png", "client2/bad.jpg"]):
         os.utime(os.path.join(landing, rel), (1_700_000_000 + k, 1_700_000_000 + k))
     replies_out, counts_out = os.path.join(tmp, "replies"), os.path.join(tmp, "counts")
-    for q in B.run_live(spark, landing, replies_out, counts_out, max_files_per_trigger=2):
+    latest_out = os.path.join(tmp, "latest")
+    for q in B.run_live(spark, landing, replies_out, counts_out, max_files_per_trigger=2, latest_out=latest_out):
         J.drain(q)
+    latest = {r["session_id"]: (r["filename"], r["status"]) for r in spark.read.parquet(latest_out).collect()}
+    assert latest == {"client1": ("f1.png", "success"), "client2": ("bad.jpg", "unreadable")}
     rep = {r["filename"]: r for r in spark.read.parquet(replies_out).collect()}
     assert rep["f0.png"]["status"] == "success" and rep["f0.png"]["data"] is not None
     assert rep["bad.jpg"]["status"] == "unreadable" and rep["bad.jpg"]["data"] is None
