@@ -101,8 +101,11 @@ def run_live(spark: SparkSession, landing: str, replies_out: str, counts_out: st
         counted = ST.count_frames(names, "session_id", ["filename"], name="frame_count")
         queries.append(J.write_stream(counted, counts_out, os.path.join(ck, "counts"), trigger))
     if latest_out is not None:
-        slim = J.frame_transform(IM.stream_image_folder(spark, landing, max_files_per_trigger), segmenter, **kw) \
-            .select("session_id", "filename", "status")
+        # Chained to the reply table (the file sink's committed files), so
+        # frames are processed once. With availableNow the replies drain first.
+        if trigger in ("availableNow", "once"):
+            J.drain(queries[0])
+        slim = spark.readStream.schema(replies.schema).parquet(replies_out).select("session_id", "filename", "status")
         latest = ST.latest_per_key(slim, "session_id", ["filename"], ["filename", "status"])
         queries.append(J.write_complete(latest, latest_out, os.path.join(ck, "latest"), trigger))
     return queries
