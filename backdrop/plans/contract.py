@@ -618,3 +618,36 @@ def parquet_sink_roundtrip(spark, sf_dir):
     SK.write_frames(done, root, mode="overwrite")
     back = SK.read_frames(spark, root)
     return back.select("session_id", "frame_id", "painted", F.hex("data").alias("out_hex"))
+
+
+def _capture_files(spark, sf_dir, framing):
+    """Packed captures written as files ``<root>/captures/<capture>.bin|.raw``."""
+    ext = {"session": ".bin", "bare": ".raw"}[framing]
+    packed = _packed_captures(spark, sf_dir, framing).select(
+        F.lit("captures").alias("session_id"), F.lit(0).cast("long").alias("seq"),
+        F.concat("capture", F.lit(ext)).alias("filename"), F.col("content").alias("payload"),
+        F.lit("success").alias("status"), F.lit(None).cast("string").alias("message"))
+    root = J.scratch_path(spark, "captures")
+    SK.land_payloads(packed, root).write.format("noop").mode("overwrite").save()
+    return f"{root}/captures"
+
+
+def _decoded_view(recs):
+    capture = F.regexp_replace(C.file_name("capture"), r"\.(bin|raw)$", "")
+    return recs.select(capture.alias("capture"), "seq", "filename", "frame_id",
+                       F.octet_length("payload").cast("long").alias("size"), F.md5("payload").alias("payload_md5"),
+                       "announced", "truncated", "status", "message")
+
+
+@query("capture_files_decode", ORACLE["capture_decode"])
+def capture_files_decode(spark, sf_dir):
+    """S3 from files: ``binaryFile`` + ``mapInArrow`` decoder."""
+    return _decoded_view(CAP.read_captures(spark, _capture_files(spark, sf_dir, "session"), "session"))
+
+
+@query("capture_source_decode", ORACLE["capture_decode"])
+def capture_source_decode(spark, sf_dir):
+    """S3 from files through the streaming Python data source (one partition per file)."""
+    CAP.register_capture_source(spark)
+    path = _capture_files(spark, sf_dir, "session")
+    return _decoded_view(spark.read.format("capture").option("framing", "session").load(path))

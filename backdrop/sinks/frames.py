@@ -44,7 +44,13 @@ def write_results(results: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def _local_path(root: str) -> str:
-    return root[len("file:"):] if root.startswith("file:") else root
+    """POSIX path of a ``file:`` URI or plain path; other schemes are refused
+    (the file writers need a shared POSIX mount)."""
+    if root.startswith("file:"):
+        return "/" + root[len("file:"):].lstrip("/")
+    if "://" in root:
+        raise ValueError(f"{root}: PNG export and payload landing write to a shared POSIX mount")
+    return root
 
 
 def png_name(filename: str) -> str:

@@ -227,6 +227,11 @@ try:
             import glob as _glob
             import os
             root = self.options.get("path")
+            if root.startswith("file:"):
+                root = "/" + root[len("file:"):].lstrip("/")
+            elif "://" in root:
+                raise ValueError("the capture data source reads POSIX paths (a shared mount); "
+                                 "use read_captures() for other file systems")
             framing = self.options.get("framing", "session")
             pattern = self.options.get("pattern", {"session": "*.bin", "bare": "*.raw"}[framing])
             if os.path.isdir(root):
