@@ -47,7 +47,7 @@ def _column(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return col.to_numpy(zero_copy_only=False)
 
 
-def _build_binary(chunks: list, valid: np.ndarray) -> pa.Array:
+def _build_binary(chunks: list, valid: np.ndarray, large: bool = False) -> pa.Array:
     sizes = np.array([0 if c is None else c.size for c in chunks], dtype=np.int64)
     offsets = np.zeros(len(chunks) + 1, dtype=np.int64)
     np.cumsum(sizes, out=offsets[1:])
@@ -56,11 +56,33 @@ def _build_binary(chunks: list, valid: np.ndarray) -> pa.Array:
         if c is not None:
             values[offsets[i]:offsets[i + 1]] = c.reshape(-1)
     validity = pa.py_buffer(np.packbits(valid.astype(np.uint8), bitorder="little"))
-    return pa.Array.from_buffers(pa.binary(), len(chunks), [validity, pa.py_buffer(offsets.astype(np.int32)),
-                                                           pa.py_buffer(values)],
+    kind, off = (pa.large_binary(), offsets) if large else (pa.binary(), offsets.astype(np.int32))
+    return pa.Array.from_buffers(kind, len(chunks), [validity, pa.py_buffer(off), pa.py_buffer(values)],
                                  null_count=int((~valid).sum()))
 
 
+def _arrow_schema(out_schema: T.StructType, batch: pa.RecordBatch) -> pa.Schema:
+    """The output Arrow schema, taking each column's Arrow type from the
+    input batch where it exists (so large/regular binary and strings follow
+    the session's setting)."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    default = to_arrow_schema(out_schema)
+    large = pa.types.is_large_binary(batch.schema.field("data").type)
+    fields = []
+    for f in default:
+        idx = batch.schema.get_field_index(f.name)
+        if idx >= 0 and f.name not in ("status", "message", "n_channels", "mode"):
+            fields.append(pa.field(f.name, batch.schema.field(idx).type))
+        elif pa.types.is_binary(f.type) and large:
+            fields.append(pa.field(f.name, pa.large_binary()))
+        elif pa.types.is_string(f.type) and pa.types.is_large_string(
+                batch.schema.field("filename").type if batch.schema.get_field_index("filename") >= 0 else pa.string()):
+            fields.append(pa.field(f.name, pa.large_string()))
+        else:
+            fields.append(f)
+    return pa.schema(fields)
+
+
 _MODE_OF_CHANNELS = {1: schemas.MODE_GREY, 3: schemas.MODE_BGR, 4: schemas.MODE_BGRA}
 
 
@@ -201,17 +223,19 @@ def map_frames(df: DataFrame, kernel: Kernel, *, extra: tuple = (), out_col: str
     replaces_data = out_col == "data"
 
     def run(batches):
-        from pyspark.sql.pandas.types import to_arrow_schema
-        arrow_schema = to_arrow_schema(out_schema)
+        arrow_schema = None
         for whole in batches:
             for batch in _split(whole, "data"):
+                if arrow_schema is None:
+                    arrow_schema = _arrow_schema(out_schema, batch)
                 fb = _FrameBatch(batch)
                 second = _FrameBatch(batch, second_col, infer_channels=True) if second_col else None
                 chunks, valid, extras, extra_valid = _run_kernel(fb, kernel, extra, second)
+                text = arrow_schema.field("status").type
                 cols = {
-                    out_col: _build_binary(chunks, valid),
-                    "status": pa.array(fb.status.tolist(), pa.string()),
-                    "message": pa.array(fb.message.tolist(), pa.string()),
+                    out_col: _build_binary(chunks, valid, pa.types.is_large_binary(arrow_schema.field(out_col).type)),
+                    "status": pa.array(fb.status.tolist(), text),
+                    "message": pa.array(fb.message.tolist(), text),
                 }
                 for name in extra:
                     cols[name] = pa.array(extras[name], pa.int64(), mask=~extra_valid)

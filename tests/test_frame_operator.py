@@ -78,3 +78,12 @@ def test_swap_normalise_and_recomposite(mixed, spark):
     for fid in (0, 1, 2, 7):
         assert bytes(back[fid]["data"]) == bytes({r["frame_id"]: r for r in done.collect()}[fid]["data"])
     assert back[3]["status"] == "unreadable"
+
+
+def test_large_var_types(spark, mixed):
+    spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", "true")
+    try:
+        got = {r["frame_id"]: r for r in FO.remove_backdrop(mixed, ThresholdSegmenter(128)).collect()}
+        assert got[0]["status"] == "success" and got[3]["status"] == "unreadable"
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", "false")
