@@ -43,7 +43,10 @@ def _binary_parts(arr: pa.Array):
 
 
 def _column(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    """An int column as NumPy; with NULLs as objects (None), never NaN floats."""
     col = batch.column(batch.schema.get_field_index(name))
+    if col.null_count:
+        return np.array(col.to_pylist(), dtype=object)
     return col.to_numpy(zero_copy_only=False)
 
 

@@ -27,14 +27,15 @@ def mixed(spark):
         frame(5, 3, 4, 3, schemas.MODE_BGR, BGR.tobytes()[:-1]),
         frame(6, 3, 4, 2, 99, b"\x00" * 24),
         frame(7, 1, 1, 3, schemas.MODE_BGR, b"\x01\x02\x03"),
+        frame(8, None, 4, 3, None, BGR.tobytes()),
     ]
     return spark.createDataFrame(rows, schemas.FRAMES)
 
 
 def test_statuses_and_bytes(mixed):
     got = {r["frame_id"]: r for r in FO.remove_backdrop(mixed, ThresholdSegmenter(128)).collect()}
-    assert [got[i]["status"] for i in range(8)] == [
-        "success", "success", "success", "unreadable", "unreadable", "error", "error", "success"]
+    assert [got[i]["status"] for i in range(9)] == [
+        "success", "success", "success", "unreadable", "unreadable", "error", "error", "success", "unreadable"]
     for fid, bgr in ((0, BGR), (1, np.repeat(GREY[..., None], 3, -1)), (2, BGRA[..., :3])):
         mask = pixels.luma_at_least(bgr[..., ::-1][None], 128).view(np.uint8)
         want, painted = pixels.composite(bgr[None], mask)
