@@ -651,3 +651,11 @@ def capture_source_decode(spark, sf_dir):
     CAP.register_capture_source(spark)
     path = _capture_files(spark, sf_dir, "session")
     return _decoded_view(spark.read.format("capture").option("framing", "session").load(path))
+
+
+@query("stream_capture_decode", ORACLE["capture_decode"])
+def stream_capture_decode(spark, sf_dir):
+    """S3 + T1 on a stream: capture files landing in a folder, decoded per micro-batch."""
+    recs = CAP.read_captures(spark, _capture_files(spark, sf_dir, "session"), "session", streaming=True,
+                             max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+    return _drain_to_files(spark, _decoded_view(recs), "stream-captures")

@@ -164,11 +164,20 @@ def decode_captures(df: DataFrame, framing: str = "session", content_col: str =
 
 
 def read_captures(spark: SparkSession, path: str, framing: str = "session", glob: str | None = None,
-                  recursive: bool = True) -> DataFrame:
-    """Decode every capture file under ``path`` (``*.bin`` for session, ``*.raw`` for bare framing)."""
+                  recursive: bool = True, streaming: bool = False,
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """Decode every capture file under ``path`` (``*.bin`` for session, ``*.raw``
+    for bare framing); with ``streaming`` each micro-batch decodes the
+    captures that landed since the last one."""
     glob = glob or {"session": "*.bin", "bare": "*.raw"}[framing]
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob) \
-        .option("recursiveFileLookup", str(recursive).lower()).load(path)
+    if streaming:
+        from backdrop.sources.images import BINARY_FILE_SCHEMA
+        reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    else:
+        reader = spark.read.format("binaryFile")
+    files = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower()).load(path)
     return decode_captures(files.select("path", "content"), framing)
 
 
