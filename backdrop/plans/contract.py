@@ -659,3 +659,18 @@ def stream_capture_decode(spark, sf_dir):
     recs = CAP.read_captures(spark, _capture_files(spark, sf_dir, "session"), "session", streaming=True,
                              max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     return _drain_to_files(spark, _decoded_view(recs), "stream-captures")
+
+
+@query("stream_replies", f"""
+WITH {_PX}
+SELECT session_id, frame_id, 'success' AS status,
+       string_agg(repeat(printf('%02X', CASE WHEN x > 0.2 THEN 192 ELSE p END), 3), '' ORDER BY i) AS reply_hex
+FROM px GROUP BY session_id, frame_id
+""")
+def stream_replies(spark, sf_dir):
+    """K2 + T1: the reply table of a frame stream (processed frame, pass-through
+    on error, NULL when undecodable)."""
+    fr = V.frames(_stream_table(spark, sf_dir, "embeddings"), "grey").withColumn("original", F.col("data"))
+    replies = SK.replies(J.frame_transform(fr, ThresholdSegmenter(_LEVEL)), "session_id")
+    out = replies.select("session_id", "frame_id", "status", F.hex("data").alias("reply_hex"))
+    return _drain_to_files(spark, out, "stream-replies")
