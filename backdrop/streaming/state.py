@@ -9,6 +9,7 @@ in their order columns; across micro-batches in arrival order.
 
 from __future__ import annotations
 
+import warnings
 from typing import Iterator
 
 import pandas as pd
@@ -19,6 +20,10 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from backdrop.functions.columns import END_MARKER
 
+# PySpark's grouped-state serializer concatenates empty chunks, which newer
+# pandas reports as a FutureWarning once per group; it does not affect results.
+warnings.filterwarnings("ignore", category=FutureWarning, module=r"pyspark\.sql\.pandas\.serializers")
+
 
 def _names(cols):
     return [cols] if isinstance(cols, str) else list(cols)
@@ -58,7 +63,6 @@ def bound_frames(df: DataFrame, by, order, limit: int | None = None, marker_col:
         seen, ended = state.get if state.exists else (0, False)
         pdf = _sorted_group(pdfs, order)
         if ended or len(pdf) == 0:
-            yield pdf.iloc[0:0].assign(**{name: pd.Series(dtype="int64")})
             return
         stop = len(pdf)
         if marker_col is not None:
@@ -70,7 +74,8 @@ def bound_frames(df: DataFrame, by, order, limit: int | None = None, marker_col:
         out = pdf.iloc[:stop].copy()
         out[name] = range(seen, seen + len(out))
         state.update((seen + len(out), ended))
-        yield out
+        if len(out):
+            yield out
 
     return df.groupBy(*by).applyInPandasWithState(step, out_schema, "seen long, ended boolean", "append",
                                                   GroupStateTimeout.NoTimeout)
