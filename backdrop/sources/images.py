@@ -130,10 +130,12 @@ def _zero_length_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([(f,) for f in found], "path string")
 
 
-def empty_image_files(spark: SparkSession, path: str, session_id: str | None = None) -> DataFrame:
+def empty_image_files(spark: SparkSession, path: str, session_id: str | None = None,
+                      zero_length: DataFrame | None = None) -> DataFrame:
     """Zero-byte image files, which Spark's file sources skip; the reference
     reports them as unreadable. Driver-side listing of file metadata only."""
-    rows = _zero_length_files(spark, path).withColumnRenamed("path", "origin")
+    zl = zero_length if zero_length is not None else _zero_length_files(spark, path)
+    rows = zl.withColumnRenamed("path", "origin")
     session = F.lit(session_id) if session_id is not None else C.parent_name("origin")
     return rows.select(
         session.alias("session_id"), F.lit(None).cast("long").alias("frame_id"),
@@ -155,14 +157,15 @@ def read_image_folder(spark: SparkSession, root: str, session_id: str | None = N
     if path is None or not path_exists(spark, path):
         return empty_frames(spark)
     frames = _as_frames(_image_reader(spark, False).load(path), session_id)
+    zero_length = _zero_length_files(spark, path) if (report_empty or number) else None
     if report_empty:
-        frames = frames.unionByName(empty_image_files(spark, path, session_id))
+        frames = frames.unionByName(empty_image_files(spark, path, session_id, zero_length))
     if number:
         # Number a content-free listing and join the numbers back on the
         # (unique) file key. The listing is counted first (metadata only) and
         # broadcast when it is within the limit, so decoded frames are never
         # shuffled; beyond it the join falls back to a shuffle join.
-        names = list_files(spark, path, images_only=True)
+        names = list_files(spark, path, images_only=True, zero_length=zero_length)
         if session_id is not None:
             names = names.withColumn("session_id", F.lit(session_id))
         numbered = SEQ.enumerate_frames(names, "session_id", ["filename"], name="frame_id")
@@ -198,7 +201,8 @@ def stream_file_names(spark: SparkSession, landing: str, max_files_per_trigger:
     return files.select(C.parent_name("path").alias("session_id"), C.file_name("path").alias("filename"))
 
 
-def list_files(spark: SparkSession, root: str, images_only: bool = False) -> DataFrame:
+def list_files(spark: SparkSession, root: str, images_only: bool = False,
+               zero_length: DataFrame | None = None) -> DataFrame:
     """``session_id, filename`` of every file under ``root`` without reading contents
     (``binaryFile`` skips the ``content`` column when it is not selected)."""
     if not path_exists(spark, root):
@@ -206,7 +210,8 @@ def list_files(spark: SparkSession, root: str, images_only: bool = False) -> Dat
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if images_only:
         reader = reader.option("pathGlobFilter", C.IMAGE_GLOB)
-    files = reader.load(root).select("path").unionByName(_zero_length_files(spark, root))
+    zl = zero_length if zero_length is not None else _zero_length_files(spark, root)
+    files = reader.load(root).select("path").unionByName(zl)
     out = files.select(C.parent_name("path").alias("session_id"), C.file_name("path").alias("filename"))
     return out.where(C.is_image_name("filename")) if images_only else out
 
