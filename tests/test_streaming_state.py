@@ -49,3 +49,22 @@ def test_latest_per_key_stream(spark, tmp):
     got = {r["client_id"]: (r["frame_id"], r["n_frames"]) for r in spark.table("latest_t").collect()}
     assert got == {7: (2, 2), 8: (3, 1)}
     assert spark.table("latest_t").where(F.col("n_frames") < 1).count() == 0
+
+
+def test_processing_time_trigger_paces_micro_batches(spark, tmp):
+    """T4: a processing-time trigger with maxFilesPerTrigger takes the landed
+    files a few at a time; stopping and restarting resumes from the checkpoint."""
+    landing = os.path.join(tmp, "paced")
+    for k in range(4):
+        _land(spark, landing, [(k, 1, k)], f"b{k}")
+    src = spark.readStream.schema(SCHEMA).option("recursiveFileLookup", "true") \
+        .option("maxFilesPerTrigger", 1).parquet(landing)
+    out, ck = os.path.join(tmp, "paced-out"), os.path.join(tmp, "paced-ck")
+    q = J.write_stream(src, out, ck, trigger="200 milliseconds", partition_by=None)
+    q.processAllAvailable()
+    q.stop()
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 4
+    assert max(p["numInputRows"] for p in q.recentProgress) == 1
+    _land(spark, landing, [(9, 1, 9)], "b9")
+    J.drain(J.write_stream(src, out, ck, partition_by=None))
+    assert sorted(r["event_id"] for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 9]
