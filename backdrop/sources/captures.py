@@ -204,26 +204,55 @@ def capture_completeness(records: DataFrame) -> DataFrame:
 try:
     from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-    class _FilePartition(InputPartition):
-        def __init__(self, path: str):
-            super().__init__(path)
-            self.path = path
+    class _FilesPartition(InputPartition):
+        def __init__(self, paths: list):
+            super().__init__(paths)
+            self.paths = paths
 
     class _CaptureReader(DataSourceReader):
-        def __init__(self, paths, framing):
+        def __init__(self, paths, framing, partition_bytes, target_partitions):
             self.paths, self.framing = paths, framing
+            self.partition_bytes, self.target_partitions = partition_bytes, target_partitions
 
         def partitions(self):
-            return [_FilePartition(p) for p in self.paths]
+            """Files packed greedily into partitions, sized like Spark's file
+            splits: at most ``partitionBytes``, and small enough that the
+            input spreads over ``targetPartitions`` tasks (a file is never
+            split: the format has no sync marker)."""
+            import os
+            sizes = [os.path.getsize(p) for p in self.paths]
+            budget = min(self.partition_bytes, max(4 << 20, sum(sizes) // max(self.target_partitions, 1)))
+            parts, current, size = [], [], 0
+            for path, n in zip(self.paths, sizes):
+                if current and size + n > budget:
+                    parts.append(_FilesPartition(current))
+                    current, size = [], 0
+                current.append(path)
+                size += n
+            if current:
+                parts.append(_FilesPartition(current))
+            return parts
 
         def read(self, partition):
             decode = DECODERS[self.framing]
-            with open(partition.path, "rb", buffering=1 << 20) as fh:
-                for r in decode(fh, partition.path):
-                    yield tuple(r[f.name] for f in schemas.CAPTURE_RECORDS.fields)
+            rows = []
+            for path in partition.paths:
+                with open(path, "rb", buffering=1 << 20) as fh:
+                    for r in decode(fh, "file:" + path):
+                        rows.append(r)
+                        if len(rows) >= _OUT_ROWS:
+                            yield _to_batch(rows)
+                            rows = []
+            if rows:
+                yield _to_batch(rows)
 
     class CaptureDataSource(DataSource):
-        """``spark.read.format("capture").option("framing", ...).load(dir)``."""
+        """``spark.read.format("capture").option("framing", ...).load(dir)``.
+
+        Options: ``framing`` (``session``/``bare``), ``pattern`` (file glob),
+        ``partitionBytes`` (default 128 MiB) and ``targetPartitions`` (pass the
+        cluster's default parallelism).
+        """
 
         @classmethod
         def name(cls):
@@ -247,13 +276,23 @@ try:
                 paths = sorted(_glob.glob(os.path.join(root, "**", pattern), recursive=True))
             else:
                 paths = [root]
-            return _CaptureReader(paths, framing)
+            return _CaptureReader(paths, framing, int(self.options.get("partitionBytes", 128 << 20)),
+                                  int(self.options.get("targetPartitions", 1)))
 
     def register_capture_source(spark: SparkSession) -> None:
         spark.dataSource.register(CaptureDataSource)
 
+    def read_capture_files(spark: SparkSession, path: str, framing: str = "session") -> DataFrame:
+        """Long captures on a shared POSIX mount, streamed file by file."""
+        register_capture_source(spark)
+        return spark.read.format("capture").option("framing", framing) \
+            .option("targetPartitions", spark.sparkContext.defaultParallelism).load(path)
+
 except ImportError:  # pragma: no cover - older PySpark
     CaptureDataSource = None
 
     def register_capture_source(spark: SparkSession) -> None:
         raise RuntimeError("this PySpark has no Python data source API")
+
+    def read_capture_files(spark: SparkSession, path: str, framing: str = "session") -> DataFrame:
+        return read_captures(spark, path, framing)

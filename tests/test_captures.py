@@ -137,7 +137,7 @@ def test_spark_binaryfile_reader(spark, capture_dir):
 
 def test_python_data_source_matches_binaryfile(spark, capture_dir):
     CAP.register_capture_source(spark)
-    ds = spark.read.format("capture").option("framing", "session").load(capture_dir)
+    ds = CAP.read_capture_files(spark, capture_dir, "session")
     bf = CAP.read_captures(spark, capture_dir, "session")
     cols = ["capture", "seq", "filename", "frame_id", "payload", "announced", "truncated", "status"]
     norm = lambda df: sorted((repr(tuple(r)) for r in df.select(*cols).withColumn(
