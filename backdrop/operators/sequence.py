@@ -4,7 +4,8 @@ Numbering per session is a window function, and a window puts a whole
 partition key into one task. A session may hold a large share of all rows,
 so :func:`sequence_number` first counts rows per key (a partial aggregate)
 and splits keys above ``rows_per_segment`` rows into ordered segments of
-their first order column. Each segment is numbered by its own window task,
+their first order column (equal-frequency: fine value buckets merged by
+count for numbers and times, sampled splitters for strings). Each segment is numbered by its own window task,
 and a small per-segment count table, prefix-summed, supplies the offsets.
 Keys below the limit stay in one segment, so they cost one window as before.
 """
@@ -22,6 +23,8 @@ ROWS_PER_SEGMENT = 2_000_000
 # Splitters per hot key when the first order column is not numeric.
 _SAMPLES_PER_SEGMENT = 16
 _MAX_STRING_SPLITS = 4096
+# Fine buckets per segment for numeric order values (absorbs 8x bunching).
+_FINE_PER_SEGMENT = 8
 
 _SEG = "_seg"
 
@@ -44,17 +47,10 @@ def _sortable_number(df: DataFrame, name: str) -> Column | None:
     return None
 
 
-def sequence_number(df: DataFrame, by, order, name: str = "seq", start: int = 0,
-                    rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
-    """Number rows per ``by`` key in ``order`` (ascending), from ``start``.
-
-    ``order`` should end in a unique tie-breaker, as with any row_number.
-    One lazy plan, no driver round trip: the hot-key table and the offset
-    table have at most ``total rows / rows_per_segment`` rows, and AQE
-    broadcasts them from their measured runtime size (a shuffle join, with
-    AQE's skew split, beyond that).
-    """
-    by, order = _names(by), _names(order)
+def _segmented(df: DataFrame, by: list, order: list, rows_per_segment: int):
+    """``df`` with an order-preserving segment number per row (0 for keys at
+    or below ``rows_per_segment`` rows), and the row count of every segment
+    of the hot keys."""
     lead = order[0]
     num = _sortable_number(df, lead)
     aggs = [F.count(F.lit(1)).alias("_n")]
@@ -64,14 +60,27 @@ def sequence_number(df: DataFrame, by, order, name: str = "seq", start: int = 0,
     hot = df.groupBy(*by).agg(*aggs).where(F.col("_n") > rows_per_segment).withColumn("_k", n_seg)
 
     if num is not None:
-        # Equal-width ranges of the order value: O(1) per row in the JVM, and
-        # monotone in the value, so segments keep the order.
-        hot = hot.select(*by, "_k", "_lo", ((F.col("_hi") - F.col("_lo")) / F.col("_k")).alias("_width"))
-        seg = F.when(F.col("_width") <= 0, F.lit(0)).otherwise(
-            F.least(F.floor((num - F.col("_lo")) / F.col("_width")), F.col("_k") - 1))
-        with_seg = df.join(hot, by, "left")
-        with_seg = with_seg.withColumn("_hot", F.col("_k").isNotNull()) \
-            .withColumn(_SEG, F.coalesce(seg, F.lit(0)).cast("long")).drop("_k", "_lo", "_width")
+        # Fine equal-width buckets of the order value (O(1) per row, monotone
+        # in the value), counted per hot key, then merged in order into
+        # segments of about n / k rows each: equal-frequency segments even
+        # when the values bunch up, without sorting or searching per row.
+        fine_k = F.col("_k") * F.lit(_FINE_PER_SEGMENT)
+        hot = hot.select(*by, "_n", "_k", "_lo", ((F.col("_hi") - F.col("_lo")) / fine_k).alias("_width"),
+                         (fine_k - 1).alias("_last"))
+        fine = F.when(F.col("_width") <= 0, F.lit(0)).otherwise(
+            F.least(F.floor((num - F.col("_lo")) / F.col("_width")), F.col("_last")))
+        tagged = df.join(hot, by, "left").withColumn("_hot", F.col("_k").isNotNull()) \
+            .withColumn("_fine", F.coalesce(fine, F.lit(0)).cast("long"))
+        fine_counts = tagged.where("_hot").groupBy(*by, "_fine").agg(
+            F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"), F.first("_k").alias("_k"))
+        before = F.sum("_c").over(Window.partitionBy(*by).orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1))
+        seg_of_fine = fine_counts.withColumn("_before", F.coalesce(before, F.lit(0))).select(
+            *by, "_fine", "_c",
+            F.least(F.floor(F.col("_before") * F.col("_k") / F.col("_n")), F.col("_k") - 1).cast("long").alias(_SEG))
+        with_seg = tagged.join(seg_of_fine.select(*by, "_fine", _SEG), [*by, "_fine"], "left") \
+            .withColumn(_SEG, F.coalesce(F.col(_SEG), F.lit(0)).cast("long")) \
+            .drop("_n", "_k", "_lo", "_width", "_last", "_fine")
+        counts = seg_of_fine.groupBy(*by, _SEG).agg(F.sum("_c").alias("_c"))
     else:
         # Splitters from a bounded sample of the hot keys' order values.
         frac = min(1.0, _SAMPLES_PER_SEGMENT / rows_per_segment)
@@ -88,11 +97,26 @@ def sequence_number(df: DataFrame, by, order, name: str = "seq", start: int = 0,
         with_seg = with_seg.withColumn("_hot", F.col("_h").isNotNull()).withColumn(
             _SEG, F.coalesce(F.size(F.filter("_splits", lambda s: s <= F.col(lead))), F.lit(0)).cast("long")
         ).drop("_splits", "_h")
+        counts = with_seg.where("_hot").groupBy(*by, _SEG).agg(F.count(F.lit(1)).alias("_c"))
+
+    return with_seg, counts
 
+
+def sequence_number(df: DataFrame, by, order, name: str = "seq", start: int = 0,
+                    rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
+    """Number rows per ``by`` key in ``order`` (ascending), from ``start``.
+
+    ``order`` should end in a unique tie-breaker, as with any row_number.
+    One lazy plan, no driver round trip: the hot-key table and the offset
+    table have at most ``total rows / rows_per_segment`` rows, and AQE
+    broadcasts them from their measured runtime size (a shuffle join, with
+    AQE's skew split, beyond that).
+    """
+    by, order = _names(by), _names(order)
+    with_seg, counts = _segmented(df, by, order, rows_per_segment)
     local = with_seg.withColumn("_local", F.row_number().over(Window.partitionBy(*by, _SEG).orderBy(*order)))
     # Rows of each hot key in earlier segments. A hot key has at most
     # ceil(n / rows_per_segment) rows in this table, so the window is small.
-    counts = with_seg.where("_hot").groupBy(*by, _SEG).agg(F.count(F.lit(1)).alias("_c"))
     offsets = counts.withColumn(
         "_off", F.sum("_c").over(Window.partitionBy(*by).orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1))
     ).where(F.col(_SEG) > 0).select(*by, _SEG, "_off")
