@@ -677,3 +677,22 @@ def stream_replies(spark, sf_dir):
     replies = SK.replies(J.frame_transform(fr, ThresholdSegmenter(_LEVEL)), "session_id")
     out = replies.select("session_id", "frame_id", "status", F.hex("data").alias("reply_hex"))
     return _drain_to_files(spark, out, "stream-replies")
+
+
+@query("replay_png_folder", f"""
+WITH {_PX}
+SELECT session_id, 'frame_' || CAST(frame_id AS VARCHAR) || '.png' AS filename,
+       row_number() OVER (PARTITION BY session_id ORDER BY 'frame_' || CAST(frame_id AS VARCHAR) || '.png') - 1
+         AS frame_id,
+       16 AS mode, string_agg_hex AS bgr_hex
+FROM (SELECT session_id, frame_id, string_agg(repeat(printf('%02X', p), 3), '' ORDER BY i) AS string_agg_hex
+      FROM px GROUP BY session_id, frame_id)
+""")
+def replay_png_folder(spark, sf_dir):
+    """S1 + S2 + O1 + O2 on real files: frames exported as PNG per session,
+    replayed through Spark's image source in name order, numbered from 0."""
+    fr = V.frames(_t(spark, sf_dir, "embeddings"), "grey")
+    root = J.scratch_path(spark, "replay")
+    SK.export_png(fr, root).write.format("noop").mode("overwrite").save()
+    replay = IM.replay_folder(spark, root)
+    return replay.select("session_id", "filename", "frame_id", "mode", F.hex("data").alias("bgr_hex"))
