@@ -72,9 +72,25 @@ def new_session_id(now: datetime | None = None, suffix: str | None = None, uniqu
     return f"{stamp_text}_{suffix}" if suffix else stamp_text
 
 
+def _fields(ts) -> list:
+    t = _c(ts)
+    return [F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), F.second(t)]
+
+
 def stamp(ts) -> Column:
-    """D1 as a column: ``yyyyMMdd_HHmmss`` of a timestamp."""
-    return F.date_format(_c(ts), STAMP_PATTERN)
+    """D1 as a column: ``yyyyMMdd_HHmmss`` of a timestamp.
+
+    Built from the timestamp's fields: on a TIMESTAMP_NTZ no session time
+    zone is involved (``date_format`` would go through one, and shift wall
+    times that fall in a daylight-saving gap).
+    """
+    return F.when(_c(ts).isNotNull(), F.format_string("%04d%02d%02d_%02d%02d%02d", *_fields(ts)))
+
+
+def display_time(ts) -> Column:
+    """``dd/MM/yyyy HH:mm:ss`` of a timestamp, from its fields."""
+    y, mo, d, h, mi, sec = _fields(ts)
+    return F.when(_c(ts).isNotNull(), F.format_string("%02d/%02d/%04d %02d:%02d:%02d", d, mo, y, h, mi, sec))
 
 
 def session_started_at(session_id) -> Column:
@@ -95,7 +111,7 @@ def session_started_at(session_id) -> Column:
 
 def session_display_time(session_id) -> Column:
     """``dd/MM/yyyy HH:mm:ss`` of the id's time, the raw id when it has none."""
-    return F.coalesce(F.date_format(session_started_at(session_id), DISPLAY_PATTERN), _c(session_id))
+    return F.coalesce(display_time(session_started_at(session_id)), _c(session_id))
 
 
 def uint32_be(binary, pos: int | Column = 1) -> Column:

@@ -48,3 +48,16 @@ def test_paths_payload_and_json(spark):
                   C.has_payload("p").alias("ok"), C.json_line("name").alias("j")).collect()
     assert (r[0]["p1"], r[0]["n"], r[0]["ok"], r[0]["j"]) == ("/out/s1/f.png", "s1_7.jpg", False, '{"name":"f.png"}')
     assert r[1]["ok"] is False
+
+
+def test_stamps_ignore_the_session_time_zone(spark):
+    """A wall time inside a daylight-saving gap keeps its digits."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("20240310_023000_ab",)], "s string")
+        r = df.select(C.session_display_time("s").alias("d"),
+                      C.stamp(F.expr("TIMESTAMP_NTZ'2024-03-10 02:30:00'")).alias("st")).first()
+        assert (r["d"], r["st"]) == ("10/03/2024 02:30:00", "20240310_023000")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
