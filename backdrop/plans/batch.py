@@ -67,7 +67,8 @@ def process_captures(spark: SparkSession, captures: str, landing: str, output_ro
     the JVM image source), process them and return the result rows numbered
     by the capture's frame ids."""
     records = CAP.read_captures(spark, captures, framing)
-    frames = CAP.frames_of(records).withColumn("session_id", capture_session())
+    frames = CAP.frames_of(records).withColumn("session_id", capture_session()) \
+        .withColumn("filename", F.coalesce("filename", F.format_string("frame_%d.jpg", "seq")))
     landed = SK.land_payloads(frames, landing).where(F.col("status") == "success")
     landed.write.format("noop").mode("overwrite").save()  # files must exist before the image scan plans
     images = IM.read_image_folder(spark, landing, number=False)

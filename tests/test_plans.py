@@ -90,3 +90,16 @@ def test_compact_folder(spark, image_root, tmp):
     cols = ["session_id", "frame_id", "filename", "mode", "data"]
     assert sorted(map(repr, back.select(*cols).collect())) == sorted(map(repr, direct.select(*cols).collect()))
     assert dict(back.dtypes)["session_id"] == "string"
+
+
+def test_process_captures_bare_framing(spark, tmp):
+    caps = os.path.join(tmp, "raw")
+    os.makedirs(caps)
+    payloads = [png_bytes(A_RGB), png_bytes(ONE_RGB)]
+    blob = b"".join(struct.pack("!I", len(p)) + p for p in payloads) + struct.pack("!I", 0)
+    with open(os.path.join(caps, "client7.raw"), "wb") as fh:
+        fh.write(blob)
+    res = sorted(B.process_captures(spark, caps, os.path.join(tmp, "landing"), os.path.join(tmp, "out"),
+                                    framing="bare").collect(), key=lambda r: r["frame_id"])
+    assert [(r["session_id"], r["filename"], r["frame_id"], r["status"]) for r in res] == [
+        ("client7", "frame_0.jpg", 0, "success"), ("client7", "frame_1.jpg", 1, "success")]
