@@ -102,32 +102,64 @@ def _local_dir(path: str) -> str | None:
     return path if os.path.isdir(path) else None
 
 
-def _zero_length_files(spark: SparkSession, path: str) -> DataFrame:
-    """Paths of zero-byte files under ``path``. Spark's file sources skip
-    them, so they come from a driver-side metadata listing: ``os.scandir`` on
-    a POSIX mount, the Hadoop file system otherwise."""
+def _walk_zero_length(top: str) -> list:
+    """Zero-byte files under ``top`` (recursive), as ``file:`` URIs."""
     import os
-    found = []
-    local = _local_dir(path)
-    if local is not None:
-        stack = [local]
-        while stack:
+    found, stack = [], [top]
+    while stack:
+        try:
             with os.scandir(stack.pop()) as it:
                 for entry in it:
                     if entry.is_dir(follow_symlinks=False):
                         stack.append(entry.path)
                     elif entry.is_file() and entry.stat().st_size == 0:
                         found.append("file:" + os.path.abspath(entry.path))
-    else:
+        except FileNotFoundError:  # removed while listing
+            continue
+    return found
+
+
+def _zero_length_files(spark: SparkSession, path: str) -> DataFrame:
+    """Paths of zero-byte files under ``path``; Spark's file sources skip them.
+
+    On a POSIX mount the driver lists only the top level (the session
+    directories) and executors walk those directories in parallel, so the
+    listing scales with the cluster. Other file systems use a driver-side
+    Hadoop listing.
+    """
+    import os
+    local = _local_dir(path)
+    if local is None:
         jvm = spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        it = fs.listFiles(p, True)
+        found, it = [], fs.listFiles(p, True)
         while it.hasNext():
             st = it.next()
             if st.getLen() == 0:
                 found.append(st.getPath().toString())
-    return spark.createDataFrame([(f,) for f in found], "path string")
+        return spark.createDataFrame([(f,) for f in found], "path string")
+
+    top_files, dirs = [], []
+    with os.scandir(local) as it:
+        for entry in it:
+            if entry.is_dir(follow_symlinks=False):
+                dirs.append(os.path.abspath(entry.path))
+            elif entry.is_file() and entry.stat().st_size == 0:
+                top_files.append("file:" + os.path.abspath(entry.path))
+    tops = spark.createDataFrame([(f,) for f in top_files], "path string")
+    if not dirs:
+        return tops
+    n = max(1, min(len(dirs), spark.sparkContext.defaultParallelism))
+    listing = spark.createDataFrame([(d,) for d in dirs], "dir string").repartition(n)
+
+    def walk(batches):
+        import pandas as pd
+        for pdf in batches:
+            found = [f for d in pdf["dir"] for f in _walk_zero_length(d)]
+            yield pd.DataFrame({"path": pd.Series(found, dtype="object")})
+
+    return tops.unionByName(listing.mapInPandas(walk, "path string"))
 
 
 def empty_image_files(spark: SparkSession, path: str, session_id: str | None = None,
