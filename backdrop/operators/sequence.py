@@ -53,22 +53,38 @@ def _segmented(df: DataFrame, by: list, order: list, rows_per_segment: int):
     of the hot keys."""
     lead = order[0]
     num = _sortable_number(df, lead)
+    # When every row of a hot key ties on the first order column, its order is
+    # the second column's, so that key is split on the second column instead.
+    num2 = _sortable_number(df, order[1]) if num is not None and len(order) > 1 else None
     aggs = [F.count(F.lit(1)).alias("_n")]
     if num is not None:
-        aggs += [F.min(num).alias("_lo"), F.max(num).alias("_hi")]
+        aggs += [F.min(num).alias("_lo1"), F.max(num).alias("_hi1"), F.count(num).alias("_nn1")]
+    if num2 is not None:
+        aggs += [F.min(num2).alias("_lo2"), F.max(num2).alias("_hi2")]
     n_seg = F.ceil(F.col("_n") / F.lit(rows_per_segment)).cast("long")
     hot = df.groupBy(*by).agg(*aggs).where(F.col("_n") > rows_per_segment).withColumn("_k", n_seg)
 
     if num is not None:
+        if num2 is not None:
+            # (NULLs sort first, so a key with NULL first values keeps the first column)
+            tied = F.coalesce((F.col("_hi1") <= F.col("_lo1")) & (F.col("_nn1") == F.col("_n")), F.lit(False))
+            hot = hot.withColumn("_on2", tied) \
+                .withColumn("_lo", F.when(tied, F.col("_lo2")).otherwise(F.col("_lo1"))) \
+                .withColumn("_hi", F.when(tied, F.col("_hi2")).otherwise(F.col("_hi1")))
+            value = F.when(F.col("_on2"), num2).otherwise(num)
+        else:
+            hot = hot.withColumnRenamed("_lo1", "_lo").withColumnRenamed("_hi1", "_hi")
+            value = num
         # Fine equal-width buckets of the order value (O(1) per row, monotone
         # in the value), counted per hot key, then merged in order into
         # segments of about n / k rows each: equal-frequency segments even
         # when the values bunch up, without sorting or searching per row.
         fine_k = F.col("_k") * F.lit(_FINE_PER_SEGMENT)
+        extra = ["_on2"] if num2 is not None else []
         hot = hot.select(*by, "_n", "_k", "_lo", ((F.col("_hi") - F.col("_lo")) / fine_k).alias("_width"),
-                         (fine_k - 1).alias("_last"))
+                         (fine_k - 1).alias("_last"), *extra)
         fine = F.when(F.col("_width") <= 0, F.lit(0)).otherwise(
-            F.least(F.floor((num - F.col("_lo")) / F.col("_width")), F.col("_last")))
+            F.least(F.floor((value - F.col("_lo")) / F.col("_width")), F.col("_last")))
         tagged = df.join(hot, by, "left").withColumn("_hot", F.col("_k").isNotNull()) \
             .withColumn("_fine", F.coalesce(fine, F.lit(0)).cast("long"))
         fine_counts = tagged.where("_hot").groupBy(*by, "_fine").agg(
@@ -79,7 +95,7 @@ def _segmented(df: DataFrame, by: list, order: list, rows_per_segment: int):
             F.least(F.floor(F.col("_before") * F.col("_k") / F.col("_n")), F.col("_k") - 1).cast("long").alias(_SEG))
         with_seg = tagged.join(seg_of_fine.select(*by, "_fine", _SEG), [*by, "_fine"], "left") \
             .withColumn(_SEG, F.coalesce(F.col(_SEG), F.lit(0)).cast("long")) \
-            .drop("_n", "_k", "_lo", "_width", "_last", "_fine")
+            .drop("_n", "_k", "_lo", "_width", "_last", "_fine", "_on2")
         counts = seg_of_fine.groupBy(*by, _SEG).agg(F.sum("_c").alias("_c"))
     else:
         # Splitters from a bounded sample of the hot keys' order values.

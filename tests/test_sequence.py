@@ -89,3 +89,25 @@ def test_bunched_values_still_give_even_segments(spark):
     got = SEQ.sequence_number(df, "client_id", ["v", "event_id"], name="seq", rows_per_segment=400)
     both = got.join(brute(df, "client_id", ["v", "event_id"], 0).select("event_id", "want"), "event_id")
     assert both.where(F.col("seq") != F.col("want")).count() == 0
+
+
+def test_hot_key_with_one_timestamp_splits_on_the_tie_breaker(spark):
+    """A bulk import: every row of the hot key has the same time. The key is
+    split on the second order column and still numbered exactly."""
+    ts = dt.datetime(2024, 1, 1)
+    rows = [(i, 0, ts) for i in range(3000)] + [(5000 + i, 1 + i % 5, ts + dt.timedelta(seconds=i)) for i in range(500)]
+    df = spark.createDataFrame(rows, "event_id long, client_id long, ts timestamp_ntz")
+    _, counts = SEQ._segmented(df, ["client_id"], ["ts", "event_id"], 300)
+    sizes = [r["_c"] for r in counts.collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 600
+    got = SEQ.sequence_number(df, "client_id", ["ts", "event_id"], name="seq", rows_per_segment=300)
+    both = got.join(brute(df, "client_id", ["ts", "event_id"], 0).select("event_id", "want"), "event_id")
+    assert both.where(F.col("seq") != F.col("want")).count() == 0
+
+
+def test_nulls_in_first_order_column_keep_their_place(spark):
+    rows = [(i, 0, None if i % 4 == 0 else 5.0) for i in range(800)]
+    df = spark.createDataFrame(rows, "event_id long, client_id long, v double")
+    got = SEQ.sequence_number(df, "client_id", ["v", "event_id"], name="seq", rows_per_segment=100)
+    both = got.join(brute(df, "client_id", ["v", "event_id"], 0).select("event_id", "want"), "event_id")
+    assert both.where(F.col("seq") != F.col("want")).count() == 0
