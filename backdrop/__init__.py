@@ -6,6 +6,24 @@ relational step (filters, numbering, summaries, joins) stays in the
 DataFrame API so Catalyst plans it.
 """
 
-from backdrop.config import configure, make_session, checkpoint_dir
+import sys as _sys
+
+
+def _ship_by_value() -> None:
+    """Pickle this package's functions and classes by value.
+
+    Python workers then need no installed copy of ``backdrop`` (on a cluster,
+    or when the driver imports it from a path the workers do not see).
+    """
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+    except (ImportError, AttributeError, ValueError):  # pragma: no cover - older cloudpickle
+        pass
+
+
+_ship_by_value()
+
+from backdrop.config import configure, make_session, checkpoint_dir  # noqa: E402
 
 __all__ = ["configure", "make_session", "checkpoint_dir"]

@@ -62,8 +62,6 @@ class OnnxSegmenter(Segmenter):
     session is built once per Python worker process.
     """
 
-    _sessions: dict = {}
-
     def __init__(self, model_broadcast, input_name: str | None = None, output_index: int = 0,
                  channel_axis_last: bool = True):
         self.model = model_broadcast
@@ -72,15 +70,20 @@ class OnnxSegmenter(Segmenter):
         self.channel_axis_last = channel_axis_last
 
     def _session(self):
-        key = id(self.model)
-        sess = OnnxSegmenter._sessions.get(key)
+        # One inference session per Python worker process and model. The cache
+        # lives in ``sys`` because this class itself travels by value.
+        import sys
+        cache = sys.__dict__.setdefault("_backdrop_onnx_sessions", {})
+        key = getattr(self.model, "_jbroadcast", None)
+        key = id(self.model) if key is None else key.id()
+        sess = cache.get(key)
         if sess is None:
             try:
                 import onnxruntime as ort
             except ImportError as exc:  # pragma: no cover - optional dependency
                 raise RuntimeError("onnxruntime is not available") from exc
             sess = ort.InferenceSession(self.model.value, providers=["CPUExecutionProvider"])
-            OnnxSegmenter._sessions[key] = sess
+            cache[key] = sess
         return sess
 
     def __call__(self, rgb):

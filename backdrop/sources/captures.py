@@ -35,8 +35,10 @@ from pyspark.sql import functions as F
 from backdrop import schemas
 
 END_MARKER = 0xFFFFFFFF
-_U32 = struct.Struct("!I")
-_U32x2 = struct.Struct("!II")
+# Big-endian layouts (plain format strings: this module may travel by value,
+# and compiled struct objects cannot be pickled).
+_U32 = "!I"
+_U32x2 = "!II"
 _OUT_ROWS = 64
 END_STATUS = "end"  # status of the capture-level trailer row
 
@@ -80,16 +82,16 @@ def decode_session_capture(src, capture: str) -> Iterator[dict]:
     if head is None:
         yield _trailer(capture, None, 0, "no header", True)
         return
-    announced = _U32.unpack(head)[0]
+    announced = struct.unpack(_U32, head)[0]
     received, reason, truncated = 0, "complete", False
     for seq in range(announced):
         raw = rd.read(4)
-        raw_name = rd.read(_U32.unpack(raw)[0]) if raw is not None else None
+        raw_name = rd.read(struct.unpack(_U32, raw)[0]) if raw is not None else None
         header = rd.read(8) if raw_name is not None else None
         if header is None:
             reason, truncated = "cut inside a record header", True
             break
-        frame_id, size = _U32x2.unpack(header)
+        frame_id, size = struct.unpack(_U32x2, header)
         if frame_id == END_MARKER:
             reason = "end marker"
             break
@@ -116,7 +118,7 @@ def decode_bare_capture(src, capture: str) -> Iterator[dict]:
         raw = rd.read(4)
         if raw is None:
             break
-        size = _U32.unpack(raw)[0]
+        size = struct.unpack(_U32, raw)[0]
         if size == 0:
             reason = "complete"
             break
