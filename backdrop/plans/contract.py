@@ -696,3 +696,24 @@ def replay_png_folder(spark, sf_dir):
     SK.export_png(fr, root).write.format("noop").mode("overwrite").save()
     replay = IM.replay_folder(spark, root)
     return replay.select("session_id", "filename", "frame_id", "mode", F.hex("data").alias("bgr_hex"))
+
+
+@query("composite_bgra_threshold", f"""
+WITH {_PX4},
+pix AS (
+  SELECT session_id, frame_id, k,
+         max(CASE WHEN c = 0 THEN p END) AS b, max(CASE WHEN c = 1 THEN p END) AS g,
+         max(CASE WHEN c = 2 THEN p END) AS r
+  FROM px4 GROUP BY session_id, frame_id, k
+),
+hit AS (SELECT *, 299 * r + 587 * g + 114 * b >= 1000 * 128 - 500 AS painted_px FROM pix)
+SELECT session_id, frame_id, 'success' AS status, count(*) FILTER (WHERE painted_px) AS painted,
+       string_agg(CASE WHEN painted_px THEN 'C0C0C0' ELSE printf('%02X%02X%02X', b, g, r) END, '' ORDER BY k) AS out_hex
+FROM hit GROUP BY session_id, frame_id
+""")
+def composite_bgra_threshold(spark, sf_dir):
+    """A1 + A3 + A4 on colour: 4x4 BGRA frames, alpha dropped, BT.601 luma
+    threshold (integer weights), backdrop painted grey."""
+    fr = V.frames(_t(spark, sf_dir, "embeddings"), "bgra")
+    out = FO.remove_backdrop(fr, ThresholdSegmenter(128))
+    return out.select("session_id", "frame_id", "status", "painted", F.hex("data").alias("out_hex"))
