@@ -717,3 +717,25 @@ def composite_bgra_threshold(spark, sf_dir):
     fr = V.frames(_t(spark, sf_dir, "embeddings"), "bgra")
     out = FO.remove_backdrop(fr, ThresholdSegmenter(128))
     return out.select("session_id", "frame_id", "status", "painted", F.hex("data").alias("out_hex"))
+
+
+@query("composite_key_color", f"""
+WITH {_PX4},
+pix AS (
+  SELECT session_id, frame_id, k,
+         max(CASE WHEN c = 0 THEN p END) AS b, max(CASE WHEN c = 1 THEN p END) AS g,
+         max(CASE WHEN c = 2 THEN p END) AS r
+  FROM px4 GROUP BY session_id, frame_id, k
+),
+hit AS (SELECT *, abs(r - 120) <= 25 AND abs(g - 130) <= 25 AND abs(b - 125) <= 25 AS painted_px FROM pix)
+SELECT session_id, frame_id, count(*) FILTER (WHERE painted_px) AS painted,
+       string_agg(CASE WHEN painted_px THEN '102030' ELSE printf('%02X%02X%02X', b, g, r) END, '' ORDER BY k) AS out_hex
+FROM hit GROUP BY session_id, frame_id
+""")
+def composite_key_color(spark, sf_dir):
+    """A3 (key-colour stand-in) + A4 with a custom backdrop colour: pixels
+    within 25 of RGB (120, 130, 125) on every channel become RGB (48, 32, 16)."""
+    from backdrop.functions.segmenters import KeyColorSegmenter
+    fr = V.frames(_t(spark, sf_dir, "embeddings"), "bgra")
+    out = FO.remove_backdrop(fr, KeyColorSegmenter((120, 130, 125), 25), bg_color=(48, 32, 16))
+    return out.select("session_id", "frame_id", "painted", F.hex("data").alias("out_hex"))
