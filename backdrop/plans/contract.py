@@ -739,3 +739,17 @@ def composite_key_color(spark, sf_dir):
     fr = V.frames(_t(spark, sf_dir, "embeddings"), "bgra")
     out = FO.remove_backdrop(fr, KeyColorSegmenter((120, 130, 125), 25), bg_color=(48, 32, 16))
     return out.select("session_id", "frame_id", "painted", F.hex("data").alias("out_hex"))
+
+
+@query("stream_png_landing", ORACLE["png_export_roundtrip"])
+def stream_png_landing(spark, sf_dir):
+    """S6 + T1 on real files: frames land as PNG files per session and a
+    readStream over the landing folder removes the backdrop per micro-batch."""
+    fr = V.frames(_t(spark, sf_dir, "embeddings"), "grey")
+    landing = J.scratch_path(spark, "landing")
+    SK.export_png(fr, landing).write.format("noop").mode("overwrite").save()
+    frames = IM.stream_image_folder(spark, landing, max_files_per_trigger=CAPTURE_FILES_PER_TRIGGER)
+    out = J.frame_transform(frames, ThresholdSegmenter(_LEVEL)).select(
+        "session_id", F.regexp_extract("filename", r"frame_(\d+)\.png", 1).cast("long").alias("frame_id"),
+        "status", F.hex("data").alias("out_hex"))
+    return _drain_to_files(spark, out, "stream-landing")
