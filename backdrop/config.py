@@ -40,8 +40,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return path
     path = tempfile.mkdtemp(prefix="backdrop-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    try:  # also visible to readers of the setting; some sessions refuse core settings at runtime
+        spark.conf.set("spark.checkpoint.dir", path)
+    except Exception:  # noqa: BLE001 - the context's checkpoint dir is already set
+        pass
+    return spark.sparkContext.getCheckpointDir() or path
 
 
 def make_session(master: str | None = None, cores: int | None = None, app: str = "backdrop") -> SparkSession:
