@@ -112,6 +112,13 @@ def run_live(spark: SparkSession, landing: str, replies_out: str, counts_out: st
     return queries
 
 
+def stream_results(spark: SparkSession, frames_out: str, input_root: str, output_root: str) -> DataFrame:
+    """K3 for a frame stream: the result rows of everything it has written so
+    far, read from its frames table (status and message are stored there;
+    column pruning leaves the pixel column unread)."""
+    return R.result_rows(SK.read_frames(spark, frames_out), input_root, output_root)
+
+
 def history(spark: SparkSession, input_root: str, output_root: str) -> DataFrame:
     """Session history over folders (G1 + J1 + D2 + O3), empty sessions included."""
     from backdrop.operators import summary as SUM

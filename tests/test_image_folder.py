@@ -118,3 +118,14 @@ def test_batch_equals_stream_and_restart_adds_nothing(spark, image_root, tmp):
     assert spark.read.parquet(out).count() == want.count()
     hexes = spark.read.parquet(out).select("filename", F.hex("data").alias("h")).collect()
     assert sorted(hexes) == sorted(batch.select("filename", F.hex("data").alias("h")).collect())
+
+
+def test_stream_results_from_the_frames_table(spark, image_root, tmp):
+    from backdrop.plans import batch as B
+    out, ck = os.path.join(tmp, "r-out"), os.path.join(tmp, "r-ck")
+    J.drain(J.run_frame_stream(spark, image_root, out, ck))
+    res = B.stream_results(spark, out, image_root, "out")
+    by = {r["filename"]: r for r in res.collect()}
+    assert by["a.png"]["status"] == "success" and by["a.png"]["output_path"].endswith(f"{SESSION}/a.png")
+    assert by["bad.jpg"]["status"] == "unreadable" and by["bad.jpg"]["output_path"] is None
+    assert "data" not in res._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
