@@ -129,3 +129,27 @@ def test_stream_results_from_the_frames_table(spark, image_root, tmp):
     assert by["a.png"]["status"] == "success" and by["a.png"]["output_path"].endswith(f"{SESSION}/a.png")
     assert by["bad.jpg"]["status"] == "unreadable" and by["bad.jpg"]["output_path"] is None
     assert "data" not in res._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
+
+
+class _FailsOnTinyFrames:
+    """A segmenter that raises on 1x1 frames (stands in for a model crash)."""
+
+    def __call__(self, rgb):
+        import numpy as np
+        if rgb.shape[1] * rgb.shape[2] == 1:
+            raise RuntimeError("model crashed")
+        return np.zeros(rgb.shape[:3], np.uint8)
+
+
+def test_stream_survives_failing_frames(spark, image_root, tmp):
+    from backdrop.functions.segmenters import Segmenter
+
+    class Flaky(_FailsOnTinyFrames, Segmenter):
+        pass
+
+    out, ck = os.path.join(tmp, "t6-out"), os.path.join(tmp, "t6-ck")
+    J.drain(J.run_frame_stream(spark, image_root, out, ck, max_files_per_trigger=2, segmenter=Flaky()))
+    rows = {r["filename"]: r for r in spark.read.parquet(out).select("filename", "status", "message").collect()}
+    assert rows["one.png"]["status"] == "error" and "model crashed" in rows["one.png"]["message"]
+    assert rows["x.png"]["status"] == "error"  # the other 1x1 frame, in another session
+    assert rows["a.png"]["status"] == "success" and rows["bad.jpg"]["status"] == "unreadable"
