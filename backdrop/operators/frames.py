@@ -298,3 +298,16 @@ def recomposite(df: DataFrame, original_col: str = "original", bg_color=pixels.B
         return out, {"sentinel_px": is_bg.reshape(len(out), -1).sum(axis=1)}
 
     return map_frames(df, kernel, extra=("sentinel_px",), second_col=original_col)
+
+
+def backdrop_mask(df: DataFrame, bg_color=pixels.BG_COLOR, out_col: str = "mask") -> DataFrame:
+    """A5 on its own: recover the backdrop mask of a finished frame, one byte
+    per pixel (1 where all three channels equal the backdrop colour; a true
+    grey pixel of that colour is a false positive). Adds ``sentinel_px``."""
+    bg = tuple(int(v) for v in bg_color)
+
+    def kernel(bgr):
+        m = pixels.sentinel_mask(bgr, bg)
+        return m.view(np.uint8), {"sentinel_px": m.reshape(len(m), -1).sum(axis=1)}
+
+    return map_frames(df, kernel, extra=("sentinel_px",), out_col=out_col)

@@ -753,3 +753,18 @@ def stream_png_landing(spark, sf_dir):
         "session_id", F.regexp_extract("filename", r"frame_(\d+)\.png", 1).cast("long").alias("frame_id"),
         "status", F.hex("data").alias("out_hex"))
     return _drain_to_files(spark, out, "stream-landing")
+
+
+@query("recovered_mask", f"""
+WITH {_PX}
+SELECT session_id, frame_id,
+       count(*) FILTER (WHERE (CASE WHEN x > 0.2 THEN 192 ELSE p END) = 192) AS sentinel_px,
+       string_agg(CASE WHEN (CASE WHEN x > 0.2 THEN 192 ELSE p END) = 192 THEN '01' ELSE '00' END, '' ORDER BY i)
+         AS mask_hex
+FROM px GROUP BY session_id, frame_id
+""")
+def recovered_mask(spark, sf_dir):
+    """A5 alone: the backdrop mask recovered from composited frames."""
+    done = FO.remove_backdrop(V.frames(_t(spark, sf_dir, "embeddings"), "grey"), ThresholdSegmenter(_LEVEL))
+    masks = FO.backdrop_mask(done)
+    return masks.select("session_id", "frame_id", "sentinel_px", F.hex("mask").alias("mask_hex"))
