@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from backdrop.llm import exact_dedup, sharding
+from backdrop.llm import bpe_chunks, exact_dedup, sharding, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree_sharding": sharding.op1_hash_tree_sharding,
+    "op2_chunked_bpe": bpe_chunks.op2_chunked_bpe,
+    "op5_token_counts": token_counts.op5_token_counts,
     "op10_content_sort_dedup": exact_dedup.op10_content_sort_dedup,
 }
 
