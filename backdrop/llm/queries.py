@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from backdrop.llm import bpe_chunks, exact_dedup, sharding, token_counts
+from backdrop.llm import bpe_chunks, exact_dedup, language, pii, sharding, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree_sharding": sharding.op1_hash_tree_sharding,
     "op2_chunked_bpe": bpe_chunks.op2_chunked_bpe,
+    "op4_hyperdimensional_language": language.op4_hyperdimensional_language,
     "op5_token_counts": token_counts.op5_token_counts,
+    "op8_bigru_toxicity": toxicity.op8_bigru_toxicity,
+    "op9_information_theoretic_pii": pii.op9_information_theoretic_pii,
     "op10_content_sort_dedup": exact_dedup.op10_content_sort_dedup,
 }
 
