@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from backdrop.llm import bpe_chunks, exact_dedup, language, pii, sharding, token_counts, toxicity
+from backdrop.llm import bpe_chunks, decontamination, exact_dedup, language, pii, sharding, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree_sharding": sharding.op1_hash_tree_sharding,
     "op2_chunked_bpe": bpe_chunks.op2_chunked_bpe,
+    "op3_cgk_decontamination": decontamination.op3_cgk_decontamination,
     "op4_hyperdimensional_language": language.op4_hyperdimensional_language,
     "op5_token_counts": token_counts.op5_token_counts,
     "op8_bigru_toxicity": toxicity.op8_bigru_toxicity,
