@@ -53,3 +53,17 @@ def arrow_type(kind: DataType) -> pa.DataType:
 def texts_of(column: pa.Array) -> list[str]:
     """The texts of an Arrow column; NULL counts as the empty text."""
     return [t or "" for t in column.to_pylist()]
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id and text are named in ``kept`` (doc_id, sha), with all their columns.
+
+    ``sha`` leads the lower-case SHA-256 of the text, in 32 digits at least.
+    Rows that repeat both id and text are one document: one of them stays.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    the_id, the_text = (names[docs.columns.index(c)] for c in (id_col, text_col))
+    rows = docs.toDF(*names).withColumn("_sha", F.substring(F.sha2(F.coalesce(F.col(the_text), F.lit("")), 256), 1, 32))
+    kept = kept.select(F.col("doc_id").alias("_id"), F.substring("sha", 1, 32).alias("_kept"))
+    rows = rows.join(kept, F.col(the_id).eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_kept")), "left_semi")
+    return rows.dropDuplicates([the_id, "_sha"]).drop("_sha").toDF(*docs.columns)

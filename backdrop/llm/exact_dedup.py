@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from backdrop.llm.common import arrow_type, bounded_batches, documents, stored, texts_of
+from backdrop.llm.common import arrow_type, bounded_batches, documents, keep_rows, stored, texts_of
 
 # Bytes of the text that lead the sort key; the digest and the text itself follow.
 PREFIX_BYTES = 64
@@ -118,14 +118,8 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Rows that repeat both id and text are one document: one of them stays.
     """
-    kept = exact_groups(docs, id_col, text_col, keep=keep).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    at = {c: n for c, n in zip(docs.columns, names, strict=True)}
-    rows = docs.toDF(*names).withColumn("_sha", F.sha2(F.coalesce(F.col(at[text_col]), F.lit("")), 256))
-    same = F.col(at[id_col]).eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha"))
-    rows = rows.join(kept, same, "left_semi")
-    return rows.dropDuplicates([at[id_col], "_sha"]).drop("_sha").toDF(*docs.columns)
+    kept = exact_groups(docs, id_col, text_col, keep=keep).where("kept").select("doc_id", F.col("text_sha256").alias("sha"))
+    return keep_rows(docs, kept, id_col, text_col)
 
 
 def op10_content_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
