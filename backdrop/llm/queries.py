@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from backdrop.llm import bpe_chunks, decontamination, exact_dedup, language, near_dedup, pii, sharding, token_counts, toxicity
+from backdrop.llm import bpe_chunks, decontamination, exact_dedup, language, lm_scoring, near_dedup, pii, sharding, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree_sharding": sharding.op1_hash_tree_sharding,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_hyperdimensional_language": language.op4_hyperdimensional_language,
     "op5_token_counts": token_counts.op5_token_counts,
     "op6_weighted_minhash_dedup": near_dedup.op6_weighted_minhash_dedup,
+    "op7_context_tree_weighting": lm_scoring.op7_context_tree_weighting,
     "op8_bigru_toxicity": toxicity.op8_bigru_toxicity,
     "op9_information_theoretic_pii": pii.op9_information_theoretic_pii,
     "op10_content_sort_dedup": exact_dedup.op10_content_sort_dedup,
