@@ -28,6 +28,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -36,15 +37,14 @@ from pyspark.sql.types import (
     DoubleType,
     IntegerType,
     LongType,
-    StringType,
     StructField,
     StructType,
 )
 
-from backdrop.llm.common import arrow_type, bounded_batches, documents, fold, stored, texts_of
+from backdrop.llm.common import bounded_batches, documents, fold, stored, texts_of
 from backdrop.llm.words import groups, word_hashes
 
-DEPTH = 4
+DEPTH = 5
 HELD_OUT_MOD, HELD_OUT = 7, 2
 # Bytes of text for each bucket of words and of contexts.
 BUCKET_BYTES = 16 << 20
@@ -58,6 +58,31 @@ END_WORD, END_BYTE = b"\n", b"\xff"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+def pack(x: np.ndarray) -> bytes:
+    """Numbers of eight bytes, compressed byte by byte."""
+    return zstandard.compress(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def unpack(data: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1).T.copy().view(kind).ravel()
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Keys in order, as differences."""
+    return pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpack_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data, "<u8"), dtype=np.uint64)
+
+
+def pack_rows(rows: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
 def tokens_of(data: bytes) -> list[bytes]:
     """Words between ASCII white space, and the end."""
     return [*data.split(), END_WORD]
@@ -110,8 +135,9 @@ def bucket_of(kind: int, keys: np.ndarray, n_buckets: int) -> np.ndarray:
     return ((part * _MIX >> np.uint64(33)) % np.uint64(n_buckets)).astype(np.int32)
 
 
-def _ask(n_buckets: int, schema: pa.Schema) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _ask(n_buckets: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The documents of a block, and by bucket its distinct keys with their training counts."""
+    names = ["kind", "bucket", "block", "keys", "counts"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -119,7 +145,6 @@ def _ask(n_buckets: int, schema: pa.Schema) -> Callable[[Iterable[pa.RecordBatch
         block = TaskContext.get().partitionId()
         found = {WORD: Counter(), GRAM: Counter()}
         for b in batches:
-            n = b.num_rows
             texts, train = texts_of(b.column(2)), ~np.array(b.column(1).to_pylist(), bool)
             for part in groups(texts):
                 data = [t.encode().lower() for t in texts[part]]
@@ -127,23 +152,20 @@ def _ask(n_buckets: int, schema: pa.Schema) -> Callable[[Iterable[pa.RecordBatch
                 found[WORD].add(hashes, np.repeat(train[part], counts))
                 grams, counts = grams_of(data)
                 found[GRAM].add(grams, np.repeat(train[part], counts))
-            none = pa.nulls(n, pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([TEXT] * n, pa.int32()), pa.nulls(n, pa.int32()), pa.array([block] * n, pa.int64()), *b.columns, none, none],
-                schema=schema)
+                rows = pack_rows(b.slice(part.start, len(data)))
+                yield pa.RecordBatch.from_arrays([pa.array([TEXT], pa.int32()), pa.nulls(1, pa.int32()), pa.array([block], pa.int64()),
+                                                  pa.array([rows], pa.binary()), pa.nulls(1, pa.binary())], names)
         for kind, counter in found.items():
             keys, counts = counter.total()
             bucket = bucket_of(kind, keys, n_buckets)
             order = np.argsort(bucket, kind="stable")
             edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1)) if len(keys) else np.zeros(1, np.int64)
-            for i in range(0, len(edges) - 1, 256):
-                part = [order[s:e] for s, e in zip(edges[i : i + 256], edges[i + 1 : i + 257], strict=False)]
-                n = len(part)
+            for i in range(0, len(edges) - 1, 64):
+                part = [order[s:e] for s, e in zip(edges[i : i + 64], edges[i + 1 : i + 65], strict=False)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([kind] * n, pa.int32()), pa.array([bucket[x[0]] for x in part], pa.int32()), pa.array([block] * n, pa.int64()),
-                     pa.nulls(n, schema.field(3).type), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.string()),
-                     pa.array([keys[x].astype("<u8").tobytes() for x in part], pa.binary()),
-                     pa.array([counts[x].astype("<i8").tobytes() for x in part], pa.binary())], schema=schema)
+                    [pa.array([kind] * len(part), pa.int32()), pa.array([bucket[x[0]] for x in part], pa.int32()),
+                     pa.array([block] * len(part), pa.int64()), pa.array([pack_keys(keys[x]) for x in part], pa.binary()),
+                     pa.array([pack(counts[x].astype("<i8")) for x in part], pa.binary())], names)
 
     return run
 
@@ -208,10 +230,10 @@ def deep_levels(grams: np.ndarray, counts: np.ndarray) -> tuple[list[Level], lis
 
 def _merged(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Keys of each block, all distinct keys and their counts."""
-    asked = [np.frombuffer(x.as_buffer(), "<u8") for x in table.column("keys")]
+    asked = [unpack_keys(x) for x in table.column("keys").to_pylist()]
     counter = Counter()
-    for keys, n in zip(asked, table.column("counts"), strict=True):
-        counter.parts.append((keys, np.frombuffer(n.as_buffer(), "<i8")))
+    for keys, n in zip(asked, table.column("counts").to_pylist(), strict=True):
+        counter.parts.append((keys, unpack(n, "<i8")))
     return asked, *counter.total()
 
 
@@ -253,12 +275,12 @@ class Tree:
 
 
 def _answer(tree: Tree) -> Callable[[tuple, pa.Table], pa.Table]:
-    """The value of each key that each block asked for: log10(count + 1) of words, log10 of the probability of grams."""
+    """The value of each key that each block asked for: the count of words, log10 of the probability of grams (single precision)."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         asked, keys, counts = _merged(table)
-        values = np.log10(counts + 1.0) if key[0].as_py() == WORD else tree.log10(keys, counts)
-        said = [values[np.searchsorted(keys, x)].astype("<f8").tobytes() for x in asked]
+        values = counts.astype(float) if key[0].as_py() == WORD else tree.log10(keys, counts).astype("<f4").astype(float)
+        said = [pack(values[np.searchsorted(keys, x)]) for x in asked]
         return pa.table({"kind": table.column("kind"), "block": table.column("block"), "keys": table.column("keys"),
                          "counts": pa.array(said, pa.binary())})
 
@@ -279,8 +301,8 @@ def _score(n_words: int, n_tokens: int) -> Callable[[Iterable[pa.RecordBatch]],
                 if blocks[start] != block:
                     block, parts, known = blocks[start], {WORD: [], GRAM: []}, {}
                 if kinds[start] != TEXT:
-                    parts[int(kinds[start])] += [(np.frombuffer(k.as_buffer(), "<u8"), np.frombuffer(v.as_buffer(), "<f8"))
-                                                 for k, v in zip(rows.column(5), rows.column(6), strict=True)]
+                    parts[int(kinds[start])] += [(unpack_keys(k), unpack(v, "<f8"))
+                                                 for k, v in zip(rows.column(2).to_pylist(), rows.column(3).to_pylist(), strict=True)]
                     continue
                 if not known:
                     for kind, found in parts.items():
@@ -288,24 +310,21 @@ def _score(n_words: int, n_tokens: int) -> Callable[[Iterable[pa.RecordBatch]],
                         order = np.argsort(keys)
                         known[kind] = keys[order], np.concatenate([v for _, v in found])[order]
                     parts = {WORD: [], GRAM: []}
-                yield from score_texts(rows, known, less)
-
-    def score_texts(rows: pa.RecordBatch, known: dict, less: float) -> Iterator[pa.RecordBatch]:
-        texts = texts_of(rows.column(4))
-        for part in groups(texts):
-            data = [t.encode().lower() for t in texts[part]]
-            sums = []
-            for kind, (keys, n) in ((WORD, word_hashes([tokens_of(d) for d in data])), (GRAM, grams_of(data))):
-                values = known[kind][1].take(np.searchsorted(known[kind][0], keys))
-                starts = np.cumsum(n) - n
-                sums.append((n, np.add.reduceat(values, starts), np.add.reduceat((values > 0).astype(np.int64), starts)))
-            (n, base, seen), (n_bytes, score, _) = sums
-            at = slice(part.start, part.stop)
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(2).slice(at.start, len(data)), rows.column(3).slice(at.start, len(data)), pa.array(n), pa.array(seen),
-                 pa.array([n_tokens] * len(data), pa.int64()), pa.array(base - n * less), pa.array(score),
-                 pa.array(-score * np.log2(10) / n_bytes)],
-                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
+                for packed in rows.column(2).to_pylist():
+                    yield from (score_texts(x, known, less) for x in pa.ipc.open_stream(packed))
+
+    def score_texts(rows: pa.RecordBatch, known: dict, less: float) -> pa.RecordBatch:
+        data = [t.encode().lower() for t in texts_of(rows.column(2))]
+        words, n = word_hashes([tokens_of(d) for d in data])
+        counts = known[WORD][1].take(np.searchsorted(known[WORD][0], words))
+        starts = np.cumsum(n) - n
+        base, seen = np.add.reduceat(np.log10(counts + 1), starts), np.add.reduceat((counts > 0).astype(np.int64), starts)
+        grams, n_bytes = grams_of(data)
+        score = np.add.reduceat(known[GRAM][1].take(np.searchsorted(known[GRAM][0], grams)), np.cumsum(n_bytes) - n_bytes)
+        return pa.RecordBatch.from_arrays(
+            [rows.column(0), rows.column(1), pa.array(n), pa.array(seen), pa.array([n_tokens] * len(data), pa.int64()),
+             pa.array(base - n * less), pa.array(score), pa.array(-score * np.log2(10) / n_bytes)],
+            ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
 
     return run
 
@@ -330,19 +349,16 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = (fold(F.col(id_col), held_out_mod) == held_out).alias("held_out")
     rows = docs.select(F.col(id_col).alias("doc_id"), out, F.col(text_col).alias("text"))
     schema = StructType([StructField("kind", IntegerType()), StructField("bucket", IntegerType()), StructField("block", LongType()),
-                         StructField("doc_id", id_type), StructField("held_out", BooleanType()), StructField("text", StringType()),
                          StructField("keys", BinaryType()), StructField("counts", BinaryType())])
-    arrow = pa.schema([(f.name, arrow_type(f.dataType)) for f in schema])
-    asked = stored(spark, rows.mapInArrow(_ask(n_buckets, arrow), schema), "lm-blocks")
-    by_bucket = asked.where(F.col("kind") != TEXT).select("kind", "bucket", "block", "keys", "counts").groupBy("kind", "bucket")
+    asked = stored(spark, rows.mapInArrow(_ask(n_buckets), schema), "lm-blocks")
+    by_bucket = asked.where(F.col("kind") != TEXT).groupBy("kind", "bucket")
     top = by_bucket.applyInArrow(_top, "context int, node int, log_weighted double, zeros bigint, ones bigint")
     top = top.groupBy("context", "node").agg(*[F.sum(c).alias(c) for c in ("log_weighted", "zeros", "ones")]).collect()
     words = next((r for r in top if r["context"] < 0), {"zeros": 0, "ones": 0})
     tree = Tree([r for r in top if r["context"] >= 0])
     answers = by_bucket.applyInArrow(_answer(tree), "kind int, block bigint, keys binary, counts binary")
-    texts = asked.where(F.col("kind") == TEXT).select("block", "kind", "doc_id", "held_out", "text", "keys", "counts")
-    none = [F.lit(None).cast(id_type).alias("doc_id"), F.lit(None).cast("boolean").alias("held_out"), F.lit(None).cast("string").alias("text")]
-    met = texts.unionByName(answers.select("block", "kind", *none, "keys", "counts"))
+    texts = asked.where(F.col("kind") == TEXT).select("block", "kind", "keys", "counts")
+    met = texts.unionByName(answers)
     met = met.repartition("block").sortWithinPartitions("block", "kind")
     result = StructType([StructField("doc_id", id_type), StructField("held_out", BooleanType()), StructField("n_tokens", LongType()),
                          StructField("n_known", LongType()), StructField("train_tokens", LongType()), StructField("base_score", DoubleType()),
