@@ -62,8 +62,10 @@ def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> D
     Rows that repeat both id and text are one document: one of them stays.
     """
     names = [f"c{i}" for i in range(len(docs.columns))]
-    the_id, the_text = (names[docs.columns.index(c)] for c in (id_col, text_col))
-    rows = docs.toDF(*names).withColumn("_sha", F.substring(F.sha2(F.coalesce(F.col(the_text), F.lit("")), 256), 1, 32))
-    kept = kept.select(F.col("doc_id").alias("_id"), F.substring("sha", 1, 32).alias("_kept"))
-    rows = rows.join(kept, F.col(the_id).eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_kept")), "left_semi")
-    return rows.dropDuplicates([the_id, "_sha"]).drop("_sha").toDF(*docs.columns)
+    rows = docs.toDF(*names)
+    the_id, the_text = (F.col(names[docs.columns.index(c)]) for c in (id_col, text_col))
+    # One plain key, so that the join and the last step share a shuffle.
+    key = lambda i, sha: F.concat(F.substring(sha, 1, 32), F.coalesce(F.concat(F.lit("="), i.cast("string")), F.lit("")))
+    rows = rows.withColumn("_key", key(the_id, F.sha2(F.coalesce(the_text, F.lit("")), 256)))
+    kept = kept.select(key(F.col("doc_id"), F.col("sha")).alias("_key"))
+    return rows.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key").toDF(*docs.columns)

@@ -335,8 +335,7 @@ def score_rows(rows: DataFrame, net: Network, text_col: str = "text", score_col:
     """All columns of ``rows`` and their score, 0 to 1, in a last column.
 
     A NULL or empty text, or one without words, is scored as an empty window.
-    Repeated rows are scored each and alike. A column that bears the score's
-    name keeps its place; the score is always the last column.
+    Repeated rows are scored each and alike. ``score_col`` must not be a column of ``rows``.
     """
     bounded_batches(rows.sparkSession)
     names = [f"c{i}" for i in range(len(rows.columns))]
