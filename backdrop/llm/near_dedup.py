@@ -45,6 +45,8 @@ SKETCH_BITS = 20
 SKETCH_ROWS = 2
 SLICES = 64
 DRAW_BITS = 16
+# Bits of the filter that says which texts to verify: 2 MiB.
+FILTER_BITS = 24
 SEED = 6
 
 _ODD = np.random.default_rng([SEED, 1]).integers(0, 1 << 63, 64 + SAMPLES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -254,6 +256,24 @@ def _verify(weigher: Weigher) -> Callable[[Iterable[pa.RecordBatch]], Iterator[p
     return run
 
 
+def _filter(nodes: DataFrame) -> np.ndarray:
+    """A filter of a fixed size: the first bits of every node, so that most other texts need not move."""
+    slot = F.conv(F.hex(F.substring(nodes[nodes.columns[0]], 1, FILTER_BITS // 8)), 16, 10).cast("int").alias("slot")
+    bits = np.zeros(1 << FILTER_BITS, bool)
+    bits[nodes.select(slot).distinct().toPandas()["slot"].to_numpy(np.int64)] = True  # at most 2 ** FILTER_BITS numbers
+    return np.packbits(bits)
+
+
+def _in_filter(packed: np.ndarray) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(packed).astype(bool)
+        for b in batches:
+            slots = [int.from_bytes(x[: FILTER_BITS // 8]) for x in b.column(0).to_pylist()]
+            yield b.filter(pa.array(bits[np.array(slots, np.int64)], pa.bool_()))
+
+    return run
+
+
 def node_of(text: Column) -> Column:
     """The name of a text in the graph: half its SHA-256."""
     return F.unhex(F.substring(F.sha2(F.coalesce(text, F.lit("")), 256), 1, 32))
@@ -283,7 +303,8 @@ def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     dealt = members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
     links = stored(spark, dealt.mapInArrow(_links, pair).distinct(), "candidates")
     wanted = links.select(F.explode(F.array("a", "b")).alias("wanted")).distinct()
-    texts = rows.select("node", "text").join(wanted, F.col("node") == F.col("wanted"), "left_semi").dropDuplicates(["node"])
+    maybe = rows.select("node", "text").mapInArrow(_in_filter(_filter(wanted.select("wanted"))), rows.select("node", "text").schema)
+    texts = maybe.join(wanted, F.col("node") == F.col("wanted"), "left_semi").dropDuplicates(["node"])
     texts = stored(spark, texts, "texts")
     side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"))
     both = links.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")

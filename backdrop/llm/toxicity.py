@@ -43,6 +43,8 @@ HIDDEN = 8
 ATTENTION = 6
 EPOCHS = 5
 BATCH = 512
+# Batches are smaller where a round would have fewer steps.
+LEAST_STEPS = 120
 RATE = 0.01
 SEED = 8
 GROUP_CHARS = 1 << 20
@@ -256,7 +258,8 @@ def train(texts: list[str], labels: list[int], toxic_share: float) -> Network:
     step = 0
     use = np.arange(len(ids))
     for epoch in range(EPOCHS):
-        for part in np.array_split(rng.permutation(use), max(1, len(use) // BATCH)):
+        batch = min(BATCH, max(1, len(use) // LEAST_STEPS))
+        for part in np.array_split(rng.permutation(use), max(1, len(use) // batch)):
             held, place = np.unique(ids[part], return_inverse=True)
             held, place = (held[1:], place.reshape(-1, WINDOW) - 1) if held[0] < 0 else (held, place.reshape(-1, WINDOW))
             share = toxic[use].mean()
