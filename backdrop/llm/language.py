@@ -117,7 +117,7 @@ def prototypes(rows: DataFrame, letters: np.ndarray) -> tuple[list[str], np.ndar
     parts = rows.select("lang", "text").mapInArrow(_learn(letters), schema)
     summed = parts.select("lang", F.posexplode("bundle")).groupBy("lang", "pos").agg(F.sum("col").alias("v"))
     found = summed.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("pos", "v"))).alias("b")).orderBy("lang").collect()
-    return [r.lang for r in found], np.array([[x.v for x in r.b] for r in found], np.float64).reshape(len(found), -1)
+    return [r.lang for r in found], np.array([[x.v for x in r.b] for r in found], np.float64).reshape(len(found), DIMENSIONS)
 
 
 def _predict(langs: list[str], protos: np.ndarray, letters: np.ndarray) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
