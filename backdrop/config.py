@@ -24,8 +24,6 @@ def configure(spark: SparkSession) -> SparkSession:
     conf = spark.conf
     if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) in (None, "-1", "-1b", "67108864b"):
         conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
-    conf.set("spark.sql.adaptive.enabled", "true")
-    conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     return spark
 
 
@@ -33,11 +31,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) a scratch folder is created and registered.
+    in a local session (tests) a scratch folder is created and registered. On
+    a cluster a folder of this machine would be unseen by the others.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if path:
         return path
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="backdrop-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     try:  # also visible to readers of the setting; some sessions refuse core settings at runtime

@@ -148,3 +148,8 @@ def json_line(*cols) -> Column:
 def frame_hex(data) -> Column:
     """Upper-case hex of frame bytes; a compact exact fingerprint for checks."""
     return F.hex(_c(data))
+
+
+def frame_number(filename: str = "filename") -> Column:
+    """The last run of digits in a file name as a number (``cam_11.png`` -> 11), NULL without digits."""
+    return F.regexp_extract(filename, "([0-9]+)[^0-9]*$", 1).try_cast("bigint")

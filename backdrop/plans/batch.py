@@ -30,9 +30,11 @@ def process_folder(spark: SparkSession, input_root: str, output_root: str, sessi
                    segmenter="threshold", export: str = "png", **kw) -> DataFrame:
     """U1 over a folder: returns the ``results`` rows (K3).
 
-    ``export="png"`` writes ``<output_root>/<session>/<stem>.png`` (shared
+    ``export="png"`` writes ``<output_root>/<session>/<filename>`` (shared
     POSIX mount); ``"parquet"`` writes the frames table partitioned by
-    session and returns result rows pointing at it.
+    session and returns result rows pointing at the session's directory. A
+    repeated run replaces the sessions that it writes; result rows are those
+    of this run's sessions only.
     """
     frames = IM.read_image_folder(spark, input_root, session_id)
     processed = J.frame_transform(frames, segmenter, **kw)
@@ -40,11 +42,11 @@ def process_folder(spark: SparkSession, input_root: str, output_root: str, sessi
         return SK.export_png(processed, output_root, input_root)
     if export != "parquet":
         raise ValueError("export must be 'png' or 'parquet'")
-    SK.write_frames(processed, output_root)
-    done = SK.read_frames(spark, output_root)
-    if session_id is not None:
-        done = done.where(F.col("session_id") == session_id)
-    return R.result_rows(done, input_root, output_root)
+    SK.write_frames(processed, output_root, mode="overwrite", sessions_only=True)
+    done = SK.read_frames(spark, output_root).join(frames.select("session_id").distinct(), "session_id", "left_semi")
+    written = F.concat(F.lit(f"{output_root.rstrip('/')}/session_id="), F.col("session_id"))
+    return R.result_rows(done, input_root, output_root).withColumn(
+        "output_path", F.when(F.col("output_path").isNotNull(), written))
 
 
 def compact_folder(spark: SparkSession, input_root: str, table: str, mode: str = "append") -> None:
@@ -85,7 +87,8 @@ def run_live(spark: SparkSession, landing: str, replies_out: str, counts_out: st
     """Entry 3: each client's frames land under ``<landing>/<client>/``.
 
     One query appends a reply per frame (K2: processed, passed through on
-    error, NULL when undecodable). A second, light query keeps the running
+    error, NULL when undecodable), joinable on ``(session_id, frame_id)``:
+    clients number their frames in the file name, and that number orders them. A second, light query keeps the running
     frame count per client (G4) in the state store; it lists files without
     reading them, so frame bytes never enter the state operator. A third
     (``latest_out``) keeps each client's latest result (O6): name and status,
@@ -94,20 +97,21 @@ def run_live(spark: SparkSession, landing: str, replies_out: str, counts_out: st
     from backdrop.streaming import state as ST
 
     ck = checkpoint or J.scratch_path(spark, "live-ckpt")
-    frames = IM.stream_image_folder(spark, landing, max_files_per_trigger).withColumn("original", F.col("data"))
+    frames = IM.stream_image_folder(spark, landing, max_files_per_trigger).withColumn("original", F.col("data")) \
+        .withColumn("frame_id", C.frame_number("filename"))
     replies = SK.replies(J.frame_transform(frames, segmenter, **kw), "session_id")
     queries = [J.write_stream(replies, replies_out, os.path.join(ck, "replies"), trigger)]
     if counts_out is not None:
-        names = IM.stream_file_names(spark, landing, max_files_per_trigger)
-        counted = ST.count_frames(names, "session_id", ["filename"], name="frame_count")
+        names = IM.stream_file_names(spark, landing, max_files_per_trigger).withColumn("frame_id", C.frame_number("filename"))
+        counted = ST.count_frames(names, "session_id", ["frame_id", "filename"], name="frame_count")
         queries.append(J.write_stream(counted, counts_out, os.path.join(ck, "counts"), trigger))
     if latest_out is not None:
         # Chained to the reply table (the file sink's committed files), so
         # frames are processed once. With availableNow the replies drain first.
         if trigger in ("availableNow", "once"):
             J.drain(queries[0])
-        slim = spark.readStream.schema(replies.schema).parquet(replies_out).select("session_id", "filename", "status")
-        latest = ST.latest_per_key(slim, "session_id", ["filename"], ["filename", "status"])
+        slim = spark.readStream.schema(replies.schema).parquet(replies_out).select("session_id", "frame_id", "filename", "status")
+        latest = ST.latest_per_key(slim, "session_id", ["frame_id", "filename"], ["frame_id", "filename", "status"])
         queries.append(J.write_complete(latest, latest_out, os.path.join(ck, "latest"), trigger))
     return queries
 

@@ -502,9 +502,12 @@ STREAM_FILES_PER_TRIGGER = 64
 
 
 def _stream_table(spark, sf_dir, name):
-    schema = _t(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet") \
-        .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(sf_dir)
+    """The table as a stream, be it one file or a directory of part files."""
+    table = _t(spark, sf_dir, name)
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER)
+    if all(f.rsplit("/", 1)[-1] == f"{name}.parquet" for f in table.inputFiles()):
+        return stream.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return stream.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _drain_to_files(spark, df, kind, mode="append"):
@@ -596,14 +599,31 @@ def png_export_roundtrip(spark, sf_dir):
     done = FO.remove_backdrop(fr, ThresholdSegmenter(_LEVEL))
     root = J.scratch_path(spark, "png-export")
     results = SK.export_png(done, root)
-    results.write.parquet(f"{root}/_results")  # runs the export; the result table is the job's output
     back = IM.read_image_folder(spark, root, number=False)
-    status = spark.read.parquet(f"{root}/_results").select("session_id", "filename", "status")
+    status = results.select("session_id", "filename", "status")
     return R.attach(back, status, ["session_id", "filename"], "inner").select(
         "session_id", F.regexp_extract("filename", r"frame_(\d+)\.png", 1).cast("long").alias("frame_id"),
         "status", F.hex("data").alias("out_hex"))
 
 
+@query("png_export_unique_names", f"""
+WITH {_PX}
+SELECT session_id, 'frame_' || CAST(frame_id // 2 AS VARCHAR) || CASE WHEN frame_id % 2 = 0 THEN '.png' ELSE '.jpg' END AS filename,
+       string_agg(repeat(printf('%02X', p), 3), '' ORDER BY i) AS out_hex
+FROM px GROUP BY session_id, frame_id
+""")
+def png_export_unique_names(spark, sf_dir):
+    """K1: inputs that share a stem keep a file each, run once, twice, or looked at in part."""
+    ext = F.when(F.col("frame_id") % 2 == 0, ".png").otherwise(".jpg")
+    fr = V.frames(_t(spark, sf_dir, "embeddings"), "grey").withColumn(
+        "filename", F.concat(F.lit("frame_"), F.floor(F.col("frame_id") / 2).cast("string"), ext))
+    root = J.scratch_path(spark, "png-names")
+    SK.export_png(fr, root).limit(1).count()
+    SK.export_png(fr, root)
+    back = IM.read_image_folder(spark, root, number=False)
+    return back.select("session_id", "filename", F.hex("data").alias("out_hex"))
+
+
 @query("parquet_sink_roundtrip", f"""
 WITH {_PX}
 SELECT session_id, frame_id, count(*) FILTER (WHERE x > 0.2) AS painted,
@@ -693,7 +713,7 @@ def replay_png_folder(spark, sf_dir):
     replayed through Spark's image source in name order, numbered from 0."""
     fr = V.frames(_t(spark, sf_dir, "embeddings"), "grey")
     root = J.scratch_path(spark, "replay")
-    SK.export_png(fr, root).write.format("noop").mode("overwrite").save()
+    SK.export_png(fr, root)
     replay = IM.replay_folder(spark, root)
     return replay.select("session_id", "filename", "frame_id", "mode", F.hex("data").alias("bgr_hex"))
 
@@ -747,7 +767,7 @@ def stream_png_landing(spark, sf_dir):
     readStream over the landing folder removes the backdrop per micro-batch."""
     fr = V.frames(_t(spark, sf_dir, "embeddings"), "grey")
     landing = J.scratch_path(spark, "landing")
-    SK.export_png(fr, landing).write.format("noop").mode("overwrite").save()
+    SK.export_png(fr, landing)
     frames = IM.stream_image_folder(spark, landing, max_files_per_trigger=CAPTURE_FILES_PER_TRIGGER)
     out = J.frame_transform(frames, ThresholdSegmenter(_LEVEL)).select(
         "session_id", F.regexp_extract("filename", r"frame_(\d+)\.png", 1).cast("long").alias("frame_id"),

@@ -3,9 +3,11 @@
 * :func:`write_frames` is the main sink: parquet partitioned by session, any
   Hadoop file system, atomic per job through Spark's commit protocol.
 * :func:`export_png` writes one lossless PNG per frame to
-  ``<root>/<session_id>/<stem>.png`` on a shared POSIX mount. Each task writes
-  to a temporary name and renames, so a retried task rewrites the same path;
-  it returns the ``results`` rows with the real outcome of each write.
+  ``<root>/<session_id>/<filename>`` on a shared POSIX mount: under the input's
+  own name, so no two inputs share a target. Each task writes to a temporary
+  name and renames, so a retried task rewrites the same path. The export runs
+  as one action that stores the ``results`` rows with the real outcome of each
+  write; what is returned is that table, so no later action exports again.
 * :func:`write_results` stores the result table (K3); nothing is collected.
 * :func:`replies` shapes processed frames into the reply table of a live
   stream (K2): unreadable frames get a row with ``data`` NULL.
@@ -14,6 +16,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +24,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from backdrop import schemas
+from backdrop.config import checkpoint_dir
 from backdrop.functions.png import encode_png
 
 
-def write_frames(df: DataFrame, path: str, mode: str = "append") -> None:
-    """K1: frames as parquet, one directory per session."""
-    df.write.mode(mode).partitionBy("session_id").parquet(path)
+def write_frames(df: DataFrame, path: str, mode: str = "append", sessions_only: bool = False) -> None:
+    """K1: frames as parquet, one directory per session. With ``sessions_only``
+    an overwrite replaces the sessions of ``df`` and leaves others alone."""
+    writer = df.write.mode(mode).partitionBy("session_id")
+    if sessions_only:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
 
 
 def read_frames(spark, path: str) -> DataFrame:
@@ -53,13 +61,11 @@ def _local_path(root: str) -> str:
     return root
 
 
-def png_name(filename: str) -> str:
-    stem, _ = os.path.splitext(filename)
-    return f"{stem}.png"
-
-
 def export_png(df: DataFrame, root: str, input_root: str | None = None) -> DataFrame:
-    """K1 file export: returns one ``results`` row per input row."""
+    """K1 file export, run at once: returns the stored table of one ``results`` row per input row.
+
+    The file holds PNG whatever its name says; readers go by the content.
+    """
     local_root = _local_path(root).rstrip("/")
     in_root = (input_root or "").rstrip("/")
     cols = ["session_id", "frame_id", "filename", "height", "width", "n_channels", "data", "status", "message"]
@@ -87,8 +93,8 @@ def export_png(df: DataFrame, root: str, input_root: str | None = None) -> DataF
                             img = img[..., :3]
                         folder = os.path.join(local_root, sid)
                         os.makedirs(folder, exist_ok=True)
-                        target = os.path.join(folder, png_name(name))
-                        tmp = f"{target}.tmp-{os.getpid()}"
+                        target = os.path.join(folder, os.path.basename(name))
+                        tmp = f"{target}.tmp-{uuid.uuid4().hex}"
                         with open(tmp, "wb") as fh:
                             fh.write(encode_png(img))
                         os.replace(tmp, target)
@@ -103,7 +109,9 @@ def export_png(df: DataFrame, root: str, input_root: str | None = None) -> DataF
                 out["message"].append(message)
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
-    return slim.mapInArrow(run, schemas.RESULTS)
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/png-results-{uuid.uuid4().hex}"
+    slim.mapInArrow(run, schemas.RESULTS).write.parquet(path)
+    return df.sparkSession.read.schema(schemas.RESULTS).parquet(path)
 
 
 def replies(processed: DataFrame, key: str = "session_id", original_col: str | None = "original") -> DataFrame:
@@ -142,7 +150,7 @@ def land_payloads(records: DataFrame, root: str, session_col: str = "session_id"
                         folder = os.path.join(local_root, d["session_id"][i])
                         os.makedirs(folder, exist_ok=True)
                         target = os.path.join(folder, name)
-                        tmp = f"{target}.tmp-{os.getpid()}"
+                        tmp = f"{target}.tmp-{uuid.uuid4().hex}"
                         with open(tmp, "wb") as fh:
                             fh.write(d["payload"][i])
                         os.replace(tmp, target)

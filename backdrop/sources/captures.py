@@ -53,9 +53,12 @@ class _Reader:
             self.buf, self.pos, self.f = None, 0, src
 
     def read(self, n: int):
+        """``n`` bytes, or None at a cut; ``left`` then has how many there were."""
         if self.f is not None:
             data = self.f.read(n)
+            self.left = len(data)
             return data if len(data) == n else None
+        self.left = len(self.buf) - self.pos
         if self.pos + n > len(self.buf):
             self.pos = len(self.buf)
             return None
@@ -117,6 +120,8 @@ def decode_bare_capture(src, capture: str) -> Iterator[dict]:
     while True:
         raw = rd.read(4)
         if raw is None:
+            if rd.left:  # a clean end leaves nothing
+                reason, truncated = "cut inside a size prefix", True
             break
         size = struct.unpack(_U32, raw)[0]
         if size == 0:

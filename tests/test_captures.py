@@ -143,3 +143,13 @@ def test_python_data_source_matches_binaryfile(spark, capture_dir):
     norm = lambda df: sorted((repr(tuple(r)) for r in df.select(*cols).withColumn(
         "capture", F.regexp_replace("capture", "^file:", "")).collect()))
     assert norm(ds) == norm(bf)
+
+
+def test_bare_capture_cut_inside_a_size_prefix():
+    import io
+
+    data = struct.pack("!I", 3) + b"abc"
+    for cut in range(0, 4):
+        for src in (data + struct.pack("!I", 9)[:cut], io.BytesIO(data + struct.pack("!I", 9)[:cut])):
+            last = list(CAP.decode_bare_capture(src, "c"))[-1]
+            assert last["truncated"] == (cut > 0)

@@ -25,7 +25,8 @@ def test_process_folder_parquet(spark, image_root, tmp):
     out = os.path.join(tmp, "frames")
     res = B.process_folder(spark, image_root, out, SESSION, export="parquet")
     by = {r["filename"]: r for r in res.collect()}
-    assert by["a.png"]["status"] == "success" and by["a.png"]["output_path"].endswith(f"{SESSION}/a.png")
+    assert by["a.png"]["status"] == "success" and by["a.png"]["output_path"].endswith(f"/session_id={SESSION}")
+    assert os.path.isdir(by["a.png"]["output_path"])
     stored = spark.read.parquet(out).where(f"filename = 'a.png'").first()
     want, _ = composite(A_RGB[..., ::-1][None], (luma(A_RGB[None]) >= 153).astype(np.uint8))
     assert bytes(stored["data"]) == want.tobytes()
@@ -103,3 +104,32 @@ def test_process_captures_bare_framing(spark, tmp):
                                     framing="bare").collect(), key=lambda r: r["frame_id"])
     assert [(r["session_id"], r["filename"], r["frame_id"], r["status"]) for r in res] == [
         ("client7", "frame_0.jpg", 0, "success"), ("client7", "frame_1.jpg", 1, "success")]
+
+
+def test_live_frames_are_ordered_by_their_number(spark, tmp):
+    """Unpadded frame names: frame 11 is the latest, replies carry the frame number."""
+    landing = os.path.join(tmp, "live-landing")
+    for client in ("cam_a", "cam_b"):
+        for n in range(12):
+            write_png(os.path.join(landing, client, f"cam_{n}.png"), np.full((4, 4, 3), 20 * n, np.uint8))
+    out = {k: os.path.join(tmp, k) for k in ("replies", "counts", "latest")}
+    for q in B.run_live(spark, landing, out["replies"], out["counts"], os.path.join(tmp, "ck"), latest_out=out["latest"]):
+        J.drain(q)
+    latest = spark.read.parquet(out["latest"]).collect()
+    assert sorted((r["session_id"], r["filename"], r["frame_id"]) for r in latest) == [
+        ("cam_a", "cam_11.png", 11), ("cam_b", "cam_11.png", 11)]
+    replies = spark.read.parquet(out["replies"])
+    assert sorted((r["session_id"], r["frame_id"]) for r in replies.select("session_id", "frame_id").distinct().collect()) == [
+        (c, n) for c in ("cam_a", "cam_b") for n in range(12)]
+    counts = spark.read.parquet(out["counts"]).where("session_id = 'cam_a'").collect()
+    assert {r["frame_id"]: r["frame_count"] for r in counts} == {n: n + 1 for n in range(12)}
+
+
+def test_folder_job_in_parquet_is_idempotent(spark, tmp):
+    root, out = os.path.join(tmp, "in"), os.path.join(tmp, "frames")
+    for s in ("s1", "s2"):
+        write_png(os.path.join(root, s, "a.png"), np.full((4, 4, 3), 9, np.uint8))
+    first = B.process_folder(spark, root, out, export="parquet").collect()
+    again = B.process_folder(spark, root, out, "s1", export="parquet").collect()
+    assert len(first) == 2 and [r["session_id"] for r in again] == ["s1"]
+    assert spark.read.parquet(out).count() == 2 and os.path.isdir(again[0]["output_path"])
