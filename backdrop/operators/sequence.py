@@ -98,9 +98,11 @@ def _segmented(df: DataFrame, by: list, order: list, rows_per_segment: int):
             .drop("_n", "_k", "_lo", "_width", "_last", "_fine", "_on2")
         counts = seg_of_fine.groupBy(*by, _SEG).agg(F.sum("_c").alias("_c"))
     else:
-        # Splitters from a bounded sample of the hot keys' order values.
-        frac = min(1.0, _SAMPLES_PER_SEGMENT / rows_per_segment)
-        sample = df.join(hot.select(*by), by, "left_semi").select(*by, lead).sample(fraction=frac, seed=17)
+        # Splitters from a sample of the hot keys' order values. It goes by
+        # content: the plan reads it twice, and both reads must agree.
+        one_in = max(1, rows_per_segment // _SAMPLES_PER_SEGMENT)
+        sample = df.join(hot.select(*by), by, "left_semi").where(
+            F.pmod(F.xxhash64(*by, *order), F.lit(one_in)) == 0).select(*by, lead)
         ranked = sample.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(lead)))
         sorted_splits = F.array_sort(F.collect_list(lead))
         # Above the limit keep every k-th splitter, so the segments still
@@ -151,8 +153,19 @@ def enumerate_frames(df: DataFrame, by="session_id", order=("filename",), name:
     return sequence_number(df, by, list(order), name=name, start=start, **kw)
 
 
+# Largest ``n`` that is left to one task a key.
+FIRST_N_WINDOW = ROWS_PER_SEGMENT
+
+
 def first_n(df: DataFrame, by, order, n, seq: str = "seq", **kw) -> DataFrame:
-    """The first ``n`` rows per key; ``n`` is an int or a column (e.g. the announced count)."""
+    """The first ``n`` rows per key; ``n`` is an int or a column (e.g. the announced count).
+
+    For an int a plain window will do: its group limit keeps at most ``n``
+    rows of a key in every task before the shuffle, so no key is hot.
+    """
+    if not isinstance(n, Column) and seq not in df.columns and int(n) <= FIRST_N_WINDOW:
+        ranked = F.row_number().over(Window.partitionBy(*_names(by)).orderBy(*_names(order)))
+        return df.withColumn(seq, ranked.cast("long")).where(F.col(seq) <= int(n)).withColumn(seq, F.col(seq) - 1)
     numbered = df if seq in df.columns else sequence_number(df, by, order, name=seq, start=0, **kw)
     limit = n if isinstance(n, Column) else F.lit(int(n))
     return numbered.where(F.col(seq) < limit)

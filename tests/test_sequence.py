@@ -111,3 +111,11 @@ def test_nulls_in_first_order_column_keep_their_place(spark):
     got = SEQ.sequence_number(df, "client_id", ["v", "event_id"], name="seq", rows_per_segment=100)
     both = got.join(brute(df, "client_id", ["v", "event_id"], 0).select("event_id", "want"), "event_id")
     assert both.where(F.col("seq") != F.col("want")).count() == 0
+
+
+def test_first_n_limits_each_key_before_the_shuffle(spark):
+    df = spark.range(1000).selectExpr("id % 3 AS k", "id AS v")
+    out = SEQ.first_n(df, "k", ["v"], 5)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+    assert sorted((r["k"], r["v"], r["seq"]) for r in out.collect()) == sorted((k, k + 3 * i, i) for k in range(3) for i in range(5))
