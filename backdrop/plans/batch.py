@@ -16,6 +16,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from backdrop.functions import columns as C
@@ -92,7 +93,8 @@ def run_live(spark: SparkSession, landing: str, replies_out: str, counts_out: st
     frame count per client (G4) in the state store; it lists files without
     reading them, so frame bytes never enter the state operator. A third
     (``latest_out``) keeps each client's latest result (O6): name and status,
-    not the frame, rewritten as a whole table every micro-batch.
+    not the frame; every micro-batch adds the clients that it changed, and
+    :func:`latest_results` reads the newest of each.
     """
     from backdrop.streaming import state as ST
 
@@ -112,10 +114,20 @@ def run_live(spark: SparkSession, landing: str, replies_out: str, counts_out: st
             J.drain(queries[0])
         slim = spark.readStream.schema(replies.schema).parquet(replies_out).select("session_id", "frame_id", "filename", "status")
         latest = ST.latest_per_key(slim, "session_id", ["frame_id", "filename"], ["frame_id", "filename", "status"])
-        queries.append(J.write_complete(latest, latest_out, os.path.join(ck, "latest"), trigger))
+        queries.append(J.write_batches(latest, latest_out, os.path.join(ck, "latest"), trigger, mode="update"))
     return queries
 
 
+LATEST = T.StructType([T.StructField("session_id", T.StringType()), T.StructField("frame_id", T.LongType()),
+                       T.StructField("filename", T.StringType()), T.StructField("status", T.StringType()),
+                       T.StructField("n_frames", T.LongType())])
+
+
+def latest_results(spark: SparkSession, latest_out: str) -> DataFrame:
+    """Each client's latest result as :func:`run_live` has written it so far."""
+    return J.newest_rows(spark, latest_out, LATEST, "session_id")
+
+
 def stream_results(spark: SparkSession, frames_out: str, input_root: str, output_root: str) -> DataFrame:
     """K3 for a frame stream: the result rows of everything it has written so
     far, read from its frames table (status and message are stored there;

@@ -496,27 +496,24 @@ def capture_completeness(spark, sf_dir):
 # drained with an availableNow trigger; results read back from the sink.
 
 
-# Files per micro-batch: bounds each micro-batch, and so each key's group in
-# the state operators, however large the backlog an availableNow run drains.
-STREAM_FILES_PER_TRIGGER = 64
+# A table staged as a stream: at least this many part files, its rows dealt by
+# hash, so that no order column follows the files; about so many micro-batches.
+STREAM_BATCHES = 8
 
 
 def _stream_table(spark, sf_dir, name):
-    """The table as a stream, be it one file or a directory of part files."""
     table = _t(spark, sf_dir, name)
-    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER)
-    if all(f.rsplit("/", 1)[-1] == f"{name}.parquet" for f in table.inputFiles()):
-        return stream.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
-    return stream.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    n = max(STREAM_BATCHES, len(table.inputFiles()))
+    path = J.scratch_path(spark, f"staged-{name}")
+    table.repartition(n, F.xxhash64(table.columns[0])).write.parquet(path)
+    files = max(1, n // STREAM_BATCHES)
+    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
-def _drain_to_files(spark, df, kind, mode="append"):
+def _drain_to_files(spark, df, kind):
     base = J.scratch_path(spark, kind)
-    if mode == "append":
-        J.drain(J.write_stream(df, f"{base}/out", f"{base}/ckpt", partition_by=None))
-    else:  # aggregates: every micro-batch rewrites the complete result
-        J.drain(J.write_complete(df, f"{base}/out", f"{base}/ckpt"))
-    return spark.read.parquet(f"{base}/out")
+    J.drain(J.write_stream(df, f"{base}/out", f"{base}/ckpt", partition_by=None))
+    return spark.read.schema(df.schema).parquet(f"{base}/out")
 
 
 @query("stream_composite_threshold", ORACLE["composite_threshold"])
@@ -530,38 +527,43 @@ def stream_composite_threshold(spark, sf_dir):
 
 @query("stream_frame_counter", ORACLE["frame_counter"])
 def stream_frame_counter(spark, sf_dir):
-    """G4 on a stream: the counter lives in the state store."""
+    """G4 on a stream, in event order over shuffled files and several micro-batches."""
     lg = V.log(_stream_table(spark, sf_dir, "events")).select("event_id", "client_id", "ts")
-    out = ST.count_frames(lg, "client_id", ["ts", "event_id"]).select("event_id", "client_id", "frame_count")
-    return _drain_to_files(spark, out, "stream-counter")
+    base = J.scratch_path(spark, "stream-counter")
+    out = ST.counted(lg, "client_id", ["ts", "event_id"], f"{base}/out", f"{base}/ckpt")
+    return out.select("event_id", "client_id", "frame_count")
 
 
 @query("stream_first_n", ORACLE["first_n"])
 def stream_first_n(spark, sf_dir):
-    """O4 on a stream: each client stops after 10 frames."""
+    """O4 on a stream: the first 10 frames of each client in event order."""
     lg = V.log(_stream_table(spark, sf_dir, "events")).select("event_id", "client_id", "ts")
-    out = ST.bound_frames(lg, "client_id", ["ts", "event_id"], limit=10).select("event_id", "client_id", "seq")
-    return _drain_to_files(spark, out, "stream-first-n")
+    base = J.scratch_path(spark, "stream-first-n")
+    out = ST.first_n(lg, "client_id", ["ts", "event_id"], 10, f"{base}/out", f"{base}/ckpt")
+    return out.select("event_id", "client_id", "seq")
 
 
 @query("stream_end_marker", ORACLE["end_marker"])
 def stream_end_marker(spark, sf_dir):
-    """O5 + T5 on a stream: each client stops at its first END marker."""
+    """O5 + T5 on a stream: the frames before each client's first END marker in event order."""
     lg = V.log(_stream_table(spark, sf_dir, "events")).select(
         "event_id", "client_id", "ts",
         F.when(F.col("event_type") == "signup", F.lit(C.END_MARKER)).otherwise(F.col("event_id")).alias("frame_id"))
-    out = ST.bound_frames(lg, "client_id", ["ts", "event_id"], marker_col="frame_id")
-    return _drain_to_files(spark, out.select("event_id", "client_id", "frame_id"), "stream-end")
+    base = J.scratch_path(spark, "stream-end")
+    out = ST.until_end(lg, "client_id", ["ts", "event_id"], f"{base}/out", f"{base}/ckpt")
+    return out.select("event_id", "client_id", "frame_id")
 
 
 @query("stream_last_result", ORACLE["last_result"])
 def stream_last_result(spark, sf_dir):
-    """O6 on a stream: latest result per client as a streaming aggregate."""
+    """O6 on a stream: latest result per client as a streaming aggregate, changed clients written per micro-batch."""
     lg = V.log(_stream_table(spark, sf_dir, "events"))
     last = ST.latest_per_key(lg, "client_id", ["ts", "event_id"], ["event_id", "status", "value"])
     out = last.select("client_id", F.col("event_id").alias("last_event_id"), F.col("status").alias("last_status"),
                       F.col("value").alias("last_value"), "n_frames")
-    return _drain_to_files(spark, out, "stream-last", mode="complete")
+    base = J.scratch_path(spark, "stream-last")
+    J.drain(J.write_batches(out, f"{base}/out", f"{base}/ckpt", mode="update"))
+    return J.newest_rows(spark, f"{base}/out", out.schema, "client_id")
 
 
 @query("stream_json_messages", f"""

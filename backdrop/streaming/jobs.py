@@ -15,6 +15,8 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from backdrop.config import checkpoint_dir
@@ -51,15 +53,35 @@ def write_stream(df: DataFrame, out: str, checkpoint: str, trigger="availableNow
     return _trigger(writer, trigger).start(out)
 
 
-def write_complete(df: DataFrame, out: str, checkpoint: str, trigger="availableNow") -> StreamingQuery:
-    """A streaming aggregate in complete mode, the whole result rewritten to
-    ``out`` each micro-batch (for small per-key results such as O6)."""
-    def sink(batch, _epoch):
-        batch.write.mode("overwrite").parquet(out)
-    writer = df.writeStream.outputMode("complete").foreachBatch(sink).option("checkpointLocation", checkpoint)
+def write_batches(df: DataFrame, out: str, checkpoint: str, trigger="availableNow", each=None,
+                  mode: str = "append") -> StreamingQuery:
+    """Every micro-batch, put through ``each``, as its own folder
+    ``<out>/stream_epoch=<n>``. A repeated micro-batch replaces its folder, so
+    a restart adds nothing, and no folder that a reader sees is rewritten by
+    another micro-batch."""
+    def sink(batch, epoch):
+        (each(batch) if each else batch).write.mode("overwrite").parquet(f"{out}/stream_epoch={epoch}")
+    writer = df.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
 
 
+def read_batches(spark: SparkSession, out: str, schema) -> DataFrame:
+    """All rows of :func:`write_batches`, with ``stream_epoch``."""
+    schema = T.StructType([*schema.fields, T.StructField("stream_epoch", T.LongType())])
+    if not images.path_exists(spark, out):  # no micro-batch yet
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(out)
+
+
+def newest_rows(spark: SparkSession, out: str, schema, by) -> DataFrame:
+    """The newest row per key of an aggregate written in update mode by
+    :func:`write_batches` (only the keys of a micro-batch are in its folder)."""
+    by = [by] if isinstance(by, str) else list(by)
+    rest = [f.name for f in schema.fields if f.name not in by]
+    newest = read_batches(spark, out, schema).groupBy(*by).agg(F.max_by(F.struct(*rest), "stream_epoch").alias("_new"))
+    return newest.select(*by, *[F.col(f"_new.{c}").alias(c) for c in rest])
+
+
 def run_frame_stream(spark: SparkSession, landing: str, out: str, checkpoint: str | None = None,
                      trigger="availableNow", max_files_per_trigger: int | None = None,
                      segmenter="threshold", **kw) -> StreamingQuery:

@@ -1,10 +1,19 @@
 """G4, O4, O5 and O6 on streams.
 
-Windows over a non-time order are not allowed on streams, so the sequence
-operators keep per-key state in the state store: a counter, and whether
-the key has ended. Only keys, order columns and ids pass through the state
-operator; frame bytes stay out of it. Within a micro-batch rows are taken
-in their order columns; across micro-batches in arrival order.
+Two orders are on offer, and they are named:
+
+* **Event order** (:func:`counted`, :func:`first_n`, :func:`until_end`): the
+  order columns decide, however rows are dealt to files and micro-batches.
+  The stream appends what can still matter of each micro-batch (its own first
+  ``n`` rows per key; its rows up to its own first END marker) and the result
+  is the batch operator over what has been appended, so it equals the batch
+  result at any moment and hot keys are split as in a batch.
+* **Arrival order** (:func:`count_frames`, :func:`bound_frames`): the live
+  counter of a client, kept in the state store. A row that arrives later gets
+  a later number; within a micro-batch rows are taken in their order columns.
+  The state operator holds one key's rows of one micro-batch, so only keys,
+  order columns and ids should pass through it, from a source that limits the
+  rows of a micro-batch.
 """
 
 from __future__ import annotations
@@ -19,6 +28,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from backdrop.functions.columns import END_MARKER
+from backdrop.operators import sequence as SEQ
+from backdrop.streaming import jobs as J
 
 # PySpark's grouped-state serializer concatenates empty chunks, which newer
 # pandas reports as a FutureWarning once per group; it does not affect results.
@@ -81,8 +92,45 @@ def bound_frames(df: DataFrame, by, order, limit: int | None = None, marker_col:
                                                   GroupStateTimeout.NoTimeout)
 
 
+def _run(df: DataFrame, out: str, checkpoint: str, trigger, each) -> None:
+    J.drain(J.write_batches(df, out, checkpoint, trigger, each))
+
+
+def _appended(df: DataFrame, out: str) -> DataFrame:
+    return J.read_batches(df.sparkSession, out, df.schema).drop("stream_epoch")
+
+
+def counted(df: DataFrame, by, order, out: str, checkpoint: str, name: str = "frame_count",
+            trigger="availableNow") -> DataFrame:
+    """G4 in event order: drains the stream ``df`` to ``out`` and numbers all that has arrived there."""
+    _run(df, out, checkpoint, trigger, None)
+    return SEQ.frame_counter(_appended(df, out), by, order, name=name)
+
+
+def first_n(df: DataFrame, by, order, n: int, out: str, checkpoint: str, seq: str = "seq",
+            trigger="availableNow") -> DataFrame:
+    """O4 in event order: no row beyond the first ``n`` of its own micro-batch can be among the first ``n`` of all."""
+    _run(df, out, checkpoint, trigger, lambda batch: SEQ.first_n(batch, by, order, n, seq).drop(seq))
+    return SEQ.first_n(_appended(df, out), by, order, n, seq)
+
+
+def until_end(df: DataFrame, by, order, out: str, checkpoint: str, marker_col: str = "frame_id",
+              end_value: int = END_MARKER, trigger="availableNow") -> DataFrame:
+    """O5 in event order: rows after the first END marker of their own micro-batch are not stored, the marker is."""
+    def each(batch: DataFrame) -> DataFrame:
+        # One row per key and micro-batch: the marker that comes first.
+        at = F.struct(*[F.col(c) for c in _names(order)])
+        marks = batch.where(F.col(marker_col) == end_value).groupBy(*_names(by)).agg(
+            F.min_by(F.struct(*batch.columns), at).alias("_mark")).select("_mark.*")
+        return SEQ.take_until_end(batch, by, order, marker_col, end_value).select(batch.columns).unionByName(marks)
+
+    _run(df, out, checkpoint, trigger, each)
+    return SEQ.take_until_end(_appended(df, out), by, order, marker_col, end_value)
+
+
 def latest_per_key(df: DataFrame, by, order, values) -> DataFrame:
-    """O6 on a stream: ``max_by`` aggregate (update or complete output mode)."""
+    """O6 on a stream: a ``max_by`` aggregate, to be written in update mode
+    (:func:`backdrop.streaming.jobs.write_batches`, ``newest_rows``)."""
     by, order, values = _names(by), _names(order), _names(values)
     best = F.max_by(F.struct(*values), F.struct(*order)).alias("_last")
     return df.groupBy(*by).agg(best, F.count(F.lit(1)).alias("n_frames")) \

@@ -61,7 +61,7 @@ def test_live_replies_and_counts(spark, tmp):
     latest_out = os.path.join(tmp, "latest")
     for q in B.run_live(spark, landing, replies_out, counts_out, max_files_per_trigger=2, latest_out=latest_out):
         J.drain(q)
-    latest = {r["session_id"]: (r["filename"], r["status"]) for r in spark.read.parquet(latest_out).collect()}
+    latest = {r["session_id"]: (r["filename"], r["status"]) for r in B.latest_results(spark, latest_out).collect()}
     assert latest == {"client1": ("f1.png", "success"), "client2": ("bad.jpg", "unreadable")}
     rep = {r["filename"]: r for r in spark.read.parquet(replies_out).collect()}
     assert rep["f0.png"]["status"] == "success" and rep["f0.png"]["data"] is not None
@@ -115,7 +115,7 @@ def test_live_frames_are_ordered_by_their_number(spark, tmp):
     out = {k: os.path.join(tmp, k) for k in ("replies", "counts", "latest")}
     for q in B.run_live(spark, landing, out["replies"], out["counts"], os.path.join(tmp, "ck"), latest_out=out["latest"]):
         J.drain(q)
-    latest = spark.read.parquet(out["latest"]).collect()
+    latest = B.latest_results(spark, out["latest"]).collect()
     assert sorted((r["session_id"], r["filename"], r["frame_id"]) for r in latest) == [
         ("cam_a", "cam_11.png", 11), ("cam_b", "cam_11.png", 11)]
     replies = spark.read.parquet(out["replies"])

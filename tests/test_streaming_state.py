@@ -68,3 +68,30 @@ def test_processing_time_trigger_paces_micro_batches(spark, tmp):
     _land(spark, landing, [(9, 1, 9)], "b9")
     J.drain(J.write_stream(src, out, ck, partition_by=None))
     assert sorted(r["event_id"] for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 9]
+
+
+def test_event_order_results_do_not_depend_on_files(spark, tmp):
+    """G4, O4, O5, O6 over rows dealt at random to files, one file per micro-batch, a NULL key and a late early row included."""
+    end = 0xFFFFFFFF
+    rows = [(i, None if i % 5 == 0 else i % 3, end if i in (23, 31) else i) for i in range(60)]
+    landing = os.path.join(tmp, "shuffled")
+    for k, part in enumerate(sorted(range(8), key=lambda x: -x)):
+        _land(spark, landing, [r for r in rows if r[0] * 7 % 8 == part], f"b{k}")
+    src = spark.readStream.schema(SCHEMA).option("recursiveFileLookup", "true") \
+        .option("maxFilesPerTrigger", 1).parquet(landing)
+    place = lambda tag: (os.path.join(tmp, f"{tag}-o"), os.path.join(tmp, f"{tag}-c"))
+    of = lambda key: [r for r in rows if r[1] == key]
+    keys = {r[1] for r in rows}
+
+    got = ST.counted(src, "client_id", ["event_id"], *place("n")).collect()
+    assert {(r["event_id"], r["frame_count"]) for r in got} == {(r[0], i + 1) for k in keys for i, r in enumerate(of(k))}
+    got = ST.first_n(src, "client_id", ["event_id"], 4, *place("f")).collect()
+    assert {(r["event_id"], r["seq"]) for r in got} == {(r[0], i) for k in keys for i, r in enumerate(of(k)[:4])}
+    got = ST.until_end(src, "client_id", ["event_id"], *place("e")).collect()
+    first = {k: min((r[0] for r in of(k) if r[2] == end), default=99) for k in keys}
+    assert sorted(r["event_id"] for r in got) == [r[0] for r in rows if r[0] < first[r[1]]]
+    last = ST.latest_per_key(src, "client_id", ["event_id"], ["event_id"])
+    out, ck = place("l")
+    J.drain(J.write_batches(last, out, ck, mode="update"))
+    got = J.newest_rows(spark, out, last.schema, "client_id").collect()
+    assert {(r["client_id"], r["event_id"], r["n_frames"]) for r in got} == {(k, of(k)[-1][0], len(of(k))) for k in keys}
