@@ -3,8 +3,9 @@
 * :func:`process_folder` - the batch folder job: scan a session folder,
   remove the backdrop of every frame in parallel, write the frames and
   return the result table. Nothing is collected; the driver sees no frame.
-* :func:`process_captures` - the finite session stream, recorded as capture
-  files: decode, land payloads as image files, then the same job.
+* :func:`process_captures`, :func:`stream_captures` - the finite session
+  stream, recorded as capture files: decode, land payloads as image files,
+  then the same job, for all files at once or as they arrive.
 * :func:`run_live` - the live round trip as a stream: frames landing per
   client, processed per micro-batch, replies appended to a reply table,
   with a running frame counter per client.
@@ -13,12 +14,14 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from backdrop import schemas
 from backdrop.functions import columns as C
 from backdrop.operators import results as R
 from backdrop.sinks import frames as SK
@@ -37,12 +40,20 @@ def process_folder(spark: SparkSession, input_root: str, output_root: str, sessi
     repeated run replaces the sessions that it writes; result rows are those
     of this run's sessions only.
     """
-    frames = IM.read_image_folder(spark, input_root, session_id)
-    processed = J.frame_transform(frames, segmenter, **kw)
     if export == "png":
-        return SK.export_png(processed, output_root, input_root)
+        # Frames are numbered in the slim result table: pixels meet no join.
+        frames = IM.read_image_folder(spark, input_root, session_id, number=False)
+        done = SK.export_png(J.frame_transform(frames, segmenter, **kw), output_root, input_root)
+        folder = input_root if session_id is None else IM.session_dir(spark, input_root, session_id)
+        if folder is None or not IM.path_exists(spark, folder):
+            return done
+        numbers = IM.number_files(spark, folder, session_id).groupBy("session_id", "filename").agg(
+            F.min("frame_id").alias("frame_id"))
+        return done.drop("frame_id").join(numbers, ["session_id", "filename"], "left").select(*done.columns)
     if export != "parquet":
         raise ValueError("export must be 'png' or 'parquet'")
+    frames = IM.read_image_folder(spark, input_root, session_id)
+    processed = J.frame_transform(frames, segmenter, **kw)
     SK.write_frames(processed, output_root, mode="overwrite", sessions_only=True)
     done = SK.read_frames(spark, output_root).join(frames.select("session_id").distinct(), "session_id", "left_semi")
     written = F.concat(F.lit(f"{output_root.rstrip('/')}/session_id="), F.col("session_id"))
@@ -64,22 +75,60 @@ def capture_session(capture_col: str = "capture"):
     return F.regexp_replace(C.file_name(capture_col), r"\.[^.]*$", "")
 
 
+def process_records(records: DataFrame, landing: str, output_root: str, segmenter="threshold", **kw) -> DataFrame:
+    """K1 + K3 for decoded capture records: one result row per record, whatever became of it.
+
+    The payloads are decoded once, by the action that lands them as images in
+    a folder of this run and stores the slim record table. A frame is known by
+    its session and its place in its capture, so equal, missing or odd names
+    cost nothing: it lands, and is exported, under its place (``3-<capture>.png``,
+    where the second part tells captures of one name apart).
+    """
+    spark = records.sparkSession
+    run = f"{landing.rstrip('/')}/run-{uuid.uuid4().hex}"
+    place = F.concat(F.col("seq").cast("string"), F.lit("-"), F.hex(F.xxhash64("capture")), F.lit(".png"))
+    named = records.where(F.col("seq").isNotNull()).select(
+        capture_session().alias("session_id"), "seq", F.coalesce("frame_id", "seq").alias("frame_id"),
+        F.coalesce("filename", F.format_string("frame_%d.jpg", "seq")).alias("filename"), place.alias("place"),
+        "payload", "status", "message")
+    slim_path = J.scratch_path(spark, "records")
+    slim = SK.land_payloads(named, run, name_col="place")
+    slim.write.parquet(slim_path)
+    slim = spark.read.schema(slim.schema).parquet(slim_path).withColumn("place", C.file_name("path"))
+    images = IM.read_image_folder(spark, run, number=False, report_empty=False)
+    done = SK.export_png(J.frame_transform(images, segmenter, **kw), output_root, run).select(
+        "session_id", F.col("filename").alias("place"), "output_path", F.col("status").alias("_status"),
+        F.col("message").alias("_message"))
+    landed = F.col("status") == schemas.SUCCESS
+    return slim.join(done, ["session_id", "place"], "left").select(
+        "session_id", "seq", "frame_id", "filename", F.col("path").alias("input_path"), "output_path",
+        F.when(landed, F.coalesce("_status", F.lit(schemas.UNREADABLE))).otherwise(F.col("status")).alias("status"),
+        F.when(landed, F.col("_message")).otherwise(F.col("message")).alias("message"))
+
+
 def process_captures(spark: SparkSession, captures: str, landing: str, output_root: str, framing: str = "session",
                      segmenter="threshold", **kw) -> DataFrame:
-    """S3/S4 -> K1: decode capture files, land payloads as images (decoded by
-    the JVM image source), process them and return the result rows numbered
-    by the capture's frame ids."""
-    records = CAP.read_captures(spark, captures, framing)
-    frames = CAP.frames_of(records).withColumn("session_id", capture_session()) \
-        .withColumn("filename", F.coalesce("filename", F.format_string("frame_%d.jpg", "seq")))
-    landed = SK.land_payloads(frames, landing).where(F.col("status") == "success")
-    landed.write.format("noop").mode("overwrite").save()  # files must exist before the image scan plans
-    images = IM.read_image_folder(spark, landing, number=False)
-    ids = frames.select("session_id", "filename", F.coalesce("frame_id", "seq").alias("_fid"))
-    numbered = R.attach(images, ids, ["session_id", "filename"], "left") \
-        .withColumn("frame_id", F.col("_fid")).drop("_fid")
-    processed = J.frame_transform(numbered, segmenter, **kw)
-    return SK.export_png(processed, output_root, landing)
+    """S3/S4 -> K1 (T2): capture files decoded, landed, processed; see :func:`process_records`."""
+    return process_records(CAP.read_captures(spark, captures, framing), landing, output_root, segmenter, **kw)
+
+
+def stream_captures(spark: SparkSession, captures: str, landing: str, output_root: str, results_out: str,
+                    checkpoint: str | None = None, framing: str = "session", trigger="availableNow",
+                    max_files_per_trigger: int | None = None, segmenter="threshold", **kw) -> StreamingQuery:
+    """The same job on captures as they land. Each micro-batch adds its
+    result rows to ``results_out`` (:func:`capture_results` reads them)."""
+    records = CAP.read_captures(spark, captures, framing, streaming=True, max_files_per_trigger=max_files_per_trigger)
+    return J.write_batches(records, results_out, checkpoint or J.scratch_path(spark, "captures-ckpt"), trigger,
+                           lambda batch: process_records(batch, landing, output_root, segmenter, **kw))
+
+
+CAPTURE_RESULTS = T.StructType([schemas.RESULTS["session_id"], T.StructField("seq", T.LongType()),
+                                *[f for f in schemas.RESULTS.fields if f.name != "session_id"]])
+
+
+def capture_results(spark: SparkSession, results_out: str) -> DataFrame:
+    """The result rows that :func:`stream_captures` has written so far."""
+    return J.read_batches(spark, results_out, CAPTURE_RESULTS).drop("stream_epoch")
 
 
 def run_live(spark: SparkSession, landing: str, replies_out: str, counts_out: str | None = None,

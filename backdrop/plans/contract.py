@@ -19,6 +19,7 @@ from backdrop.operators import frames as FO
 from backdrop.operators import results as R
 from backdrop.operators import sequence as SEQ
 from backdrop.operators import summary as SUM
+from backdrop.plans import batch as B
 from backdrop.sinks import frames as SK
 from backdrop.sources import captures as CAP
 from backdrop.sources import images as IM
@@ -410,42 +411,50 @@ def recomposite_identity(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------
-# Captures: documents packed into capture bytes in the JVM (at most 16 frames
-# per capture, so no group is unbounded), then decoded by the real decoder.
+# Captures: documents packed into capture bytes in the JVM. A capture takes the
+# documents of a source whose ids lie in one range of this length, so no group
+# is unbounded, then the real decoder reads it.
 
-_FRAMES_PER_CAPTURE = 16
+_IDS_PER_CAPTURE = 64
 
 
-def _packed_captures(spark, sf_dir, framing):
-    docs = SEQ.sequence_number(_t(spark, sf_dir, "documents").select("source", "doc_id", "text"),
-                               "source", ["doc_id"], name="rank")
-    capture = F.concat(F.col("source"), F.lit("_"), F.floor(F.col("rank") / _FRAMES_PER_CAPTURE).cast("string"))
-    name = C.utf8_bytes(C.frame_file_name(F.col("source"), F.col("doc_id")))
-    payload = C.utf8_bytes("text")
+def _capture_bytes(rows, framing, announced=None):
+    """``capture``, ``content`` of rows ``capture, id, name, payload``, packed by
+    capture in the order of ``id``; ``announced`` over ``n`` and ``capture``."""
+    name, payload = C.utf8_bytes("name"), F.col("payload")
     if framing == "session":
-        rec = F.concat(C.uint32_be_bytes(F.octet_length(name)), name, C.uint32_be_bytes(F.col("doc_id")),
+        rec = F.concat(C.uint32_be_bytes(F.octet_length(name)), name, C.uint32_be_bytes(F.col("id")),
                        C.uint32_be_bytes(F.octet_length(payload)), payload)
     else:
         rec = F.concat(C.uint32_be_bytes(F.octet_length(payload)), payload)
-    grouped = docs.select(capture.alias("capture"), "doc_id", rec.alias("rec")).groupBy("capture").agg(
-        F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct("doc_id", "rec"))).alias("recs"))
+    grouped = rows.select("capture", "id", rec.alias("rec")).groupBy("capture").agg(
+        F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct("id", "rec"))).alias("recs"))
     body = F.aggregate("recs", F.expr("X''"), lambda acc, x: F.concat(acc, x["rec"]))
     if framing == "session":
-        content = F.concat(C.uint32_be_bytes(F.col("n")), body)
+        content = F.concat(C.uint32_be_bytes(F.col("n") if announced is None else announced), body)
     else:
         content = F.concat(body, F.expr("X'00000000'"))
     return grouped.select("capture", content.alias("content"))
 
 
+def _capture_rows(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents")
+    block = F.floor(F.col("doc_id") / _IDS_PER_CAPTURE).cast("string")
+    return docs.select(F.concat("source", F.lit("_"), block).alias("capture"), F.col("doc_id").alias("id"),
+                       C.frame_file_name(F.col("source"), F.col("doc_id")).alias("name"),
+                       C.utf8_bytes("text").alias("payload"))
+
+
+def _packed_captures(spark, sf_dir, framing):
+    return _capture_bytes(_capture_rows(spark, sf_dir), framing)
+
+
 _CAPTURE_DOCS = """
-ranked AS (
-  SELECT doc_id, source, text, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS rank FROM documents
-),
 cd AS (
-  SELECT source || '_' || CAST(rank // 16 AS VARCHAR) AS capture, doc_id, source, text,
-         row_number() OVER (PARTITION BY source, rank // 16 ORDER BY doc_id) - 1 AS seq,
-         count(*) OVER (PARTITION BY source, rank // 16) AS n
-  FROM ranked
+  SELECT source || '_' || CAST(doc_id // 64 AS VARCHAR) AS capture, doc_id, source, text,
+         row_number() OVER (PARTITION BY source, doc_id // 64 ORDER BY doc_id) - 1 AS seq,
+         count(*) OVER (PARTITION BY source, doc_id // 64) AS n
+  FROM documents
 )"""
 
 
@@ -480,6 +489,61 @@ def capture_decode_bare(spark, sf_dir):
                        F.md5("payload").alias("payload_md5"), "status")
 
 
+_ODD_CAPTURES = f"""
+WITH {_CAPTURE_DOCS},
+od AS (
+  SELECT capture, doc_id, seq, n, doc_id // 64 % 4 AS kind, CASE WHEN doc_id % 9 = 0 THEN '' ELSE text END AS body,
+         CASE WHEN doc_id % 5 = 0 THEN 'same.png' WHEN doc_id % 5 = 1 THEN 'frame' ELSE 'f' || CAST(doc_id AS VARCHAR) END AS filename
+  FROM cd
+),
+kept AS (SELECT * FROM od WHERE kind <> 2 OR seq < n - 1),
+ends AS (
+  SELECT capture, max(kind) AS kind, max(n) AS n, max(CASE WHEN seq = n - 1 THEN strlen(body) END) AS last_size FROM od GROUP BY capture
+)"""
+
+
+@query("capture_decode_odd", f"""{_ODD_CAPTURES}
+SELECT capture, seq, filename, doc_id AS frame_id, strlen(body) AS size,
+       CASE WHEN strlen(body) > 0 THEN 'success' ELSE 'unreadable' END AS status, false AS truncated
+FROM kept
+UNION ALL
+SELECT capture, NULL, CASE WHEN kind = 1 THEN 'end marker' WHEN kind = 2 AND last_size >= 3 THEN 'cut inside a payload'
+                          WHEN kind >= 2 THEN 'cut inside a record header' ELSE 'complete' END
+              || '; ' || CAST(CASE WHEN kind = 2 THEN n - 1 ELSE n END AS VARCHAR) || ' frames',
+       NULL, NULL, 'end', kind >= 2
+FROM ends
+""")
+def capture_decode_odd(spark, sf_dir):
+    """S3 + P6 + O5 + G3: equal names, names without an extension, empty payloads, END records, cut and short captures."""
+    return _odd_records(spark, sf_dir).select(
+        "capture", "seq", F.when(F.col("status") == CAP.END_STATUS, F.col("message")).otherwise(F.col("filename")).alias("filename"),
+        "frame_id", F.octet_length("payload").cast("long").alias("size"), "status", "truncated")
+
+
+def _odd_records(spark, sf_dir):
+    """Captures by ``block % 4``: whole, ended by an END record, cut in the last record, fewer records than announced."""
+    i = F.col("id")
+    rows = _capture_rows(spark, sf_dir).withColumn("payload", F.when(i % 9 == 0, F.expr("X''")).otherwise(F.col("payload"))) \
+        .withColumn("name", F.when(i % 5 == 0, "same.png").when(i % 5 == 1, "frame").otherwise(F.concat(F.lit("f"), i.cast("string"))))
+    kind = F.substring_index("capture", "_", -1).cast("long") % 4
+    packed = _capture_bytes(rows, "session", F.col("n") + F.when(kind == 1, 3).when(kind == 3, 2).otherwise(0))
+    end = F.concat(C.uint32_be_bytes(F.lit(0)), C.uint32_be_bytes(F.lit(C.END_MARKER)), C.uint32_be_bytes(F.lit(0)))
+    content = F.col("content")
+    odd = F.when(kind == 1, F.concat(content, end)).when(
+        kind == 2, F.substring(content, F.lit(1), F.octet_length(content) - 3)).otherwise(content)
+    return CAP.decode_captures(packed.select("capture", odd.alias("content")), "session", name_col="capture")
+
+
+@query("capture_completeness_odd", f"""{_ODD_CAPTURES}
+SELECT e.capture, e.n + CASE e.kind WHEN 1 THEN 3 WHEN 3 THEN 2 ELSE 0 END AS announced,
+       count(k.doc_id) AS received, count(*) FILTER (WHERE strlen(k.body) > 0) AS usable, e.kind >= 2 AS truncated, e.kind = 0 AS complete
+FROM ends e LEFT JOIN kept k ON e.capture = k.capture GROUP BY e.capture, e.n, e.kind
+""")
+def capture_completeness_odd(spark, sf_dir):
+    """G3 on captures that are short, cut, or ended early."""
+    return CAP.capture_completeness(_odd_records(spark, sf_dir))
+
+
 @query("capture_completeness", f"""
 WITH {_CAPTURE_DOCS}
 SELECT capture, max(n) AS announced, count(*) AS received, count(*) AS usable, false AS truncated, true AS complete
@@ -645,7 +709,11 @@ def parquet_sink_roundtrip(spark, sf_dir):
 def _capture_files(spark, sf_dir, framing):
     """Packed captures written as files ``<root>/captures/<capture>.bin|.raw``."""
     ext = {"session": ".bin", "bare": ".raw"}[framing]
-    packed = _packed_captures(spark, sf_dir, framing).select(
+    return _landed_captures(spark, _packed_captures(spark, sf_dir, framing), ext)
+
+
+def _landed_captures(spark, packed, ext):
+    packed = packed.select(
         F.lit("captures").alias("session_id"), F.lit(0).cast("long").alias("seq"),
         F.concat("capture", F.lit(ext)).alias("filename"), F.col("content").alias("payload"),
         F.lit("success").alias("status"), F.lit(None).cast("string").alias("message"))
@@ -790,3 +858,162 @@ def recovered_mask(spark, sf_dir):
     done = FO.remove_backdrop(V.frames(_t(spark, sf_dir, "embeddings"), "grey"), ThresholdSegmenter(_LEVEL))
     masks = FO.backdrop_mask(done)
     return masks.select("session_id", "frame_id", "sentinel_px", F.hex("mask").alias("mask_hex"))
+
+
+# --------------------------------------------------------------------------
+# Jobs end to end on odd input, and frames whose segmenter fails.
+
+
+def _fragile(rgb):
+    """A segmenter that cannot do frames with a dark first pixel."""
+    if rgb[0, 0, 0] < 100:
+        raise ValueError("dark corner")
+    return rgb[..., 0] >= 153
+
+
+_FAILING = f"""
+WITH {_PX}
+SELECT session_id, frame_id,
+       CASE WHEN max(p) FILTER (WHERE i = 1) < 100 THEN 'error' ELSE 'success' END AS status,
+       CASE WHEN max(p) FILTER (WHERE i = 1) < 100 THEN 'ValueError: dark corner' END AS message,
+       CASE WHEN max(p) FILTER (WHERE i = 1) >= 100 THEN
+         string_agg(repeat(printf('%02X', CASE WHEN p >= 153 THEN 192 ELSE p END), 3), '' ORDER BY i) END AS out_hex
+FROM px GROUP BY session_id, frame_id
+"""
+
+
+def _failing(frames):
+    out = J.frame_transform(frames, _fragile)
+    hexed = F.when(F.col("status") == "success", F.hex("data"))
+    return out.select("session_id", "frame_id", "status", "message", hexed.alias("out_hex"))
+
+
+@query("failing_frames", _FAILING)
+def failing_frames(spark, sf_dir):
+    """P5: a frame that fails is an error row with its message; the others are done."""
+    return _failing(V.frames(_t(spark, sf_dir, "embeddings"), "grey"))
+
+
+@query("stream_failing_frames", _FAILING)
+def stream_failing_frames(spark, sf_dir):
+    """Failing frames do not stop the stream, whose later micro-batches are done."""
+    return _drain_to_files(spark, _failing(V.frames(_stream_table(spark, sf_dir, "embeddings"), "grey")), "stream-failing")
+
+
+@query("stream_paced", f"""
+WITH {_PX}
+SELECT session_id, frame_id, count(*) FILTER (WHERE x > 0.2) AS painted, true AS paced FROM px GROUP BY session_id, frame_id
+""")
+def stream_paced(spark, sf_dir):
+    """T4: a processing-time trigger takes the files a few at a time; ``paced`` tells that it did."""
+    fr = V.frames(_stream_table(spark, sf_dir, "embeddings"), "grey")
+    out = J.frame_transform(fr, ThresholdSegmenter(_LEVEL)).select("session_id", "frame_id", "painted")
+    base = J.scratch_path(spark, "stream-paced")
+    query = J.write_stream(out, f"{base}/out", f"{base}/ckpt", trigger="100 milliseconds", partition_by=None)
+    query.processAllAvailable()
+    query.stop()
+    busy = [p for p in query.recentProgress if p["numInputRows"] > 0]
+    back = spark.read.schema(out.schema).parquet(f"{base}/out")
+    return back.withColumn("paced", F.lit(len(busy) >= STREAM_BATCHES // 2))
+
+
+# An uncompressed 8x8 image file, top row first (fixed values of the format);
+# its pixels follow.
+_BMP_HEAD = ("424D" "F6000000" "00000000" "36000000" "28000000" "08000000" "F8FFFFFF" "0100" "1800" "00000000"
+             "C0000000" "00000000" "00000000" "00000000" "00000000")
+
+
+def _image_file():
+    """A grey 8x8 frame as the bytes of an image file, made in the JVM."""
+    return F.unhex(F.concat(F.lit(_BMP_HEAD), F.regexp_replace(F.hex("data"), "(..)", "$1$1$1")))
+
+
+def _odd_payload(frame_id):
+    """An image file; empty for every seventh frame, no image for every eleventh."""
+    return F.when(frame_id % 7 == 0, F.expr("X''")).when(frame_id % 11 == 0, C.utf8_bytes(F.lit("no image"))) \
+        .otherwise(_image_file())
+
+
+_ODD_STATUS = "CASE WHEN frame_id % 7 = 0 OR frame_id % 11 = 0 THEN 'unreadable' ELSE 'success' END"
+
+_PROCESSED = f"""
+WITH {_PX},
+fr AS (
+  SELECT session_id || '_' || CAST(frame_id // 16 AS VARCHAR) AS session_id, frame_id,
+         string_agg(repeat(printf('%02X', CASE WHEN x > 0.2 THEN 192 ELSE p END), 3), '' ORDER BY i) AS out_hex
+  FROM px GROUP BY px.session_id, frame_id
+)
+SELECT session_id, row_number() OVER (PARTITION BY session_id ORDER BY frame_id) - 1 AS seq, frame_id,
+       CASE frame_id % 5 WHEN 0 THEN 'same.png' WHEN 1 THEN 'frame' ELSE 'f_' || CAST(frame_id AS VARCHAR) || '.jpg' END AS filename,
+       {_ODD_STATUS} AS status, CASE WHEN {_ODD_STATUS} = 'success' THEN out_hex END AS out_hex
+FROM fr
+"""
+
+
+def _frame_captures(spark, sf_dir):
+    """Capture files of at most 16 frames; equal names, names without extension, empty and broken payloads, short captures."""
+    fr = V.frames(_t(spark, sf_dir, "embeddings"), "grey")
+    i, block = F.col("frame_id"), F.floor(F.col("frame_id") / 16).cast("string")
+    rows = fr.select(
+        F.concat("session_id", F.lit("_"), block).alias("capture"), i.alias("id"),
+        F.when(i % 5 == 0, "same.png").when(i % 5 == 1, "frame").otherwise(F.concat(F.lit("f_"), i.cast("string"), F.lit(".jpg"))).alias("name"),
+        _odd_payload(i).alias("payload"))
+    short = F.substring_index("capture", "_", -1).cast("long") % 3 == 1
+    packed = _capture_bytes(rows, "session", F.col("n") + F.when(short, 2).otherwise(0))
+    return _landed_captures(spark, packed, ".bin")
+
+
+def _with_output(spark, results, out):
+    back = IM.read_image_folder(spark, out, number=False).select(
+        "session_id", F.col("filename").alias("_file"), F.hex("data").alias("out_hex"))
+    return results.withColumn("_file", C.file_name("output_path")).join(back, ["session_id", "_file"], "left") \
+        .select("session_id", "seq", "frame_id", "filename", "status", "out_hex")
+
+
+@query("process_captures", _PROCESSED)
+def process_captures(spark, sf_dir):
+    """U2 + T2: capture files to exported frames, one result row per record."""
+    out = J.scratch_path(spark, "captures-out")
+    results = B.process_captures(spark, _frame_captures(spark, sf_dir), J.scratch_path(spark, "captures-landing"), out,
+                                 segmenter=ThresholdSegmenter(_LEVEL))
+    return _with_output(spark, results, out)
+
+
+@query("stream_process_captures", _PROCESSED)
+def stream_process_captures(spark, sf_dir):
+    """U2 + T1 + T3: the same job on captures as they land, a few files per micro-batch."""
+    captures = _frame_captures(spark, sf_dir)
+    out, rows = J.scratch_path(spark, "captures-out"), J.scratch_path(spark, "captures-rows")
+    files = spark.read.format("binaryFile").load(captures).select("path").count()
+    J.drain(B.stream_captures(spark, captures, J.scratch_path(spark, "captures-landing"), out, rows,
+                              max_files_per_trigger=max(1, -(-files // 3)), segmenter=ThresholdSegmenter(_LEVEL)))
+    return _with_output(spark, B.capture_results(spark, rows), out)
+
+
+@query("process_folder", f"""
+WITH {_PX},
+fr AS (
+  SELECT session_id, frame_id, 'f_' || CAST(frame_id AS VARCHAR) || CASE WHEN frame_id % 3 = 0 THEN '.PNG' ELSE '.jpeg' END AS filename,
+         string_agg(repeat(printf('%02X', CASE WHEN x > 0.2 THEN 192 ELSE p END), 3), '' ORDER BY i) AS out_hex
+  FROM px GROUP BY session_id, frame_id
+)
+SELECT session_id, row_number() OVER (PARTITION BY session_id ORDER BY filename) - 1 AS frame_id, filename,
+       {_ODD_STATUS} AS status, CASE WHEN {_ODD_STATUS} = 'success' THEN out_hex END AS out_hex
+FROM fr
+""")
+def process_folder(spark, sf_dir):
+    """U1 + S1 + S7 + P6: the folder job over upper-case names, empty and broken
+    files, files of nested folders and of other kinds (left out), and a session that is not there."""
+    fr = V.frames(_t(spark, sf_dir, "embeddings"), "grey")
+    i = F.col("frame_id")
+    name = F.concat(F.lit("f_"), i.cast("string"), F.when(i % 3 == 0, ".PNG").otherwise(".jpeg"))
+    files = fr.select("session_id", i.alias("seq"), name.alias("filename"), _odd_payload(i).alias("payload"),
+                      F.lit("success").alias("status"), F.lit(None).cast("string").alias("message"))
+    nested = files.where("seq % 10 = 0").withColumn("session_id", F.concat("session_id", F.lit("/nested")))
+    other = files.where("seq % 10 = 1").withColumn("filename", F.concat("filename", F.lit(".txt")))
+    root, out = J.scratch_path(spark, "folder-in"), J.scratch_path(spark, "folder-out")
+    SK.land_payloads(files.unionByName(nested).unionByName(other), root).write.format("noop").mode("overwrite").save()
+    seg = ThresholdSegmenter(_LEVEL)
+    done = B.process_folder(spark, root, out, segmenter=seg)
+    done = done.unionByName(B.process_folder(spark, root, out, session_id="absent", segmenter=seg))
+    return _with_output(spark, done.withColumn("seq", F.col("frame_id")), out).drop("seq")

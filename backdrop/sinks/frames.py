@@ -129,14 +129,16 @@ def replies(processed: DataFrame, key: str = "session_id", original_col: str | N
     return processed.select(key, "frame_id", "filename", reply.alias("data"), "height", "width", "status", "message")
 
 
-def land_payloads(records: DataFrame, root: str, session_col: str = "session_id") -> DataFrame:
+def land_payloads(records: DataFrame, root: str, session_col: str = "session_id", name_col: str = "filename") -> DataFrame:
     """Write each decoded capture payload (an encoded image) to
-    ``<root>/<session>/<filename>`` so Spark's ``image`` source can decode it
+    ``<root>/<session>/<name_col>`` so Spark's ``image`` source can decode it
     on the executors. Same path on retry (temporary name + rename). Returns
-    ``session_id, seq, filename, path, status, message``."""
+    ``session_id, seq, frame_id, filename, path, status, message``."""
     local_root = _local_path(root).rstrip("/")
-    slim = records.select(F.col(session_col).alias("session_id"), "seq", "filename", "payload", "status", "message")
-    out_schema = "session_id string, seq long, filename string, path string, status string, message string"
+    frame_id = F.col("frame_id") if "frame_id" in records.columns else F.lit(None)
+    slim = records.select(F.col(session_col).alias("session_id"), "seq", frame_id.cast("long").alias("frame_id"), "filename",
+                          F.col(name_col).alias("name"), "payload", "status", "message")
+    out_schema = "session_id string, seq long, frame_id long, filename string, path string, status string, message string"
 
     def run(batches):
         for batch in batches:
@@ -146,7 +148,7 @@ def land_payloads(records: DataFrame, root: str, session_col: str = "session_id"
                 target = None
                 if status[i] == schemas.SUCCESS:
                     try:
-                        name = os.path.basename(d["filename"][i] or f"frame_{d['seq'][i]}.jpg")
+                        name = os.path.basename(d["name"][i] or f"frame_{d['seq'][i]}.jpg")
                         folder = os.path.join(local_root, d["session_id"][i])
                         os.makedirs(folder, exist_ok=True)
                         target = os.path.join(folder, name)
@@ -157,8 +159,10 @@ def land_payloads(records: DataFrame, root: str, session_col: str = "session_id"
                     except Exception as exc:  # noqa: BLE001 - reported in the row
                         status[i], message[i], target = schemas.ERROR, f"{type(exc).__name__}: {exc}", None
                 paths.append(target)
-            yield pa.RecordBatch.from_pydict({
-                "session_id": d["session_id"], "seq": d["seq"], "filename": d["filename"], "path": paths,
-                "status": status, "message": message})
+            text = pa.string()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(d["session_id"], text), pa.array(d["seq"], pa.int64()), pa.array(d["frame_id"], pa.int64()),
+                 pa.array(d["filename"], text), pa.array(paths, text), pa.array(status, text), pa.array(message, text)],
+                ["session_id", "seq", "frame_id", "filename", "path", "status", "message"])
 
     return slim.mapInArrow(run, out_schema)

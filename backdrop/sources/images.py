@@ -4,13 +4,14 @@ Layout: ``<root>/<session_id>/<file>`` or ``<root>/session_id=<id>/<file>``.
 Spark's ``image`` source decodes PNG and JPEG in the JVM; the extension test
 is a case-insensitive glob pushed into the file listing (Spark's
 ``pathGlobFilter`` itself is case-sensitive), so other files are never
-opened. Partition discovery is off (``recursiveFileLookup``); the session id
-is the parent directory name, kept as text.
+opened. Partition discovery is off (``recursiveFileLookup``) and files below a
+session's own directory are left out, so a folder's frames are its direct
+children; the session id is the parent directory name, kept as text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,12 +51,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _plain(path) -> Column:
+    """A path or URI without its scheme and authority."""
+    return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?(?=/)", "")
+
+
+def _below(spark: SparkSession, root: str, levels: int, path) -> Column:
+    """True for files exactly ``levels`` path components below ``root``."""
+    if any(c in root for c in "*?[{"):  # a glob: its matches lie at different depths
+        return F.lit(True)
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    depth = fs.makeQualified(p).toUri().getPath().rstrip("/").count("/") + levels
+    return F.size(F.split(_plain(path), "/")) == depth + 1
+
+
 def empty_frames(spark: SparkSession, schema=schemas.FRAMES) -> DataFrame:
     """The empty result of a missing folder or a session without frames."""
     return spark.createDataFrame([], schema)
 
 
-def _session_dir(spark: SparkSession, root: str, session_id: str) -> str | None:
+def session_dir(spark: SparkSession, root: str, session_id: str) -> str | None:
     """``<root>/<id>`` or ``<root>/session_id=<id>``, whichever exists."""
     for name in (session_id, f"session_id={session_id}"):
         path = f"{root.rstrip('/')}/{name}"
@@ -185,29 +202,37 @@ def read_image_folder(spark: SparkSession, root: str, session_id: str | None = N
     dropped (``on_unreadable="drop"``) or marked (``"status"``). Zero-byte
     files are reported as unreadable frames (``report_empty``).
     """
-    path = root if session_id is None else _session_dir(spark, root, session_id)
+    path = root if session_id is None else session_dir(spark, root, session_id)
     if path is None or not path_exists(spark, path):
         return empty_frames(spark)
-    frames = _as_frames(_image_reader(spark, False).load(path), session_id)
+    levels = 2 if session_id is None else 1
+    frames = _as_frames(_image_reader(spark, False).load(path), session_id).where(_below(spark, path, levels, "origin"))
     zero_length = _zero_length_files(spark, path) if (report_empty or number) else None
     if report_empty:
-        frames = frames.unionByName(empty_image_files(spark, path, session_id, zero_length))
+        empty = empty_image_files(spark, path, session_id, zero_length)
+        frames = frames.unionByName(empty.where(_below(spark, path, levels, "origin")))
     if number:
-        # Number a content-free listing and join the numbers back on the
-        # (unique) file key. The listing is counted first (metadata only) and
-        # broadcast when it is within the limit, so decoded frames are never
-        # shuffled; beyond it the join falls back to a shuffle join.
-        names = list_files(spark, path, images_only=True, zero_length=zero_length)
-        if session_id is not None:
-            names = names.withColumn("session_id", F.lit(session_id))
-        numbered = SEQ.enumerate_frames(names, "session_id", ["filename"], name="frame_id")
-        frames = R.attach(frames.drop("frame_id"), numbered, ["session_id", "filename"], "left",
+        # Number a content-free listing and join the numbers back on the file's
+        # path. The listing is counted first (metadata only) and broadcast when
+        # it is within the limit, so decoded frames are not shuffled.
+        numbered = number_files(spark, path, session_id, zero_length).select("path", "frame_id")
+        frames = R.attach(frames.drop("frame_id").withColumn("path", _plain("origin")), numbered, ["path"], "left",
                           max_broadcast_rows=NUMBERING_BROADCAST_FILES).select(*schemas.FRAMES.fieldNames())
     if on_unreadable == "drop":
         return R.handle_unreadable(frames, "drop")
     return frames
 
 
+def number_files(spark: SparkSession, path: str, session_id: str | None = None,
+                 zero_length: DataFrame | None = None) -> DataFrame:
+    """O1 + O2 without pixels: ``session_id, filename, path, frame_id`` of every
+    image file of a session folder (or of all sessions), by name."""
+    names = _listing(spark, path, True, zero_length, 2 if session_id is None else 1)
+    if session_id is not None:
+        names = names.withColumn("session_id", F.lit(session_id))
+    return SEQ.enumerate_frames(names, "session_id", ["filename", "path"], name="frame_id")
+
+
 def replay_folder(spark: SparkSession, folder: str, session_id: str | None = None) -> DataFrame:
     """A folder replayed in name order, numbered from 0, unreadable frames
     skipped (their numbers leave gaps). ``frame_id`` carries the order; the
@@ -220,7 +245,8 @@ def stream_image_folder(spark: SparkSession, landing: str, max_files_per_trigger
     """S6 (+ S2 pacing): frames as they land in ``landing``; one micro-batch
     takes at most ``max_files_per_trigger`` files. ``frame_id`` is assigned by
     the streaming counter (see :mod:`backdrop.streaming.state`)."""
-    return _as_frames(_image_reader(spark, True, max_files_per_trigger).load(landing))
+    return _as_frames(_image_reader(spark, True, max_files_per_trigger).load(landing)).where(
+        _below(spark, landing, 2, "origin"))
 
 
 def stream_file_names(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -229,7 +255,7 @@ def stream_file_names(spark: SparkSession, landing: str, max_files_per_trigger:
         .option("pathGlobFilter", C.IMAGE_GLOB).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    files = reader.load(landing)
+    files = reader.load(landing).where(_below(spark, landing, 2, "path"))
     return files.select(C.parent_name("path").alias("session_id"), C.file_name("path").alias("filename"))
 
 
@@ -239,12 +265,16 @@ def list_files(spark: SparkSession, root: str, images_only: bool = False,
     (``binaryFile`` skips the ``content`` column when it is not selected)."""
     if not path_exists(spark, root):
         return spark.createDataFrame([], "session_id string, filename string")
+    return _listing(spark, root, images_only, zero_length, 2).select("session_id", "filename")
+
+
+def _listing(spark: SparkSession, root: str, images_only: bool, zero_length: DataFrame | None, levels: int) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if images_only:
         reader = reader.option("pathGlobFilter", C.IMAGE_GLOB)
     zl = zero_length if zero_length is not None else _zero_length_files(spark, root)
-    files = reader.load(root).select("path").unionByName(zl)
-    out = files.select(C.parent_name("path").alias("session_id"), C.file_name("path").alias("filename"))
+    files = reader.load(root).select("path").unionByName(zl).where(_below(spark, root, levels, "path"))
+    out = files.select(C.parent_name("path").alias("session_id"), C.file_name("path").alias("filename"), _plain("path").alias("path"))
     return out.where(C.is_image_name("filename")) if images_only else out
 
 
