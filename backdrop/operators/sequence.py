@@ -22,11 +22,10 @@ from backdrop.functions.columns import END_MARKER
 ROWS_PER_SEGMENT = 2_000_000
 # Splitters per hot key when the first order column is not numeric.
 _SAMPLES_PER_SEGMENT = 16
-_MAX_STRING_SPLITS = 4096
 # Fine buckets per segment for numeric order values (absorbs 8x bunching).
 _FINE_PER_SEGMENT = 8
 
-_SEG = "_seg"
+_SEG, _KEY = "_seg", "_key"
 
 
 def _names(cols) -> list[str]:
@@ -47,6 +46,19 @@ def _sortable_number(df: DataFrame, name: str) -> Column | None:
     return None
 
 
+def _splits_up_to(splits: Column, value: Column) -> Column:
+    """How many of the sorted ``splits`` are not above ``value``, by halving (NULL values come first: none)."""
+    def halve(span: Column, _step: Column) -> Column:
+        mid = F.floor((span["lo"] + span["hi"]) / 2).cast("int")
+        below = F.coalesce(F.get(splits, mid) <= value, F.lit(False))
+        inside = F.when(below, F.struct((mid + 1).alias("lo"), span["hi"].alias("hi"))).otherwise(
+            F.struct(span["lo"].alias("lo"), mid.alias("hi")))
+        return F.when(span["lo"] < span["hi"], inside).otherwise(span)
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(splits) + 1)).cast("int"))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(splits).alias("hi")), halve, lambda span: span["lo"])
+
+
 def _segmented(df: DataFrame, by: list, order: list, rows_per_segment: int):
     """``df`` with an order-preserving segment number per row (0 for keys at
     or below ``rows_per_segment`` rows), and the row count of every segment
@@ -105,15 +117,11 @@ def _segmented(df: DataFrame, by: list, order: list, rows_per_segment: int):
             F.pmod(F.xxhash64(*by, *order), F.lit(one_in)) == 0).select(*by, lead)
         ranked = sample.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(lead)))
         sorted_splits = F.array_sort(F.collect_list(lead))
-        # Above the limit keep every k-th splitter, so the segments still
-        # cover the whole range evenly (larger, never unbounded at one end).
-        step = F.greatest(F.ceil(F.size(sorted_splits) / F.lit(_MAX_STRING_SPLITS)), F.lit(1))
-        splits = ranked.where(F.col("_r") % _SAMPLES_PER_SEGMENT == 0).groupBy(*by).agg(
-            F.filter(sorted_splits, lambda x, i: i % step == 0).alias("_splits"))
+        splits = ranked.where(F.col("_r") % _SAMPLES_PER_SEGMENT == 0).groupBy(*by).agg(sorted_splits.alias("_splits"))
         splits = hot.select(*by).join(splits, by, "left").withColumn("_h", F.lit(True))
         with_seg = df.join(splits, by, "left")
         with_seg = with_seg.withColumn("_hot", F.col("_h").isNotNull()).withColumn(
-            _SEG, F.coalesce(F.size(F.filter("_splits", lambda s: s <= F.col(lead))), F.lit(0)).cast("long")
+            _SEG, F.coalesce(_splits_up_to(F.col("_splits"), F.col(lead)), F.lit(0)).cast("long")
         ).drop("_splits", "_h")
         counts = with_seg.where("_hot").groupBy(*by, _SEG).agg(F.count(F.lit(1)).alias("_c"))
 
@@ -130,7 +138,9 @@ def sequence_number(df: DataFrame, by, order, name: str = "seq", start: int = 0,
     broadcasts them from their measured runtime size (a shuffle join, with
     AQE's skew split, beyond that).
     """
-    by, order = _names(by), _names(order)
+    order = _names(order)
+    # The key as one struct, so that joins match NULL keys, which are split like any other.
+    df, by = df.withColumn(_KEY, F.struct(*_names(by))), [_KEY]
     with_seg, counts = _segmented(df, by, order, rows_per_segment)
     local = with_seg.withColumn("_local", F.row_number().over(Window.partitionBy(*by, _SEG).orderBy(*order)))
     # Rows of each hot key in earlier segments. A hot key has at most
@@ -140,7 +150,7 @@ def sequence_number(df: DataFrame, by, order, name: str = "seq", start: int = 0,
     ).where(F.col(_SEG) > 0).select(*by, _SEG, "_off")
     out = local.drop("_hot").join(offsets, [*by, _SEG], "left")
     return out.withColumn(name, F.col("_local") + F.coalesce(F.col("_off"), F.lit(0)) + F.lit(start - 1)) \
-        .drop("_local", "_off", _SEG)
+        .drop("_local", "_off", _SEG, _KEY)
 
 
 def enumerate_frames(df: DataFrame, by="session_id", order=("filename",), name: str = "frame_id",

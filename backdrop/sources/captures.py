@@ -39,7 +39,8 @@ END_MARKER = 0xFFFFFFFF
 # and compiled struct objects cannot be pickled).
 _U32 = "!I"
 _U32x2 = "!II"
-_OUT_ROWS = 64
+# A batch of decoded records is closed at so many rows or payload bytes.
+_OUT_ROWS, _OUT_BYTES = 1024, 16 << 20
 END_STATUS = "end"  # status of the capture-level trailer row
 
 
@@ -146,6 +147,18 @@ def _to_batch(rows: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(cols, schema=schema)
 
 
+def _batches(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+    out, size = [], 0
+    for row in rows:
+        out.append(row)
+        size += len(row["payload"] or b"")
+        if len(out) >= _OUT_ROWS or size >= _OUT_BYTES:
+            yield _to_batch(out)
+            out, size = [], 0
+    if out:
+        yield _to_batch(out)
+
+
 def decode_captures(df: DataFrame, framing: str = "session", content_col: str = "content",
                     name_col: str = "path") -> DataFrame:
     """Decode a DataFrame of whole captures (one binary value per capture)."""
@@ -156,16 +169,9 @@ def decode_captures(df: DataFrame, framing: str = "session", content_col: str =
         for batch in batches:
             names = batch.column(0).to_pylist()
             contents = batch.column(1)
-            out = []
-            for i, name in enumerate(names):
-                value = contents[i].as_buffer() if contents[i].is_valid else b""
-                for row in decode(memoryview(value) if value else b"", name):
-                    out.append(row)
-                    if len(out) >= _OUT_ROWS:
-                        yield _to_batch(out)
-                        out = []
-            if out:
-                yield _to_batch(out)
+            values = (contents[i].as_buffer() if contents[i].is_valid else b"" for i in range(len(names)))
+            yield from _batches(row for name, value in zip(names, values)
+                                for row in decode(memoryview(value) if value else b"", name))
 
     return slim.mapInArrow(run, schemas.CAPTURE_RECORDS)
 
@@ -242,16 +248,9 @@ try:
 
         def read(self, partition):
             decode = DECODERS[self.framing]
-            rows = []
             for path in partition.paths:
                 with open(path, "rb", buffering=1 << 20) as fh:
-                    for r in decode(fh, "file:" + path):
-                        rows.append(r)
-                        if len(rows) >= _OUT_ROWS:
-                            yield _to_batch(rows)
-                            rows = []
-            if rows:
-                yield _to_batch(rows)
+                    yield from _batches(decode(fh, "file:" + path))
 
     class CaptureDataSource(DataSource):
         """``spark.read.format("capture").option("framing", ...).load(dir)``.

@@ -59,8 +59,7 @@ def test_latest_per_key(spark, skewed):
     assert {r["client_id"]: r["event_id"] for r in want} == {k: v["event_id"] for k, v in last.items()}
 
 
-def test_string_splitters_are_thinned_evenly(spark, skewed, monkeypatch):
-    monkeypatch.setattr(SEQ, "_MAX_STRING_SPLITS", 2)
+def test_string_splitters_number_exactly(spark, skewed):
     got = SEQ.sequence_number(skewed, "client_id", ["name", "event_id"], name="seq", rows_per_segment=50)
     both = got.join(brute(skewed, "client_id", ["name", "event_id"], 0).select("event_id", "want"), "event_id")
     assert both.where(F.col("seq") != F.col("want")).count() == 0
@@ -119,3 +118,16 @@ def test_first_n_limits_each_key_before_the_shuffle(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
     assert sorted((r["k"], r["v"], r["seq"]) for r in out.collect()) == sorted((k, k + 3 * i, i) for k in range(3) for i in range(5))
+
+
+def test_null_key_and_many_string_splits_are_numbered_exactly(spark):
+    """A NULL key is split like any other, and string splitters are not capped."""
+    rows = [(None if i % 3 else "k", f"{(i * 7919) % 6000:05d}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "k string, name string").repartition(5)
+    got = SEQ.sequence_number(df, "k", ["name"], rows_per_segment=20).collect()
+    for key in (None, "k"):
+        names = sorted(r[1] for r in rows if r[0] == key)
+        assert sorted((r["seq"], r["name"]) for r in got if r["k"] == key) == list(enumerate(names))
+    seg, _ = SEQ._segmented(df.withColumn("_key", F.struct("k")), ["_key"], ["name"], 20)
+    most = seg.where("k is null").groupBy("_seg").count().agg({"count": "max"}).first()[0]
+    assert most < 400
