@@ -41,14 +41,18 @@ def process_folder(spark: SparkSession, input_root: str, output_root: str, sessi
     of this run's sessions only.
     """
     if export == "png":
-        # Frames are numbered in the slim result table: pixels meet no join.
-        frames = IM.read_image_folder(spark, input_root, session_id, number=False)
-        done = SK.export_png(J.frame_transform(frames, segmenter, **kw), output_root, input_root)
+        # Frames are numbered in the slim result table: pixels meet no join. The
+        # numbers are stored, so results stay when the input folder goes.
         folder = input_root if session_id is None else IM.session_dir(spark, input_root, session_id)
+        frames = IM.read_image_folder(spark, input_root, session_id, number=False)
         if folder is None or not IM.path_exists(spark, folder):
-            return done
+            return SK.export_png(J.frame_transform(frames, segmenter, **kw), output_root, input_root)
         numbers = IM.number_files(spark, folder, session_id).groupBy("session_id", "filename").agg(
             F.min("frame_id").alias("frame_id"))
+        stored = J.scratch_path(spark, "numbers")
+        numbers.write.parquet(stored)
+        done = SK.export_png(J.frame_transform(frames, segmenter, **kw), output_root, input_root)
+        numbers = spark.read.schema(numbers.schema).parquet(stored)
         return done.drop("frame_id").join(numbers, ["session_id", "filename"], "left").select(*done.columns)
     if export != "parquet":
         raise ValueError("export must be 'png' or 'parquet'")
