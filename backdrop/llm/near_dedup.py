@@ -10,16 +10,19 @@ frequent than they are.
 Improved consistent weighted sampling (Ioffe) draws ``SAMPLES`` samples of
 each text, which two texts share with the probability of their weighted
 Jaccard similarity. Bands of samples are buckets. In a bucket, a maximum
-spanning forest by the share of equal samples keeps every class that all its
-pairs would form, without listing them; large buckets are worked on in pairs
-of blocks. The links of the forest are then verified on the texts: a pair is
-near if its weighted Jaccard similarity, or that of the plain shingle sets, is
-``SIMILARITY`` or more. Classes are the connected components.
+spanning forest by the share of equal samples joins most of a class without
+listing its pairs; large buckets are worked on in pairs of blocks. The links of
+the forest are then verified on the texts: a pair is near if its weighted
+Jaccard similarity, or that of the plain shingle sets, is ``SIMILARITY`` or
+more. The share is an estimate, so a forest may hold a pair that fails in place
+of one that would not: all other pairs of a bucket that the verified links
+leave apart are verified too. Classes are the connected components.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -187,6 +190,11 @@ def _signatures(weigher: Weigher) -> Callable[[Iterable[pa.RecordBatch]], Iterat
     return run
 
 
+def shares(signs: np.ndarray, sign: np.ndarray) -> np.ndarray:
+    """The share of equal samples of each row with one."""
+    return (signs == sign).mean(1)
+
+
 def forest(signs: np.ndarray) -> list[tuple[int, int]]:
     """A maximum spanning forest of the rows by their share of equal samples, pairs below ``LEAST_SHARE`` left out."""
     m = len(signs)
@@ -197,7 +205,7 @@ def forest(signs: np.ndarray) -> list[tuple[int, int]]:
     for _ in range(m - 1):
         left[at] = False
         rest = np.flatnonzero(left)
-        share = (signs[rest] == signs[at]).mean(1)
+        share = shares(signs[rest], signs[at])
         closer = share > best[rest]
         best[rest[closer]], near[rest[closer]] = share[closer], at
         at = int(rest[best[rest].argmax()])
@@ -227,6 +235,42 @@ def _links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield made()
 
 
+def open_pairs(signs: np.ndarray, roots: np.ndarray, blocks: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Pairs of rows at ``LEAST_SHARE`` or more that are of different roots; of several blocks, only pairs across them."""
+    several = len(np.unique(blocks)) > 1
+    for at in range(len(signs) - 1):
+        apart = roots[at + 1 :] != roots[at]
+        if several:
+            apart &= blocks[at + 1 :] != blocks[at]
+        rest = at + 1 + np.flatnonzero(apart)
+        if len(rest):
+            yield from ((at, i) for i in rest[shares(signs[rest], signs[at]) >= LEAST_SHARE].tolist())
+
+
+def _open(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs within each group that are not joined; the rows come sorted by group."""
+    key, nodes, roots, blocks, signs = None, [], [], [], []
+
+    def made() -> Iterator[pa.RecordBatch]:
+        number = {r: i for i, r in enumerate(dict.fromkeys(roots))}
+        of = np.array([number[r] for r in roots])
+        pairs = open_pairs(np.stack([np.frombuffer(s, "<u4") for s in signs]), of, np.array(blocks)) if len(number) > 1 else iter(())
+        while some := list(islice(pairs, 1 << 16)):
+            ends = [sorted((nodes[i], nodes[j])) for i, j in some]
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in ends], pa.binary()), pa.array([b for _, b in ends], pa.binary())], ["a", "b"])
+
+    for b in batches:
+        for *k, node, sign, root, block in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if k != key:
+                yield from made()
+                key, nodes, roots, blocks, signs = k, [], [], [], []
+            nodes.append(node)
+            roots.append(root)
+            blocks.append(block)
+            signs.append(sign)
+    yield from made()
+
+
 def similarity(x: tuple, y: tuple) -> tuple[float, float]:
     """Weighted and plain Jaccard similarity of two (shingles, weights), shingles in order."""
     _, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
@@ -292,25 +336,53 @@ def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     signed = stored(spark, rows.mapInArrow(_signatures(weigher), schema), "signs")
     nodes = signed.where("bands is not null").groupBy("node").agg(F.first("bands").alias("bands"), F.first("sign").alias("sign"))
     nodes = stored(spark, nodes, "nodes")
+    pair = StructType([StructField("a", BinaryType()), StructField("b", BinaryType())])
+    links = stored(spark, _forests(nodes).mapInArrow(_links, pair).distinct(), "candidates")
+    near = _verified(rows, links, weigher)
+    roots = components(near)
+    nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    more = _apart(nodes).mapInArrow(_open, pair).distinct().join(links, ["a", "b"], "left_anti")
+    return signed.select("doc_id", "node"), near.unionByName(_verified(rows, stored(spark, more, "open"), weigher))
+
+
+def _dealt(members: DataFrame, blocks: Callable[[Column, Column], Column], *extra: str) -> DataFrame:
+    """Members of buckets (key, n, node, sign, ...) by groups of one or two blocks; ``blocks`` says whom a block meets."""
+    n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("node"), n_blocks).cast("int")
+    members = members.withColumn("i", block).withColumn("j", F.explode(blocks(n_blocks, block))).withColumn("block", F.col("i"))
+    members = members.select("key", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "node", "sign", *extra)
+    return members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+
+
+def _forests(nodes: DataFrame) -> DataFrame:
+    """All buckets of more than one text, by groups."""
     members = nodes.select(F.explode("bands").alias("key"), "node")
     shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = members.join(shared, "key").join(nodes.select("node", "sign"), "node")
-    n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("node"), n_blocks).cast("int")
-    other = F.explode(F.when(n_blocks == 1, F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), n_blocks - 1), block)))
-    members = members.withColumn("i", block).withColumn("j", other)
-    members = members.select("key", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "node", "sign")
-    pair = StructType([StructField("a", BinaryType()), StructField("b", BinaryType())])
-    dealt = members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
-    links = stored(spark, dealt.mapInArrow(_links, pair).distinct(), "candidates")
+    others = lambda n, own: F.when(n == 1, F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), n - 1), own))
+    return _dealt(members, others)
+
+
+def _apart(nodes: DataFrame) -> DataFrame:
+    """The buckets whose texts are of several roots, by groups; a block meets itself in a group of its own."""
+    members = nodes.select(F.explode("bands").alias("key"), "node", "root")
+    shared = members.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
+    members = members.drop("root").join(shared.where(F.col("least") != F.col("most")).select("key", "n"), "key")
+    members = members.join(nodes.select("node", "sign", "root"), "node")
+    return _dealt(members, lambda n, own: F.sequence(F.lit(0), n - 1), "root", "block")
+
+
+def _verified(rows: DataFrame, links: DataFrame, weigher: Weigher) -> DataFrame:
+    """The links (a, b, weighted, plain) that are near by the texts of ``rows`` (doc_id, text, node)."""
+    spark = rows.sparkSession
     wanted = links.select(F.explode(F.array("a", "b")).alias("wanted")).distinct()
     maybe = rows.select("node", "text").mapInArrow(_in_filter(_filter(wanted.select("wanted"))), rows.select("node", "text").schema)
     texts = maybe.join(wanted, F.col("node") == F.col("wanted"), "left_semi").dropDuplicates(["node"])
     texts = stored(spark, texts, "texts")
     side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"))
     both = links.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
-    result = StructType([*pair, StructField("weighted", DoubleType()), StructField("plain", DoubleType())])
-    return signed.select("doc_id", "node"), stored(spark, both.mapInArrow(_verify(weigher), result), "near")
+    result = StructType([*links.schema, StructField("weighted", DoubleType()), StructField("plain", DoubleType())])
+    return stored(spark, both.mapInArrow(_verify(weigher), result), "near")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

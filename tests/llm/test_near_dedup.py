@@ -132,3 +132,19 @@ def test_forest_is_maximal():
             root[find(i)] = find(j)
             want += s
     assert abs(sum(share[i, j] for i, j in N.forest(signs)) - want) < 1e-9
+
+
+def test_failed_links_of_a_forest_are_replaced(table):
+    """Pages of one template: pairs at 0.83 among texts that are all at 0.72 to each other."""
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for g in range(60):
+        both = [f"b{g}x{i}" for i in range(33)]
+        for k in range(2):
+            rows.append(row(2 * g + k, " ".join(base + both + [f"u{g}x{k}x{i}" for i in range(44)])))
+    out = N.near_groups(table(rows)).collect()
+    got = defaultdict(Counter)
+    for r in out:
+        got[r.class_id][r.doc_id] += 1
+    want = classes(rows)
+    assert len(want) == 60 and got == want
