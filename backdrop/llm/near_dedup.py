@@ -9,7 +9,8 @@ frequent than they are.
 
 Improved consistent weighted sampling (Ioffe) draws ``SAMPLES`` samples of
 each text, which two texts share with the probability of their weighted
-Jaccard similarity. Bands of samples are buckets. In a bucket, a maximum
+Jaccard similarity, and as many plain minima, which they share with that of the
+plain shingle sets. Bands of either are buckets. In a bucket, a maximum
 spanning forest by the share of equal samples joins most of a class without
 listing its pairs; large buckets are worked on in pairs of blocks. The links of
 the forest are then verified on the texts: a pair is near if its weighted
@@ -39,8 +40,8 @@ SIMILARITY = 0.8
 BANDS = 12
 ROWS = 4
 SAMPLES = BANDS * ROWS
-# Pairs of a bucket with a smaller share of equal samples are not verified:
-# five standard deviations below SIMILARITY.
+# Pairs of a bucket with a smaller share of equal samples, of both kinds, are
+# not verified: five standard deviations below SIMILARITY.
 LEAST_SHARE = 0.5
 # Texts of a bucket in a block; two blocks meet in a group.
 BLOCK = 512
@@ -54,7 +55,9 @@ FILTER_BITS = 24
 SEED = 6
 
 _ODD = np.random.default_rng([SEED, 1]).integers(0, 1 << 63, 64 + SAMPLES, np.uint64) * np.uint64(2) + np.uint64(1)
+_PLAIN = np.random.default_rng([SEED, 3]).integers(0, 1 << 63, SAMPLES, np.uint64) * np.uint64(2) + np.uint64(1)
 _SHINGLE = np.uint64(0x9E3779B97F4A7C15)
+_BAND = np.concatenate([_ODD[8 : 8 + BANDS], _PLAIN[:BANDS]])
 
 
 def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -168,6 +171,18 @@ class Weigher:
         return out
 
 
+def plain_samples(of: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Samples (sample, text) of the texts that occur in ``of`` by their shingle sets: the least mix of a shingle."""
+    starts = np.flatnonzero(np.diff(of, prepend=-1))
+    out = np.empty((SAMPLES, len(starts)), np.uint64)
+    for k in range(SAMPLES):
+        mixed = found * _PLAIN[k]
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= _SHINGLE
+        out[k] = np.minimum.reduceat(mixed, starts)
+    return out
+
+
 def _signatures(weigher: Weigher) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -178,9 +193,10 @@ def _signatures(weigher: Weigher) -> Callable[[Iterable[pa.RecordBatch]], Iterat
                 bands: list = [None] * (part.stop - part.start)
                 signs: list = [None] * len(bands)
                 if len(of):
-                    drawn = weigher.samples(of, found, n)
+                    # Weighted samples first, then plain ones; no band of one kind meets one of the other.
+                    drawn = np.concatenate([weigher.samples(of, found, n), plain_samples(of, found)])
                     drawn = (drawn ^ drawn >> np.uint64(29)) * _SHINGLE
-                    band = (drawn.reshape(BANDS, ROWS, -1) * _ODD[:ROWS, None]).sum(1) * _ODD[8 : 8 + BANDS, None]
+                    band = (drawn.reshape(2 * BANDS, ROWS, -1) * _ODD[:ROWS, None]).sum(1) * _BAND[:, None]
                     signs_of = np.ascontiguousarray((drawn >> np.uint64(32)).astype("<u4").T)
                     for j, i in enumerate(of[np.flatnonzero(np.diff(of, prepend=-1))].tolist()):
                         bands[i], signs[i] = band[:, j].view(np.int64).tolist(), signs_of[j].tobytes()
@@ -191,8 +207,8 @@ def _signatures(weigher: Weigher) -> Callable[[Iterable[pa.RecordBatch]], Iterat
 
 
 def shares(signs: np.ndarray, sign: np.ndarray) -> np.ndarray:
-    """The share of equal samples of each row with one."""
-    return (signs == sign).mean(1)
+    """The share of equal samples of each row with one, of the kind of samples that has the larger."""
+    return (signs == sign).reshape(len(signs), -1, SAMPLES).mean(2).max(1)
 
 
 def forest(signs: np.ndarray) -> list[tuple[int, int]]:

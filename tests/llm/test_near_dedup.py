@@ -148,3 +148,31 @@ def test_failed_links_of_a_forest_are_replaced(table):
         got[r.class_id][r.doc_id] += 1
     want = classes(rows)
     assert len(want) == 60 and got == want
+
+
+def test_repeated_lines_do_not_hide_equal_sets(table):
+    """Equal shingle sets whose weighted similarity is under a half."""
+    rows = []
+    for g in range(40):
+        body, line = " ".join(f"w{g}x{i}" for i in range(100)), " ".join(f"r{g}x{i}" for i in range(5))
+        rows += [row(2 * g + k, f"{body} {' '.join([line] * n)}") for k, n in enumerate((100, 300))]
+    rows += [row(1000 + i, prose(i, 40)) for i in range(40)]
+    of, found, n = N.shingles([rows[0][1], rows[1][1]])
+    weigher = N.Weigher(np.zeros((N.SKETCH_ROWS, 1 << N.SKETCH_BITS), np.int64), 10)
+    weighted, same = N.similarity(*((found[of == k], weigher.weights(found[of == k], n[of == k])) for k in (0, 1)))
+    assert weighted < 0.5 and same == 1
+    out = {r.doc_id: r.class_id for r in N.near_groups(table(rows)).collect()}
+    assert all(out[2 * g] == out[2 * g + 1] == 2 * g for g in range(40))
+
+
+def test_plain_samples_agree_by_plain_similarity():
+    rng = random.Random(7)
+    texts = []
+    for i in range(300):
+        words = [f"w{rng.randrange(5000)}" for _ in range(200)]
+        texts += [" ".join(words), " ".join(words[: 200 - i % 100] + [f"v{rng.randrange(5000)}" for _ in range(i % 100)])]
+    of, found, _ = N.shingles(texts)
+    drawn = N.plain_samples(of, found)
+    error = [(drawn[:, i] == drawn[:, i + 1]).mean() - len(plain(texts[i]) & plain(texts[i + 1])) / len(plain(texts[i]) | plain(texts[i + 1]))
+             for i in range(0, len(texts), 2)]
+    assert abs(np.mean(error)) < 0.01 and np.std(error) < 0.075
