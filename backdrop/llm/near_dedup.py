@@ -2,10 +2,9 @@
 
 A text is the set of its five-word shingles, each weighing its count in the
 text times ``1 + ln((N + 1) / (df + 1)) / ln(N + 2)``, where ``df`` is its
-number of documents. The counts over all documents are kept in a count-min
-sketch of a fixed size (``SKETCH_ROWS`` x 2 ** ``SKETCH_BITS``), so they can be
-sent to every task at any size of the corpus; shingles that collide seem more
-frequent than they are.
+number of documents. The counts are exact and never in one place: batches of
+texts ask for their shingles by slice, a slice adds up what it is asked for,
+and the answer names the shingles of more than one document.
 
 Improved consistent weighted sampling (Ioffe) draws ``SAMPLES`` samples of
 each text, which two texts share with the probability of their weighted
@@ -22,11 +21,13 @@ leave apart are verified too. Classes are the connected components.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
@@ -48,6 +49,12 @@ BLOCK = 512
 SKETCH_BITS = 20
 SKETCH_ROWS = 2
 SLICES = 64
+# Bytes of text to a slice of the document frequencies, and the fewest and most bits of a slice's number.
+SLICE_BYTES = 8 << 20
+SLICE_BITS = (6, 16)
+# Characters of text that ask together, for each slice, and at most.
+ASK_CHARS = 1 << 13
+MOST_ASK_CHARS = 1 << 25
 DRAW_BITS = 16
 # Bits of the filter that says which texts to verify: 2 MiB. It spares the
 # shuffle of texts without a candidate; what it lets pass is joined exactly.
@@ -127,7 +134,7 @@ def _add_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def document_frequencies(texts: DataFrame) -> np.ndarray:
-    """The sketch over all rows of ``texts`` (one text column)."""
+    """Upper bounds in a fixed size: a count-min sketch over all rows of ``texts`` (one text column)."""
     schema = StructType([StructField("slice", IntegerType()), StructField("task", IntegerType()), StructField("counts", BinaryType())])
     parts = texts.mapInArrow(_sketch, schema)
     for salt in (16, 1):
@@ -138,11 +145,104 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
     return out.reshape(SKETCH_ROWS, -1)
 
 
+def _batched(chars: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds the number of the batch: rows that follow each other, of about ``chars`` characters together."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        first, held = TaskContext.get().partitionId() << 32, 0
+        for b in batches:
+            ends = held + np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            held = int(ends[-1]) if len(ends) else held
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(first + ends // chars, pa.int64())], ["doc_id", "text", "node", "batch"])
+
+    return run
+
+
+def packed(found: np.ndarray) -> bytes:
+    """The low 48 bits of shingles; the others are known from their slice."""
+    return found.astype("<u4").tobytes() + (found >> np.uint64(32)).astype("<u2").tobytes()
+
+
+def unpacked(data: bytes, part: int, bits: int) -> np.ndarray:
+    n = len(data) // 6
+    high = np.frombuffer(data, "<u2", n, 4 * n).astype(np.uint64) << np.uint64(32)
+    return np.frombuffer(data, "<u4", n) | high | np.uint64(part >> bits - 4 << 48)
+
+
+def _ask(bits: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(slice, batch, shingles, n): the shingles of the rows of a batch, and of how many they are."""
+    edges = np.arange((1 << bits) + 1).astype(np.uint64) << np.uint64(52 - bits)
+
+    def asked(batch: int, texts: list[str]) -> pa.RecordBatch:
+        found, n = np.unique(np.concatenate([np.empty(0, np.uint64), *[shingles(texts[part])[1] for part in few(texts)]]), return_counts=True)
+        at = np.searchsorted(found, edges)
+        there = np.flatnonzero(np.diff(at)).tolist()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(there, pa.int32()), pa.array([batch] * len(there), pa.int64()),
+             pa.array([packed(found[at[i] : at[i + 1]]) for i in there], pa.binary()),
+             pa.array([n[at[i] : at[i + 1]].astype("<u4").tobytes() for i in there], pa.binary())], ["slice", "batch", "shingles", "n"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, texts = None, []
+        for b in batches:
+            for batch, text in zip(b.column(0).to_pylist(), texts_of(b.column(1)), strict=True):
+                if batch != now:
+                    if texts:
+                        yield asked(now, texts)
+                    now, texts = batch, []
+                texts.append(text)
+        if texts:
+            yield asked(now, texts)
+
+    return run
+
+
+def _answer(bits: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For each request, which come sorted by slice, its shingles of more than one document (slice, batch, shingles, n)."""
+
+    def answered(part: int, asked: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
+        sizes = [len(n) // 4 for _, _, n in asked]
+        found, which = np.unique(np.concatenate([unpacked(x, part, bits) for _, x, _ in asked]), return_inverse=True)
+        total = np.bincount(which, np.concatenate([np.frombuffer(n, "<u4") for _, _, n in asked]), len(found)).astype(np.uint32)
+        rows = []
+        for (batch, _, _), w in zip(asked, np.split(which, np.cumsum(sizes)[:-1]), strict=True):
+            w = w[total[w] > 1]
+            if len(w):
+                rows.append((batch, packed(found[w]), total[w].astype("<u4").tobytes()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([part] * len(rows), pa.int32()), pa.array([x[0] for x in rows], pa.int64()),
+             pa.array([x[1] for x in rows], pa.binary()), pa.array([x[2] for x in rows], pa.binary())], ["slice", "batch", "shingles", "n"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, asked = None, []
+        for b in batches:
+            for part, *one in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if part != now:
+                    if asked:
+                        yield answered(now, asked)
+                    now, asked = part, []
+                asked.append(one)
+        if asked:
+            yield answered(now, asked)
+
+    return run
+
+
+def exact_frequencies(rows: DataFrame, bits: int) -> DataFrame:
+    """(slice, batch, shingles, n): for each batch of ``rows`` its shingles of more than one row, and of how many they are."""
+    schema = StructType([StructField("slice", IntegerType()), StructField("batch", LongType()),
+                         StructField("shingles", BinaryType()), StructField("n", BinaryType())])
+    asked = rows.select("batch", "text").mapInArrow(_ask(bits), schema)
+    return asked.repartition("slice").sortWithinPartitions("slice").mapInArrow(_answer(bits), schema)
+
+
 class Weigher:
-    """Weights of shingles and samples of texts."""
+    """Weights of shingles and samples of texts, by given document frequencies or those of a sketch."""
 
-    def __init__(self, sketch: np.ndarray, n_docs: int) -> None:
-        self.sketch = np.minimum(sketch, (1 << 31) - 1).astype(np.int32)
+    def __init__(self, sketch: np.ndarray | None, n_docs: int) -> None:
+        self.sketch = None if sketch is None else np.minimum(sketch, (1 << 31) - 1).astype(np.int32)
         self.n_docs = n_docs
         rng = np.random.default_rng([SEED, 2])
         size = 1 << DRAW_BITS
@@ -150,14 +250,14 @@ class Weigher:
         self.log_c = np.log(rng.gamma(2, 1, size)).astype(np.float32)
         self.beta = rng.random(size).astype(np.float32)
 
-    def weights(self, found: np.ndarray, n: np.ndarray) -> np.ndarray:
-        slots = sketch_slots(found)
-        df = np.min([row[s] for row, s in zip(self.sketch, slots, strict=True)], axis=0)
+    def weights(self, found: np.ndarray, n: np.ndarray, df: np.ndarray | None = None) -> np.ndarray:
+        if df is None:
+            df = np.min([row[s] for row, s in zip(self.sketch, sketch_slots(found), strict=True)], axis=0)
         return n * (1 + np.log((self.n_docs + 1) / (df + 1.0)).clip(0) / np.log(self.n_docs + 2))
 
-    def samples(self, of: np.ndarray, found: np.ndarray, n: np.ndarray) -> np.ndarray:
+    def samples(self, of: np.ndarray, found: np.ndarray, n: np.ndarray, df: np.ndarray | None = None) -> np.ndarray:
         """Samples (sample, text) of the texts that occur in ``of``: the drawn shingle and level as one number."""
-        log_w = np.log(self.weights(found, n)).astype(np.float32)
+        log_w = np.log(self.weights(found, n, df)).astype(np.float32)
         starts = np.flatnonzero(np.diff(of, prepend=-1))
         low = found & np.uint64(0xFFFFFFFF)
         out = np.empty((SAMPLES, len(starts)), np.uint64)
@@ -183,25 +283,52 @@ def plain_samples(of: np.ndarray, found: np.ndarray) -> np.ndarray:
     return out
 
 
-def _signatures(weigher: Weigher) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _signatures(weigher: Weigher, bits: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Bands, samples and document frequencies of texts; the rows come sorted by batch, its frequencies first."""
+
+    def signed(ids: pa.Array, nodes: pa.Array, texts: list[str], known: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+        of, found, n = shingles(texts)
+        bands: list = [None] * len(texts)
+        signs: list = [None] * len(texts)
+        often: list = [None] * len(texts)
+        if len(of):
+            df = np.ones(len(found), np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+                df = np.where(known[at] == found, times[at], df)
+            # Weighted samples first, then plain ones; no band of one kind meets one of the other.
+            drawn = np.concatenate([weigher.samples(of, found, n, df), plain_samples(of, found)])
+            drawn = (drawn ^ drawn >> np.uint64(29)) * _SHINGLE
+            band = (drawn.reshape(2 * BANDS, ROWS, -1) * _ODD[:ROWS, None]).sum(1) * _BAND[:, None]
+            signs_of = np.ascontiguousarray((drawn >> np.uint64(32)).astype("<u4").T)
+            starts = np.flatnonzero(np.diff(of, prepend=-1))
+            for j, (i, part) in enumerate(zip(of[starts].tolist(), np.split(df, starts[1:]), strict=True)):
+                bands[i], signs[i] = band[:, j].view(np.int64).tolist(), signs_of[j].tobytes()
+                often[i] = zlib.compress(part.astype("<u4").tobytes(), 1)
+        return pa.RecordBatch.from_arrays([ids, nodes, pa.array(bands, pa.list_(pa.int64())), pa.array(signs, pa.binary()), pa.array(often, pa.binary())],
+                                          ["doc_id", "node", "bands", "sign", "often"])
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, answers, known, times = None, [], None, None
         for b in batches:
-            texts = texts_of(b.column(1))
-            for part in few(texts):
-                rest = [b.column(i).slice(part.start, part.stop - part.start) for i in (0, 2)]
-                of, found, n = shingles(texts[part])
-                bands: list = [None] * (part.stop - part.start)
-                signs: list = [None] * len(bands)
-                if len(of):
-                    # Weighted samples first, then plain ones; no band of one kind meets one of the other.
-                    drawn = np.concatenate([weigher.samples(of, found, n), plain_samples(of, found)])
-                    drawn = (drawn ^ drawn >> np.uint64(29)) * _SHINGLE
-                    band = (drawn.reshape(2 * BANDS, ROWS, -1) * _ODD[:ROWS, None]).sum(1) * _BAND[:, None]
-                    signs_of = np.ascontiguousarray((drawn >> np.uint64(32)).astype("<u4").T)
-                    for j, i in enumerate(of[np.flatnonzero(np.diff(of, prepend=-1))].tolist()):
-                        bands[i], signs[i] = band[:, j].view(np.int64).tolist(), signs_of[j].tobytes()
-                yield pa.RecordBatch.from_arrays([*rest, pa.array(bands, pa.list_(pa.int64())), pa.array(signs, pa.binary())],
-                                                 ["doc_id", "node", "bands", "sign"])
+            number, part = b.column(0).to_numpy(), b.column(1).to_pylist()
+            ends = [*(np.flatnonzero(np.diff(number)) + 1).tolist(), len(number)]
+            start = 0
+            for end in ends if len(number) else []:
+                if number[start] != now:
+                    now, answers, known = number[start], [], None
+                while start < end and part[start] is not None:
+                    answers.append((unpacked(b.column(5)[start].as_py(), part[start], bits), np.frombuffer(b.column(6)[start].as_py(), "<u4")))
+                    start += 1
+                if start < end:
+                    if known is None:
+                        known, first = np.unique(np.concatenate([np.empty(0, np.uint64), *[x for x, _ in answers]]), return_index=True)
+                        times = np.concatenate([np.empty(0, np.uint32), *[x for _, x in answers]])[first].astype(np.int64)
+                    texts = texts_of(b.column(4).slice(start, end - start))
+                    for some in few(texts):
+                        ids, nodes = (b.column(i).slice(start + some.start, some.stop - some.start) for i in (2, 3))
+                        yield signed(ids, nodes, texts[some], known, times)
+                start = end
 
     return run
 
@@ -295,19 +422,19 @@ def similarity(x: tuple, y: tuple) -> tuple[float, float]:
 
 
 def _verify(weigher: Weigher) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def weighed(text: str) -> tuple:
+    def weighed(text: str, often: bytes) -> tuple:
         _, found, n = shingles([text])
-        return found, weigher.weights(found, n)
+        return found, weigher.weights(found, n, np.frombuffer(zlib.decompress(often), "<u4"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text, last = None, None
         for b in batches:
-            a, other, text_a, text_b = (c.to_pylist() for c in b.columns)
+            a, other, text_a, text_b, often_a, often_b = (c.to_pylist() for c in b.columns)
             out = []
             for i, t in enumerate(text_a):
                 if t != text:
-                    text, last = t, weighed(t)
-                out.append((a[i], other[i], *similarity(last, weighed(text_b[i]))))
+                    text, last = t, weighed(t, often_a[i])
+                out.append((a[i], other[i], *similarity(last, weighed(text_b[i], often_b[i]))))
             rows = [x for x in out if max(x[2:]) >= SIMILARITY]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in rows], pa.binary()), pa.array([x[1] for x in rows], pa.binary()),
@@ -344,21 +471,29 @@ def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """(doc_id, node) of every row, and the verified links (a, b, weighted, plain) between different texts."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    text = F.col(text_col).alias("text")
-    rows = docs.select(F.col(id_col).alias("doc_id"), text, node_of(F.col(text_col)).alias("node"))
-    weigher = Weigher(document_frequencies(docs.select(text)), docs.count())
-    schema = StructType([StructField("doc_id", docs.schema[id_col].dataType), StructField("node", BinaryType()),
-                         StructField("bands", ArrayType(LongType())), StructField("sign", BinaryType())])
-    signed = stored(spark, rows.mapInArrow(_signatures(weigher), schema), "signs")
-    nodes = signed.where("bands is not null").groupBy("node").agg(F.first("bands").alias("bands"), F.first("sign").alias("sign"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), node_of(F.col(text_col)).alias("node"))
+    size = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    weigher = Weigher(None, size.n)
+    bits = min(max(SLICE_BITS[0], (int(size.bytes or 0) // SLICE_BYTES).bit_length()), SLICE_BITS[1])
+    dealt = StructType([*rows.schema, StructField("batch", LongType())])
+    rows = stored(spark, rows.mapInArrow(_batched(min(ASK_CHARS << bits, MOST_ASK_CHARS)), dealt), "batches")
+    none = lambda name, kind: F.lit(None).cast(kind).alias(name)
+    texts = rows.select("batch", none("slice", "int"), "doc_id", "node", "text", none("shingles", "binary"), none("n", "binary"))
+    known = exact_frequencies(rows, bits).select("batch", "slice", none("doc_id", rows.schema["doc_id"].dataType), none("node", "binary"),
+                                                 none("text", "string"), "shingles", "n")
+    given = known.unionByName(texts).repartition("batch").sortWithinPartitions("batch", F.col("slice").asc_nulls_last())
+    schema = StructType([rows.schema["doc_id"], StructField("node", BinaryType()), StructField("bands", ArrayType(LongType())),
+                         StructField("sign", BinaryType()), StructField("often", BinaryType())])
+    signed = stored(spark, given.mapInArrow(_signatures(weigher, bits), schema), "signs")
+    nodes = signed.where("bands is not null").groupBy("node").agg(F.first("bands").alias("bands"), F.first("sign").alias("sign"), F.first("often").alias("often"))
     nodes = stored(spark, nodes, "nodes")
     pair = StructType([StructField("a", BinaryType()), StructField("b", BinaryType())])
     links = stored(spark, _forests(nodes).mapInArrow(_links, pair).distinct(), "candidates")
-    near = _verified(rows, links, weigher)
+    near = _verified(rows, nodes, links, weigher)
     roots = components(near)
     nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     more = _apart(nodes).mapInArrow(_open, pair).distinct().join(links, ["a", "b"], "left_anti")
-    return signed.select("doc_id", "node"), near.unionByName(_verified(rows, stored(spark, more, "open"), weigher))
+    return signed.select("doc_id", "node"), near.unionByName(_verified(rows, nodes, stored(spark, more, "open"), weigher))
 
 
 def _dealt(members: DataFrame, blocks: Callable[[Column, Column], Column], *extra: str) -> DataFrame:
@@ -388,15 +523,15 @@ def _apart(nodes: DataFrame) -> DataFrame:
     return _dealt(members, lambda n, own: F.sequence(F.lit(0), n - 1), "root", "block")
 
 
-def _verified(rows: DataFrame, links: DataFrame, weigher: Weigher) -> DataFrame:
-    """The links (a, b, weighted, plain) that are near by the texts of ``rows`` (doc_id, text, node)."""
+def _verified(rows: DataFrame, nodes: DataFrame, links: DataFrame, weigher: Weigher) -> DataFrame:
+    """The links (a, b, weighted, plain) that are near by the texts of ``rows`` and their frequencies in ``nodes``."""
     spark = rows.sparkSession
     wanted = links.select(F.explode(F.array("a", "b")).alias("wanted")).distinct()
     maybe = rows.select("node", "text").mapInArrow(_in_filter(_filter(wanted.select("wanted"))), rows.select("node", "text").schema)
     texts = maybe.join(wanted, F.col("node") == F.col("wanted"), "left_semi").dropDuplicates(["node"])
-    texts = stored(spark, texts, "texts")
-    side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"))
-    both = links.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
+    texts = stored(spark, texts.join(nodes.select("node", "often"), "node"), "texts")
+    side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"), F.col("often").alias(f"often_{x}"))
+    both = links.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b", "often_a", "often_b")
     result = StructType([*links.schema, StructField("weighted", DoubleType()), StructField("plain", DoubleType())])
     return stored(spark, both.mapInArrow(_verify(weigher), result), "near")
 

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 from backdrop.llm import near_dedup as N
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import awkward, prose, row
 
@@ -176,3 +177,19 @@ def test_plain_samples_agree_by_plain_similarity():
     error = [(drawn[:, i] == drawn[:, i + 1]).mean() - len(plain(texts[i]) & plain(texts[i + 1])) / len(plain(texts[i]) | plain(texts[i + 1]))
              for i in range(0, len(texts), 2)]
     assert abs(np.mean(error)) < 0.01 and np.std(error) < 0.075
+
+
+def test_frequencies_are_exact_and_by_batch(spark, table, monkeypatch):
+    monkeypatch.setattr(N, "ASK_CHARS", 20, raising=False)
+    rows = near_rows() + awkward() + [row(9000 + i, " ".join(f"z{i}x{k}" for k in range(60_000))) for i in range(8)]
+    _, links = N.near_links(table(rows))
+    texts = {bytes(r.node): r.text for r in table(rows).select(N.node_of(F.col("text")).alias("node"), "text").collect()}
+    df = Counter(s for r in rows for s in plain(r[1] or ""))
+    weight = lambda t: {s: n * (1 + np.log((len(rows) + 1) / (df[s] + 1)) / np.log(len(rows) + 2)) for s, n in
+                        Counter(tuple(t.lower().split()[i : i + 5]) for i in range(len(t.split()) - 4)).items()}
+    found = links.collect()
+    assert len(found) > 20
+    for r in found:
+        x, y = weight(texts[bytes(r.a)]), weight(texts[bytes(r.b)])
+        least = sum(min(x[s], y[s]) for s in x.keys() & y.keys())
+        assert abs(r.weighted - least / (sum(x.values()) + sum(y.values()) - least)) < 1e-9
