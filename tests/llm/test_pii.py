@@ -59,3 +59,20 @@ def test_awkward_rows(docs, empty):
     out = P.personal_data(docs).collect()
     assert len(out) == len(awkward()) and all(not r.base and not r.terms for r in out)
     assert P.personal_data(empty).count() == 0 and P.sanitised(empty).count() == 0
+
+
+def test_terms_far_from_a_mention_and_without_one(table):
+    mail = "ann.b@mail.example.com"
+    rows = [row(i, f"Quibblewort {prose(i, 30)} writes to {mail} {prose(100 + i, 30)} quibblewort") for i in range(6)]
+    rows += [row(20 + i, f"fizzlebaum {prose(500 + i, 30)} bob.{'c' * 3}@mail.example.com") for i in range(2)]
+    rows += [row(40, prose(700, 20) + " quibblewort " + prose(701, 20))]
+    rows += [row(50 + i, prose(300 + i, 60) + " writes to") for i in range(200)]
+    texts = {r[0]: r[1] for r in rows}
+    out = {r.doc_id: r for r in P.personal_data(table(rows)).collect()}
+    named = {i: [texts[i][t.start : t.end].lower() for t in r.terms] for i, r in out.items()}
+    assert all(named[i] == ["quibblewort"] * 2 for i in range(6)) and named[40] == ["quibblewort"]
+    assert all("fizzlebaum" in named[20 + i] for i in range(2))
+    assert out[40].text == texts[40] and not out[40].base
+    assert all(not named[50 + i] and out[50 + i].text is None for i in range(200))
+    clean = {r.doc_id: r.sanitised for r in P.sanitised(table(rows)).collect()}
+    assert sorted(clean) == [0, 1, 2, 3, 4, 5, 20, 21, 40] and not any("quibblewort" in t.lower() for t in clean.values())
