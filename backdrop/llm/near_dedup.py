@@ -540,7 +540,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """doc_id, class_id, kept, n_links and text_sha (half the text's SHA-256) of every row.
 
     ``class_id`` is the smallest id of the class, and the row that bears it is
-    kept. ``n_links`` counts the verified links of its text to other texts.
+    kept; of different texts that bear it, or of a class without ids, one. ``n_links`` counts the verified links of its text to other texts.
     Equal texts are of one class; NULL counts as the empty text, and a text
     without words is near to its copies alone. Rows without an id come last in
     the choice of ``class_id``. Of rows that repeat both id and text all are
@@ -550,9 +550,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     roots = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     marked = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    first = marked.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    first = marked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "node")).alias("first"))
+    first = first.select("root", F.col("first.doc_id").alias("class_id"), F.col("first.node").alias("class_node"))
     out = marked.join(first, "root").join(degree, "node", "left")
-    return out.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"),
+    return out.select("doc_id", "class_id", (F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("node") == F.col("class_node"))).alias("kept"),
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.hex("node").alias("text_sha"))
 
 

@@ -193,3 +193,11 @@ def test_frequencies_are_exact_and_by_batch(spark, table, monkeypatch):
         x, y = weight(texts[bytes(r.a)]), weight(texts[bytes(r.b)])
         least = sum(min(x[s], y[s]) for s in x.keys() & y.keys())
         assert abs(r.weighted - least / (sum(x.values()) + sum(y.values()) - least)) < 1e-9
+
+
+def test_one_row_of_a_class_without_ids_or_of_one_id(table):
+    body = prose(41, 80)
+    rows = [row(None, f"{body} {x}") for x in ("ba", "ke")] + [row(7, f"{prose(42, 80)} {x}") for x in ("lo", "mi")]
+    out = N.near_groups(table(rows)).collect()
+    assert Counter((r.class_id, r.kept) for r in out) == {(None, True): 1, (None, False): 1, (7, True): 1, (7, False): 1}
+    assert N.drop_near_copies(table(rows)).count() == 2
