@@ -33,7 +33,7 @@ WINDOW = 16
 CHUNK_BITS = 9
 CHUNK_MAX = 1 << 16
 # Bytes of chunks that a task remembers.
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 32 << 20
 
 _GEAR = np.random.default_rng(20).integers(0, 1 << 32, 256, np.uint32)
 
@@ -91,7 +91,23 @@ class ChunkEncoder:
         return ends and (text[: ends[0]], tokens.pieces(text[ends[0] : ends[1]]), text[ends[1] :])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, equal to those of the tokenizer for the whole text."""
+        """Ids of each text, equal to those of the tokenizer for the whole text.
+
+        Long texts are worked on in slices between safe boundaries, so no more
+        than a slice's pieces are alive at once.
+        """
+        out: list[np.ndarray] = []
+        short: list[str] = []
+        for text in texts:
+            if len(text) <= tokens.SLICE_CHARS:
+                short.append(text)
+                continue
+            out += self._encode(short)
+            short = []
+            out.append(np.concatenate([self._encode([part])[0] for part in tokens.slices(text)]))
+        return out + self._encode(short)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.held > CACHE_BYTES:
             self.chunks.clear()
             self.ids.clear()
@@ -101,8 +117,8 @@ class ChunkEncoder:
         new: list[bytes] = []
         for text in texts:
             plan: list[bytes | str] = []
-            data, last, window = text.encode(), 0, ""
-            for end in cuts(data) if tokens.pieces(text) != [text] else []:
+            data, last, window = text.encode(), 0, []
+            for end in cuts(data):
                 chunk = data[last:end]
                 last = end
                 if chunk not in self.chunks:
@@ -111,11 +127,11 @@ class ChunkEncoder:
                     new.append(chunk)
                 at = self.chunks[chunk]
                 if at is None:
-                    window += chunk.decode()  # no boundary to agree at: the window grows over the chunk
+                    window.append(chunk.decode())  # no boundary to agree at: the window grows over the chunk
                 else:
-                    plan += [window + at[0], chunk]
-                    window = at[2]
-            plan.append(window if last else text)
+                    plan += ["".join([*window, at[0]]), chunk]
+                    window = [at[2]]
+            plan.append("".join(window))
             plans.append(plan)
             wanted += [p for w in plan if isinstance(w, str) for p in tokens.pieces(w)]
         for chunk in new:
@@ -130,7 +146,7 @@ class ChunkEncoder:
                                        for w in plan), "<u4") for plan in plans]
 
 
-def _groups(texts: list[str], most: int = 1 << 20) -> Iterator[list[str]]:
+def _groups(texts: list[str], most: int = 1 << 18) -> Iterator[list[str]]:
     """Consecutive texts of about ``most`` characters together."""
     group: list[str] = []
     held = 0
@@ -173,7 +189,9 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
     ``ids`` is binary, unsigned 32-bit little-endian. With ``digest`` their
     SHA-256 stand instead, as ids_sha256 and decoded_sha256. NULL counts as
     the empty text, which has no ids. Repeated rows are encoded each, a NULL
-    id is kept; other columns are left out; an empty table gives no rows.
+    id is kept; other columns are left out; an empty table gives no rows. A
+    very long text is worked on in slices; a stretch without white space, be it
+    the whole text, is encoded at once.
     """
     bounded_batches(docs.sparkSession)
     spec = tokens.tokenizer_text(tokenizer_path)

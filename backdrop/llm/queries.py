@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from backdrop.llm import bpe_chunks, decontamination, exact_dedup, language, lm_scoring, near_dedup, pii, sharding, token_counts, toxicity
+from backdrop.llm import bpe_chunks, decontamination, exact_dedup, fill_middle, language, lm_scoring, near_dedup, packing, pii, sharding, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree_sharding": sharding.op1_hash_tree_sharding,
@@ -19,8 +19,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bigru_toxicity": toxicity.op8_bigru_toxicity,
     "op9_information_theoretic_pii": pii.op9_information_theoretic_pii,
     "op10_content_sort_dedup": exact_dedup.op10_content_sort_dedup,
+    "op12_fenwick_fill_in_middle": fill_middle.op12_fenwick_fill_in_middle,
+    "op13_bin_completion_packing": packing.op13_bin_completion_packing,
 }
 
 ORACLE: dict[str, str] = {
     "op10_content_sort_dedup": exact_dedup.ORACLE_SQL.strip(),
+    "op12_fenwick_fill_in_middle": fill_middle.ORACLE_SQL.strip(),
 }

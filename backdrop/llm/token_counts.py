@@ -1,7 +1,7 @@
 """Token counts: batches in, lengths out.
 
-Texts are encoded inside Arrow functions in batches of about ``BATCH_CHARS``
-characters: long texts are split at safe boundaries (see ``tokens``) into
+Texts are encoded inside Arrow functions in batches of about ``BATCH_BYTES``
+bytes: long texts are split at safe boundaries (see ``tokens``) into
 parts, short ones share a batch, so every batch costs about the same. Only
 lengths leave the function.
 """
@@ -18,34 +18,28 @@ from pyspark.sql.types import LongType, StructField, StructType
 from backdrop.llm import tokens
 from backdrop.llm.common import bounded_batches, documents, texts_of
 
-BATCH_CHARS = 1 << 20
+BATCH_BYTES = 1 << 20
 # The fold of the contract: longer documents are flagged.
 TOKEN_LIMIT = 512
 
 
-def balanced(texts: list[str]) -> Iterator[list[tuple[int, list[str]]]]:
-    """Batches of (text number, pieces), each of about ``BATCH_CHARS`` characters.
+def balanced(texts: list[str]) -> Iterator[list[tuple[int, str]]]:
+    """Batches of (text number, part), each of about ``BATCH_BYTES`` bytes in UTF-8.
 
-    A text longer than that is dealt out over several batches. A single piece
-    may be longer: it has no safe boundary to be split at.
+    Texts longer than that are split at safe boundaries and dealt out over
+    several batches. A part may be longer if it has no boundary to be split at.
     """
-    batch: list[tuple[int, list[str]]] = []
+    batch: list[tuple[int, str]] = []
     held = 0
     for i, text in enumerate(texts):
-        found = tokens.pieces(text)
-        if held + len(text) <= BATCH_CHARS:
-            batch.append((i, found))
-            held += len(text)
-            continue
-        at = 0
-        for j, p in enumerate(found):
-            held += len(p)
-            if held >= BATCH_CHARS:
-                batch.append((i, found[at : j + 1]))
+        # A character has at most four bytes, so no part of a text exceeds a batch.
+        for part in tokens.slices(text, BATCH_BYTES // 4):
+            size = len(part.encode())
+            if batch and held + size > BATCH_BYTES:
                 yield batch
-                batch, held, at = [], 0, j + 1
-        if at < len(found):
-            batch.append((i, found[at:]))
+                batch, held = [], 0
+            batch.append((i, part))
+            held += size
     if batch:
         yield batch
 
@@ -57,8 +51,9 @@ def _lengths(tokenizer_json: str) -> Callable[[Iterable[pa.RecordBatch]], Iterat
             texts = texts_of(b.column(1))
             counts = [0] * len(texts)
             for batch in balanced(texts):
-                ids = encoder.learn([p for _, found in batch for p in found])
-                for i, found in batch:
+                split = [tokens.pieces(part) for _, part in batch]
+                ids = encoder.learn([p for found in split for p in found])
+                for (i, _), found in zip(batch, split, strict=True):
                     counts[i] += sum(map(len, map(ids.__getitem__, found))) // 4
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(counts, pa.int64())],
@@ -73,6 +68,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     NULL and empty texts have 0 bytes and 0 tokens. Special strings inside
     texts count as the tokenizer file has it. Repeated rows are counted each,
     a NULL id is kept; other columns are left out; an empty table gives no rows.
+    A very long text is split at safe boundaries; a stretch without white space,
+    be it the whole text, is encoded at once.
     """
     bounded_batches(docs.sparkSession)
     spec = tokens.tokenizer_text(tokenizer_path)

@@ -4,84 +4,147 @@ A *safe boundary* of a text lies between a character that is not white space
 and one that is. The pre-tokeniser of a byte-level BPE never lets a token
 cross it from either side: a pre-token holds white space only at its start,
 and what it looks ahead at is white space only. The ids of a text are
-therefore the ids of its pieces between safe boundaries, put in a row. The
-control characters U+001C to U+001F count as white space in Python but not in
-the tokeniser, so a text that holds one is left whole.
+therefore the ids of its pieces between safe boundaries, put in a row. White
+space is the tokeniser's class, written out in ``WHITE``; Python's own has the
+control characters U+001C to U+001F besides.
 
-Pieces of running text repeat a lot, so their ids are remembered.
+Pieces of running text repeat a lot, so their ids are remembered, up to a
+number of bytes. Long texts are worked on in slices between safe boundaries.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 
 import numpy as np
 
-_PIECE = re.compile(r"\s*\S+|\s+")
-_UNSAFE = re.compile(r"[\x1c-\x1f]")
-
-# Remembered pieces of a task, and the longest piece that is remembered: at
-# most about 150 MB. When it is full it starts again empty.
-MEMO_PIECES = 1 << 19
+# White space as the tokeniser has it (the Unicode property), as a class of a pattern.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+_WORD = re.compile(f"[^{WHITE}]+")
+_BOUNDARY = re.compile(f"[^{WHITE}](?=[{WHITE}])")
+_BOUNDARY_BACK = re.compile(f"[{WHITE}](?=[^{WHITE}])")
+_IN_ROW = re.compile(f"[{WHITE}].*[^{WHITE}]", re.DOTALL)
+
+# Bytes of remembered pieces of a task, as estimated with PIECE_BYTES for each
+# piece beside its text and ids. When they are reached it starts again empty.
+MEMO_BYTES = 80 << 20
+PIECE_BYTES = 180
+# The longest piece that is remembered.
 MEMO_CHARS = 48
-# Characters of new pieces that are encoded in one row.
+# Characters of new pieces that are encoded in one row, and in one call.
 ROW_CHARS = 1 << 15
+CALL_CHARS = 1 << 19
+# Characters of a long text that are worked on at once, unless it has no safe boundary.
+SLICE_CHARS = 1 << 18
 
 
 def pieces(text: str) -> list[str]:
     """The pieces of a text between its safe boundaries."""
-    return [text] if _UNSAFE.search(text) else _PIECE.findall(text)
+    return _PIECE.findall(text)
+
+
+def slices(text: str, most: int | None = None) -> Iterator[str]:
+    """The text in parts of about ``most`` characters that end at safe boundaries; no part for an empty text."""
+    most = most or SLICE_CHARS
+    at = 0
+    while len(text) - at > most:
+        cut = _BOUNDARY.search(text, at + most - 1)
+        if cut is None:
+            break
+        yield text[at : cut.end()]
+        at = cut.end()
+    if at < len(text):
+        yield text[at:] if at else text
 
 
 def safe_ends(text: str) -> tuple[int, int] | None:
     """The first and the last safe boundary inside a text; None if it has none."""
-    if _UNSAFE.search(text):
-        return None
-    first = re.search(r"\S(?=\s)", text)
+    first = _BOUNDARY.search(text)
     if first is None:
         return None
-    body = text.rstrip()
-    if len(body) == len(text):
-        body = text[: len(text) - len(text.rsplit(None, 1)[-1])].rstrip()
-    return first.end(), len(body)
+    return first.end(), len(text) - _BOUNDARY_BACK.search(text[::-1]).end()
 
 
-class PieceEncoder:
-    """Ids (little-endian unsigned 32-bit) of pieces, each distinct one encoded once while it is remembered.
+def words(text: str) -> list[str]:
+    """The stretches of a text without white space."""
+    return _WORD.findall(text)
 
-    New pieces are encoded many at a time: pieces that begin with white space
-    and end without keep their safe boundaries when they stand in a row, so
-    one call encodes a text made of them, and the ids are dealt back to the
-    pieces by their length in bytes.
-    """
 
-    def __init__(self, tokenizer_json: str) -> None:
-        from tokenizers import Tokenizer
+def plain_tokenizer(tokenizer_json: str):
+    """The tokenizers library's reading of a file, without truncation and padding."""
+    from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.decoder = ByteDecoder(tokenizer_json)
+    tokenizer = Tokenizer.from_str(tokenizer_json)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+class PieceMemo:
+    """Ids of pieces, each distinct one encoded once while it is remembered; at most about ``MEMO_BYTES`` are."""
+
+    def __init__(self) -> None:
         self.memo: dict[str, bytes] = {}
+        self.held = 0
 
     def learn(self, found: list[str]) -> dict[str, bytes]:
         """Ids of all of ``found`` at least; valid until the next call."""
+        if self.held > MEMO_BYTES:
+            self.memo.clear()
+            self.held = 0
         memo = self.memo
-        new = [p for p in dict.fromkeys(found) if p not in memo]
-        if len(memo) + len(new) > MEMO_PIECES:
-            memo.clear()
-            new = list(dict.fromkeys(found))
+        long: dict[str, bytes] = {}
+        part: list[str] = []
+        held = 0
+        for p in dict.fromkeys(found):
+            if p in memo:
+                continue
+            part.append(p)
+            held += len(p)
+            if held >= CALL_CHARS:
+                long |= self._remember(part)
+                part, held = [], 0
+        if part:
+            long |= self._remember(part)
+        return memo | long if long else memo
+
+    def _remember(self, new: list[str]) -> dict[str, bytes]:
+        """Encode ``new``; those too long to be remembered are returned."""
         known = self._encode(new)
-        memo.update((p, ids) for p, ids in known.items() if len(p) <= MEMO_CHARS)
-        return memo if all(len(p) <= MEMO_CHARS for p in known) else memo | known
+        long = {p: known.pop(p) for p in [*known] if len(p) > MEMO_CHARS}
+        self.held += sum(PIECE_BYTES + len(p) + len(ids) for p, ids in known.items())
+        self.memo.update(known)
+        return long
+
+    def _encode(self, new: list[str]) -> dict[str, bytes]:
+        raise NotImplementedError
+
+
+class PieceEncoder(PieceMemo):
+    """Ids (little-endian unsigned 32-bit) of pieces under a byte-level BPE.
+
+    New pieces are encoded many at a time: pieces that begin with white space
+    and end without keep their safe boundaries when they stand in a row, so
+    one call encodes a text made of them, and the ids are dealt back to the
+    pieces by their length in bytes.
+    """
+
+    def __init__(self, tokenizer_json: str, special: bool = True) -> None:
+        super().__init__()
+        self.tokenizer = plain_tokenizer(tokenizer_json)
+        # Without ``special``, special strings inside texts are plain text.
+        self.tokenizer.encode_special_tokens = not special
+        self.decoder = ByteDecoder(tokenizer_json)
 
     def _encode(self, new: list[str]) -> dict[str, bytes]:
         rows: list[list[str]] = []
         alone: list[str] = []
         held = ROW_CHARS
         for p in new:
-            if p[:1].isspace() and not p[-1].isspace() and not _UNSAFE.search(p):
+            if _IN_ROW.fullmatch(p):
                 if held + len(p) > ROW_CHARS:
                     rows.append([])
                     held = 0
@@ -89,9 +152,13 @@ class PieceEncoder:
                 held += len(p)
             else:
                 alone.append(p)
-        made = self.tokenizer.encode_batch_fast(["".join(r) for r in rows] + alone, add_special_tokens=False)
-        known = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(alone, made[len(rows):], strict=True)}
-        for row, e in zip(rows, made, strict=False):
+        known = {}
+        # A whole text in one piece is encoded by itself, so that its tokens' records go before the next.
+        for some in (alone,) if sum(map(len, alone)) < CALL_CHARS else ([p] for p in alone):
+            made = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(some, made, strict=True))
+        made = self.tokenizer.encode_batch_fast(["".join(r) for r in rows], add_special_tokens=False)
+        for row, e in zip(rows, made, strict=True):
             ids = np.array(e.ids, "<u4")
             ends = np.cumsum(self.decoder.length[ids])
             want = np.cumsum([len(p.encode()) for p in row])

@@ -1,4 +1,8 @@
 import hashlib
+import os
+import subprocess
+import sys
+from functools import cache
 
 import numpy as np
 import pytest
@@ -32,14 +36,26 @@ def test_odd_texts(spec, library):
         assert decoder.decode(ids).decode(errors="replace") == library.decode(ids.tolist(), skip_special_tokens=False) == text
 
 
+@cache
+def both():
+    return Tokenizer.from_file(T.default_path()), B.ChunkEncoder(T.tokenizer_text(T.default_path()))
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=st.sampled_from("ab'sé你 \n\t\r  \x1c1,.<|endoftext|>"), max_size=60))
 def test_any_text(text):
-    library = test_any_text.__dict__.setdefault("library", Tokenizer.from_file(T.default_path()))
-    coder = test_any_text.__dict__.setdefault("coder", B.ChunkEncoder(T.tokenizer_text(T.default_path())))
+    library, coder = both()
     assert coder.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet=st.sampled_from("ab 你\n\x1c\x1f\x85\u3000."), max_size=80), st.integers(1, 9))
+def test_slices_end_at_safe_boundaries(text, most):
+    parts = list(T.slices(text, most))
+    assert "".join(parts) == text
+    assert [p for x in parts for p in T.pieces(x)] == T.pieces(text)
+
+
 def test_ids_of_any_order_decode_as_the_library_has_it(spec, library):
     ids = np.random.default_rng(0).integers(0, 50257, 400)
     assert T.ByteDecoder(spec).decode(ids).decode(errors="replace") == library.decode(ids.tolist(), skip_special_tokens=False)
@@ -67,14 +83,39 @@ def test_chunks_are_encoded_once(spec, monkeypatch):
 
 
 def test_batches_are_balanced(monkeypatch):
-    monkeypatch.setattr(C, "BATCH_CHARS", 1000)
-    texts = ["", prose(1, 2000), "a b", prose(2, 3)] * 3
+    monkeypatch.setattr(C, "BATCH_BYTES", 1000)
+    texts = ["", prose(1, 2000), "a b", prose(2, 3), "é ü " * 900] * 3
     batches = list(C.balanced(texts))
-    assert all(sum(len(p) for _, found in b for p in found) < 1100 for b in batches)
-    again = ["".join(p for b in batches for j, found in b if j == i for p in found) for i in range(len(texts))]
+    assert all(sum(len(p.encode()) for _, p in b) < 1100 for b in batches)
+    assert sum(sum(len(p.encode()) for _, p in b) > 700 for b in batches) > len(batches) - 2
+    again = ["".join(p for b in batches for j, p in b if j == i) for i in range(len(texts))]
     assert again == texts
 
 
+MEMORY = """
+import resource, sys
+from backdrop.llm import bpe_chunks, token_counts, tokens
+import numpy as np
+import pyarrow as pa
+kind, spec = sys.argv[1], tokens.tokenizer_text(tokens.default_path())
+rng = np.random.default_rng(0)
+words = ["".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(2, 9))) for _ in range(200_000)]
+text = " ".join(words[i] for i in rng.integers(0, len(words), 1_400_000))[: 8 << 20]
+text = text[: 4 << 20] + "\x1c" + text[4 << 20 :] if kind == "control" else text
+batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], names=["doc_id", "text"])
+for run in (bpe_chunks._encode(spec, True), token_counts._lengths(spec)):
+    assert sum(b.num_rows for b in run([batch])) == 1
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+
+
+@pytest.mark.parametrize("kind", ["words", "control"])
+def test_memory_of_a_very_long_text(kind):
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", MEMORY, kind], cwd=root, capture_output=True, text=True, check=True, timeout=300)
+    assert int(done.stdout) < 600
+
+
 def test_queries_on_awkward_rows(docs, empty, library):
     want = {}
     for r in awkward():
