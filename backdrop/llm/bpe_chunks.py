@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from backdrop.llm import tokens
-from backdrop.llm.common import bounded_batches, documents, texts_of
+from backdrop.llm.common import bounded_batches, documents, kept_by_worker, texts_of
 
 # Bytes that decide a cut; a chunk has about 2 ** CHUNK_BITS bytes and at most CHUNK_MAX.
 WINDOW = 16
@@ -162,7 +162,8 @@ def _groups(texts: list[str], most: int = 1 << 18) -> Iterator[list[str]]:
 
 def _encode(spec: str, digest: bool) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = ChunkEncoder(spec), tokens.ByteDecoder(spec)
+        encoder = kept_by_worker(("chunks", hash(spec)), lambda: ChunkEncoder(spec))
+        decoder = encoder.encoder.decoder
         for b in batches:
             at = 0
             for texts in _groups(texts_of(b.column(b.num_columns - 1))):

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
+from collections.abc import Callable
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +43,22 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+Made = TypeVar("Made")
+
+
+def kept_by_worker(key: object, make: Callable[[], Made]) -> Made:
+    """What ``make`` gives, kept by this Python worker from task to task.
+
+    Worker processes are reused, but functions come to them by value, and
+    their modules' variables with them. For what is costly to build and of
+    bounded size only.
+    """
+    kept = sys.modules.setdefault("_backdrop_kept", types.ModuleType("_backdrop_kept")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def fold(id_col: Column, mod: int) -> Column:
     """``crc32(id as text) mod`` n; a NULL id counts as the empty string."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % F.lit(mod)

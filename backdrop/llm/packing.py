@@ -14,8 +14,11 @@ Pieces of one length may be a third of all: they are dealt into
 from __future__ import annotations
 
 import json
+import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from backdrop.llm import bin_completion, tokens
-from backdrop.llm.common import arrow_type, bounded_batches, documents, stored, texts_of
+from backdrop.llm.common import arrow_type, bounded_batches, documents, kept_by_worker, stored, texts_of
 from backdrop.llm.words import groups
 
 CAPACITY = 2048
 END_ID = 0
 RANK_BLOCKS = 1024
+# Small letters up to U+024F.
+_LATIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u024f]+")
 
 
 def default_path() -> str:
@@ -45,46 +50,78 @@ class WordEncoder(tokens.PieceMemo):
     are those of its words in a row. A word's final full stops and commas
     after a letter or digit are words too: letters, digits and other signs
     never share a token. In ASCII, case doesn't matter but in special strings.
+
+    A word of Latin letters alone is one pre-token, whose normal form is its
+    lower case: it goes to the model at once. All others go through the whole
+    tokenizer.
     """
 
     def __init__(self, tokenizer_json: str) -> None:
         super().__init__()
         self.tokenizer = tokens.plain_tokenizer(tokenizer_json)
+        self.model = self.tokenizer.model
         self.special = [t["content"] for t in json.loads(tokenizer_json)["added_tokens"]]
-
-    def encode(self, text: str) -> np.ndarray:
-        made = []
-        for part in tokens.slices(text):
-            low = part.lower() if part.isascii() else part
-            words = tokens.words(part if any(x in low for x in self.special) else low)
-            ids = self.learn(words)
-            made.append(b"".join(map(ids.__getitem__, words)))
-        return np.frombuffer(b"".join(made), "<u4")
+        symbol = {b: c for c, b in tokens.byte_symbols().items()}
+        self.symbols = {c: "".join(symbol[b] for b in chr(c).encode()) for c in range(0x80, 0x250)}
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; the words of short texts are looked up together."""
+        out: list[np.ndarray] = []
+        for some in groups(texts, tokens.SLICE_CHARS):
+            if some.stop - some.start > 1:
+                out += self._ids_of(texts[some])
+            else:
+                parts = [self._ids_of([part])[0] for part in tokens.slices(texts[some.start])]
+                out.append(np.concatenate(parts) if parts else np.empty(0, "<u4"))
+        return out
+
+    def _ids_of(self, texts: list[str]) -> list[np.ndarray]:
+        split = []
+        for text in texts:
+            low = text.lower() if text.isascii() else text
+            split.append(tokens.words(text if any(x in low for x in self.special) else low))
+        ids = self.learn(chain.from_iterable(split))
+        return [np.frombuffer(b"".join(map(ids.__getitem__, words)), "<u4") for words in split]
 
     def _encode(self, new: list[str]) -> dict[str, bytes]:
         stems: dict[str, tuple[str, str]] = {}
+        plain: dict[str, None] = {}
         for w in new:
-            stem = w.rstrip(".,")
-            # Letters that both Python and the tokenizer know as such; others keep what follows.
-            if len(stem) < len(w) and stem and stem[-1] <= "ɏ" and stem[-1].isalnum():
-                stems[w] = stem, w[len(stem) :]
-        plain = list(dict.fromkeys(p for w in new if w not in self.memo for p in stems.get(w, (w,)) if p not in self.memo))
-        made = self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)
-        known = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(plain, made, strict=True)}
-        get = lambda p: known[p] if p in known else self.memo[p]
-        return known | {w: get(a) + get(b) for w, (a, b) in stems.items()}
+            if w[-1] in ".,":
+                stem = w.rstrip(".,")
+                # Letters that both Python and the tokenizer know as such; others keep what follows.
+                if stem and stem[-1] <= "ɏ" and stem[-1].lower()[-1].isalnum():
+                    stems[w] = stem, w[len(stem) :]
+                    plain.update(dict.fromkeys(stems[w]))
+                    continue
+            plain[w] = None
+        known = {p: self.memo[p] for p in plain if p in self.memo}
+        rest: list[str] = []
+        for p in plain:
+            if p in known:
+                continue
+            low = p.lower()
+            if _LATIN.fullmatch(low):
+                word = low if low.isascii() else low.translate(self.symbols)
+                known[p] = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+            else:
+                rest.append(p)
+        made = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        known.update((p, array("I", e.ids).tobytes()) for p, e in zip(rest, made, strict=True))
+        known.update((w, known[a] + known[b]) for w, (a, b) in stems.items())
+        return known
 
 
 def _cut(spec: str, capacity: int, end_id: int, with_ids: bool, id_type: pa.DataType) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(spec)
+        encoder = kept_by_worker(("words", hash(spec)), lambda: WordEncoder(spec))
         end = np.array([end_id], "<u4")
         for b in batches:
             texts = texts_of(b.column(1))
             for part in groups(texts):
                 rows: list[tuple] = []
-                for i in range(part.start, part.stop):
-                    ids = np.concatenate([encoder.encode(texts[i]), end])
+                for i, ids in enumerate(encoder.encode(texts[part]), part.start):
+                    ids = np.concatenate([ids, end])
                     for k, s in enumerate(range(0, len(ids), capacity)):
                         raw = ids[s : s + capacity].tobytes()
                         rows.append((i, k, s, len(raw) // 4, zlib.crc32(raw), raw if with_ids else None))

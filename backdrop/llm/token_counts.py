@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from backdrop.llm import tokens
-from backdrop.llm.common import bounded_batches, documents, texts_of
+from backdrop.llm.common import bounded_batches, documents, kept_by_worker, texts_of
 
 BATCH_BYTES = 1 << 20
 # The fold of the contract: longer documents are flagged.
@@ -46,7 +46,7 @@ def balanced(texts: list[str]) -> Iterator[list[tuple[int, str]]]:
 
 def _lengths(tokenizer_json: str) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.PieceEncoder(tokenizer_json)
+        encoder = kept_by_worker(("pieces", hash(tokenizer_json)), lambda: tokens.PieceEncoder(tokenizer_json))
         for b in batches:
             texts = texts_of(b.column(1))
             counts = [0] * len(texts)

@@ -15,8 +15,9 @@ number of bytes. Long texts are worked on in slices between safe boundaries.
 from __future__ import annotations
 
 import json
+import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -29,8 +30,8 @@ _BOUNDARY_BACK = re.compile(f"[{WHITE}](?=[^{WHITE}])")
 _IN_ROW = re.compile(f"[{WHITE}].*[^{WHITE}]", re.DOTALL)
 
 # Bytes of remembered pieces of a task, as estimated with PIECE_BYTES for each
-# piece beside its text and ids. When they are reached it starts again empty.
-MEMO_BYTES = 80 << 20
+# piece beside its text and ids. The half used last stays when they are reached.
+MEMO_BYTES = 160 << 20
 PIECE_BYTES = 180
 # The longest piece that is remembered.
 MEMO_CHARS = 48
@@ -46,12 +47,12 @@ def pieces(text: str) -> list[str]:
     return _PIECE.findall(text)
 
 
-def slices(text: str, most: int | None = None) -> Iterator[str]:
+def slices(text: str, most: int | None = None, boundary: re.Pattern = _BOUNDARY) -> Iterator[str]:
     """The text in parts of about ``most`` characters that end at safe boundaries; no part for an empty text."""
     most = most or SLICE_CHARS
     at = 0
     while len(text) - at > most:
-        cut = _BOUNDARY.search(text, at + most - 1)
+        cut = boundary.search(text, at + most - 1)
         if cut is None:
             break
         yield text[at : cut.end()]
@@ -74,7 +75,8 @@ def words(text: str) -> list[str]:
 
 
 def plain_tokenizer(tokenizer_json: str):
-    """The tokenizers library's reading of a file, without truncation and padding."""
+    """The tokenizers library's reading of a file, without truncation and padding, in the task's own thread."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(tokenizer_json)
@@ -84,24 +86,29 @@ def plain_tokenizer(tokenizer_json: str):
 
 
 class PieceMemo:
-    """Ids of pieces, each distinct one encoded once while it is remembered; at most about ``MEMO_BYTES`` are."""
+    """What is made of pieces (their ids), each distinct one once while it is remembered; at most about ``MEMO_BYTES`` are."""
 
     def __init__(self) -> None:
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict = {}
+        self.older: dict = {}
         self.held = 0
 
-    def learn(self, found: list[str]) -> dict[str, bytes]:
-        """Ids of all of ``found`` at least; valid until the next call."""
-        if self.held > MEMO_BYTES:
-            self.memo.clear()
-            self.held = 0
-        memo = self.memo
-        long: dict[str, bytes] = {}
+    def learn(self, found: Iterable[str]) -> dict:
+        """What is made of all of ``found`` at least; valid until the next call."""
+        if self.held > MEMO_BYTES // 2:
+            # What was of use lately stays for another round.
+            self.memo, self.older, self.held = {}, self.memo, 0
+        memo, older = self.memo, self.older
+        long: dict = {}
         part: list[str] = []
         held = 0
         for p in dict.fromkeys(found):
             if p in memo:
                 continue
+            if p in older:
+                memo[p] = older[p]
+                self.held += PIECE_BYTES + len(p) + self._size(memo[p])
+                continue
             part.append(p)
             held += len(p)
             if held >= CALL_CHARS:
@@ -111,17 +118,20 @@ class PieceMemo:
             long |= self._remember(part)
         return memo | long if long else memo
 
-    def _remember(self, new: list[str]) -> dict[str, bytes]:
+    def _remember(self, new: list[str]) -> dict:
         """Encode ``new``; those too long to be remembered are returned."""
         known = self._encode(new)
-        long = {p: known.pop(p) for p in [*known] if len(p) > MEMO_CHARS}
-        self.held += sum(PIECE_BYTES + len(p) + len(ids) for p, ids in known.items())
+        long = {p: known.pop(p) for p in new if len(p) > MEMO_CHARS}
+        self.held += sum(PIECE_BYTES + len(p) + self._size(made) for p, made in known.items())
         self.memo.update(known)
         return long
 
-    def _encode(self, new: list[str]) -> dict[str, bytes]:
+    def _encode(self, new: list[str]) -> dict:
         raise NotImplementedError
 
+    def _size(self, made) -> int:
+        return len(made)
+
 
 class PieceEncoder(PieceMemo):
     """Ids (little-endian unsigned 32-bit) of pieces under a byte-level BPE.
@@ -180,15 +190,10 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class ByteDecoder:
-    """Bytes of ids, special tokens included."""
+class ByteTable:
+    """Bytes of ids."""
 
-    def __init__(self, tokenizer_json: str) -> None:
-        spec = json.loads(tokenizer_json)
-        symbols = byte_symbols()
-        content = {i: bytes(symbols[c] for c in token) for token, i in spec["model"]["vocab"].items()}
-        content |= {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
-        table = [content.get(i, b"") for i in range(max(content) + 1)]
+    def __init__(self, table: list[bytes]) -> None:
         self.length = np.array([len(t) for t in table], np.int64)
         self.start = np.concatenate([[0], np.cumsum(self.length)[:-1]])
         self.blob = np.frombuffer(b"".join(table), np.uint8)
@@ -203,6 +208,17 @@ class ByteDecoder:
         return self.blob[at].tobytes()
 
 
+class ByteDecoder(ByteTable):
+    """Bytes of the ids of a byte-level BPE, special tokens included."""
+
+    def __init__(self, tokenizer_json: str) -> None:
+        spec = json.loads(tokenizer_json)
+        symbols = byte_symbols()
+        content = {i: bytes(symbols[c] for c in token) for token, i in spec["model"]["vocab"].items()}
+        content |= {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+        super().__init__([content.get(i, b"") for i in range(max(content) + 1)])
+
+
 def tokenizer_text(path: str) -> str:
     """The tokenizer file, read on the driver; tasks get its text (a few MB)."""
     with open(path, encoding="utf-8") as f:

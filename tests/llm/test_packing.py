@@ -103,14 +103,15 @@ def library():
 
 
 ODD = ["", "İstanbul ΟΔΟΣ, Σ. ΣΣ.,", "a\x1cb c\x85D.", "it's We'LL. x.,y., 3.14. é., 你好., <|endoftext|>., <|STARTOFTEXT|> <|startoftext|>x",
-       "!., ʰ., Ⅷ., ½., _., ٣., é., ́ a", "x" * 9000, "A.　B, C", "...,,, .a ,b"]
+       "!., ʰ., Ⅷ., ½., _., ٣., é., ́ a", "x" * 9000, "".join(map(chr, range(0xC0, 0x250))), " ".join(map(chr, range(0xA0, 0x260))), " ".join(f"a{chr(c)}B" for c in range(0x80, 0x250)), "A.　B, C", "...,,, .a ,b"]
 
 
 def test_ids_are_the_librarys(library, monkeypatch):
     monkeypatch.setattr(T, "SLICE_CHARS", 40)
     encoder = P.WordEncoder(T.tokenizer_text(P.default_path()))
-    for text in ODD + ODD:
-        assert encoder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    for texts in (ODD, ODD[::-1], [t + prose(5, 400) + t for t in ODD]):
+        for text, ids in zip(texts, encoder.encode(texts), strict=True):
+            assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
 
 
 @cache
@@ -122,7 +123,7 @@ def both():
 @given(st.text(alphabet=st.sampled_from("aBé.,'s9 \n\x1c你́<|endoftext|>ΣİⅠ"), max_size=60))
 def test_any_text(text):
     library, coder = both()
-    assert coder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert coder.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
 def want_pieces(rows, library):
