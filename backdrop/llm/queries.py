@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from backdrop.llm import bpe_chunks, decontamination, exact_dedup, fill_middle, language, lm_scoring, near_dedup, packing, pii, sharding, token_counts, toxicity
+from backdrop.llm import (
+    alignment,
+    bpe_chunks,
+    decontamination,
+    exact_dedup,
+    fill_middle,
+    language,
+    lm_scoring,
+    near_dedup,
+    packing,
+    pii,
+    sharding,
+    token_counts,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hash_tree_sharding": sharding.op1_hash_tree_sharding,
@@ -19,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bigru_toxicity": toxicity.op8_bigru_toxicity,
     "op9_information_theoretic_pii": pii.op9_information_theoretic_pii,
     "op10_content_sort_dedup": exact_dedup.op10_content_sort_dedup,
+    "op11_distinct_text_alignment": alignment.op11_distinct_text_alignment,
     "op12_fenwick_fill_in_middle": fill_middle.op12_fenwick_fill_in_middle,
     "op13_bin_completion_packing": packing.op13_bin_completion_packing,
 }
