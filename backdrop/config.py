@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Frames are large rows (a 640x480 BGR frame is 900 KiB). Spark cuts the
 # Arrow batches fed to ``mapInArrow`` by bytes as well as by rows, so a batch
@@ -48,6 +49,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or path
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new table in the shared folder and read back.
+
+    Cuts the lineage: what is not deterministic (partition numbers, row places)
+    is fixed, and a lost executor costs no recomputation of it.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def make_session(master: str | None = None, cores: int | None = None, app: str = "backdrop") -> SparkSession:
     """A local session for tests, benchmarks and examples."""
     if master is None:

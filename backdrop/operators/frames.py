@@ -12,6 +12,7 @@ calling them.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Callable
 
 import numpy as np
@@ -150,7 +151,7 @@ class _FrameBatch:
         self.status[i], self.message[i] = schemas.ERROR, f"{type(exc).__name__}: {exc}"
 
 
-def _run_kernel(fb: _FrameBatch, kernel: Kernel, extra_names, second: _FrameBatch | None):
+def _run_kernel(fb: _FrameBatch, kernel: Kernel, extra_names, second: _FrameBatch | None, keys: list | None = None):
     out_chunks: list = [None] * fb.n
     extras = {name: np.zeros(fb.n, dtype=np.int64) for name in extra_names}
     extra_valid = np.zeros(fb.n, dtype=bool)
@@ -166,6 +167,8 @@ def _run_kernel(fb: _FrameBatch, kernel: Kernel, extra_names, second: _FrameBatc
         if second is not None:
             args.append(np.concatenate([pixels.to_bgr(second.stack((shape[0], shape[1], int(second.c[i])), [i]))
                                         for i in idx]))
+        if keys is not None:
+            args.append([keys[i] for i in idx])
         out, ext = kernel(*args)
         for k, i in enumerate(idx):
             out_chunks[i] = out[k]
@@ -187,6 +190,12 @@ def _run_kernel(fb: _FrameBatch, kernel: Kernel, extra_names, second: _FrameBatc
     return out_chunks, valid, extras, extra_valid
 
 
+def readable_stacks(batch: pa.RecordBatch) -> list[tuple[tuple[int, int], np.ndarray, np.ndarray]]:
+    """(height, width), row numbers and BGR stack of the readable frames of a batch, by shape."""
+    fb = _FrameBatch(batch)
+    return [(shape[:2], idx, pixels.to_bgr(fb.stack(shape, idx))) for shape, idx in fb.groups()]
+
+
 def _replace(batch: pa.RecordBatch, schema: pa.Schema, new_cols: dict) -> pa.RecordBatch:
     arrays = []
     for field in schema:
@@ -209,9 +218,14 @@ def _split(batch: pa.RecordBatch, data_col: str):
 
 
 def map_frames(df: DataFrame, kernel: Kernel, *, extra: tuple = (), out_col: str = "data",
-               second_col: str | None = None, out_channels: int = 3, out_mode: int = schemas.MODE_BGR) -> DataFrame:
+               second_col: str | None = None, key_col: str | None = None, pass_through: bool = False,
+               out_channels: int = 3, out_mode: int = schemas.MODE_BGR) -> DataFrame:
     """Run ``kernel`` over every readable frame of ``df``.
 
+    With ``key_col`` the kernel also gets the list of the frames' values of
+    that column. With ``pass_through`` a frame whose kernel failed keeps its
+    data as it came, beside its ``error`` status.
+
     Output: the input columns with ``out_col`` holding the kernel's frame
     (``n_channels``/``mode`` updated when ``out_col`` is ``data``), plus
     ``status``, ``message`` and one bigint column per name in ``extra``.
@@ -233,10 +247,16 @@ def map_frames(df: DataFrame, kernel: Kernel, *, extra: tuple = (), out_col: str
                     arrow_schema = _arrow_schema(out_schema, batch)
                 fb = _FrameBatch(batch)
                 second = _FrameBatch(batch, second_col, infer_channels=True) if second_col else None
-                chunks, valid, extras, extra_valid = _run_kernel(fb, kernel, extra, second)
+                keys = batch.column(batch.schema.get_field_index(key_col)).to_pylist() if key_col else None
+                chunks, valid, extras, extra_valid = _run_kernel(fb, kernel, extra, second, keys)
+                filled = valid
+                if pass_through:
+                    for i in np.flatnonzero((fb.status == schemas.ERROR) & ~fb.is_null):
+                        chunks[i] = fb.values[fb.offsets[i]:fb.offsets[i + 1]]
+                    filled = np.array([c is not None for c in chunks], dtype=bool)
                 text = arrow_schema.field("status").type
                 cols = {
-                    out_col: _build_binary(chunks, valid, pa.types.is_large_binary(arrow_schema.field(out_col).type)),
+                    out_col: _build_binary(chunks, filled, pa.types.is_large_binary(arrow_schema.field(out_col).type)),
                     "status": pa.array(fb.status.tolist(), text),
                     "message": pa.array(fb.message.tolist(), text),
                 }
@@ -253,7 +273,68 @@ def map_frames(df: DataFrame, kernel: Kernel, *, extra: tuple = (), out_col: str
 
 
 # --------------------------------------------------------------------------
-# The operators of the inventory.
+# The operators of the inventory. A step maps the frames as they are now, and
+# as they came, to new frames and extra columns; steps run one after another
+# in one pass, so a frame is read and assembled once however many there are.
+
+
+@dataclass(frozen=True)
+class Step:
+    kernel: Callable[[np.ndarray, np.ndarray], tuple]
+    extra: tuple = ()
+    channels: int = 3
+
+
+def chain(df: DataFrame, *steps: Step, out_col: str = "data", pass_through: bool = False) -> DataFrame:
+    """All ``steps`` over every readable frame; one Python pass, one pixel column."""
+    names = tuple(dict.fromkeys(name for step in steps for name in step.extra))
+
+    def kernel(bgr):
+        now, extras = bgr, {}
+        for step in steps:
+            now, made = step.kernel(now, bgr)
+            extras |= made
+        return now, extras
+
+    channels = steps[-1].channels
+    return map_frames(df, kernel, extra=names, out_col=out_col, pass_through=pass_through, out_channels=channels,
+                      out_mode=_MODE_OF_CHANNELS[channels])
+
+
+def removing(segmenter="threshold", bg_color=pixels.BG_COLOR, cutoff: float = pixels.MASK_CUTOFF, mask_true: str = "background") -> Step:
+    """A3 + A4: segment each frame and paint its backdrop; ``painted`` counts the pixels."""
+    seg = make_segmenter(segmenter)
+    bg = tuple(int(v) for v in bg_color)
+    if mask_true not in ("background", "foreground"):
+        raise ValueError("mask_true must be 'background' or 'foreground'")
+
+    def kernel(now, _):
+        out, painted = pixels.composite(now, seg(pixels.swap_rb(now)), bg, cutoff, mask_true)
+        return out, {"painted": painted.reshape(len(out), -1).sum(axis=1)}
+
+    return Step(kernel, ("painted",))
+
+
+def recompositing(bg_color=pixels.BG_COLOR) -> Step:
+    """A5: the backdrop colour where the frame shows it exactly, the frame as it came elsewhere; ``sentinel_px`` counts the pixels."""
+    bg = tuple(int(v) for v in bg_color)
+
+    def kernel(now, came):
+        out, is_bg = pixels.recomposite(came, now, bg)
+        return out, {"sentinel_px": is_bg.reshape(len(out), -1).sum(axis=1)}
+
+    return Step(kernel, ("sentinel_px",))
+
+
+def masking(bg_color=pixels.BG_COLOR) -> Step:
+    """A5: one byte per pixel, 1 where the frame shows the backdrop colour; ``sentinel_px`` counts them."""
+    bg = tuple(int(v) for v in bg_color)
+
+    def kernel(now, _):
+        m = pixels.sentinel_mask(now, bg)
+        return m.view(np.uint8), {"sentinel_px": m.reshape(len(m), -1).sum(axis=1)}
+
+    return Step(kernel, ("sentinel_px",), channels=1)
 
 
 def normalise(df: DataFrame) -> DataFrame:
@@ -267,7 +348,7 @@ def swap_channels(df: DataFrame, out_col: str = "data") -> DataFrame:
 
 
 def remove_backdrop(df: DataFrame, segmenter="threshold", bg_color=pixels.BG_COLOR,
-                    cutoff: float = pixels.MASK_CUTOFF, mask_true: str = "background") -> DataFrame:
+                    cutoff: float = pixels.MASK_CUTOFF, mask_true: str = "background", pass_through: bool = False) -> DataFrame:
     """A1 + A3 + A4 (U1/U3): segment each frame and paint its backdrop.
 
     ``segmenter`` is a :class:`~backdrop.functions.segmenters.Segmenter`, a
@@ -275,22 +356,13 @@ def remove_backdrop(df: DataFrame, segmenter="threshold", bg_color=pixels.BG_COL
     callable ``uint8[h, w, 3] (RGB) -> mask[h, w]``. Adds ``painted``, the
     number of pixels replaced.
     """
-    seg = make_segmenter(segmenter)
-    bg = tuple(int(v) for v in bg_color)
-    if mask_true not in ("background", "foreground"):
-        raise ValueError("mask_true must be 'background' or 'foreground'")
-
-    def kernel(bgr):
-        mask = seg(pixels.swap_rb(bgr))
-        out, painted = pixels.composite(bgr, mask, bg, cutoff, mask_true)
-        return out, {"painted": painted.reshape(len(out), -1).sum(axis=1)}
-
-    return map_frames(df, kernel, extra=("painted",))
+    return chain(df, removing(segmenter, bg_color, cutoff, mask_true), pass_through=pass_through)
 
 
 def recomposite(df: DataFrame, original_col: str = "original", bg_color=pixels.BG_COLOR) -> DataFrame:
-    """A5: backdrop colour wherever the processed ``data`` shows it exactly,
-    the frame in ``original_col`` elsewhere. Adds ``sentinel_px``."""
+    """A5 on finished frames: backdrop colour wherever the processed ``data`` shows it exactly,
+    the frame in ``original_col`` elsewhere. Adds ``sentinel_px``. Where the frames are processed
+    by the same job, :func:`chain` needs no second pixel column."""
     bg = tuple(int(v) for v in bg_color)
 
     def kernel(processed, original):
@@ -304,10 +376,4 @@ def backdrop_mask(df: DataFrame, bg_color=pixels.BG_COLOR, out_col: str = "mask"
     """A5 on its own: recover the backdrop mask of a finished frame, one byte
     per pixel (1 where all three channels equal the backdrop colour; a true
     grey pixel of that colour is a false positive). Adds ``sentinel_px``."""
-    bg = tuple(int(v) for v in bg_color)
-
-    def kernel(bgr):
-        m = pixels.sentinel_mask(bgr, bg)
-        return m.view(np.uint8), {"sentinel_px": m.reshape(len(m), -1).sum(axis=1)}
-
-    return map_frames(df, kernel, extra=("sentinel_px",), out_col=out_col)
+    return chain(df, masking(bg_color), out_col=out_col)

@@ -49,7 +49,11 @@ def with_fallback(sent: DataFrame, replies: DataFrame, keys, value_col: str, rep
     otherwise the original. Left join on the frame key, which is unique per
     row, so no key is hot."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    joined = sent.join(replies.select(*keys, reply_col), keys, "left")
+    return shown(sent.join(replies.select(*keys, reply_col), keys, "left"), value_col, reply_col, out_col)
+
+
+def shown(joined: DataFrame, value_col: str, reply_col: str, out_col: str = "shown") -> DataFrame:
+    """What a viewer sees of a frame beside its reply, and where that is from."""
     usable = F.coalesce(F.length(F.col(reply_col)) > 0, F.lit(False))
     return joined.withColumn(out_col, F.when(usable, F.col(reply_col)).otherwise(F.col(value_col))) \
         .withColumn("shown_from", F.when(usable, F.lit("processed")).otherwise(F.lit("original")))

@@ -1,173 +1,112 @@
 """Order-based operators: numbering, first-N, take-while, latest, newest-first.
 
 Numbering per session is a window function, and a window puts a whole
-partition key into one task. A session may hold a large share of all rows,
-so :func:`sequence_number` first counts rows per key (a partial aggregate)
-and splits keys above ``rows_per_segment`` rows into ordered segments of
-their first order column (equal-frequency: fine value buckets merged by
-count for numbers and times, sampled splitters for strings). Each segment is numbered by its own window task,
-and a small per-segment count table, prefix-summed, supplies the offsets.
-Keys below the limit stay in one segment, so they cost one window as before.
+partition key into one task. A session may hold a large share of all rows, so
+:func:`sequence_number` works by ranges instead: rows are range-partitioned
+by the key *and* all order columns, so Spark's sampled splitters cut a large
+session wherever its order allows, NULL or tied leading columns included.
+Every partition numbers its own runs of equal keys; counted runs give the
+first run of each partition its offset. Rows are shuffled once, and no size
+decides between two plans.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from backdrop.config import stored
 from backdrop.functions.columns import END_MARKER
 
-# Rows one window task may take for one key before the key is split.
-ROWS_PER_SEGMENT = 2_000_000
-# Splitters per hot key when the first order column is not numeric.
-_SAMPLES_PER_SEGMENT = 16
-# Fine buckets per segment for numeric order values (absorbs 8x bunching).
-_FINE_PER_SEGMENT = 8
-
-_SEG, _KEY = "_seg", "_key"
+_PART, _LOCAL, _LEADS = "_part", "_local", "_leads"
 
 
 def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def _sortable_number(df: DataFrame, name: str) -> Column | None:
-    """A number that orders exactly like column ``name``, when one exists."""
-    dt = df.schema[name].dataType
-    if isinstance(dt, T.TimestampNTZType):  # time-zone free: micros since the epoch
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`)").cast("double")
-    if isinstance(dt, T.TimestampType):
-        return F.unix_micros(F.col(name)).cast("double")
-    if isinstance(dt, T.DateType):
-        return F.unix_date(F.col(name)).cast("double")
-    if isinstance(dt, T.NumericType):
-        return F.col(name).cast("double")
-    return None
-
-
-def _splits_up_to(splits: Column, value: Column) -> Column:
-    """How many of the sorted ``splits`` are not above ``value``, by halving (NULL values come first: none)."""
-    def halve(span: Column, _step: Column) -> Column:
-        mid = F.floor((span["lo"] + span["hi"]) / 2).cast("int")
-        below = F.coalesce(F.get(splits, mid) <= value, F.lit(False))
-        inside = F.when(below, F.struct((mid + 1).alias("lo"), span["hi"].alias("hi"))).otherwise(
-            F.struct(span["lo"].alias("lo"), mid.alias("hi")))
-        return F.when(span["lo"] < span["hi"], inside).otherwise(span)
-
-    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(splits) + 1)).cast("int"))
-    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(splits).alias("hi")), halve, lambda span: span["lo"])
-
-
-def _segmented(df: DataFrame, by: list, order: list, rows_per_segment: int):
-    """``df`` with an order-preserving segment number per row (0 for keys at
-    or below ``rows_per_segment`` rows), and the row count of every segment
-    of the hot keys."""
-    lead = order[0]
-    num = _sortable_number(df, lead)
-    # When every row of a hot key ties on the first order column, its order is
-    # the second column's, so that key is split on the second column instead.
-    num2 = _sortable_number(df, order[1]) if num is not None and len(order) > 1 else None
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    if num is not None:
-        aggs += [F.min(num).alias("_lo1"), F.max(num).alias("_hi1"), F.count(num).alias("_nn1")]
-    if num2 is not None:
-        aggs += [F.min(num2).alias("_lo2"), F.max(num2).alias("_hi2")]
-    n_seg = F.ceil(F.col("_n") / F.lit(rows_per_segment)).cast("long")
-    hot = df.groupBy(*by).agg(*aggs).where(F.col("_n") > rows_per_segment).withColumn("_k", n_seg)
-
-    if num is not None:
-        if num2 is not None:
-            # (NULLs sort first, so a key with NULL first values keeps the first column)
-            tied = F.coalesce((F.col("_hi1") <= F.col("_lo1")) & (F.col("_nn1") == F.col("_n")), F.lit(False))
-            hot = hot.withColumn("_on2", tied) \
-                .withColumn("_lo", F.when(tied, F.col("_lo2")).otherwise(F.col("_lo1"))) \
-                .withColumn("_hi", F.when(tied, F.col("_hi2")).otherwise(F.col("_hi1")))
-            value = F.when(F.col("_on2"), num2).otherwise(num)
-        else:
-            hot = hot.withColumnRenamed("_lo1", "_lo").withColumnRenamed("_hi1", "_hi")
-            value = num
-        # Fine equal-width buckets of the order value (O(1) per row, monotone
-        # in the value), counted per hot key, then merged in order into
-        # segments of about n / k rows each: equal-frequency segments even
-        # when the values bunch up, without sorting or searching per row.
-        fine_k = F.col("_k") * F.lit(_FINE_PER_SEGMENT)
-        extra = ["_on2"] if num2 is not None else []
-        hot = hot.select(*by, "_n", "_k", "_lo", ((F.col("_hi") - F.col("_lo")) / fine_k).alias("_width"),
-                         (fine_k - 1).alias("_last"), *extra)
-        fine = F.when(F.col("_width") <= 0, F.lit(0)).otherwise(
-            F.least(F.floor((value - F.col("_lo")) / F.col("_width")), F.col("_last")))
-        tagged = df.join(hot, by, "left").withColumn("_hot", F.col("_k").isNotNull()) \
-            .withColumn("_fine", F.coalesce(fine, F.lit(0)).cast("long"))
-        fine_counts = tagged.where("_hot").groupBy(*by, "_fine").agg(
-            F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"), F.first("_k").alias("_k"))
-        before = F.sum("_c").over(Window.partitionBy(*by).orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1))
-        seg_of_fine = fine_counts.withColumn("_before", F.coalesce(before, F.lit(0))).select(
-            *by, "_fine", "_c",
-            F.least(F.floor(F.col("_before") * F.col("_k") / F.col("_n")), F.col("_k") - 1).cast("long").alias(_SEG))
-        with_seg = tagged.join(seg_of_fine.select(*by, "_fine", _SEG), [*by, "_fine"], "left") \
-            .withColumn(_SEG, F.coalesce(F.col(_SEG), F.lit(0)).cast("long")) \
-            .drop("_n", "_k", "_lo", "_width", "_last", "_fine", "_on2")
-        counts = seg_of_fine.groupBy(*by, _SEG).agg(F.sum("_c").alias("_c"))
-    else:
-        # Splitters from a sample of the hot keys' order values. It goes by
-        # content: the plan reads it twice, and both reads must agree.
-        one_in = max(1, rows_per_segment // _SAMPLES_PER_SEGMENT)
-        sample = df.join(hot.select(*by), by, "left_semi").where(
-            F.pmod(F.xxhash64(*by, *order), F.lit(one_in)) == 0).select(*by, lead)
-        ranked = sample.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(lead)))
-        sorted_splits = F.array_sort(F.collect_list(lead))
-        splits = ranked.where(F.col("_r") % _SAMPLES_PER_SEGMENT == 0).groupBy(*by).agg(sorted_splits.alias("_splits"))
-        splits = hot.select(*by).join(splits, by, "left").withColumn("_h", F.lit(True))
-        with_seg = df.join(splits, by, "left")
-        with_seg = with_seg.withColumn("_hot", F.col("_h").isNotNull()).withColumn(
-            _SEG, F.coalesce(_splits_up_to(F.col("_splits"), F.col(lead)), F.lit(0)).cast("long")
-        ).drop("_splits", "_h")
-        counts = with_seg.where("_hot").groupBy(*by, _SEG).agg(F.count(F.lit(1)).alias("_c"))
-
-    return with_seg, counts
-
-
-def sequence_number(df: DataFrame, by, order, name: str = "seq", start: int = 0,
-                    rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:
-    """Number rows per ``by`` key in ``order`` (ascending), from ``start``.
-
-    ``order`` should end in a unique tie-breaker, as with any row_number.
-    One lazy plan, no driver round trip: the hot-key table and the offset
-    table have at most ``total rows / rows_per_segment`` rows, and AQE
-    broadcasts them from their measured runtime size (a shuffle join, with
-    AQE's skew split, beyond that).
+def _differ(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Where two columns differ; NULL equals NULL and NaN equals NaN, as in a grouping."""
+    if pa.types.is_nested(a.type):
+        return np.array([x != y for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], bool)
+    unlike = pc.fill_null(pc.not_equal(a, b), False)
+    if pa.types.is_floating(a.type):
+        unlike = pc.and_(unlike, pc.invert(pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False)))
+    one_null = pc.xor(pc.is_null(a), pc.is_null(b))
+    return pc.or_(unlike, one_null).to_numpy(zero_copy_only=False)
+
+
+def _number_runs(keys: list[int]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds the partition, the 0-based place in the run of equal keys, and whether that run leads the partition."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        last: pa.RecordBatch | None = None
+        count, leads = 0, True
+        for b in batches:
+            n = b.num_rows
+            if n == 0:
+                continue
+            new = np.zeros(n, bool)
+            for k in keys:
+                column = b.column(k)
+                new[1:] |= _differ(column[:-1], column[1:])
+                if last is not None:
+                    new[0] |= _differ(last.column(k), column[:1])[0]
+            at = np.arange(n)
+            begin = np.maximum.accumulate(np.where(new, at, -1))
+            local = np.where(begin < 0, at + count, at - begin)
+            lead = (begin < 0) & leads
+            last, count, leads = b.slice(n - 1), int(local[-1]) + 1, bool(lead[-1])
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(np.full(n, part, np.int32)), pa.array(local.astype(np.int64)), pa.array(lead)],
+                [*b.schema.names, _PART, _LOCAL, _LEADS])
+
+    return run
+
+
+def sequence_number(df: DataFrame, by, order, name: str = "seq", start: int = 0) -> DataFrame:
+    """Number rows per ``by`` key in ``order`` (ascending, NULLs first), from ``start``.
+
+    ``order`` should end in a unique tie-breaker, as with any row_number;
+    rows that tie on all of it are numbered in one task. The dealt rows are
+    stored, as the numbers depend on how they were dealt.
     """
-    order = _names(order)
-    # The key as one struct, so that joins match NULL keys, which are split like any other.
-    df, by = df.withColumn(_KEY, F.struct(*_names(by))), [_KEY]
-    with_seg, counts = _segmented(df, by, order, rows_per_segment)
-    local = with_seg.withColumn("_local", F.row_number().over(Window.partitionBy(*by, _SEG).orderBy(*order)))
-    # Rows of each hot key in earlier segments. A hot key has at most
-    # ceil(n / rows_per_segment) rows in this table, so the window is small.
-    offsets = counts.withColumn(
-        "_off", F.sum("_c").over(Window.partitionBy(*by).orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1))
-    ).where(F.col(_SEG) > 0).select(*by, _SEG, "_off")
-    out = local.drop("_hot").join(offsets, [*by, _SEG], "left")
-    return out.withColumn(name, F.col("_local") + F.coalesce(F.col("_off"), F.lit(0)) + F.lit(start - 1)) \
-        .drop("_local", "_off", _SEG, _KEY)
+    by, order = _names(by), _names(order)
+    dealt = df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
+    schema = T.StructType([*df.schema.fields, T.StructField(_PART, T.IntegerType()), T.StructField(_LOCAL, T.LongType()),
+                           T.StructField(_LEADS, T.BooleanType())])
+    rows = stored(dealt.mapInArrow(_number_runs([df.columns.index(c) for c in by]), schema), "numbered")
+    before = F.sum("count").over(Window.partitionBy(*by).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1))
+    # Only the run that leads a partition goes on from earlier ones: at most one row a partition.
+    offsets = rows.groupBy(*by, _PART).count().withColumn("_off", before).where("_off > 0").select(F.col(_PART).alias("_p"), "_off")
+    placed = rows.join(F.broadcast(offsets), (F.col(_PART) == F.col("_p")) & F.col(_LEADS), "left")
+    return placed.withColumn(name, F.col(_LOCAL) + F.coalesce(F.col("_off"), F.lit(0)) + F.lit(start)) \
+        .drop(_PART, _LOCAL, _LEADS, "_p", "_off")
 
 
 def enumerate_frames(df: DataFrame, by="session_id", order=("filename",), name: str = "frame_id",
-                     start: int = 0, **kw) -> DataFrame:
+                     start: int = 0) -> DataFrame:
     """O1 + O2: zero-based position in name order (binary collation) per session.
 
     Number *before* dropping unreadable frames, so that they leave gaps, as
     the folder replay does.
     """
-    return sequence_number(df, by, list(order), name=name, start=start, **kw)
+    return sequence_number(df, by, list(order), name=name, start=start)
 
 
 # Largest ``n`` that is left to one task a key.
-FIRST_N_WINDOW = ROWS_PER_SEGMENT
+FIRST_N_WINDOW = 1_000_000
 
 
-def first_n(df: DataFrame, by, order, n, seq: str = "seq", **kw) -> DataFrame:
+def first_n(df: DataFrame, by, order, n, seq: str = "seq") -> DataFrame:
     """The first ``n`` rows per key; ``n`` is an int or a column (e.g. the announced count).
 
     For an int a plain window will do: its group limit keeps at most ``n``
@@ -176,7 +115,7 @@ def first_n(df: DataFrame, by, order, n, seq: str = "seq", **kw) -> DataFrame:
     if not isinstance(n, Column) and seq not in df.columns and int(n) <= FIRST_N_WINDOW:
         ranked = F.row_number().over(Window.partitionBy(*_names(by)).orderBy(*_names(order)))
         return df.withColumn(seq, ranked.cast("long")).where(F.col(seq) <= int(n)).withColumn(seq, F.col(seq) - 1)
-    numbered = df if seq in df.columns else sequence_number(df, by, order, name=seq, start=0, **kw)
+    numbered = df if seq in df.columns else sequence_number(df, by, order, name=seq, start=0)
     limit = n if isinstance(n, Column) else F.lit(int(n))
     return numbered.where(F.col(seq) < limit)
 
@@ -208,9 +147,9 @@ def latest_per_key(df: DataFrame, by, order, values, extra=()) -> DataFrame:
                                                                                if c not in by and c != "_last"])
 
 
-def frame_counter(df: DataFrame, by, order, name: str = "frame_count", **kw) -> DataFrame:
+def frame_counter(df: DataFrame, by, order, name: str = "frame_count") -> DataFrame:
     """Running count of frames per client (1-based)."""
-    return sequence_number(df, by, order, name=name, start=1, **kw)
+    return sequence_number(df, by, order, name=name, start=1)
 
 
 def newest_first(df: DataFrame, col: str = "session_id") -> DataFrame:

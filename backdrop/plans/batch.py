@@ -34,8 +34,8 @@ def process_folder(spark: SparkSession, input_root: str, output_root: str, sessi
                    segmenter="threshold", export: str = "png", **kw) -> DataFrame:
     """U1 over a folder: returns the ``results`` rows (K3).
 
-    ``export="png"`` writes ``<output_root>/<session>/<filename>`` (shared
-    POSIX mount); ``"parquet"`` writes the frames table partitioned by
+    ``export="png"`` writes ``<output_root>/<session>/<filename>``;
+    ``"parquet"`` writes the frames table partitioned by
     session and returns result rows pointing at the session's directory. A
     repeated run replaces the sessions that it writes; result rows are those
     of this run's sessions only.
@@ -95,10 +95,7 @@ def process_records(records: DataFrame, landing: str, output_root: str, segmente
         capture_session().alias("session_id"), "seq", F.coalesce("frame_id", "seq").alias("frame_id"),
         F.coalesce("filename", F.format_string("frame_%d.jpg", "seq")).alias("filename"), place.alias("place"),
         "payload", "status", "message")
-    slim_path = J.scratch_path(spark, "records")
-    slim = SK.land_payloads(named, run, name_col="place")
-    slim.write.parquet(slim_path)
-    slim = spark.read.schema(slim.schema).parquet(slim_path).withColumn("place", C.file_name("path"))
+    slim = SK.land_payloads(named, run, name_col="place").withColumn("place", C.file_name("path"))
     images = IM.read_image_folder(spark, run, number=False, report_empty=False)
     done = SK.export_png(J.frame_transform(images, segmenter, **kw), output_root, run).select(
         "session_id", F.col("filename").alias("place"), "output_path", F.col("status").alias("_status"),
@@ -152,9 +149,8 @@ def run_live(spark: SparkSession, landing: str, replies_out: str, counts_out: st
     from backdrop.streaming import state as ST
 
     ck = checkpoint or J.scratch_path(spark, "live-ckpt")
-    frames = IM.stream_image_folder(spark, landing, max_files_per_trigger).withColumn("original", F.col("data")) \
-        .withColumn("frame_id", C.frame_number("filename"))
-    replies = SK.replies(J.frame_transform(frames, segmenter, **kw), "session_id")
+    frames = IM.stream_image_folder(spark, landing, max_files_per_trigger).withColumn("frame_id", C.frame_number("filename"))
+    replies = SK.replies(J.frame_transform(frames, segmenter, pass_through=True, **kw), "session_id")
     queries = [J.write_stream(replies, replies_out, os.path.join(ck, "replies"), trigger)]
     if counts_out is not None:
         names = IM.stream_file_names(spark, landing, max_files_per_trigger).withColumn("frame_id", C.frame_number("filename"))

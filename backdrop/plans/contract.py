@@ -16,6 +16,7 @@ from backdrop.config import configure
 from backdrop.functions import columns as C
 from backdrop.functions.segmenters import ThresholdSegmenter
 from backdrop.operators import frames as FO
+from backdrop.operators import learned as LB
 from backdrop.operators import results as R
 from backdrop.operators import sequence as SEQ
 from backdrop.operators import summary as SUM
@@ -404,9 +405,8 @@ FROM px GROUP BY session_id, frame_id
 def recomposite_identity(spark, sf_dir):
     """A5 after A4: backdrop where the processed frame shows the backdrop colour,
     original elsewhere; gives the composite back."""
-    fr = V.frames(_t(spark, sf_dir, "embeddings"), "grey").withColumn("original", F.col("data"))
-    done = FO.remove_backdrop(fr, ThresholdSegmenter(_LEVEL))
-    again = FO.recomposite(done, "original")
+    fr = V.frames(_t(spark, sf_dir, "embeddings"), "grey")
+    again = FO.chain(fr, FO.removing(ThresholdSegmenter(_LEVEL)), FO.recompositing())
     return again.select("session_id", "frame_id", "sentinel_px", F.hex("data").alias("out_hex"))
 
 
@@ -589,33 +589,111 @@ def stream_composite_threshold(spark, sf_dir):
     return _drain_to_files(spark, out, "stream-composite")
 
 
+# Events arrive up to this much out of order; the streams in event order wait so long, replies included.
+ARRIVAL_SPREAD_S = 7_200
+STREAM_DELAY = "3 hours"
+
+
+def _arriving_events(spark, sf_dir):
+    """The log as a stream in which rows arrive up to ``ARRIVAL_SPREAD_S`` late: ``STREAM_BATCHES`` slices of arrival
+    time landed one after another, and a closing row far ahead that lets the watermark pass all others.
+
+    ``at`` is ``ts`` as an instant, whatever the session's time zone.
+    """
+    table = _t(spark, sf_dir, "events")
+    at = F.timestamp_micros(F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"))
+    late = F.pmod(F.col("event_id") * 7919, F.lit(ARRIVAL_SPREAD_S))
+    rows = table.withColumn("at", at).withColumn("arrival", F.unix_micros("at") + late * 1_000_000)
+    low, high = rows.agg(F.min("arrival"), F.max("arrival")).first()
+    path = J.scratch_path(spark, "arriving-events")
+    files = max(1, len(table.inputFiles()) // STREAM_BATCHES)
+    if low is not None:
+        width = (high - low) // STREAM_BATCHES + 1
+        for k in range(STREAM_BATCHES):
+            part = rows.where((F.col("arrival") >= low + k * width) & (F.col("arrival") < low + (k + 1) * width))
+            part.drop("arrival").repartition(files).write.mode("append").parquet(path)
+    ahead = F.make_interval(years=F.lit(10))
+    last = rows.drop("arrival").groupBy().agg(F.max("ts").alias("ts"), F.max("at").alias("at")).select(
+        *[(F.col(f.name) + ahead if f.name in ("ts", "at") else F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.drop("arrival").schema])
+    last.repartition(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(last.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def _arriving_log(spark, sf_dir):
+    events = _arriving_events(spark, sf_dir)
+    return events.select("event_id", F.col("user_id").alias("client_id"), "ts", "at", "event_type")
+
+
 @query("stream_frame_counter", ORACLE["frame_counter"])
 def stream_frame_counter(spark, sf_dir):
-    """G4 on a stream, in event order over shuffled files and several micro-batches."""
-    lg = V.log(_stream_table(spark, sf_dir, "events")).select("event_id", "client_id", "ts")
-    base = J.scratch_path(spark, "stream-counter")
-    out = ST.counted(lg, "client_id", ["ts", "event_id"], f"{base}/out", f"{base}/ckpt")
-    return out.select("event_id", "client_id", "frame_count")
+    """G4 on a stream, numbered in event order as the watermark passes: rows arrive out of order, in several micro-batches."""
+    out = ST.counted(_arriving_log(spark, sf_dir), "client_id", ["ts", "event_id"], "at", STREAM_DELAY)
+    return _drain_to_files(spark, out.select("event_id", "client_id", "frame_count"), "stream-counter")
 
 
 @query("stream_first_n", ORACLE["first_n"])
 def stream_first_n(spark, sf_dir):
     """O4 on a stream: the first 10 frames of each client in event order."""
-    lg = V.log(_stream_table(spark, sf_dir, "events")).select("event_id", "client_id", "ts")
-    base = J.scratch_path(spark, "stream-first-n")
-    out = ST.first_n(lg, "client_id", ["ts", "event_id"], 10, f"{base}/out", f"{base}/ckpt")
-    return out.select("event_id", "client_id", "seq")
+    out = ST.first_n(_arriving_log(spark, sf_dir), "client_id", ["ts", "event_id"], 10, "at", STREAM_DELAY)
+    return _drain_to_files(spark, out.select("event_id", "client_id", "seq"), "stream-first-n")
 
 
 @query("stream_end_marker", ORACLE["end_marker"])
 def stream_end_marker(spark, sf_dir):
     """O5 + T5 on a stream: the frames before each client's first END marker in event order."""
-    lg = V.log(_stream_table(spark, sf_dir, "events")).select(
-        "event_id", "client_id", "ts",
-        F.when(F.col("event_type") == "signup", F.lit(C.END_MARKER)).otherwise(F.col("event_id")).alias("frame_id"))
-    base = J.scratch_path(spark, "stream-end")
-    out = ST.until_end(lg, "client_id", ["ts", "event_id"], f"{base}/out", f"{base}/ckpt")
-    return out.select("event_id", "client_id", "frame_id")
+    marked = F.when(F.col("event_type") == "signup", F.lit(C.END_MARKER)).otherwise(F.col("event_id"))
+    lg = _arriving_log(spark, sf_dir).withColumn("frame_id", marked)
+    out = ST.until_end(lg, "client_id", ["ts", "event_id"], "at", STREAM_DELAY)
+    return _drain_to_files(spark, out.select("event_id", "client_id", "frame_id"), "stream-end")
+
+
+@query("stream_session_close", f"""
+WITH {_LOG},
+n AS (SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY ts, event_id) AS rn,
+             count(*) OVER (PARTITION BY client_id) AS n FROM log),
+c AS (SELECT client_id, max(n) AS n, client_id % 4 AS kind, min(CASE WHEN event_type = 'signup' THEN rn END) AS end_rn
+      FROM n GROUP BY client_id)
+SELECT client_id, CASE kind WHEN 0 THEN n WHEN 1 THEN greatest(n - 2, 1) WHEN 2 THEN n + 5 ELSE n + 3 END AS announced,
+       CASE WHEN kind = 1 THEN greatest(n - 2, 1) WHEN kind = 2 THEN coalesce(end_rn - 1, n) ELSE n END AS received,
+       CASE WHEN kind < 2 THEN 'complete' WHEN kind = 2 AND end_rn IS NOT NULL THEN 'end marker' ELSE 'idle' END AS reason,
+       kind < 2 AS complete
+FROM c
+""")
+def stream_session_close(spark, sf_dir):
+    """G3 + T5 on a stream: a client's session closes at its announced count, at an END record or when idle."""
+    n = _t(spark, sf_dir, "events").groupBy(F.col("user_id").alias("client_id")).agg(F.count(F.lit(1)).alias("n"))
+    kind = F.col("client_id") % 4
+    announced = F.when(kind == 0, F.col("n")).when(kind == 1, F.greatest(F.col("n") - 2, F.lit(1))).when(kind == 2, F.col("n") + 5) \
+        .otherwise(F.col("n") + 3)
+    ends = (kind == 2) & (F.col("event_type") == "signup")
+    lg = _arriving_log(spark, sf_dir).join(n, "client_id", "left").select(
+        "client_id", "event_id", "ts", "at", announced.alias("announced"),
+        F.when(ends, F.lit(C.END_MARKER)).otherwise(F.col("event_id")).alias("frame_id"))
+    # Longer than the tables' span: a client idles only behind its last event.
+    out = ST.session_close(lg, "client_id", ["ts", "event_id"], "announced", "400 days", "at", STREAM_DELAY)
+    return _drain_to_files(spark, out, "stream-close")
+
+
+# A reply that comes later is not shown.
+REPLY_LIMIT = "10 seconds"
+
+
+@query("stream_live_fallback", """
+SELECT event_id, CASE WHEN event_id % 5 IN (3, 4) THEN 'processed' ELSE 'original' END AS shown_from,
+       CASE WHEN event_id % 5 IN (3, 4) THEN 'reply ' || CAST(event_id AS VARCHAR) ELSE 'frame ' || CAST(event_id AS VARCHAR) END AS shown
+FROM events
+""")
+def stream_live_fallback(spark, sf_dir):
+    """P4 + T1 on a stream: of each five frames one has no reply, one a late and one an empty one; the others show theirs."""
+    case, text = F.col("event_id") % 5, F.col("event_id").cast("string")
+    wait = F.when(case == 1, F.lit(20)).otherwise(F.lit(3))
+    sent = _arriving_log(spark, sf_dir).select("event_id", F.col("at").alias("sent_at"), F.concat(F.lit("frame "), text).alias("frame"))
+    # The closing row has no id: it is kept, for the watermark.
+    replies = _arriving_log(spark, sf_dir).where(F.coalesce(case != 0, F.lit(True))).select(
+        "event_id", (F.col("at") + F.make_dt_interval(secs=F.coalesce(wait, F.lit(0)))).alias("replied_at"),
+        F.when(case == 2, F.lit("")).otherwise(F.concat(F.lit("reply "), text)).alias("reply"))
+    out = ST.live_fallback(sent, replies, "event_id", "sent_at", "replied_at", "frame", "reply", REPLY_LIMIT, STREAM_DELAY)
+    return _drain_to_files(spark, out.where("event_id is not null").select("event_id", "shown_from", "shown"), "stream-fallback")
 
 
 @query("stream_last_result", ORACLE["last_result"])
@@ -712,13 +790,13 @@ def _capture_files(spark, sf_dir, framing):
     return _landed_captures(spark, _packed_captures(spark, sf_dir, framing), ext)
 
 
-def _landed_captures(spark, packed, ext):
+def _landed_captures(spark, packed, ext, root=None):
     packed = packed.select(
         F.lit("captures").alias("session_id"), F.lit(0).cast("long").alias("seq"),
         F.concat("capture", F.lit(ext)).alias("filename"), F.col("content").alias("payload"),
         F.lit("success").alias("status"), F.lit(None).cast("string").alias("message"))
-    root = J.scratch_path(spark, "captures")
-    SK.land_payloads(packed, root).write.format("noop").mode("overwrite").save()
+    root = root or J.scratch_path(spark, "captures")
+    SK.land_payloads(packed, root)
     return f"{root}/captures"
 
 
@@ -731,13 +809,13 @@ def _decoded_view(recs):
 
 @query("capture_files_decode", ORACLE["capture_decode"])
 def capture_files_decode(spark, sf_dir):
-    """S3 from files: ``binaryFile`` + ``mapInArrow`` decoder."""
+    """S3 from files: ranges found by a header pass, decoded by whatever tasks they are dealt to."""
     return _decoded_view(CAP.read_captures(spark, _capture_files(spark, sf_dir, "session"), "session"))
 
 
 @query("capture_source_decode", ORACLE["capture_decode"])
 def capture_source_decode(spark, sf_dir):
-    """S3 from files through the streaming Python data source (one partition per file)."""
+    """S3 from files through the Python data source, as a batch."""
     return _decoded_view(CAP.read_capture_files(spark, _capture_files(spark, sf_dir, "session"), "session"))
 
 
@@ -754,6 +832,21 @@ def stream_capture_decode(spark, sf_dir):
     return _drain_to_files(spark, _decoded_view(recs), "stream-captures")
 
 
+@query("stream_growing_captures", ORACLE["capture_decode"])
+def stream_growing_captures(spark, sf_dir):
+    """S3 + S6 + T5: captures appended to between the runs of a stream, cut anywhere; each record is read once."""
+    packed = _packed_captures(spark, sf_dir, "session")
+    base = J.scratch_path(spark, "growing")
+    for third in (1, 2, 3):
+        size = F.octet_length("content")
+        # Where a capture stops for now: a few bytes behind, or before, a third of it.
+        cut = F.least(size, F.floor(size * third / 3).cast("int") + F.pmod(F.xxhash64("capture"), F.lit(60)).cast("int")) if third < 3 else size
+        root = _landed_captures(spark, packed.withColumn("content", F.substring("content", F.lit(1), cut)), ".bin", f"{base}/files")
+        query = J.write_stream(_decoded_view(CAP.follow_captures(spark, root)), f"{base}/out", f"{base}/ckpt", partition_by=None)
+        J.drain(query)
+    return spark.read.parquet(f"{base}/out")
+
+
 @query("stream_replies", f"""
 WITH {_PX}
 SELECT session_id, frame_id, 'success' AS status,
@@ -763,8 +856,8 @@ FROM px GROUP BY session_id, frame_id
 def stream_replies(spark, sf_dir):
     """K2 + T1: the reply table of a frame stream (processed frame, pass-through
     on error, NULL when undecodable)."""
-    fr = V.frames(_stream_table(spark, sf_dir, "embeddings"), "grey").withColumn("original", F.col("data"))
-    replies = SK.replies(J.frame_transform(fr, ThresholdSegmenter(_LEVEL)), "session_id")
+    fr = V.frames(_stream_table(spark, sf_dir, "embeddings"), "grey")
+    replies = SK.replies(J.frame_transform(fr, ThresholdSegmenter(_LEVEL), pass_through=True), "session_id")
     out = replies.select("session_id", "frame_id", "status", F.hex("data").alias("reply_hex"))
     return _drain_to_files(spark, out, "stream-replies")
 
@@ -855,9 +948,31 @@ FROM px GROUP BY session_id, frame_id
 """)
 def recovered_mask(spark, sf_dir):
     """A5 alone: the backdrop mask recovered from composited frames."""
-    done = FO.remove_backdrop(V.frames(_t(spark, sf_dir, "embeddings"), "grey"), ThresholdSegmenter(_LEVEL))
-    masks = FO.backdrop_mask(done)
-    return masks.select("session_id", "frame_id", "sentinel_px", F.hex("mask").alias("mask_hex"))
+    fr = V.frames(_t(spark, sf_dir, "embeddings"), "grey")
+    masks = FO.chain(fr, FO.removing(ThresholdSegmenter(_LEVEL)), FO.masking())
+    return masks.select("session_id", "frame_id", "sentinel_px", F.hex("data").alias("mask_hex"))
+
+
+# A pixel that is this near its session's median is backdrop.
+_NEAR = 40
+
+
+@query("learned_backdrop", f"""
+WITH {_PX},
+m AS (SELECT session_id, i, p FROM (
+        SELECT session_id, i, p, row_number() OVER (PARTITION BY session_id, i ORDER BY p) AS rn,
+               count(*) OVER (PARTITION BY session_id, i) AS n FROM px)
+      WHERE rn = (n + 1) // 2)
+SELECT px.session_id, frame_id, count(*) FILTER (WHERE abs(px.p - m.p) <= {_NEAR}) AS painted,
+       string_agg(repeat(printf('%02X', CASE WHEN abs(px.p - m.p) <= {_NEAR} THEN 192 ELSE px.p END), 3), '' ORDER BY px.i) AS out_hex
+FROM px JOIN m ON px.session_id = m.session_id AND px.i = m.i GROUP BY px.session_id, frame_id
+""")
+def learned_backdrop(spark, sf_dir):
+    """A3 + U3: each session's backdrop learned as the median of its frames, pixels near it painted."""
+    fr = V.frames(_t(spark, sf_dir, "embeddings"), "grey")
+    backdrops = LB.learn_backdrops(fr, J.scratch_path(spark, "backdrops"))
+    out = LB.remove_learned_backdrop(fr, backdrops, _NEAR)
+    return out.select("session_id", "frame_id", "painted", F.hex("data").alias("out_hex"))
 
 
 # --------------------------------------------------------------------------
@@ -1012,7 +1127,7 @@ def process_folder(spark, sf_dir):
     nested = files.where("seq % 10 = 0").withColumn("session_id", F.concat("session_id", F.lit("/nested")))
     other = files.where("seq % 10 = 1").withColumn("filename", F.concat("filename", F.lit(".txt")))
     root, out = J.scratch_path(spark, "folder-in"), J.scratch_path(spark, "folder-out")
-    SK.land_payloads(files.unionByName(nested).unionByName(other), root).write.format("noop").mode("overwrite").save()
+    SK.land_payloads(files.unionByName(nested).unionByName(other), root)
     seg = ThresholdSegmenter(_LEVEL)
     done = B.process_folder(spark, root, out, segmenter=seg)
     done = done.unionByName(B.process_folder(spark, root, out, session_id="absent", segmenter=seg))

@@ -13,10 +13,15 @@ that stops inside a record is flagged ``truncated`` instead of losing what
 was received. A zero-size payload is no frame (``status='unreadable'``), an
 invalid UTF-8 name is an ``error`` row.
 
-``read_captures`` uses Spark's ``binaryFile`` source (any Hadoop file
-system; one file per row, up to 2 GiB) and decodes in ``mapInArrow``. For
-longer captures on a shared POSIX mount, :class:`CaptureDataSource` reads
-each file as its own partition in a streaming pass.
+Captures are read in two passes. The first reads headers only, seeking past
+payloads, and finds byte ranges of whole records (:class:`Range`); the second
+decodes ranges, each in whatever task it lands, so one capture is read by
+many tasks and its length has no limit. The format has no sync marker, which
+is why the first pass has to follow a capture's headers from its start; it
+touches a few bytes of each record. :func:`read_captures` lists and reads any
+file system of :mod:`backdrop.storage`; elsewhere it falls back to whole
+files of Spark's ``binaryFile`` source (up to 2 GiB each). The ``capture``
+data source follows captures that still grow.
 
 Every capture ends with one trailer row (``seq`` NULL, ``status='end'``)
 carrying the announced count, the reason it ended and the ``truncated``
@@ -25,14 +30,19 @@ flag, so a streaming decoder never has to hold a capture to flag it.
 
 from __future__ import annotations
 
+import fnmatch
+import re
 import struct
-from typing import Iterator
+from collections.abc import Callable, Generator, Iterable
+from typing import Iterator, NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
-from backdrop import schemas
+from backdrop import schemas, storage
 
 END_MARKER = 0xFFFFFFFF
 # Big-endian layouts (plain format strings: this module may travel by value,
@@ -42,6 +52,13 @@ _U32x2 = "!II"
 # A batch of decoded records is closed at so many rows or payload bytes.
 _OUT_ROWS, _OUT_BYTES = 1024, 16 << 20
 END_STATUS = "end"  # status of the capture-level trailer row
+# Records are put together into ranges of about so many bytes; the header pass
+# fetches so many bytes at once, which holds the headers of small records.
+RANGE_BYTES = 8 << 20
+HEADER_FETCH = 64 << 10
+# The longest payload that fits a binary value.
+PAYLOAD_MAX = (1 << 31) - (1 << 16)
+PATTERNS = {"session": "*.bin", "bare": "*.raw"}
 
 
 class _Reader:
@@ -73,6 +90,17 @@ def _row(capture, seq, filename, frame_id, payload, announced, status, message,
             "announced": announced, "truncated": truncated, "status": status, "message": message}
 
 
+def _named_row(capture, seq, raw_name, frame_id, payload, announced):
+    """A record of the session framing: broken names and empty payloads are marked."""
+    try:
+        name, status, message = raw_name.decode("utf-8"), schemas.SUCCESS, None
+    except UnicodeDecodeError as exc:
+        name, status, message = raw_name.decode("utf-8", "replace"), schemas.ERROR, f"file name: {exc}"
+    if status == schemas.SUCCESS and len(payload) == 0:
+        status, message = schemas.UNREADABLE, "zero-size payload"
+    return _row(capture, seq, name, frame_id, payload, announced, status, message)
+
+
 def _trailer(capture, announced, received, reason, truncated):
     """The capture-level row closing every capture (``seq`` NULL)."""
     return _row(capture, None, None, None, None, announced, END_STATUS, f"{reason}; {received} frames", truncated)
@@ -103,14 +131,8 @@ def decode_session_capture(src, capture: str) -> Iterator[dict]:
         if payload is None:
             reason, truncated = "cut inside a payload", True
             break
-        try:
-            name, status, message = raw_name.decode("utf-8"), schemas.SUCCESS, None
-        except UnicodeDecodeError as exc:
-            name, status, message = raw_name.decode("utf-8", "replace"), schemas.ERROR, f"file name: {exc}"
-        if status == schemas.SUCCESS and size == 0:
-            status, message = schemas.UNREADABLE, "zero-size payload"
         received += 1
-        yield _row(capture, seq, name, frame_id, payload, announced, status, message)
+        yield _named_row(capture, seq, raw_name, frame_id, payload, announced)
     yield _trailer(capture, announced, received, reason, truncated)
 
 
@@ -159,6 +181,163 @@ def _batches(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
         yield _to_batch(out)
 
 
+# --------------------------------------------------------------------------
+# Header pass: byte ranges of whole records.
+
+class Place(NamedTuple):
+    """Where a header pass stands in a capture: the next record's byte and number, and the announced count once it is known."""
+    byte: int = 0
+    seq: int = 0
+    announced: int | None = None
+
+
+class Range(NamedTuple):
+    """Whole records of a capture that lie next to each other, or how it ended (``message``)."""
+    capture: str
+    uri: str
+    offset: int
+    length: int
+    seq: int
+    records: int
+    announced: int | None
+    message: str | None
+    truncated: bool
+
+
+_RANGES = T.StructType([
+    T.StructField("capture", T.StringType()), T.StructField("uri", T.StringType()), T.StructField("offset", T.LongType()),
+    T.StructField("length", T.LongType()), T.StructField("seq", T.LongType()), T.StructField("records", T.LongType()),
+    T.StructField("announced", T.LongType()), T.StructField("message", T.StringType()), T.StructField("truncated", T.BooleanType())])
+
+
+def _fetcher(src, size: int) -> Callable[[int, int], bytes]:
+    """Reads (place, n) out of a seekable file by blocks of ``HEADER_FETCH`` bytes; fewer bytes at its end."""
+    start, block = 0, b""
+
+    def fetch(at: int, n: int) -> bytes:
+        nonlocal start, block
+        if not start <= at <= at + n <= start + len(block):
+            src.seek(at)
+            start, block = at, src.read(max(0, min(max(n, HEADER_FETCH), size - at)))
+        return bytes(block[at - start : at - start + n])
+
+    return fetch
+
+
+# (byte, length) of each complete record, then (place, reason, truncated); the reason is None where a growing capture may go on.
+_Scan = Generator[tuple[int, int], None, tuple[Place, str, bool]]
+
+
+def _scan_session(fetch: Callable[[int, int], bytes], size: int, place: Place) -> _Scan:
+    at, seq, announced = place
+    if announced is None:
+        head = fetch(0, 4)
+        if len(head) < 4:
+            return place, "no header", True
+        announced, at = struct.unpack(_U32, head)[0], 4
+    while seq < announced:
+        raw = fetch(at, 4)
+        name = struct.unpack(_U32, raw)[0] if len(raw) == 4 else 0
+        header = fetch(at + 4 + name, 8) if len(raw) == 4 else b""
+        if len(header) < 8:
+            return Place(at, seq, announced), "cut inside a record header", True
+        frame_id, length = struct.unpack(_U32x2, header)
+        if frame_id == END_MARKER:
+            return Place(at, seq, announced), "end marker", False
+        end = at + 4 + name + 8 + length
+        if end > size:
+            return Place(at, seq, announced), "cut inside a payload", True
+        yield at, end - at
+        at, seq = end, seq + 1
+    return Place(at, seq, announced), "complete", False
+
+
+def _scan_bare(fetch: Callable[[int, int], bytes], size: int, place: Place) -> _Scan:
+    at, seq, _ = place
+    while True:
+        raw = fetch(at, 4)
+        if len(raw) < 4:
+            return Place(at, seq), *(("cut inside a size prefix", True) if raw else ("ended without an end record", False))
+        length = struct.unpack(_U32, raw)[0]
+        if length == 0:
+            return Place(at, seq), "complete", False
+        if at + 4 + length > size:
+            return Place(at, seq), "cut inside a payload", True
+        yield at, 4 + length
+        at, seq = at + 4 + length, seq + 1
+
+
+_SCANS = {"session": _scan_session, "bare": _scan_bare}
+
+
+def find_ranges(src, size: int, framing: str, capture: str, uri: str, place: Place = Place(),
+                most: int | None = None) -> Generator[Range, None, Place]:
+    """Ranges of the records from ``place`` on, of about ``RANGE_BYTES`` each, then the capture's end as a range without records.
+
+    Reads headers only. Returns the place behind the last whole record.
+    """
+    most = most or RANGE_BYTES
+    scan = _SCANS[framing](_fetcher(src, size), size, place)
+    start, length, seq, records = 0, 0, place.seq, 0
+    announced = place.announced
+    while True:
+        try:
+            at, n = next(scan)
+        except StopIteration as done:
+            place, reason, truncated = done.value
+            if records:
+                yield Range(capture, uri, start, length, seq, records, place.announced, None, False)
+            yield Range(capture, uri, place.byte, 0, place.seq, 0, place.announced, reason, truncated)
+            return place
+        if announced is None and framing == "session":
+            announced = struct.unpack(_U32, _fetcher(src, size)(0, 4))[0]
+        if records and length + n > most:
+            yield Range(capture, uri, start, length, seq, records, announced, None, False)
+            seq, records, length = seq + records, 0, 0
+        start = start if records else at
+        records, length = records + 1, length + n
+
+
+def decode_range(src, part: Range, framing: str) -> Iterator[dict]:
+    """The rows of one range of an open file: its records, or the trailer."""
+    if part.message is not None:
+        yield _trailer(part.capture, part.announced, part.seq, part.message, part.truncated)
+        return
+    src.seek(part.offset)
+    for seq in range(part.seq, part.seq + part.records):
+        raw_name, frame_id = b"", None
+        if framing == "session":
+            raw_name = src.read(struct.unpack(_U32, src.read(4))[0])
+            frame_id, size = struct.unpack(_U32x2, src.read(8))
+        else:
+            size = struct.unpack(_U32, src.read(4))[0]
+        if size > PAYLOAD_MAX:
+            src.seek(src.tell() + size)
+            yield _row(part.capture, seq, raw_name.decode("utf-8", "replace") if framing == "session" else None, frame_id, None, part.announced,
+                       schemas.ERROR, f"a payload of {size} bytes")
+            continue
+        payload = src.read(size)
+        if framing == "session":
+            yield _named_row(part.capture, seq, raw_name, frame_id, payload, part.announced)
+        else:
+            yield _row(part.capture, seq, None, None, payload, None, schemas.SUCCESS, None)
+
+
+def _decode_ranges(parts: Iterable[Range], framing: str) -> Iterator[dict]:
+    """Rows of many ranges; neighbours of one file share its handle."""
+    uri, src = None, None
+    try:
+        for part in parts:
+            if part.message is None and part.uri != uri:
+                if src is not None:
+                    src.close()
+                src, uri = storage.open_file(part.uri), part.uri
+            yield from decode_range(src, part, framing)
+    finally:
+        if src is not None:
+            src.close()
+
+
 def decode_captures(df: DataFrame, framing: str = "session", content_col: str = "content",
                     name_col: str = "path") -> DataFrame:
     """Decode a DataFrame of whole captures (one binary value per capture)."""
@@ -176,13 +355,49 @@ def decode_captures(df: DataFrame, framing: str = "session", content_col: str =
     return slim.mapInArrow(run, schemas.CAPTURE_RECORDS)
 
 
+def index_captures(files: DataFrame, framing: str = "session", root: str = "", resolved: str = "", range_bytes: int | None = None) -> DataFrame:
+    """The ranges of capture files listed in ``path``, by the header pass; ``root`` as listed stands for ``resolved``."""
+    def run(batches):
+        from pyspark.sql.pandas.types import to_arrow_schema
+        schema = to_arrow_schema(_RANGES)
+
+        def found(path):
+            uri = storage.rebase(path, root, resolved) if resolved else path
+            with storage.open_file(uri) as src:
+                yield from find_ranges(src, src.size(), framing, path, uri, most=range_bytes)
+
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                rows: list[Range] = []
+                for part in found(path):
+                    rows.append(part)
+                    if len(rows) == _OUT_ROWS:
+                        yield pa.RecordBatch.from_pylist([r._asdict() for r in rows], schema)
+                        rows = []
+                yield pa.RecordBatch.from_pylist([r._asdict() for r in rows], schema)
+
+    return files.select("path").mapInArrow(run, _RANGES)
+
+
+def decode_indexed(ranges: DataFrame, framing: str = "session") -> DataFrame:
+    """The records of :func:`index_captures`, and a trailer row per capture."""
+    def run(batches):
+        yield from _batches(_decode_ranges((Range(**row) for batch in batches for row in batch.to_pylist()), framing))
+
+    return ranges.mapInArrow(run, schemas.CAPTURE_RECORDS)
+
+
 def read_captures(spark: SparkSession, path: str, framing: str = "session", glob: str | None = None,
                   recursive: bool = True, streaming: bool = False,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
+                  max_files_per_trigger: int | None = None, range_bytes: int | None = None) -> DataFrame:
     """Decode every capture file under ``path`` (``*.bin`` for session, ``*.raw``
     for bare framing); with ``streaming`` each micro-batch decodes the
-    captures that landed since the last one."""
-    glob = glob or {"session": "*.bin", "bare": "*.raw"}[framing]
+    captures that landed since the last one.
+
+    Spark lists the files and finds their ranges in parallel; the ranges, not
+    the payloads, are dealt evenly over ``spark.sql.shuffle.partitions`` tasks.
+    """
+    glob = glob or PATTERNS[framing]
     if streaming:
         from backdrop.sources.images import BINARY_FILE_SCHEMA
         reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
@@ -191,7 +406,13 @@ def read_captures(spark: SparkSession, path: str, framing: str = "session", glob
     else:
         reader = spark.read.format("binaryFile")
     files = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower()).load(path)
-    return decode_captures(files.select("path", "content"), framing)
+    # What stands before a glob; Spark lists files below it under its qualified name.
+    root = re.split(r"(?<=/)[^/]*[*?\[{]", path, maxsplit=1)[0]
+    resolved = storage.resolve(spark, root)
+    if not storage.reachable(resolved):
+        return decode_captures(files.select("path", "content"), framing)
+    ranges = index_captures(files, framing, root, resolved, range_bytes)
+    return decode_indexed(ranges.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))), framing)
 
 
 def frames_of(records: DataFrame) -> DataFrame:
@@ -211,94 +432,175 @@ def capture_completeness(records: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-# Long captures on a shared POSIX mount: a Python data source that streams
-# each file in its own partition, so no file is ever held whole in memory.
-
-try:
-    from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-
-    class _FilesPartition(InputPartition):
-        def __init__(self, paths: list):
-            super().__init__(paths)
-            self.paths = paths
-
-    class _CaptureReader(DataSourceReader):
-        def __init__(self, paths, framing, partition_bytes, target_partitions):
-            self.paths, self.framing = paths, framing
-            self.partition_bytes, self.target_partitions = partition_bytes, target_partitions
-
-        def partitions(self):
-            """Files packed greedily into partitions, sized like Spark's file
-            splits: at most ``partitionBytes``, and small enough that the
-            input spreads over ``targetPartitions`` tasks (a file is never
-            split: the format has no sync marker)."""
-            import os
-            sizes = [os.path.getsize(p) for p in self.paths]
-            budget = min(self.partition_bytes, max(4 << 20, sum(sizes) // max(self.target_partitions, 1)))
-            parts, current, size = [], [], 0
-            for path, n in zip(self.paths, sizes):
-                if current and size + n > budget:
-                    parts.append(_FilesPartition(current))
-                    current, size = [], 0
-                current.append(path)
-                size += n
-            if current:
-                parts.append(_FilesPartition(current))
-            return parts
-
-        def read(self, partition):
-            decode = DECODERS[self.framing]
-            for path in partition.paths:
-                with open(path, "rb", buffering=1 << 20) as fh:
-                    yield from _batches(decode(fh, "file:" + path))
-
-    class CaptureDataSource(DataSource):
-        """``spark.read.format("capture").option("framing", ...).load(dir)``.
-
-        Options: ``framing`` (``session``/``bare``), ``pattern`` (file glob),
-        ``partitionBytes`` (default 128 MiB) and ``targetPartitions`` (pass the
-        cluster's default parallelism).
-        """
-
-        @classmethod
-        def name(cls):
-            return "capture"
-
-        def schema(self):
-            return schemas.CAPTURE_RECORDS
-
-        def reader(self, schema):
-            import glob as _glob
-            import os
-            root = self.options.get("path")
-            if root.startswith("file:"):
-                root = "/" + root[len("file:"):].lstrip("/")
-            elif "://" in root:
-                raise ValueError("the capture data source reads POSIX paths (a shared mount); "
-                                 "use read_captures() for other file systems")
-            framing = self.options.get("framing", "session")
-            pattern = self.options.get("pattern", {"session": "*.bin", "bare": "*.raw"}[framing])
-            if os.path.isdir(root):
-                paths = sorted(_glob.glob(os.path.join(root, "**", pattern), recursive=True))
-            else:
-                paths = [root]
-            return _CaptureReader(paths, framing, int(self.options.get("partitionBytes", 128 << 20)),
-                                  int(self.options.get("targetPartitions", 1)))
-
-    def register_capture_source(spark: SparkSession) -> None:
-        spark.dataSource.register(CaptureDataSource)
-
-    def read_capture_files(spark: SparkSession, path: str, framing: str = "session") -> DataFrame:
-        """Long captures on a shared POSIX mount, streamed file by file."""
-        register_capture_source(spark)
-        return spark.read.format("capture").option("framing", framing) \
-            .option("targetPartitions", spark.sparkContext.defaultParallelism).load(path)
-
-except ImportError:  # pragma: no cover - older PySpark
-    CaptureDataSource = None
-
-    def register_capture_source(spark: SparkSession) -> None:
-        raise RuntimeError("this PySpark has no Python data source API")
-
-    def read_capture_files(spark: SparkSession, path: str, framing: str = "session") -> DataFrame:
-        return read_captures(spark, path, framing)
+# The ``capture`` data source: a batch reader, and a stream that follows
+# captures while they grow.
+
+class _Ranges(InputPartition):
+    def __init__(self, parts: list):
+        super().__init__(parts)
+        self.parts = parts
+
+
+def _packed(parts: Iterable[Range], budget: int) -> list[_Ranges]:
+    """Ranges packed in order into partitions of about ``budget`` bytes."""
+    out, current, size = [], [], 0
+    for part in parts:
+        if current and size + part.length > budget:
+            out.append(_Ranges(current))
+            current, size = [], 0
+        current.append(part)
+        size += part.length
+    return [*out, _Ranges(current)] if current else out
+
+
+class _CaptureFiles:
+    """What both readers share: the options, and the files under the path."""
+
+    def __init__(self, options):
+        self.root = options.get("path")
+        self.framing = options.get("framing", "session")
+        self.pattern = options.get("pattern", PATTERNS[self.framing])
+        self.partition_bytes = int(options.get("partitionBytes", 128 << 20))
+        self.batch_bytes = int(options.get("bytesPerTrigger", 0))
+
+    def files(self) -> list[tuple[str, int]]:
+        """(URI, bytes) by name, from one listing; a growing file may be longer when it is opened."""
+        size = storage.size_of(self.root)
+        if size is not None:
+            return [(self.root, size)]
+        return sorted((e.uri, e.size) for e in storage.walk(self.root) if fnmatch.fnmatch(e.uri.rsplit("/", 1)[-1], self.pattern))
+
+    def rows(self, partition):
+        return _batches(_decode_ranges(partition.parts, self.framing))
+
+
+class _CaptureReader(_CaptureFiles, DataSourceReader):
+    def partitions(self):
+        def parts():
+            for uri, size in self.files():
+                with storage.open_file(uri) as src:
+                    yield from find_ranges(src, size, self.framing, uri, uri)
+
+        return _packed(parts(), self.partition_bytes)
+
+    def read(self, partition):
+        yield from self.rows(partition)
+
+
+class _CaptureStreamReader(_CaptureFiles, DataSourceStreamReader):
+    """An offset holds, for each capture, the byte behind its last whole record, that record's number and how it ended.
+
+    A capture that stops inside a record may go on, so it has no trailer until
+    it ends by its announced count, an END record or a size of 0; after that
+    it isn't opened again. A restarted stream isn't told its checkpoint before
+    it names an offset, so it reads the headers anew once, without the bound on
+    a trigger's bytes: with it, it might name a place behind the checkpoint's.
+    """
+
+    def __init__(self, options):
+        super().__init__(options)
+        self.at: dict[str, dict] = {}
+        self.known = False  # whether ``at`` is where the query stands
+
+    def initialOffset(self):
+        self.known = True
+        return {}
+
+    def latestOffset(self):
+        taken = 0
+        for uri, size in self.files():
+            was = self.at.get(uri)
+            if was and (was["end"] or was["size"] == size):
+                continue
+            for now in self._follow(uri, size, was):
+                taken += now["byte"] - (was["byte"] if was else 0)
+                self.at[uri] = was = now
+                if self.known and self.batch_bytes and taken >= self.batch_bytes:
+                    return self._offset()
+        return self._offset()
+
+    def _offset(self):
+        return {uri: {k: v for k, v in at.items() if k != "size"} for uri, at in self.at.items()}
+
+    def _follow(self, uri, size, was):
+        """Places behind each further range of a capture; the last knows whether it ended."""
+        place = _place(was)
+        with storage.open_file(uri) as src:
+            for part in find_ranges(src, size, self.framing, uri, uri, place):
+                ended = part.message is not None and _ended(part, self.framing)
+                yield {"byte": part.offset + part.length, "seq": part.seq + part.records, "announced": -1 if part.announced is None else part.announced,
+                       "end": part.message if ended else "", "size": size if part.message is not None else -1}
+
+    def partitions(self, start, end):
+        def parts():
+            for uri, to in sorted(end.items()):
+                was = start.get(uri)
+                if was == to:
+                    continue
+                place = _place(was)
+                if to["byte"] > place.byte:
+                    with storage.open_file(uri) as src:
+                        yield from (p for p in find_ranges(src, to["byte"], self.framing, uri, uri, place) if p.message is None)
+                if to["end"]:
+                    announced = None if to["announced"] < 0 else to["announced"]
+                    yield Range(uri, uri, to["byte"], 0, to["seq"], 0, announced, to["end"], False)
+
+        for uri, to in end.items():
+            if uri not in self.at or self.at[uri]["byte"] < to["byte"]:
+                self.at[uri] = {**to, "size": -1}
+        self.known = True
+        return _packed(parts(), self.partition_bytes)
+
+    def read(self, partition):
+        yield from self.rows(partition)
+
+
+def _place(was: dict | None) -> Place:
+    return Place(was["byte"], was["seq"], None if was["announced"] < 0 else was["announced"]) if was else Place()
+
+
+def _ended(part: Range, framing: str) -> bool:
+    """Whether a capture can't go on: a cut may, and so may a bare one without an end record."""
+    return not part.truncated and part.message != "ended without an end record"
+
+
+class CaptureDataSource(DataSource):
+    """``spark.read`` or ``spark.readStream`` ``.format("capture").option("framing", ...).load(dir)``.
+
+    Options: ``framing`` (``session``/``bare``), ``pattern`` (file glob),
+    ``partitionBytes`` (default 128 MiB) and, for streams, ``bytesPerTrigger``.
+    The driver lists the directory and reads the headers; :func:`read_captures`
+    has the tasks do that.
+    """
+
+    @classmethod
+    def name(cls):
+        return "capture"
+
+    def schema(self):
+        return schemas.CAPTURE_RECORDS
+
+    def reader(self, schema):
+        return _CaptureReader(self.options)
+
+    def streamReader(self, schema):
+        return _CaptureStreamReader(self.options)
+
+
+def register_capture_source(spark: SparkSession) -> None:
+    spark.dataSource.register(CaptureDataSource)
+
+
+def read_capture_files(spark: SparkSession, path: str, framing: str = "session") -> DataFrame:
+    """The ``capture`` data source as a batch."""
+    register_capture_source(spark)
+    return spark.read.format("capture").option("framing", framing).load(storage.resolve(spark, path))
+
+
+def follow_captures(spark: SparkSession, path: str, framing: str = "session", bytes_per_trigger: int | None = None) -> DataFrame:
+    """The records of captures under ``path`` as they are appended to, each once, also over restarts."""
+    register_capture_source(spark)
+    reader = spark.readStream.format("capture").option("framing", framing)
+    if bytes_per_trigger:
+        reader = reader.option("bytesPerTrigger", int(bytes_per_trigger))
+    return reader.load(storage.resolve(spark, path))

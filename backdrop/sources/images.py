@@ -11,11 +11,12 @@ children; the session id is the parent directory name, kept as text.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from backdrop import schemas
+from backdrop import schemas, storage
 from backdrop.functions import columns as C
 from backdrop.operators import results as R
 from backdrop.operators import sequence as SEQ
@@ -107,46 +108,15 @@ def _as_frames(images: DataFrame, session_id: str | None = None) -> DataFrame:
     ).where(C.is_image_name("filename"))
 
 
-def _local_dir(path: str) -> str | None:
-    """The POSIX path of a local (or shared-mount) directory, else None."""
-    import os
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    elif "://" in path:
-        return None
-    return path if os.path.isdir(path) else None
-
-
-def _walk_zero_length(top: str) -> list:
-    """Zero-byte files under ``top`` (recursive), as ``file:`` URIs."""
-    import os
-    found, stack = [], [top]
-    while stack:
-        try:
-            with os.scandir(stack.pop()) as it:
-                for entry in it:
-                    if entry.is_dir(follow_symlinks=False):
-                        stack.append(entry.path)
-                    elif entry.is_file() and entry.stat().st_size == 0:
-                        found.append("file:" + os.path.abspath(entry.path))
-        except FileNotFoundError:  # removed while listing
-            continue
-    return found
-
-
 def _zero_length_files(spark: SparkSession, path: str) -> DataFrame:
     """Paths of zero-byte files under ``path``; Spark's file sources skip them.
 
-    On a POSIX mount the driver lists only the top level (the session
-    directories) and executors walk those directories in parallel, so the
-    listing scales with the cluster. Other file systems use a driver-side
-    Hadoop listing.
+    The driver lists the top level (the session directories) and executors
+    walk those directories in parallel, so the listing scales with the cluster.
+    A file system that tasks cannot open is listed by the driver.
     """
-    import os
-    local = _local_dir(path)
-    if local is None:
+    resolved = storage.resolve(spark, path)
+    if not storage.reachable(resolved):
         jvm = spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -157,32 +127,28 @@ def _zero_length_files(spark: SparkSession, path: str) -> DataFrame:
                 found.append(st.getPath().toString())
         return spark.createDataFrame([(f,) for f in found], "path string")
 
-    top_files, dirs = [], []
-    with os.scandir(local) as it:
-        for entry in it:
-            if entry.is_dir(follow_symlinks=False):
-                dirs.append(os.path.abspath(entry.path))
-            elif entry.is_file() and entry.stat().st_size == 0:
-                top_files.append("file:" + os.path.abspath(entry.path))
-    tops = spark.createDataFrame([(f,) for f in top_files], "path string")
+    # Files are named as Spark lists them, below ``path``.
+    named = lambda uri: storage.rebase(uri, resolved, path) if storage.scheme_of(path) != storage.scheme_of(resolved) else uri
+    entries = storage.list_dir(resolved)
+    tops = spark.createDataFrame([(named(e.uri),) for e in entries if not e.is_dir and e.size == 0], "path string")
+    dirs = [(e.uri,) for e in entries if e.is_dir]
     if not dirs:
         return tops
-    n = max(1, min(len(dirs), spark.sparkContext.defaultParallelism))
-    listing = spark.createDataFrame([(d,) for d in dirs], "dir string").repartition(n)
+    listing = spark.createDataFrame(dirs, "dir string").repartition(max(1, min(len(dirs), spark.sparkContext.defaultParallelism)))
 
     def walk(batches):
-        import pandas as pd
-        for pdf in batches:
-            found = [f for d in pdf["dir"] for f in _walk_zero_length(d)]
-            yield pd.DataFrame({"path": pd.Series(found, dtype="object")})
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                found = [named(e.uri) for e in storage.walk(folder) if e.size == 0]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["path"])
 
-    return tops.unionByName(listing.mapInPandas(walk, "path string"))
+    return tops.unionByName(listing.mapInArrow(walk, "path string"))
 
 
 def empty_image_files(spark: SparkSession, path: str, session_id: str | None = None,
                       zero_length: DataFrame | None = None) -> DataFrame:
     """Zero-byte image files, which Spark's file sources skip; the reference
-    reports them as unreadable. Driver-side listing of file metadata only."""
+    reports them as unreadable. A listing of file metadata only."""
     zl = zero_length if zero_length is not None else _zero_length_files(spark, path)
     rows = zl.withColumnRenamed("path", "origin")
     session = F.lit(session_id) if session_id is not None else C.parent_name("origin")

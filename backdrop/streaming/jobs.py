@@ -26,9 +26,9 @@ from backdrop.sources import images
 
 
 def frame_transform(df: DataFrame, segmenter="threshold", bg_color=pixels.BG_COLOR,
-                    cutoff: float = pixels.MASK_CUTOFF, mask_true: str = "background") -> DataFrame:
+                    cutoff: float = pixels.MASK_CUTOFF, mask_true: str = "background", pass_through: bool = False) -> DataFrame:
     """The shared transform; works unchanged on ``read`` and ``readStream`` frames."""
-    return FO.remove_backdrop(df, segmenter, bg_color=bg_color, cutoff=cutoff, mask_true=mask_true)
+    return FO.remove_backdrop(df, segmenter, bg_color=bg_color, cutoff=cutoff, mask_true=mask_true, pass_through=pass_through)
 
 
 def scratch_path(spark: SparkSession, kind: str) -> str:

@@ -1,35 +1,42 @@
-"""G4, O4, O5 and O6 on streams.
+"""G3, G4, O4, O5, O6 and P4 on streams.
 
 Two orders are on offer, and they are named:
 
-* **Event order** (:func:`counted`, :func:`first_n`, :func:`until_end`): the
-  order columns decide, however rows are dealt to files and micro-batches.
-  The stream appends what can still matter of each micro-batch (its own first
-  ``n`` rows per key; its rows up to its own first END marker) and the result
-  is the batch operator over what has been appended, so it equals the batch
-  result at any moment and hot keys are split as in a batch.
+* **Event order** (:func:`counted`, :func:`first_n`, :func:`until_end`,
+  :func:`session_close`): the order columns decide, however rows are dealt to
+  files and micro-batches, as long as none is later than the stated delay.
+  A key's rows wait in its state until the watermark has passed them and are
+  then taken in order: each is emitted once, and nothing that was emitted is
+  read again. A key holds the rows of one delay, and an event-time timer at
+  the earliest of them.
 * **Arrival order** (:func:`count_frames`, :func:`bound_frames`): the live
-  counter of a client, kept in the state store. A row that arrives later gets
-  a later number; within a micro-batch rows are taken in their order columns.
-  The state operator holds one key's rows of one micro-batch, so only keys,
-  order columns and ids should pass through it, from a source that limits the
-  rows of a micro-batch.
+  counter of a client. A row that arrives later gets a later number; within a
+  micro-batch rows are taken in their order columns. The state operator holds
+  one key's rows of one micro-batch, so only keys, order columns and ids should
+  pass through it, from a source that limits the rows of a micro-batch.
+
+The event-order operators need Spark's RocksDB state store
+(:func:`use_rocksdb`).
 """
 
 from __future__ import annotations
 
+import pickle
 import warnings
+from collections.abc import Callable
 from typing import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from backdrop.functions.columns import END_MARKER
-from backdrop.operators import sequence as SEQ
-from backdrop.streaming import jobs as J
+from backdrop.operators import results as R
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # PySpark's grouped-state serializer concatenates empty chunks, which newer
 # pandas reports as a FutureWarning once per group; it does not affect results.
@@ -92,40 +99,230 @@ def bound_frames(df: DataFrame, by, order, limit: int | None = None, marker_col:
                                                   GroupStateTimeout.NoTimeout)
 
 
-def _run(df: DataFrame, out: str, checkpoint: str, trigger, each) -> None:
-    J.drain(J.write_batches(df, out, checkpoint, trigger, each))
+def use_rocksdb(spark: SparkSession) -> None:
+    """Let the queries that the session starts from now on keep their state in RocksDB, unless it chose a provider."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if not spark.conf.get(key, "").endswith("RocksDBStateStoreProvider"):
+        spark.conf.set(key, ROCKSDB)
 
 
-def _appended(df: DataFrame, out: str) -> DataFrame:
-    return J.read_batches(df.sparkSession, out, df.schema).drop("stream_epoch")
+# The time of a row in microseconds, beside its own columns.
+_AT = "_at"
+# Takes a key's rows in order, and the state that it left last time, to (rows to emit, state, whether the key is done).
+_Take = Callable[[pd.DataFrame, object], tuple[pd.DataFrame, object, bool]]
 
 
-def counted(df: DataFrame, by, order, out: str, checkpoint: str, name: str = "frame_count",
-            trigger="availableNow") -> DataFrame:
-    """G4 in event order: drains the stream ``df`` to ``out`` and numbers all that has arrived there."""
-    _run(df, out, checkpoint, trigger, None)
-    return SEQ.frame_counter(_appended(df, out), by, order, name=name)
+class _InOrder(StatefulProcessor):
+    """Rows of a key in event order, as the watermark passes them; or in arrival order, by the clock.
 
+    With ``idle_us``, ``idle`` gives the row of a key that had no rows for so long.
+    """
 
-def first_n(df: DataFrame, by, order, n: int, out: str, checkpoint: str, seq: str = "seq",
-            trigger="availableNow") -> DataFrame:
-    """O4 in event order: no row beyond the first ``n`` of its own micro-batch can be among the first ``n`` of all."""
-    _run(df, out, checkpoint, trigger, lambda batch: SEQ.first_n(batch, by, order, n, seq).drop(seq))
-    return SEQ.first_n(_appended(df, out), by, order, n, seq)
+    def __init__(self, order: list[str], take: _Take, by_event_time: bool, idle: Callable | None = None, idle_us: int | None = None) -> None:
+        self.order, self.take, self.by_event_time = order, take, by_event_time
+        self.idle, self.idle_us = idle, idle_us
 
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.kept = handle.getValueState("kept", "state binary, done boolean")
 
-def until_end(df: DataFrame, by, order, out: str, checkpoint: str, marker_col: str = "frame_id",
-              end_value: int = END_MARKER, trigger="availableNow") -> DataFrame:
-    """O5 in event order: rows after the first END marker of their own micro-batch are not stored, the marker is."""
-    def each(batch: DataFrame) -> DataFrame:
-        # One row per key and micro-batch: the marker that comes first.
-        at = F.struct(*[F.col(c) for c in _names(order)])
-        marks = batch.where(F.col(marker_col) == end_value).groupBy(*_names(by)).agg(
-            F.min_by(F.struct(*batch.columns), at).alias("_mark")).select("_mark.*")
-        return SEQ.take_until_end(batch, by, order, marker_col, end_value).select(batch.columns).unionByName(marks)
-
-    _run(df, out, checkpoint, trigger, each)
-    return SEQ.take_until_end(_appended(df, out), by, order, marker_col, end_value)
+    def handleInputRows(self, key, rows, timerValues):
+        state, done = self._kept()
+        if done:
+            return
+        came = pd.concat(list(rows), ignore_index=True)
+        if not self.by_event_time:
+            yield from self._release(came, state)
+            self._wait_until(timerValues.getCurrentProcessingTimeInMs() + self.idle_us // 1000)
+            return
+        came = came[came[_AT].notna()]
+        if len(came):
+            # As bytes, which keep every column type as it is.
+            self.waiting.appendValue((pickle.dumps(came),))
+            first = _millis(came[_AT].min())
+            if not any(t <= first for t in self.handle.listTimers()):
+                self._wait_until(first)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        state, done = self._kept()
+        if done:
+            return
+        now = timerValues.getCurrentWatermarkInMs() if self.by_event_time else timerValues.getCurrentProcessingTimeInMs()
+        chunks = [pickle.loads(bytes(c)) for (c,) in self.waiting.get()]
+        last, rest = None, None
+        if chunks:
+            rows = pd.concat(chunks, ignore_index=True)
+            ripe = rows[_AT] <= now * 1000
+            rest = rows[~ripe]
+            self.waiting.clear()
+            if len(rest):
+                self.waiting.appendValue((pickle.dumps(rest),))
+            if ripe.any():
+                last = int(rows.loc[ripe, _AT].max())
+                yield from self._release(rows[ripe], state)
+                state, done = self._kept()
+        if done:
+            self.waiting.clear()
+        elif rest is not None and len(rest):
+            self._wait_until(_millis(rest[_AT].min()))
+        elif self.idle_us is not None and state is not None:
+            until = _millis(last + self.idle_us) if last is not None else 0
+            if until > now:
+                self._wait_until(until)
+            else:
+                self.kept.update((pickle.dumps(state), True))
+                yield self.idle(key, state)
+
+    def close(self) -> None:
+        pass
+
+    def _kept(self) -> tuple[object, bool]:
+        if not self.kept.exists():
+            return None, False
+        state, done = self.kept.get()
+        return pickle.loads(bytes(state)), done
+
+    def _release(self, rows: pd.DataFrame, state) -> Iterator[pd.DataFrame]:
+        rows = rows.sort_values(self.order, kind="stable", na_position="first").reset_index(drop=True)
+        out, state, done = self.take(rows, state)
+        self.kept.update((pickle.dumps(state), done))
+        if len(out):
+            yield out.drop(columns=_AT, errors="ignore")
+
+    def _wait_until(self, at: int) -> None:
+        """The key's only timer."""
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        self.handle.registerTimer(at)
+
+
+def _millis(micros) -> int:
+    """The first millisecond by which a time has passed."""
+    return -(-int(micros) // 1000)
+
+
+def _interval_us(text: str) -> int:
+    return int(pd.Timedelta(text).total_seconds() * 1_000_000)
+
+
+def _in_order(df: DataFrame, by, time_col: str, delay: str | None, processor: StatefulProcessor, schema: T.StructType) -> DataFrame:
+    use_rocksdb(df.sparkSession)
+    kind = df.schema[time_col].dataType
+    at = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{time_col}`)") if isinstance(
+        kind, T.TimestampNTZType) else F.unix_micros(F.col(time_col))
+    source = (df if delay is None else df.withWatermark(time_col, delay)).withColumn(_AT, at)
+    return source.groupBy(*_names(by)).transformWithStateInPandas(
+        processor, schema, "Append", "ProcessingTime" if delay is None else "EventTime")
+
+
+def counted(df: DataFrame, by, order, time_col: str, delay: str, name: str = "frame_count") -> DataFrame:
+    """G4 in event order: the rows of the stream ``df``, numbered from 1 per key, each once the watermark has passed it.
+
+    Rows later than ``delay`` behind the latest ``time_col`` are dropped, as
+    are rows without a time.
+    """
+    def take(rows, seen):
+        seen = seen or 0
+        rows[name] = range(seen + 1, seen + 1 + len(rows))
+        return rows, seen + len(rows), False
+
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.LongType())])
+    return _in_order(df, by, time_col, delay, _InOrder(_names(order), take, True), schema)
+
+
+def first_n(df: DataFrame, by, order, n: int, time_col: str, delay: str, seq: str = "seq") -> DataFrame:
+    """O4 in event order: the first ``n`` rows per key, numbered from 0; a key that has them keeps no more rows."""
+    def take(rows, seen):
+        seen = seen or 0
+        out = rows.head(n - seen).copy()
+        out[seq] = range(seen, seen + len(out))
+        return out, seen + len(out), seen + len(out) >= n
+
+    schema = T.StructType([*df.schema.fields, T.StructField(seq, T.LongType())])
+    return _in_order(df, by, time_col, delay, _InOrder(_names(order), take, True), schema)
+
+
+def until_end(df: DataFrame, by, order, time_col: str, delay: str, marker_col: str = "frame_id", end_value: int = END_MARKER) -> DataFrame:
+    """O5 in event order: the rows before each key's first END marker; a key that has ended keeps no more rows."""
+    def take(rows, _):
+        marks = (rows[marker_col] == end_value).to_numpy().nonzero()[0]
+        return (rows.iloc[: marks[0]], True, True) if len(marks) else (rows, True, False)
+
+    return _in_order(df, by, time_col, delay, _InOrder(_names(order), take, True), df.schema)
+
+
+def session_close(df: DataFrame, by: str, order, announced_col: str, idle: str, time_col: str, delay: str | None = None,
+                  marker_col: str = "frame_id", end_value: int = END_MARKER) -> DataFrame:
+    """G3 on a live stream: one row per session when it closes: ``by``, announced, received, reason, complete.
+
+    A session closes at its announced count (``complete``), at an END record
+    (``end marker``), or when no record came for ``idle`` (``idle``); what comes
+    later is ignored. With a ``delay``, records are taken in event order and
+    idle time is event time, so the result doesn't depend on micro-batches;
+    without, they are taken in arrival order and idle time is the clock's.
+    ``announced_col`` is taken from the first record that has it.
+    """
+    schema = T.StructType([df.schema[by], T.StructField("announced", T.LongType()), T.StructField("received", T.LongType()),
+                           T.StructField("reason", T.StringType()), T.StructField("complete", T.BooleanType())])
+    idle_us = _interval_us(idle)
+
+    def row(key, announced, received, reason):
+        done = announced is None or received >= announced
+        return pd.DataFrame({by: [key], "announced": [announced], "received": [received], "reason": [reason], "complete": [done]})
+
+    def take(rows, state):
+        announced, received, last = state or (None, 0, None)
+        key = None if pd.isna(rows[by].iloc[0]) else rows[by].iloc[0]
+        idled = False
+        if delay is not None:
+            at = rows[_AT].to_numpy()
+            gaps = (at - [at[0] if last is None else last, *at[:-1]] > idle_us).nonzero()[0]
+            last = int(at[-1])
+            if len(gaps):
+                rows, idled = rows.iloc[: gaps[0]], True
+        known = rows[announced_col].dropna()
+        if announced is None and len(known):
+            announced = int(known.iloc[0])
+        marks = (rows[marker_col] == end_value).to_numpy().nonzero()[0]
+        n = int(marks[0]) if len(marks) else len(rows)
+        if announced is not None and received + n >= announced:
+            return row(key, announced, announced, "complete"), (announced, announced, last), True
+        if len(marks):
+            return row(key, announced, received + n, "end marker"), (announced, received + n, last), True
+        if idled:
+            return row(key, announced, received + n, "idle"), (announced, received + n, last), True
+        return rows.head(0), (announced, received + n, last), False
+
+    def idle_row(key, state):
+        return row(key[0], state[0], state[1], "idle")
+
+    processor = _InOrder(_names(order), take, delay is not None, idle_row, idle_us)
+    slim = df.select(by, *dict.fromkeys([*_names(order), time_col, announced_col, marker_col]))
+    return _in_order(slim, by, time_col, delay, processor, schema)
+
+
+def live_fallback(sent: DataFrame, replies: DataFrame, keys, sent_time: str, reply_time: str, value_col: str, reply_col: str,
+                  limit: str, delay: str, out_col: str = "shown") -> DataFrame:
+    """P4 on a live stream: every sent frame once, with what its viewer sees.
+
+    That is the reply, if a usable one came within ``limit`` after the frame
+    was sent, and the frame itself otherwise: an absent, late or empty reply
+    shows the original once the watermarks have passed the limit. Both streams
+    may be out of order by ``delay``. Of replies that repeat a key the first to
+    arrive counts. The result has the columns of ``sent``, ``out_col`` and
+    ``shown_from``.
+    """
+    keys = _names(keys)
+    names = {k: f"_reply_{k}" for k in keys}
+    came = replies.select(*keys, F.col(reply_time).alias("_reply_at"), F.col(reply_col).alias("_reply")).withWatermark("_reply_at", delay) \
+        .dropDuplicatesWithinWatermark(keys).withColumnsRenamed(names)
+    out = sent.withWatermark(sent_time, delay)
+    # The bounds let Spark drop both sides' state.
+    on_time = (F.col("_reply_at") >= F.col(sent_time)) & (F.col("_reply_at") <= F.col(sent_time) + F.expr(f"INTERVAL {limit}"))
+    same = [F.col(k) == F.col(v) for k, v in names.items()]
+    joined = out.join(came, on=[*same, on_time], how="leftOuter")
+    return R.shown(joined, value_col, "_reply", out_col).drop("_reply", "_reply_at", *names.values())
 
 
 def latest_per_key(df: DataFrame, by, order, values) -> DataFrame:

@@ -1,3 +1,4 @@
+import io
 import os
 import struct
 
@@ -7,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from backdrop.sources import captures as CAP
+from backdrop.streaming import jobs as J
 
 END = 0xFFFFFFFF
 
@@ -145,9 +147,92 @@ def test_python_data_source_matches_binaryfile(spark, capture_dir):
     assert norm(ds) == norm(bf)
 
 
-def test_bare_capture_cut_inside_a_size_prefix():
-    import io
+def everything(framing, blob, most=1 << 20):
+    """Rows by ranges of at most ``most`` bytes, as :func:`decode_session_capture` gives them."""
+    src = io.BytesIO(blob)
+    parts = list(CAP.find_ranges(src, len(blob), framing, "c", "c", most=most))
+    assert [p.message is None for p in parts] == [True] * (len(parts) - 1) + [False]
+    return [row for p in parts for row in CAP.decode_range(src, p, framing)]
+
+
+def test_ranges_decode_like_whole_captures(monkeypatch):
+    odd = [("é.jpg", 7, b""), (b"\xff\xfe.jpg", 8, b"ok"), *RECS]
+    for blob in (session_capture(odd), session_capture(RECS, announced=2), session_capture(RECS[:2], announced=3, end_after=True), struct.pack("!I", 0)):
+        for cut in range(len(blob) + 1):
+            for most in (1, 40, 1 << 20):
+                assert everything("session", blob[:cut], most) == list(CAP.decode_session_capture(blob[:cut], "c"))
+    blob = bare_capture([b"a", b"bcd" * 9, b"e"]) + b"more"
+    monkeypatch.setattr(CAP, "HEADER_FETCH", 5)
+    for cut in range(len(blob) + 1):
+        assert everything("bare", blob[:cut], 8) == list(CAP.decode_bare_capture(blob[:cut], "c"))
+
+
+def test_header_pass_seeks_past_payloads():
+    class Counted(io.BytesIO):
+        got = 0
+
+        def read(self, n=-1):
+            data = super().read(n)
+            self.got += len(data)
+            return data
+
+    blob = session_capture([(f"{i}", i, bytes(1 << 20)) for i in range(20)])
+    src = Counted(blob)
+    parts = list(CAP.find_ranges(src, len(blob), "session", "c", "c", most=4 << 20))
+    assert len(parts) == 8 and src.got < 25 * CAP.HEADER_FETCH
+
+
+def test_a_long_capture_is_decoded_by_several_tasks(spark, tmp):
+    frames_ = [(f"f{i}.jpg", i, os.urandom(300)) for i in range(10_000)]
+    with open(os.path.join(tmp, "long.bin"), "wb") as fh:
+        fh.write(session_capture(frames_))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        records = CAP.read_captures(spark, tmp, range_bytes=100_000).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    got = sorted((r["seq"], r["filename"], r["frame_id"], r["payload"]) for r in records if r["seq"] is not None)
+    assert got == [(i, n, k, p) for i, (n, k, p) in enumerate(frames_)]
+    assert len({r["task"] for r in records}) >= 6
+
+
+def test_a_capture_over_two_gib(spark, tmp):
+    """A payload too long for a value is an error row; records behind it, over 2 GiB into the file, are read."""
+    huge = (1 << 31) + 5
+    with open(os.path.join(tmp, "huge.bin"), "wb") as fh:
+        fh.write(struct.pack("!I", 3) + struct.pack("!I", 1) + b"a" + struct.pack("!II", 0, huge))
+        fh.seek(huge, os.SEEK_CUR)  # a hole: no disk is used
+        for name, frame_id, payload in RECS[:2]:
+            fh.write(struct.pack("!I", len(name)) + name.encode() + struct.pack("!II", frame_id, len(payload)) + payload)
+    rows = {r["seq"]: r for r in CAP.read_captures(spark, tmp).collect()}
+    assert rows[0]["status"] == "error" and rows[0]["payload"] is None and str(huge) in rows[0]["message"]
+    assert [rows[i]["payload"] for i in (1, 2)] == [p for _, _, p in RECS[:2]] and rows[None]["message"] == "complete; 3 frames"
+
+
+def test_growing_captures_are_read_once(spark, tmp):
+    """Appended to between the runs of a query, cut inside records, with a bound on a trigger's bytes or without."""
+    blobs = {"a.bin": session_capture([(f"a{i}", i, bytes([i]) * 50) for i in range(20)]),
+             "b.bin": session_capture(RECS[:2], announced=9, end_after=True), "c.bin": session_capture(RECS, announced=5)}
+    for bound in (None, 200):
+        folder, out, ck = (os.path.join(tmp, f"{x}{bound}") for x in ("in", "out", "ck"))
+        os.makedirs(folder)
+        for share in (0.0, 0.13, 0.5, 0.5, 0.77, 1.0, 1.0):
+            for name, blob in blobs.items():
+                with open(os.path.join(folder, name), "wb") as fh:
+                    fh.write(blob[: int(len(blob) * share)])
+            query = J.write_stream(CAP.follow_captures(spark, folder, bytes_per_trigger=bound), out, ck, partition_by=None)
+            J.drain(query)
+        rows = spark.read.parquet(out).collect()
+        for name, blob in blobs.items():
+            got = sorted((tuple(r)[1:] for r in rows if r["capture"].endswith(name)), key=repr)
+            want = [tuple(r.values())[1:] for r in CAP.decode_session_capture(blob, "c") if not r["truncated"]]
+            assert [x for x in got if x[0] is not None] == sorted((x for x in want if x[0] is not None), key=repr)
+            ends = [x for x in got if x[0] is None]
+            # c.bin stops before its announced count, so it may go on.
+            assert ends == [x for x in want if x[0] is None]
+
 
+def test_bare_capture_cut_inside_a_size_prefix():
     data = struct.pack("!I", 3) + b"abc"
     for cut in range(0, 4):
         for src in (data + struct.pack("!I", 9)[:cut], io.BytesIO(data + struct.pack("!I", 9)[:cut])):

@@ -1,4 +1,5 @@
 import os
+import time
 
 from pyspark.sql import functions as F
 
@@ -70,28 +71,116 @@ def test_processing_time_trigger_paces_micro_batches(spark, tmp):
     assert sorted(r["event_id"] for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 9]
 
 
+EVENTS = "event_id long, client_id long, frame_id long, at timestamp, announced long"
+START = 1_700_000_000
+
+
+def land_events(spark, folder, rows, name):
+    """(event_id, client_id, frame_id, second, announced) as one file."""
+    df = spark.createDataFrame([(e, c, f, s, a) for e, c, f, s, a in rows], "event_id long, client_id long, frame_id long, s double, announced long")
+    df.withColumn("at", F.timestamp_micros(((F.col("s") + START) * 1_000_000).cast("long"))).select("event_id", "client_id", "frame_id", "at", "announced") \
+        .coalesce(1).write.mode("append").parquet(os.path.join(folder, name))
+
+
+def arriving(spark, folder):
+    return spark.readStream.schema(EVENTS).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+END = 0xFFFFFFFF
+FAR = 10_000_000
+
+
 def test_event_order_results_do_not_depend_on_files(spark, tmp):
-    """G4, O4, O5, O6 over rows dealt at random to files, one file per micro-batch, a NULL key and a late early row included."""
-    end = 0xFFFFFFFF
-    rows = [(i, None if i % 5 == 0 else i % 3, end if i in (23, 31) else i) for i in range(60)]
-    landing = os.path.join(tmp, "shuffled")
-    for k, part in enumerate(sorted(range(8), key=lambda x: -x)):
-        _land(spark, landing, [r for r in rows if r[0] * 7 % 8 == part], f"b{k}")
-    src = spark.readStream.schema(SCHEMA).option("recursiveFileLookup", "true") \
-        .option("maxFilesPerTrigger", 1).parquet(landing)
+    """G4, O4, O5 over rows that arrive out of order, one file per micro-batch and a restart, with a NULL key and tied times."""
+    rows = [(i, None if i % 5 == 0 else i % 3, END if i in (23, 31) else i, i // 2 * 1.0, None) for i in range(60)]
+    landing = os.path.join(tmp, "late")
+    parts = [[r for r in rows if lo <= (r[0] + r[0] * 7 % 10) < lo + 12] for lo in range(0, 72, 12)] + [[(999, None, 0, float(FAR), None)]]
     place = lambda tag: (os.path.join(tmp, f"{tag}-o"), os.path.join(tmp, f"{tag}-c"))
+    twins = {"n": lambda df: ST.counted(df, "client_id", ["at", "event_id"], "at", "10 seconds"),
+             "f": lambda df: ST.first_n(df, "client_id", ["at", "event_id"], 4, "at", "10 seconds"),
+             "e": lambda df: ST.until_end(df, "client_id", ["at", "event_id"], "at", "10 seconds")}
+    sizes = {}
+    for half in (parts[:4], parts[4:]):
+        for part in half:
+            land_events(spark, landing, part, f"b{parts.index(part)}")
+        for tag, twin in twins.items():
+            out, ck = place(tag)
+            J.drain(J.write_stream(twin(arriving(spark, landing)), out, ck, partition_by=None))
+            sizes.setdefault(tag, []).append(spark.read.parquet(out).count())
     of = lambda key: [r for r in rows if r[1] == key]
     keys = {r[1] for r in rows}
-
-    got = ST.counted(src, "client_id", ["event_id"], *place("n")).collect()
-    assert {(r["event_id"], r["frame_count"]) for r in got} == {(r[0], i + 1) for k in keys for i, r in enumerate(of(k))}
-    got = ST.first_n(src, "client_id", ["event_id"], 4, *place("f")).collect()
-    assert {(r["event_id"], r["seq"]) for r in got} == {(r[0], i) for k in keys for i, r in enumerate(of(k)[:4])}
-    got = ST.until_end(src, "client_id", ["event_id"], *place("e")).collect()
-    first = {k: min((r[0] for r in of(k) if r[2] == end), default=99) for k in keys}
+    got = spark.read.parquet(place("n")[0]).collect()
+    assert sorted((r["event_id"], r["frame_count"]) for r in got) == sorted((r[0], i + 1) for k in keys for i, r in enumerate(of(k)))
+    assert 0 < sizes["n"][0] < sizes["n"][1] == 60  # emitted as the watermark goes on
+    got = spark.read.parquet(place("f")[0]).collect()
+    assert sorted((r["event_id"], r["seq"]) for r in got) == sorted((r[0], i) for k in keys for i, r in enumerate(of(k)[:4]))
+    got = spark.read.parquet(place("e")[0]).collect()
+    first = {k: min((r[0] for r in of(k) if r[2] == END), default=99) for k in keys}
     assert sorted(r["event_id"] for r in got) == [r[0] for r in rows if r[0] < first[r[1]]]
+
+
+def test_latest_over_files_in_any_order(spark, tmp):
+    rows = [(i, None if i % 5 == 0 else i % 3, i) for i in range(60)]
+    landing = os.path.join(tmp, "shuffled")
+    for k in range(8):
+        _land(spark, landing, [r for r in rows if r[0] * 7 % 8 == k], f"b{k}")
+    src = spark.readStream.schema(SCHEMA).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(landing)
     last = ST.latest_per_key(src, "client_id", ["event_id"], ["event_id"])
-    out, ck = place("l")
+    out, ck = os.path.join(tmp, "l-o"), os.path.join(tmp, "l-c")
     J.drain(J.write_batches(last, out, ck, mode="update"))
     got = J.newest_rows(spark, out, last.schema, "client_id").collect()
-    assert {(r["client_id"], r["event_id"], r["n_frames"]) for r in got} == {(k, of(k)[-1][0], len(of(k))) for k in keys}
+    of = lambda key: [r for r in rows if r[1] == key]
+    assert {(r["client_id"], r["event_id"], r["n_frames"]) for r in got} == {(k, of(k)[-1][0], len(of(k))) for k in {r[1] for r in rows}}
+
+
+def closed(spark, out):
+    return {r["client_id"]: tuple(r)[1:] for r in spark.read.parquet(out).select("client_id", "announced", "received", "reason", "complete").collect()}
+
+
+def test_sessions_close_in_event_order(spark, tmp):
+    landing, out, ck = (os.path.join(tmp, x) for x in ("close", "close-o", "close-c"))
+    rows = [(10 + i, 1, i, float(i), 3 if i == 0 else None) for i in range(5)]  # two beyond its announced count
+    rows += [(20, 2, 0, 0.0, 9), (21, 2, END, 1.0, None), (22, 2, 2, 2.0, None)]
+    rows += [(30, 3, 0, 0.0, 9), (31, 3, 1, 5.0, None), (32, 3, 2, 100.0, None)]  # silent too long, then late
+    rows += [(40, 4, 0, 3.0, None), (41, 4, 1, 4.0, None)]  # never announced
+    rows += [(50, 5, 0, 0.0, 0)]
+    land_events(spark, landing, rows[1::2], "b0")
+    land_events(spark, landing, rows[::2], "b1")
+    land_events(spark, landing, [(99, None, 0, float(FAR), None)], "b2")
+    made = ST.session_close(arriving(spark, landing), "client_id", ["at", "event_id"], "announced", "30 seconds", "at", "200 seconds")
+    J.drain(J.write_stream(made, out, ck, partition_by=None))
+    assert closed(spark, out) == {1: (3, 3, "complete", True), 2: (9, 1, "end marker", False), 3: (9, 2, "idle", False),
+                                  4: (None, 2, "idle", True), 5: (0, 0, "complete", True)}
+
+
+def test_sessions_close_by_the_clock(spark, tmp):
+    landing, out, ck = (os.path.join(tmp, x) for x in ("clock", "clock-o", "clock-c"))
+    land_events(spark, landing, [(1, 1, 0, 0.0, 2), (2, 2, 0, 0.0, 3)], "b0")
+    made = ST.session_close(arriving(spark, landing), "client_id", ["at", "event_id"], "announced", "8 seconds", "at")
+    query = J.write_stream(made, out, ck, trigger="500 milliseconds", partition_by=None)
+    query.processAllAvailable()
+    land_events(spark, landing, [(3, 1, 1, 1.0, None)], "b1")
+    deadline = time.time() + 90
+    while time.time() < deadline and len(closed(spark, out) if os.path.isdir(out) and any(f.endswith(".parquet") for f in os.listdir(out)) else ()) < 2:
+        time.sleep(1)
+    query.stop()
+    assert closed(spark, out) == {1: (2, 2, "complete", True), 2: (3, 1, "idle", False)}
+
+
+def test_live_fallback_shows_the_original_for_late_and_absent_replies(spark, tmp):
+    sent_dir, reply_dir, out, ck = (os.path.join(tmp, x) for x in ("sent", "replies", "o", "c"))
+    sent = [(1, 7, 0, 0.0, None), (2, 7, 0, 1.0, None), (3, 7, 0, 2.0, None), (4, 7, 0, 3.0, None), (5, 7, 0, 4.0, None)]
+    # 1 in time, twice; 2 late; 3 empty; 4 none; 5 exactly at the limit
+    replies = [(1, 7, 0, 0.5, 8), (2, 7, 0, 7.0, 8), (3, 7, 0, 2.5, 0), (5, 7, 0, 9.0, 8)]
+    land_events(spark, sent_dir, sent, "b0")
+    land_events(spark, reply_dir, replies, "b0")
+    land_events(spark, reply_dir, [(1, 7, 0, 0.9, 9)], "b1")
+    for d in (sent_dir, reply_dir):
+        land_events(spark, d, [(99, None, 0, float(FAR), None)], "b9")
+    said = arriving(spark, reply_dir).select("event_id", F.col("at").alias("came"), F.repeat(F.lit("r"), F.col("announced").cast("int")).alias("reply"))
+    made = ST.live_fallback(arriving(spark, sent_dir).withColumn("frame", F.lit("original")), said, "event_id", "at", "came", "frame", "reply",
+                            "5 seconds", "1 minute")
+    J.drain(J.write_stream(made, out, ck, partition_by=None))
+    got = spark.read.parquet(out).where("event_id < 99").collect()
+    assert sorted((r["event_id"], r["shown_from"], r["shown"]) for r in got) == [
+        (1, "processed", "r" * 8), (2, "original", "original"), (3, "original", "original"), (4, "original", "original"), (5, "processed", "r" * 8)]
