@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,8 @@ BLOCK_CHARS = 1 << 22
 HOT_TEXTS = 1000
 # A pair of ids is one number: the first id above, the second in the lower bits.
 PAIR_BITS = 32
-# Estimated bytes of a remembered piece beside its strings.
-ENTRY_BYTES = 200
+# Estimated bytes of a remembered piece beside what was made of it.
+ENTRY_BYTES = 340
 
 
 def default_path() -> str:
@@ -95,8 +96,8 @@ class Aligner(tokens.PieceMemo):
         self.boundary = re.compile(f"{word}(?={white})" + (f"(?![{bad}])" if bad else ""))
         self.in_row = re.compile(f"{white}.*{word}", re.DOTALL)
 
-    def _size(self, made: Entry) -> int:
-        return ENTRY_BYTES + len(made[3]) + len(made[4]) if made else 0
+    def _size(self, known: dict[str, Entry]) -> int:
+        return ENTRY_BYTES * len(known) + sum(len(e[3]) + len(e[4]) for e in known.values() if e)
 
     def _encode(self, new: list[str]) -> dict[str, Entry]:
         rows: list[list[str]] = []
@@ -119,12 +120,13 @@ class Aligner(tokens.PieceMemo):
     def _align(self, row: list[str]) -> list[Entry]:
         text = "".join(row)
         data = text.encode()
-        a = np.array(self.a.tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
+        a = np.array(self.a.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
         b = self.b.encode(text)
         if self.a.decoder.decode(a) != data or self.b.bytes.decode(b) != data:
             return [None] if len(row) == 1 else [e for p in row for e in self._align([p])]
         a_ends, b_ends = np.cumsum(self.a.decoder.length[a]), np.cumsum(self.b.bytes.length[b])
-        shared = np.intersect1d(a_ends, b_ends)
+        # Ends rise, and both end with the row.
+        shared = a_ends[b_ends[np.searchsorted(b_ends, a_ends)] == a_ends]
         a_group, b_group = np.searchsorted(shared, a_ends), np.searchsorted(shared, b_ends)
         a_from = np.searchsorted(a_group, np.arange(len(shared) + 1))
         b_from = np.searchsorted(b_group, np.arange(len(shared) + 1))
@@ -163,10 +165,12 @@ class Aligner(tokens.PieceMemo):
             yield (*whole[:4], np.concatenate(whole[4]) if whole[4] else np.empty(0, np.int64))
 
     def _sum_up(self, split: list[list[str]]) -> Iterator[tuple[int, int, int, list[str], np.ndarray]]:
-        made = self.learn([p for found in split for p in found])
-        distinct = {p: i for i, p in enumerate(dict.fromkeys(p for found in split for p in found))}
-        entries = [made[p] for p in distinct]
+        pieces = dict.fromkeys(chain.from_iterable(split))
+        made = self.learn(pieces)
+        entries = list(map(made.__getitem__, pieces))
+        distinct = dict(zip(pieces, range(len(pieces)), strict=True))
         good = np.array([e is not None for e in entries], bool)
+        lines = [e[3] if e else "" for e in entries]
         counts = np.array([e[:3] if e else (0, 0, 0) for e in entries], np.int64).reshape(-1, 3)
         pool = np.frombuffer(b"".join(e[4] for e in entries if e), np.int64)
         size = np.array([len(e[4]) // 8 if e else 0 for e in entries], np.int64)
@@ -180,7 +184,7 @@ class Aligner(tokens.PieceMemo):
             upto = np.cumsum(n)
             links = pool[np.repeat(start[at] - (upto - n), n) + np.arange(upto[-1])]
             n_a, n_b, n_groups = counts[at].sum(0).tolist()
-            yield n_a, n_b, n_groups, [made[p][3] for p in found], links
+            yield n_a, n_b, n_groups, list(map(lines.__getitem__, at.tolist())), links
 
 
 _LISTS = [("sha", StringType()), ("documents", LongType()), ("n_a", LongType()), ("n_b", LongType()), ("n_groups", LongType()),

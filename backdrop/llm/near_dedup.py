@@ -27,10 +27,11 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from backdrop.llm.common import bounded_batches, documents, keep_rows, stored, texts_of
 from backdrop.llm.components import components
@@ -46,15 +47,14 @@ SAMPLES = BANDS * ROWS
 LEAST_SHARE = 0.5
 # Texts of a bucket in a block; two blocks meet in a group.
 BLOCK = 512
-SKETCH_BITS = 20
-SKETCH_ROWS = 2
-SLICES = 64
 # Bytes of text to a slice of the document frequencies, and the fewest and most bits of a slice's number.
 SLICE_BYTES = 8 << 20
 SLICE_BITS = (6, 16)
 # Characters of text that ask together, for each slice, and at most.
 ASK_CHARS = 1 << 13
 MOST_ASK_CHARS = 1 << 25
+# Rows of a batch at most, however short.
+BATCH_ROWS = 1 << 17
 DRAW_BITS = 16
 # Bits of the filter that says which texts to verify: 2 MiB. It spares the
 # shuffle of texts without a candidate; what it lets pass is joined exactly.
@@ -99,102 +99,79 @@ def few(texts: list[str]) -> Iterator[slice]:
             yield slice(i, min(i + 4096, part.stop))
 
 
-def sketch_slots(found: np.ndarray) -> np.ndarray:
-    """A slot in each row of the sketch."""
-    return np.stack([(found * _ODD[SAMPLES + 8 + r]) >> np.uint64(64 - SKETCH_BITS) for r in range(SKETCH_ROWS)]).astype(np.int64)
+def folded(texts: list[str]) -> bytes:
+    """Texts as one compressed value."""
+    raw = [t.encode() for t in texts]
+    return zstandard.ZstdCompressor(level=3).compress(np.array([len(texts), *map(len, raw)], "<u4").tobytes() + b"".join(raw))
 
 
-def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
-
-    total = np.zeros((SKETCH_ROWS, 1 << SKETCH_BITS), np.int64)
-    for b in batches:
-        texts = texts_of(b.column(0))
-        for part in few(texts):
-            for row, slots in zip(total, sketch_slots(shingles(texts[part])[1]), strict=True):
-                row += np.bincount(slots, minlength=1 << SKETCH_BITS)
-    yield _slices(total.reshape(SLICES, -1), range(SLICES), TaskContext.get().partitionId())
-
-
-def _slices(rows: np.ndarray, numbers: Iterable[int], task: int) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(numbers), pa.int32()), pa.array([task] * len(rows), pa.int32()),
-                                       pa.array([r.astype("<i8").tobytes() for r in rows], pa.binary())], ["slice", "task", "counts"])
-
-
-def _add_slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the slices that a task gets, in the memory of the sketch however many come."""
-    from pyspark import TaskContext
-
-    total: dict[int, np.ndarray] = {}
-    for b in batches:
-        for i, counts in zip(b.column(0).to_pylist(), b.column(2), strict=True):
-            total[i] = total.get(i, 0) + np.frombuffer(counts.as_buffer(), "<i8")
-    if total:
-        yield _slices(np.stack(list(total.values())), total, TaskContext.get().partitionId())
-
-
-def document_frequencies(texts: DataFrame) -> np.ndarray:
-    """Upper bounds in a fixed size: a count-min sketch over all rows of ``texts`` (one text column)."""
-    schema = StructType([StructField("slice", IntegerType()), StructField("task", IntegerType()), StructField("counts", BinaryType())])
-    parts = texts.mapInArrow(_sketch, schema)
-    for salt in (16, 1):
-        parts = parts.repartition(SLICES, "slice", F.col("task") % salt).mapInArrow(_add_slices, schema)
-    out = np.zeros((SLICES, SKETCH_ROWS << SKETCH_BITS - SLICES.bit_length() + 1), np.int64)
-    for r in parts.select("slice", "counts").toLocalIterator():  # SLICES rows
-        out[r["slice"]] += np.frombuffer(r["counts"], "<i8")
-    return out.reshape(SKETCH_ROWS, -1)
+def unfolded(data: bytes) -> list[str]:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    n = int(np.frombuffer(raw, "<u4", 1)[0])
+    ends = 4 * (n + 1) + np.cumsum(np.frombuffer(raw, "<u4", n, 4).astype(np.int64))
+    return [raw[i:j].decode() for i, j in zip([4 * (n + 1), *ends.tolist()], ends.tolist(), strict=False)]
 
 
-def _batched(chars: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Adds the number of the batch: rows that follow each other, of about ``chars`` characters together."""
+def _batched(chars: int, schema: pa.Schema) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows that follow each other, of about ``chars`` characters together, as one row: its number, ids, nodes and folded texts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        first, held = TaskContext.get().partitionId() << 32, 0
+        batch, held, rows = TaskContext.get().partitionId() << 32, 0, []
+
+        def made() -> pa.RecordBatch:
+            ids, nodes, texts = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((batch, ids, nodes, folded(texts)), schema, strict=True)], schema=schema)
+
         for b in batches:
-            ends = held + np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-            held = int(ends[-1]) if len(ends) else held
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(first + ends // chars, pa.int64())], ["doc_id", "text", "node", "batch"])
+            for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts_of(b.column(2)), strict=True):
+                rows.append(row)
+                held += len(row[2])
+                if held >= chars or len(rows) >= BATCH_ROWS:
+                    yield made()
+                    batch, held, rows = batch + 1, 0, []
+        if rows:
+            yield made()
 
     return run
 
 
 def packed(found: np.ndarray) -> bytes:
-    """The low 48 bits of shingles; the others are known from their slice."""
-    return found.astype("<u4").tobytes() + (found >> np.uint64(32)).astype("<u2").tobytes()
+    """Shingles in order, without what their slice says: the low 32 bits of each, and the steps of the next 16."""
+    steps = np.diff((found >> np.uint64(32)).astype(np.uint16), prepend=np.uint16(0))
+    return found.astype("<u4").tobytes() + zlib.compress(steps.astype("<u2").tobytes(), 1)
 
 
-def unpacked(data: bytes, part: int, bits: int) -> np.ndarray:
-    n = len(data) // 6
-    high = np.frombuffer(data, "<u2", n, 4 * n).astype(np.uint64) << np.uint64(32)
+def unpacked(data: bytes, n: int, part: int, bits: int) -> np.ndarray:
+    high = np.cumsum(np.frombuffer(zlib.decompress(data[4 * n :]), "<u2"), dtype=np.uint16).astype(np.uint64) << np.uint64(32)
     return np.frombuffer(data, "<u4", n) | high | np.uint64(part >> bits - 4 << 48)
 
 
+def squeezed(n: np.ndarray) -> bytes:
+    """Counts, most of them alike."""
+    return zlib.compress(n.astype("<u4").tobytes(), 1)
+
+
+def counts_of(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), "<u4")
+
+
 def _ask(bits: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(slice, batch, shingles, n): the shingles of the rows of a batch, and of how many they are."""
+    """(slice, batch, shingles, n): the shingles of the texts of a batch, and of how many they are."""
     edges = np.arange((1 << bits) + 1).astype(np.uint64) << np.uint64(52 - bits)
 
-    def asked(batch: int, texts: list[str]) -> pa.RecordBatch:
-        found, n = np.unique(np.concatenate([np.empty(0, np.uint64), *[shingles(texts[part])[1] for part in few(texts)]]), return_counts=True)
-        at = np.searchsorted(found, edges)
-        there = np.flatnonzero(np.diff(at)).tolist()
-        return pa.RecordBatch.from_arrays(
-            [pa.array(there, pa.int32()), pa.array([batch] * len(there), pa.int64()),
-             pa.array([packed(found[at[i] : at[i + 1]]) for i in there], pa.binary()),
-             pa.array([n[at[i] : at[i + 1]].astype("<u4").tobytes() for i in there], pa.binary())], ["slice", "batch", "shingles", "n"])
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, texts = None, []
         for b in batches:
-            for batch, text in zip(b.column(0).to_pylist(), texts_of(b.column(1)), strict=True):
-                if batch != now:
-                    if texts:
-                        yield asked(now, texts)
-                    now, texts = batch, []
-                texts.append(text)
-        if texts:
-            yield asked(now, texts)
+            for batch, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                texts = unfolded(blob)
+                found, n = np.unique(np.concatenate([np.empty(0, np.uint64), *[shingles(texts[part])[1] for part in few(texts)]]), return_counts=True)
+                at = np.searchsorted(found, edges)
+                there = np.flatnonzero(np.diff(at)).tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(there, pa.int32()), pa.array([batch] * len(there), pa.int64()),
+                     pa.array([packed(found[at[i] : at[i + 1]]) for i in there], pa.binary()),
+                     pa.array([squeezed(n[at[i] : at[i + 1]]) for i in there], pa.binary())], ["slice", "batch", "shingles", "n"])
 
     return run
 
@@ -203,14 +180,15 @@ def _answer(bits: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Recor
     """For each request, which come sorted by slice, its shingles of more than one document (slice, batch, shingles, n)."""
 
     def answered(part: int, asked: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
-        sizes = [len(n) // 4 for _, _, n in asked]
-        found, which = np.unique(np.concatenate([unpacked(x, part, bits) for _, x, _ in asked]), return_inverse=True)
-        total = np.bincount(which, np.concatenate([np.frombuffer(n, "<u4") for _, _, n in asked]), len(found)).astype(np.uint32)
+        counts = [counts_of(n) for _, _, n in asked]
+        sizes = [len(n) for n in counts]
+        found, which = np.unique(np.concatenate([unpacked(x, n, part, bits) for (_, x, _), n in zip(asked, sizes, strict=True)]), return_inverse=True)
+        total = np.bincount(which, np.concatenate(counts), len(found)).astype(np.uint32)
         rows = []
         for (batch, _, _), w in zip(asked, np.split(which, np.cumsum(sizes)[:-1]), strict=True):
             w = w[total[w] > 1]
             if len(w):
-                rows.append((batch, packed(found[w]), total[w].astype("<u4").tobytes()))
+                rows.append((batch, packed(found[w]), squeezed(total[w])))
         return pa.RecordBatch.from_arrays(
             [pa.array([part] * len(rows), pa.int32()), pa.array([x[0] for x in rows], pa.int64()),
              pa.array([x[1] for x in rows], pa.binary()), pa.array([x[2] for x in rows], pa.binary())], ["slice", "batch", "shingles", "n"])
@@ -231,18 +209,17 @@ def _answer(bits: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Recor
 
 
 def exact_frequencies(rows: DataFrame, bits: int) -> DataFrame:
-    """(slice, batch, shingles, n): for each batch of ``rows`` its shingles of more than one row, and of how many they are."""
+    """(slice, batch, shingles, n): for each batch its shingles of more than one row, and of how many they are."""
     schema = StructType([StructField("slice", IntegerType()), StructField("batch", LongType()),
                          StructField("shingles", BinaryType()), StructField("n", BinaryType())])
-    asked = rows.select("batch", "text").mapInArrow(_ask(bits), schema)
+    asked = rows.select("batch", "texts").mapInArrow(_ask(bits), schema)
     return asked.repartition("slice").sortWithinPartitions("slice").mapInArrow(_answer(bits), schema)
 
 
 class Weigher:
-    """Weights of shingles and samples of texts, by given document frequencies or those of a sketch."""
+    """Weights of shingles and samples of texts, by their document frequencies."""
 
-    def __init__(self, sketch: np.ndarray | None, n_docs: int) -> None:
-        self.sketch = None if sketch is None else np.minimum(sketch, (1 << 31) - 1).astype(np.int32)
+    def __init__(self, n_docs: int) -> None:
         self.n_docs = n_docs
         rng = np.random.default_rng([SEED, 2])
         size = 1 << DRAW_BITS
@@ -250,12 +227,10 @@ class Weigher:
         self.log_c = np.log(rng.gamma(2, 1, size)).astype(np.float32)
         self.beta = rng.random(size).astype(np.float32)
 
-    def weights(self, found: np.ndarray, n: np.ndarray, df: np.ndarray | None = None) -> np.ndarray:
-        if df is None:
-            df = np.min([row[s] for row, s in zip(self.sketch, sketch_slots(found), strict=True)], axis=0)
+    def weights(self, found: np.ndarray, n: np.ndarray, df: np.ndarray) -> np.ndarray:
         return n * (1 + np.log((self.n_docs + 1) / (df + 1.0)).clip(0) / np.log(self.n_docs + 2))
 
-    def samples(self, of: np.ndarray, found: np.ndarray, n: np.ndarray, df: np.ndarray | None = None) -> np.ndarray:
+    def samples(self, of: np.ndarray, found: np.ndarray, n: np.ndarray, df: np.ndarray) -> np.ndarray:
         """Samples (sample, text) of the texts that occur in ``of``: the drawn shingle and level as one number."""
         log_w = np.log(self.weights(found, n, df)).astype(np.float32)
         starts = np.flatnonzero(np.diff(of, prepend=-1))
@@ -309,26 +284,21 @@ def _signatures(weigher: Weigher, bits: int) -> Callable[[Iterable[pa.RecordBatc
                                           ["doc_id", "node", "bands", "sign", "often"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, answers, known, times = None, [], None, None
+        answers: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.uint64), np.empty(0, np.uint32))]
         for b in batches:
-            number, part = b.column(0).to_numpy(), b.column(1).to_pylist()
-            ends = [*(np.flatnonzero(np.diff(number)) + 1).tolist(), len(number)]
-            start = 0
-            for end in ends if len(number) else []:
-                if number[start] != now:
-                    now, answers, known = number[start], [], None
-                while start < end and part[start] is not None:
-                    answers.append((unpacked(b.column(5)[start].as_py(), part[start], bits), np.frombuffer(b.column(6)[start].as_py(), "<u4")))
-                    start += 1
-                if start < end:
-                    if known is None:
-                        known, first = np.unique(np.concatenate([np.empty(0, np.uint64), *[x for x, _ in answers]]), return_index=True)
-                        times = np.concatenate([np.empty(0, np.uint32), *[x for _, x in answers]])[first].astype(np.int64)
-                    texts = texts_of(b.column(4).slice(start, end - start))
-                    for some in few(texts):
-                        ids, nodes = (b.column(i).slice(start + some.start, some.stop - some.start) for i in (2, 3))
-                        yield signed(ids, nodes, texts[some], known, times)
-                start = end
+            for i, part in enumerate(b.column(1).to_pylist()):
+                if part is not None:
+                    times = counts_of(b.column(6)[i].as_py())
+                    answers.append((unpacked(b.column(5)[i].as_py(), len(times), part, bits), times))
+                    continue
+                known, first = np.unique(np.concatenate([x for x, _ in answers]), return_index=True)
+                times = np.concatenate([x for _, x in answers])[first].astype(np.int64)
+                del answers[1:]
+                texts = unfolded(b.column(4)[i].as_py())
+                ids, nodes = b.column(2)[i].values, b.column(3)[i].values
+                for some in few(texts):
+                    n = some.stop - some.start
+                    yield signed(ids.slice(some.start, n), nodes.slice(some.start, n), texts[some], known, times)
 
     return run
 
@@ -453,11 +423,19 @@ def _filter(nodes: DataFrame) -> np.ndarray:
 
 
 def _in_filter(packed: np.ndarray) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(node, text) of the texts of batches whose node may be wanted."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(packed).astype(bool)
         for b in batches:
-            slots = [int.from_bytes(x[: FILTER_BITS // 8]) for x in b.column(0).to_pylist()]
-            yield b.filter(pa.array(bits[np.array(slots, np.int64)], pa.bool_()))
+            for nodes, blob in zip(b.column(0), b.column(1).to_pylist(), strict=True):
+                names = nodes.as_py()
+                wanted = np.flatnonzero(bits[[int.from_bytes(x[: FILTER_BITS // 8]) for x in names]])
+                if len(wanted):
+                    texts = unfolded(blob)
+                    for some in np.array_split(wanted, -(-len(wanted) // 256)):
+                        yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in some], pa.binary()), pa.array([texts[i] for i in some], pa.string())],
+                                                         ["node", "text"])
 
     return run
 
@@ -473,14 +451,16 @@ def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     bounded_batches(spark)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), node_of(F.col(text_col)).alias("node"))
     size = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
-    weigher = Weigher(None, size.n)
+    weigher = Weigher(size.n)
     bits = min(max(SLICE_BITS[0], (int(size.bytes or 0) // SLICE_BYTES).bit_length()), SLICE_BITS[1])
-    dealt = StructType([*rows.schema, StructField("batch", LongType())])
-    rows = stored(spark, rows.mapInArrow(_batched(min(ASK_CHARS << bits, MOST_ASK_CHARS)), dealt), "batches")
+    id_kind = rows.schema["doc_id"].dataType
+    dealt = StructType([StructField("batch", LongType()), StructField("doc_ids", ArrayType(id_kind)), StructField("nodes", ArrayType(BinaryType())),
+                        StructField("texts", BinaryType())])
+    chars = min(ASK_CHARS << bits, MOST_ASK_CHARS)
+    batches = stored(spark, rows.select("doc_id", "node", "text").mapInArrow(_batched(chars, to_arrow_schema(dealt)), dealt), "batches")
     none = lambda name, kind: F.lit(None).cast(kind).alias(name)
-    texts = rows.select("batch", none("slice", "int"), "doc_id", "node", "text", none("shingles", "binary"), none("n", "binary"))
-    known = exact_frequencies(rows, bits).select("batch", "slice", none("doc_id", rows.schema["doc_id"].dataType), none("node", "binary"),
-                                                 none("text", "string"), "shingles", "n")
+    texts = batches.select("batch", none("slice", "int"), "doc_ids", "nodes", "texts", none("shingles", "binary"), none("n", "binary"))
+    known = exact_frequencies(batches, bits).select("batch", "slice", *[none(f.name, f.dataType) for f in dealt[1:]], "shingles", "n")
     given = known.unionByName(texts).repartition("batch").sortWithinPartitions("batch", F.col("slice").asc_nulls_last())
     schema = StructType([rows.schema["doc_id"], StructField("node", BinaryType()), StructField("bands", ArrayType(LongType())),
                          StructField("sign", BinaryType()), StructField("often", BinaryType())])
@@ -489,11 +469,11 @@ def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     nodes = stored(spark, nodes, "nodes")
     pair = StructType([StructField("a", BinaryType()), StructField("b", BinaryType())])
     links = stored(spark, _forests(nodes).mapInArrow(_links, pair).distinct(), "candidates")
-    near = _verified(rows, nodes, links, weigher)
+    near = _verified(batches, nodes, links, weigher)
     roots = components(near)
     nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     more = _apart(nodes).mapInArrow(_open, pair).distinct().join(links, ["a", "b"], "left_anti")
-    return signed.select("doc_id", "node"), near.unionByName(_verified(rows, nodes, stored(spark, more, "open"), weigher))
+    return signed.select("doc_id", "node"), near.unionByName(_verified(batches, nodes, stored(spark, more, "open"), weigher))
 
 
 def _dealt(members: DataFrame, blocks: Callable[[Column, Column], Column], *extra: str) -> DataFrame:
@@ -523,11 +503,12 @@ def _apart(nodes: DataFrame) -> DataFrame:
     return _dealt(members, lambda n, own: F.sequence(F.lit(0), n - 1), "root", "block")
 
 
-def _verified(rows: DataFrame, nodes: DataFrame, links: DataFrame, weigher: Weigher) -> DataFrame:
-    """The links (a, b, weighted, plain) that are near by the texts of ``rows`` and their frequencies in ``nodes``."""
-    spark = rows.sparkSession
+def _verified(batches: DataFrame, nodes: DataFrame, links: DataFrame, weigher: Weigher) -> DataFrame:
+    """The links (a, b, weighted, plain) that are near by the texts of ``batches`` and their frequencies in ``nodes``."""
+    spark = batches.sparkSession
     wanted = links.select(F.explode(F.array("a", "b")).alias("wanted")).distinct()
-    maybe = rows.select("node", "text").mapInArrow(_in_filter(_filter(wanted.select("wanted"))), rows.select("node", "text").schema)
+    pair = StructType([StructField("node", BinaryType()), StructField("text", StringType())])
+    maybe = batches.select("nodes", "texts").mapInArrow(_in_filter(_filter(wanted.select("wanted"))), pair)
     texts = maybe.join(wanted, F.col("node") == F.col("wanted"), "left_semi").dropDuplicates(["node"])
     texts = stored(spark, texts.join(nodes.select("node", "often"), "node"), "texts")
     side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"), F.col("often").alias(f"often_{x}"))

@@ -101,13 +101,11 @@ class PieceMemo:
         memo, older = self.memo, self.older
         long: dict = {}
         part: list[str] = []
+        again: list[str] = []
         held = 0
-        for p in dict.fromkeys(found):
-            if p in memo:
-                continue
+        for p in [p for p in dict.fromkeys(found) if p not in memo]:
             if p in older:
-                memo[p] = older[p]
-                self.held += PIECE_BYTES + len(p) + self._size(memo[p])
+                again.append(p)
                 continue
             part.append(p)
             held += len(p)
@@ -116,21 +114,25 @@ class PieceMemo:
                 part, held = [], 0
         if part:
             long |= self._remember(part)
+        known = {p: older[p] for p in again}
+        self.held += self._size(known)
+        memo.update(known)
         return memo | long if long else memo
 
     def _remember(self, new: list[str]) -> dict:
         """Encode ``new``; those too long to be remembered are returned."""
         known = self._encode(new)
         long = {p: known.pop(p) for p in new if len(p) > MEMO_CHARS}
-        self.held += sum(PIECE_BYTES + len(p) + self._size(made) for p, made in known.items())
+        self.held += self._size(known)
         self.memo.update(known)
         return long
 
     def _encode(self, new: list[str]) -> dict:
         raise NotImplementedError
 
-    def _size(self, made) -> int:
-        return len(made)
+    def _size(self, known: dict) -> int:
+        """Estimated bytes of what is remembered."""
+        return PIECE_BYTES * len(known) + sum(map(len, known)) + sum(map(len, known.values()))
 
 
 class PieceEncoder(PieceMemo):

@@ -86,11 +86,11 @@ def test_samples_agree_by_weighted_similarity():
         other = words[: 200 - i % 100] + [f"v{rng.randrange(50)}" for _ in range(i % 100)]
         texts += [" ".join(words), " ".join(other)]
     of, found, n = N.shingles(texts)
-    weigher = N.Weigher(np.zeros((N.SKETCH_ROWS, 1 << N.SKETCH_BITS), np.int64), 10)
-    drawn = weigher.samples(of, found, n)
+    weigher = N.Weigher(10)
+    drawn = weigher.samples(of, found, n, np.zeros(len(n)))
     error = []
     for i in range(0, len(texts), 2):
-        a, b = ((found[of == k], weigher.weights(found[of == k], n[of == k])) for k in (i, i + 1))
+        a, b = ((found[of == k], weigher.weights(found[of == k], n[of == k], np.zeros((of == k).sum()))) for k in (i, i + 1))
         error.append((drawn[:, i] == drawn[:, i + 1]).mean() - N.similarity(a, b)[0])
     assert abs(np.mean(error)) < 0.01 and np.std(error) < 0.075
 
@@ -99,22 +99,26 @@ def test_weighted_similarity_by_definition():
     a, b = "a b c d e f a b c d e f", "a b c d e f g h"
     count = lambda t: Counter(tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4))
     x, y = count(a), count(b)
-    weigher = N.Weigher(np.zeros((N.SKETCH_ROWS, 1 << N.SKETCH_BITS), np.int64), 3)  # df 0: one weight for all
+    weigher = N.Weigher(3)  # df 0: one weight for all
     sides = []
     for t in (a, b):
         _, found, n = N.shingles([t])
-        sides.append((found, weigher.weights(found, n)))
+        sides.append((found, weigher.weights(found, n, np.zeros(len(n)))))
     want = sum((x & y).values()) / sum((x | y).values())
     got = N.similarity(*sides)
     assert abs(got[0] - want) < 1e-12 and abs(got[1] - len(x.keys() & y) / len(x.keys() | y)) < 1e-12
 
 
-def test_document_frequencies_are_complete(spark, table):
-    rows = [row(i, f"the same five words here and {i}") for i in range(400)]
-    sketch = N.document_frequencies(table(rows).select("text").repartition(7))
-    _, found, _ = N.shingles([rows[0][1]])
-    df = np.min([r[s] for r, s in zip(sketch, N.sketch_slots(found), strict=True)], axis=0)
-    assert sorted(df)[-1] >= 400 and sketch[0].sum() == sum(len(plain(r[1])) for r in rows)
+def test_folded_values():
+    texts = ["", "a", "é\n" * 1000, "\x00", ""]
+    assert N.unfolded(N.folded(texts)) == texts and N.unfolded(N.folded([])) == []
+    for bits in (6, 9, 16):
+        for part in (0, 5, (1 << bits) - 1):
+            low = np.random.default_rng(part).integers(0, 1 << 52 - bits, 3000, np.uint64)
+            found = np.unique(low) | np.uint64(part) << np.uint64(52 - bits)
+            assert np.array_equal(N.unpacked(N.packed(found), len(found), part, bits), found)
+    n = np.array([1, 1, 1 << 31, 7])
+    assert np.array_equal(N.counts_of(N.squeezed(n)), n)
 
 
 def test_forest_is_maximal():
@@ -159,8 +163,8 @@ def test_repeated_lines_do_not_hide_equal_sets(table):
         rows += [row(2 * g + k, f"{body} {' '.join([line] * n)}") for k, n in enumerate((100, 300))]
     rows += [row(1000 + i, prose(i, 40)) for i in range(40)]
     of, found, n = N.shingles([rows[0][1], rows[1][1]])
-    weigher = N.Weigher(np.zeros((N.SKETCH_ROWS, 1 << N.SKETCH_BITS), np.int64), 10)
-    weighted, same = N.similarity(*((found[of == k], weigher.weights(found[of == k], n[of == k])) for k in (0, 1)))
+    weigher = N.Weigher(10)
+    weighted, same = N.similarity(*((found[of == k], weigher.weights(found[of == k], n[of == k], np.zeros((of == k).sum()))) for k in (0, 1)))
     assert weighted < 0.5 and same == 1
     out = {r.doc_id: r.class_id for r in N.near_groups(table(rows)).collect()}
     assert all(out[2 * g] == out[2 * g + 1] == 2 * g for g in range(40))
