@@ -574,9 +574,17 @@ def _stream_table(spark, sf_dir, name):
     return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
-def _drain_to_files(spark, df, kind):
+# Rows of a table to a partition of a stream's state.
+ROWS_PER_STATE = 250_000
+
+
+def _drain_to_files(spark, df, kind, rows=None):
+    """``rows``: of the table behind a stream with state, to size its state by."""
     base = J.scratch_path(spark, kind)
-    J.drain(J.write_stream(df, f"{base}/out", f"{base}/ckpt", partition_by=None))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with J.state_partitions(spark, n if rows is None else min(n, -(-rows // ROWS_PER_STATE) + 1)):
+        query = J.write_stream(df, f"{base}/out", f"{base}/ckpt", partition_by=None)
+    J.drain(query)
     return spark.read.schema(df.schema).parquet(f"{base}/out")
 
 
@@ -628,14 +636,14 @@ def _arriving_log(spark, sf_dir):
 def stream_frame_counter(spark, sf_dir):
     """G4 on a stream, numbered in event order as the watermark passes: rows arrive out of order, in several micro-batches."""
     out = ST.counted(_arriving_log(spark, sf_dir), "client_id", ["ts", "event_id"], "at", STREAM_DELAY)
-    return _drain_to_files(spark, out.select("event_id", "client_id", "frame_count"), "stream-counter")
+    return _drain_to_files(spark, out.select("event_id", "client_id", "frame_count"), "stream-counter", _t(spark, sf_dir, "events").count())
 
 
 @query("stream_first_n", ORACLE["first_n"])
 def stream_first_n(spark, sf_dir):
     """O4 on a stream: the first 10 frames of each client in event order."""
     out = ST.first_n(_arriving_log(spark, sf_dir), "client_id", ["ts", "event_id"], 10, "at", STREAM_DELAY)
-    return _drain_to_files(spark, out.select("event_id", "client_id", "seq"), "stream-first-n")
+    return _drain_to_files(spark, out.select("event_id", "client_id", "seq"), "stream-first-n", _t(spark, sf_dir, "events").count())
 
 
 @query("stream_end_marker", ORACLE["end_marker"])
@@ -644,7 +652,7 @@ def stream_end_marker(spark, sf_dir):
     marked = F.when(F.col("event_type") == "signup", F.lit(C.END_MARKER)).otherwise(F.col("event_id"))
     lg = _arriving_log(spark, sf_dir).withColumn("frame_id", marked)
     out = ST.until_end(lg, "client_id", ["ts", "event_id"], "at", STREAM_DELAY)
-    return _drain_to_files(spark, out.select("event_id", "client_id", "frame_id"), "stream-end")
+    return _drain_to_files(spark, out.select("event_id", "client_id", "frame_id"), "stream-end", _t(spark, sf_dir, "events").count())
 
 
 @query("stream_session_close", f"""
@@ -671,7 +679,7 @@ def stream_session_close(spark, sf_dir):
         F.when(ends, F.lit(C.END_MARKER)).otherwise(F.col("event_id")).alias("frame_id"))
     # Longer than the tables' span: a client idles only behind its last event.
     out = ST.session_close(lg, "client_id", ["ts", "event_id"], "announced", "400 days", "at", STREAM_DELAY)
-    return _drain_to_files(spark, out, "stream-close")
+    return _drain_to_files(spark, out, "stream-close", _t(spark, sf_dir, "events").count())
 
 
 # A reply that comes later is not shown.
@@ -693,7 +701,7 @@ def stream_live_fallback(spark, sf_dir):
         "event_id", (F.col("at") + F.make_dt_interval(secs=F.coalesce(wait, F.lit(0)))).alias("replied_at"),
         F.when(case == 2, F.lit("")).otherwise(F.concat(F.lit("reply "), text)).alias("reply"))
     out = ST.live_fallback(sent, replies, "event_id", "sent_at", "replied_at", "frame", "reply", REPLY_LIMIT, STREAM_DELAY)
-    return _drain_to_files(spark, out.where("event_id is not null").select("event_id", "shown_from", "shown"), "stream-fallback")
+    return _drain_to_files(spark, out.where("event_id is not null").select("event_id", "shown_from", "shown"), "stream-fallback", _t(spark, sf_dir, "events").count())
 
 
 @query("stream_last_result", ORACLE["last_result"])

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,22 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{kind}-{uuid.uuid4().hex}")
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int):
+    """Queries that are started inside keep their state in ``n`` partitions, for good: a checkpoint fixes their number.
+
+    Every partition of a Python state operator costs a worker's start in every
+    micro-batch, so small streams want few.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _trigger(writer, trigger):
     if trigger == "availableNow":
         return writer.trigger(availableNow=True)

@@ -106,8 +106,10 @@ def use_rocksdb(spark: SparkSession) -> None:
         spark.conf.set(key, ROCKSDB)
 
 
-# The time of a row in microseconds, beside its own columns.
-_AT = "_at"
+# The time of a row in microseconds, beside its own columns (pandas renames names that begin with an underscore).
+_AT = "at_micros"
+# The key as text: NULL keys, and keys of any type, come to pandas alike.
+_KEY = "state_key"
 # Takes a key's rows in order, and the state that it left last time, to (rows to emit, state, whether the key is done).
 _Take = Callable[[pd.DataFrame, object], tuple[pd.DataFrame, object, bool]]
 
@@ -172,7 +174,7 @@ class _InOrder(StatefulProcessor):
                 self._wait_until(until)
             else:
                 self.kept.update((pickle.dumps(state), True))
-                yield self.idle(key, state)
+                yield self.idle(state)
 
     def close(self) -> None:
         pass
@@ -188,7 +190,7 @@ class _InOrder(StatefulProcessor):
         out, state, done = self.take(rows, state)
         self.kept.update((pickle.dumps(state), done))
         if len(out):
-            yield out.drop(columns=_AT, errors="ignore")
+            yield out.drop(columns=[_AT, _KEY], errors="ignore")
 
     def _wait_until(self, at: int) -> None:
         """The key's only timer."""
@@ -211,8 +213,9 @@ def _in_order(df: DataFrame, by, time_col: str, delay: str | None, processor: St
     kind = df.schema[time_col].dataType
     at = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{time_col}`)") if isinstance(
         kind, T.TimestampNTZType) else F.unix_micros(F.col(time_col))
-    source = (df if delay is None else df.withWatermark(time_col, delay)).withColumn(_AT, at)
-    return source.groupBy(*_names(by)).transformWithStateInPandas(
+    key = F.to_json(F.array(*[F.col(c).cast("string") for c in _names(by)]))
+    source = (df if delay is None else df.withWatermark(time_col, delay)).withColumns({_AT: at, _KEY: key})
+    return source.groupBy(_KEY).transformWithStateInPandas(
         processor, schema, "Append", "ProcessingTime" if delay is None else "EventTime")
 
 
@@ -272,8 +275,8 @@ def session_close(df: DataFrame, by: str, order, announced_col: str, idle: str,
         return pd.DataFrame({by: [key], "announced": [announced], "received": [received], "reason": [reason], "complete": [done]})
 
     def take(rows, state):
-        announced, received, last = state or (None, 0, None)
         key = None if pd.isna(rows[by].iloc[0]) else rows[by].iloc[0]
+        _, announced, received, last = state or (key, None, 0, None)
         idled = False
         if delay is not None:
             at = rows[_AT].to_numpy()
@@ -287,15 +290,15 @@ def session_close(df: DataFrame, by: str, order, announced_col: str, idle: str,
         marks = (rows[marker_col] == end_value).to_numpy().nonzero()[0]
         n = int(marks[0]) if len(marks) else len(rows)
         if announced is not None and received + n >= announced:
-            return row(key, announced, announced, "complete"), (announced, announced, last), True
+            return row(key, announced, announced, "complete"), (key, announced, announced, last), True
         if len(marks):
-            return row(key, announced, received + n, "end marker"), (announced, received + n, last), True
+            return row(key, announced, received + n, "end marker"), (key, announced, received + n, last), True
         if idled:
-            return row(key, announced, received + n, "idle"), (announced, received + n, last), True
-        return rows.head(0), (announced, received + n, last), False
+            return row(key, announced, received + n, "idle"), (key, announced, received + n, last), True
+        return rows.head(0), (key, announced, received + n, last), False
 
-    def idle_row(key, state):
-        return row(key[0], state[0], state[1], "idle")
+    def idle_row(state):
+        return row(*state[:3], "idle")
 
     processor = _InOrder(_names(order), take, delay is not None, idle_row, idle_us)
     slim = df.select(by, *dict.fromkeys([*_names(order), time_col, announced_col, marker_col]))

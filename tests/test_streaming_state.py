@@ -1,11 +1,20 @@
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from backdrop.streaming import jobs as J
 from backdrop.streaming import state as ST
 
+
+
+@pytest.fixture(autouse=True)
+def few_state_partitions(spark):
+    with J.state_partitions(spark, 2):
+        yield
+
+
 SCHEMA = "event_id long, client_id long, frame_id long"
 
 
