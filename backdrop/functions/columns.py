@@ -84,7 +84,11 @@ def stamp(ts) -> Column:
     zone is involved (``date_format`` would go through one, and shift wall
     times that fall in a daylight-saving gap).
     """
-    return F.when(_c(ts).isNotNull(), F.format_string("%04d%02d%02d_%02d%02d%02d", *_fields(ts)))
+    t = _c(ts)
+    text = t.cast("string")  # 2024-01-02 03:04:05[.6]
+    date, clock = F.translate(F.substring(text, 1, 10), "-", ""), F.translate(F.substring(text, 12, 8), ":", "")
+    return F.when(F.year(t).between(0, 9999), F.concat(date, F.lit("_"), clock)).when(
+        t.isNotNull(), F.format_string("%04d%02d%02d_%02d%02d%02d", *_fields(ts)))
 
 
 def display_time(ts) -> Column:
@@ -111,7 +115,11 @@ def session_started_at(session_id) -> Column:
 
 def session_display_time(session_id) -> Column:
     """``dd/MM/yyyy HH:mm:ss`` of the id's time, the raw id when it has none."""
-    return F.coalesce(display_time(session_started_at(session_id)), _c(session_id))
+    text, started = _c(session_id), session_started_at(session_id)
+    part = lambda pos, n: F.substring(text, pos, n)
+    shown = F.concat(part(7, 2), F.lit("/"), part(5, 2), F.lit("/"), part(1, 4), F.lit(" "), part(10, 2), F.lit(":"), part(12, 2), F.lit(":"), part(14, 2))
+    # A 60th second is the next minute's first.
+    return F.when(started.isNull(), text).when(part(14, 2) == "60", display_time(started)).otherwise(shown)
 
 
 def uint32_be(binary, pos: int | Column = 1) -> Column:

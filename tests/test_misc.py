@@ -29,13 +29,20 @@ def test_first_n_by_announced_column(spark):
 
 
 def test_replies_pass_through_on_error(spark):
-    rows = [("s", 0, "a.png", bytearray(b"P"), bytearray(b"O"), 1, 1, "success", None),
-            ("s", 1, "b.png", None, bytearray(b"O"), 1, 1, "error", "model failed"),
-            ("s", 2, "c.png", None, None, -1, -1, "unreadable", "frame could not be decoded")]
-    df = spark.createDataFrame(rows, "session_id string, frame_id long, filename string, data binary, "
-                                     "original binary, height int, width int, status string, message string")
-    got = {r["frame_id"]: r["data"] for r in SK.replies(df).collect()}
-    assert got == {0: bytearray(b"P"), 1: bytearray(b"O"), 2: None}
+    from backdrop.operators import frames as FO
+
+    def fragile(rgb):
+        if rgb[0, 0, 0] == 7:
+            raise ValueError("model failed")
+        return rgb[..., 0] > 100
+
+    rows = [("s", 0, "a.png", 1, 1, 1, 0, bytearray([200])), ("s", 1, "b.png", 1, 1, 1, 0, bytearray([7])),
+            ("s", 2, "c.png", -1, -1, -1, -1, None), ("s", 3, "d.png", 1, 1, 1, 0, bytearray([5]))]
+    df = spark.createDataFrame(rows, "session_id string, frame_id long, filename string, height int, width int, n_channels int, mode int, data binary")
+    done = FO.remove_backdrop(df, fragile, pass_through=True)
+    got = {r["frame_id"]: (r["status"], r["data"]) for r in SK.replies(done).collect()}
+    assert got == {0: ("success", bytearray([192] * 3)), 1: ("error", bytearray([7])), 2: ("unreadable", None), 3: ("success", bytearray([5] * 3))}
+    assert {r["frame_id"]: r["n_channels"] for r in done.collect()} == {0: 3, 1: 1, 2: -1, 3: 3}
 
 
 def test_handle_unreadable_policies(spark):
