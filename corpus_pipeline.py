@@ -22,8 +22,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.5. A NULL or empty text is scored as an empty window."""
     net = toxicity.learn(docs, _table(spark, sf_dir, "labels"))
-    scored = toxicity.score_rows(docs, net, score_col="_toxicity")
-    return scored.where(F.col("_toxicity") < 0.5).select(docs.columns)
+    score = "_toxicity"
+    while score in map(str.lower, docs.columns):
+        score += "_"
+    return toxicity.score_rows(docs, net, score_col=score).where(F.col(score) < 0.5).select(docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
