@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 import uuid
@@ -59,6 +60,12 @@ def kept_by_worker(key: object, make: Callable[[], Made]) -> Made:
     return kept[key]
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs, which it does once the driver has collected their plans as garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fold(id_col: Column, mod: int) -> Column:
     """``crc32(id as text) mod`` n; a NULL id counts as the empty string."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % F.lit(mod)

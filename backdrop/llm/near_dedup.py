@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from backdrop.llm.common import bounded_batches, documents, keep_rows, stored, texts_of
+from backdrop.llm.common import bounded_batches, documents, keep_rows, release_shuffles, stored, texts_of
 from backdrop.llm.components import components
 from backdrop.llm.words import groups, word_hashes
 
@@ -465,11 +465,14 @@ def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     schema = StructType([rows.schema["doc_id"], StructField("node", BinaryType()), StructField("bands", ArrayType(LongType())),
                          StructField("sign", BinaryType()), StructField("often", BinaryType())])
     signed = stored(spark, given.mapInArrow(_signatures(weigher, bits), schema), "signs")
+    release_shuffles(spark)  # of the requests and answers, the largest
     nodes = signed.where("bands is not null").groupBy("node").agg(F.first("bands").alias("bands"), F.first("sign").alias("sign"), F.first("often").alias("often"))
     nodes = stored(spark, nodes, "nodes")
     pair = StructType([StructField("a", BinaryType()), StructField("b", BinaryType())])
     links = stored(spark, _forests(nodes).mapInArrow(_links, pair).distinct(), "candidates")
+    release_shuffles(spark)
     near = _verified(batches, nodes, links, weigher)
+    release_shuffles(spark)
     roots = components(near)
     nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     more = _apart(nodes).mapInArrow(_open, pair).distinct().join(links, ["a", "b"], "left_anti")
