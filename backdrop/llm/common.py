@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import sys
+import time
 import types
 import uuid
 from collections.abc import Callable
@@ -61,9 +62,14 @@ def kept_by_worker(key: object, make: Callable[[], Made]) -> Made:
 
 
 def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished jobs, which it does once the driver has collected their plans as garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete the shuffle files of finished jobs, which it does once the driver has collected their plans as garbage.
+
+    The first round lets go of what Python held, the second of what that held.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def fold(id_col: Column, mod: int) -> Column:
