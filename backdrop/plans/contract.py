@@ -574,8 +574,8 @@ def _stream_table(spark, sf_dir, name):
     return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
-# Rows of a table to a partition of a stream's state.
-ROWS_PER_STATE = 250_000
+# Rows of a table to a partition of a stream's state: every key costs calls to the state store in every micro-batch.
+ROWS_PER_STATE = 4_000
 
 
 def _drain_to_files(spark, df, kind, rows=None):
