@@ -203,3 +203,32 @@ def test_live_fallback_shows_the_original_for_late_and_absent_replies(spark, tmp
     got = spark.read.parquet(out).where("event_id < 99").collect()
     assert sorted((r["event_id"], r["shown_from"], r["shown"]) for r in got) == [
         (1, "processed", "r" * 8), (2, "original", "original"), (3, "original", "original"), (4, "original", "original"), (5, "processed", "r" * 8)]
+
+
+def test_keys_share_groups_of_state(spark, tmp):
+    """State is kept by group, not by key; NULLs of other keys leave long ids exact."""
+    big = 2**60
+    rows = [(big + i, None if i % 7 == 0 else i % 300, None if i % 11 == 0 else END if i % 13 == 0 else big + i, float(i // 4), None) for i in range(900)]
+    landing = os.path.join(tmp, "many")
+    land_events(spark, landing, rows[::2], "b0")
+    land_events(spark, landing, rows[1::2], "b1")
+    land_events(spark, landing, [(None, None, None, float(FAR), None)], "b2")
+    of: dict = {}
+    for r in rows:
+        of.setdefault(r[1], []).append(r)
+    twins = {"n": lambda df: ST.counted(df, "client_id", ["at", "event_id"], "at", "1 hour", groups=2),
+             "f": lambda df: ST.first_n(df, "client_id", ["at", "event_id"], 2, "at", "1 hour", groups=2),
+             "e": lambda df: ST.until_end(df, "client_id", ["at", "event_id"], "at", "1 hour", groups=2),
+             "s": lambda df: ST.session_close(df, "client_id", ["at", "event_id"], "announced", "30 days", "at", "1 hour", groups=2)}
+    got = {}
+    for tag, twin in twins.items():
+        out, ck = os.path.join(tmp, f"{tag}-o"), os.path.join(tmp, f"{tag}-c")
+        query = J.drain(J.write_stream(twin(arriving(spark, landing)), out, ck, partition_by=None))
+        assert max(s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]) <= 20
+        got[tag] = spark.read.parquet(out).collect()
+    assert sorted((r["event_id"], r["frame_count"]) for r in got["n"]) == sorted((r[0], i + 1) for k in of for i, r in enumerate(of[k]))
+    assert sorted((r["event_id"], r["seq"]) for r in got["f"]) == sorted((r[0], i) for k in of for i, r in enumerate(of[k][:2]))
+    ended = {k: next((i for i, r in enumerate(of[k]) if r[2] == END), len(of[k])) for k in of}
+    assert sorted((r["event_id"], r["frame_id"] or 0) for r in got["e"]) == sorted((r[0], r[2] or 0) for k in of for r in of[k][: ended[k]])
+    want = {k: (n, "end marker" if n < len(of[k]) else "idle") for k, n in ended.items()}
+    assert {r["client_id"]: (r["received"], r["reason"]) for r in got["s"]} == want
