@@ -366,15 +366,17 @@ def index_captures(files: DataFrame, framing: str = "session", root: str = "", r
             with storage.open_file(uri) as src:
                 yield from find_ranges(src, src.size(), framing, path, uri, most=range_bytes)
 
+        # Few ranges a file: files share batches.
+        rows: list[dict] = []
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                rows: list[Range] = []
                 for part in found(path):
-                    rows.append(part)
+                    rows.append(part._asdict())
                     if len(rows) == _OUT_ROWS:
-                        yield pa.RecordBatch.from_pylist([r._asdict() for r in rows], schema)
+                        yield pa.RecordBatch.from_pylist(rows, schema)
                         rows = []
-                yield pa.RecordBatch.from_pylist([r._asdict() for r in rows], schema)
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema)
 
     return files.select("path").mapInArrow(run, _RANGES)
 
