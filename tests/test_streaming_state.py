@@ -232,3 +232,13 @@ def test_keys_share_groups_of_state(spark, tmp):
     assert sorted((r["event_id"], r["frame_id"] or 0) for r in got["e"]) == sorted((r[0], r[2] or 0) for k in of for r in of[k][: ended[k]])
     want = {k: (n, "end marker" if n < len(of[k]) else "idle") for k, n in ended.items()}
     assert {r["client_id"]: (r["received"], r["reason"]) for r in got["s"]} == want
+
+
+def test_a_session_with_rows_ahead_is_not_idle(spark, tmp):
+    """The session of the row that moves the watermark waits for that row; others of its group close."""
+    landing, out, ck = (os.path.join(tmp, x) for x in ("ahead", "ahead-o", "ahead-c"))
+    land_events(spark, landing, [(1, None, 1, 0.0, 9), (2, 5, 2, 1.0, 9)], "b0")
+    land_events(spark, landing, [(99, None, 0, float(FAR), None)], "b1")
+    made = ST.session_close(arriving(spark, landing), "client_id", ["at", "event_id"], "announced", "30 seconds", "at", "200 seconds", groups=1)
+    J.drain(J.write_stream(made, out, ck, partition_by=None))
+    assert closed(spark, out) == {5: (9, 1, "idle", False)}
