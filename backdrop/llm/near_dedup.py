@@ -9,21 +9,24 @@ and the answer names the shingles of more than one document.
 Improved consistent weighted sampling (Ioffe) draws ``SAMPLES`` samples of
 each text, which two texts share with the probability of their weighted
 Jaccard similarity, and as many plain minima, which they share with that of the
-plain shingle sets. Bands of either are buckets. In a bucket, a maximum
-spanning forest by the share of equal samples joins most of a class without
-listing its pairs; large buckets are worked on in pairs of blocks. The links of
-the forest are then verified on the texts: a pair is near if its weighted
-Jaccard similarity, or that of the plain shingle sets, is ``SIMILARITY`` or
-more. The share is an estimate, so a forest may hold a pair that fails in place
-of one that would not: all other pairs of a bucket that the verified links
-leave apart are verified too. Classes are the connected components.
+plain shingle sets. Only texts that can be near to another are sampled: their
+shingles of more than one document must make up ``SIMILARITY`` of the text. Bands
+of either kind are buckets. In a bucket, a maximum spanning forest by the share
+of equal samples joins most of a class without listing its pairs; of a large
+bucket, each block meets the next. The links of the forest are then verified on
+the shingles: a pair is near if its weighted Jaccard similarity, or that of the
+plain shingle sets, is ``SIMILARITY`` or more. The share is an estimate, so a
+forest may hold a pair that fails in place of one that would not: all other
+pairs of a bucket that the verified links leave apart are verified where the
+bucket, or two of its blocks, meets, and only links that join more of it are
+named. Classes are the connected components.
 """
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from backdrop.llm.common import bounded_batches, documents, keep_rows, release_shuffles, stored, texts_of
 from backdrop.llm.components import components
@@ -45,8 +48,11 @@ SAMPLES = BANDS * ROWS
 # Pairs of a bucket with a smaller share of equal samples, of both kinds, are
 # not verified: five standard deviations below SIMILARITY.
 LEAST_SHARE = 0.5
-# Texts of a bucket in a block; two blocks meet in a group.
+# Texts of a bucket in a block, and bytes of their shingles; two blocks meet in a group.
 BLOCK = 512
+BLOCK_BYTES = 8 << 20
+# Shingles that are compared with those of one text at once.
+COMPARED = 1 << 20
 # Bytes of text to a slice of the document frequencies, and the fewest and most bits of a slice's number.
 SLICE_BYTES = 8 << 20
 SLICE_BITS = (6, 16)
@@ -56,9 +62,6 @@ MOST_ASK_CHARS = 1 << 25
 # Rows of a batch at most, however short.
 BATCH_ROWS = 1 << 17
 DRAW_BITS = 16
-# Bits of the filter that says which texts to verify: 2 MiB. It spares the
-# shuffle of texts without a candidate; what it lets pass is joined exactly.
-FILTER_BITS = 24
 SEED = 6
 
 _ODD = np.random.default_rng([SEED, 1]).integers(0, 1 << 63, 64 + SAMPLES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -148,6 +151,21 @@ def unpacked(data: bytes, n: int, part: int, bits: int) -> np.ndarray:
     return np.frombuffer(data, "<u4", n) | high | np.uint64(part >> bits - 4 << 48)
 
 
+def kept_shingles(found: np.ndarray, n: np.ndarray, df: np.ndarray, rest: tuple[float, int]) -> bytes:
+    """Shingles of a text with their counts and document frequencies, and the weight and number of all others."""
+    keys = found.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7].T.tobytes()
+    return struct.pack("<Idq", len(found), *rest) + keys + zlib.compress(n.astype("<u4").tobytes() + df.astype("<u4").tobytes(), 1)
+
+
+def unkept(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[float, int]]:
+    size, *rest = struct.unpack_from("<Idq", data)
+    start = struct.calcsize("<Idq")
+    keys = np.zeros((size, 8), np.uint8)
+    keys[:, :7] = np.frombuffer(data, np.uint8, 7 * size, start).reshape(7, -1).T
+    n, df = np.frombuffer(zlib.decompress(data[start + 7 * size :]), "<u4").reshape(2, -1)
+    return keys.view("<u8").ravel(), n, df, tuple(rest)
+
+
 def squeezed(n: np.ndarray) -> bytes:
     """Counts, most of them alike."""
     return zlib.compress(n.astype("<u4").tobytes(), 1)
@@ -259,29 +277,41 @@ def plain_samples(of: np.ndarray, found: np.ndarray) -> np.ndarray:
 
 
 def _signatures(weigher: Weigher, bits: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Bands, samples and document frequencies of texts; the rows come sorted by batch, its frequencies first."""
+    """Bands, samples and shared shingles of the texts that can be near to others; the rows come sorted by batch, its frequencies first."""
+
+    def hopeful(starts: np.ndarray, weights: np.ndarray, often: np.ndarray) -> np.ndarray:
+        """Whether shingles of several documents make up enough of each text: no similarity exceeds their part."""
+        part = lambda x: np.add.reduceat(x * often, starts) / np.add.reduceat(x, starts)
+        return np.maximum(part(weights), part(np.ones(len(weights)))) >= SIMILARITY - 1e-9
 
     def signed(ids: pa.Array, nodes: pa.Array, texts: list[str], known: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
         of, found, n = shingles(texts)
         bands: list = [None] * len(texts)
         signs: list = [None] * len(texts)
-        often: list = [None] * len(texts)
+        shared: list = [None] * len(texts)
         if len(of):
             df = np.ones(len(found), np.int64)
             if len(known):
                 at = np.minimum(np.searchsorted(known, found), len(known) - 1)
                 df = np.where(known[at] == found, times[at], df)
+            starts = np.flatnonzero(np.diff(of, prepend=-1))
+            weights = weigher.weights(found, n, df)
+            use = np.repeat(hopeful(starts, weights, df > 1), np.diff(starts, append=len(of)))
+            of, found, n, df, weights = of[use], found[use], n[use], df[use], weights[use]
+        if len(of):
             # Weighted samples first, then plain ones; no band of one kind meets one of the other.
             drawn = np.concatenate([weigher.samples(of, found, n, df), plain_samples(of, found)])
             drawn = (drawn ^ drawn >> np.uint64(29)) * _SHINGLE
             band = (drawn.reshape(2 * BANDS, ROWS, -1) * _ODD[:ROWS, None]).sum(1) * _BAND[:, None]
             signs_of = np.ascontiguousarray((drawn >> np.uint64(32)).astype("<u4").T)
             starts = np.flatnonzero(np.diff(of, prepend=-1))
-            for j, (i, part) in enumerate(zip(of[starts].tolist(), np.split(df, starts[1:]), strict=True)):
+            for j, (i, a, z) in enumerate(zip(of[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(of)], strict=True)):
                 bands[i], signs[i] = band[:, j].view(np.int64).tolist(), signs_of[j].tobytes()
-                often[i] = zlib.compress(part.astype("<u4").tobytes(), 1)
-        return pa.RecordBatch.from_arrays([ids, nodes, pa.array(bands, pa.list_(pa.int64())), pa.array(signs, pa.binary()), pa.array(often, pa.binary())],
-                                          ["doc_id", "node", "bands", "sign", "often"])
+                often = df[a:z] > 1
+                rest = float(weights[a:z][~often].sum()), int((~often).sum())
+                shared[i] = kept_shingles(found[a:z][often], n[a:z][often], df[a:z][often], rest)
+        return pa.RecordBatch.from_arrays([ids, nodes, pa.array(bands, pa.list_(pa.int64())), pa.array(signs, pa.binary()), pa.array(shared, pa.binary())],
+                                          ["doc_id", "node", "bands", "sign", "shared"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         answers: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.uint64), np.empty(0, np.uint32))]
@@ -348,94 +378,119 @@ def _links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield made()
 
 
-def open_pairs(signs: np.ndarray, roots: np.ndarray, blocks: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Pairs of rows at ``LEAST_SHARE`` or more that are of different roots; of several blocks, only pairs across them."""
-    several = len(np.unique(blocks)) > 1
+def similarity(x: tuple, y: tuple, rest_x: tuple = (0.0, 0), rest_y: tuple = (0.0, 0)) -> tuple[float, float]:
+    """Weighted and plain Jaccard similarity of two (shingles, weights), shingles in order; the rests are weight and number of shingles of one only."""
+    _, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
+    least = np.minimum(x[1][i], y[1][j]).sum()
+    return (float(least / (x[1].sum() + rest_x[0] + y[1].sum() + rest_y[0] - least)),
+            len(i) / (len(x[0]) + rest_x[1] + len(y[0]) + rest_y[1] - len(i)))
+
+
+class Texts:
+    """The shared shingles of the rows of a group, their weights, and weight and number of all shingles of each row."""
+
+    def __init__(self, weigher: Weigher, shared: list[bytes]) -> None:
+        sets = [unkept(x) for x in shared]
+        self.sizes = np.array([len(x[0]) for x in sets])
+        self.ends = np.cumsum(self.sizes)
+        found, n, df = (np.concatenate([x[i] for x in sets]) for i in range(3))
+        self.weights = weigher.weights(found, n, df)
+        distinct, self.places = np.unique(found, return_inverse=True)
+        starts = self.ends - self.sizes
+        self.heavy = np.add.reduceat(self.weights, starts) + [x[3][0] for x in sets]
+        self.many = self.sizes + [x[3][1] for x in sets]
+        self.mine = np.zeros(len(distinct))
+
+    def similarities(self, at: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``similarity`` of a row with others, weighted and plain."""
+        own = slice(self.ends[at] - self.sizes[at], self.ends[at])
+        self.mine[self.places[own]] = self.weights[own]
+        least, both = np.empty(len(others)), np.empty(len(others))
+        parts = np.flatnonzero(np.diff((np.cumsum(self.sizes[others]) - 1) // COMPARED, prepend=-1))
+        for a, z in zip(parts, [*parts[1:], len(others)], strict=True):
+            sizes = self.sizes[others[a:z]]
+            starts = np.cumsum(sizes) - sizes
+            rows = np.repeat(self.ends[others[a:z]] - sizes - starts, sizes) + np.arange(sizes.sum())
+            mine = self.mine[self.places[rows]]
+            least[a:z] = np.add.reduceat(np.minimum(mine, self.weights[rows]), starts)
+            both[a:z] = np.add.reduceat((mine > 0).astype(float), starts)
+        self.mine[self.places[own]] = 0
+        return least / (self.heavy[at] + self.heavy[others] - least), both / (self.many[at] + self.many[others] - both)
+
+
+def joining(position: int, bands: np.ndarray, signs: np.ndarray, roots: np.ndarray, blocks: np.ndarray | None,
+            texts: Texts) -> Iterator[tuple[int, int, float, float]]:
+    """Near pairs of rows, at ``LEAST_SHARE`` or more, that join rows of different roots, and of different ``blocks`` if given.
+
+    A pair is looked at in the first bucket that it shares, whose band is ``position``.
+    """
+    roots = roots.copy()
     for at in range(len(signs) - 1):
         apart = roots[at + 1 :] != roots[at]
-        if several:
+        if blocks is not None:
             apart &= blocks[at + 1 :] != blocks[at]
         rest = at + 1 + np.flatnonzero(apart)
-        if len(rest):
-            yield from ((at, i) for i in rest[shares(signs[rest], signs[at]) >= LEAST_SHARE].tolist())
+        rest = rest[(bands[rest] == bands[at]).argmax(1) == position]
+        rest = rest[shares(signs[rest], signs[at]) >= LEAST_SHARE] if len(rest) else rest
+        if not len(rest):
+            continue
+        weighted, plain = texts.similarities(at, rest)
+        for k in np.flatnonzero(np.maximum(weighted, plain) >= SIMILARITY).tolist():
+            if roots[rest[k]] != roots[at]:
+                roots[roots == roots[rest[k]]] = roots[at]
+                yield at, int(rest[k]), float(weighted[k]), float(plain[k])
 
 
-def _open(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs within each group that are not joined; the rows come sorted by group."""
-    key, nodes, roots, blocks, signs = None, [], [], [], []
+def _linked(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([x[0] for x in rows], pa.binary()), pa.array([x[1] for x in rows], pa.binary()),
+         pa.array([x[2] for x in rows], pa.float64()), pa.array([x[3] for x in rows], pa.float64())],
+        ["a", "b", "weighted", "plain"])
 
-    def made() -> Iterator[pa.RecordBatch]:
-        number = {r: i for i, r in enumerate(dict.fromkeys(roots))}
-        of = np.array([number[r] for r in roots])
-        pairs = open_pairs(np.stack([np.frombuffer(s, "<u4") for s in signs]), of, np.array(blocks)) if len(number) > 1 else iter(())
-        while some := list(islice(pairs, 1 << 16)):
-            ends = [sorted((nodes[i], nodes[j])) for i, j in some]
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in ends], pa.binary()), pa.array([b for _, b in ends], pa.binary())], ["a", "b"])
-
-    for b in batches:
-        for *k, node, sign, root, block in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if k != key:
-                yield from made()
-                key, nodes, roots, blocks, signs = k, [], [], [], []
-            nodes.append(node)
-            roots.append(root)
-            blocks.append(block)
-            signs.append(sign)
-    yield from made()
 
+def _join_apart(weigher: Weigher) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Verified links within each group between what is not joined; the rows come sorted by group."""
 
-def similarity(x: tuple, y: tuple) -> tuple[float, float]:
-    """Weighted and plain Jaccard similarity of two (shingles, weights), shingles in order."""
-    _, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
-    least = np.minimum(x[1][i], y[1][j]).sum()
-    return float(least / (x[1].sum() + y[1].sum() - least)), len(i) / (len(x[0]) + len(y[0]) - len(i))
-
-
-def _verify(weigher: Weigher) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def weighed(text: str, often: bytes) -> tuple:
-        _, found, n = shingles([text])
-        return found, weigher.weights(found, n, np.frombuffer(zlib.decompress(often), "<u4"))
+    def made(across: bool, position: int, rows: list[list]) -> Iterator[pa.RecordBatch]:
+        nodes, signs, bands, roots, blocks, shared = zip(*rows, strict=True)
+        number = {r: i for i, r in enumerate(dict.fromkeys(roots))}
+        if len(number) > 1:
+            pairs = joining(position, np.array(bands), np.stack([np.frombuffer(s, "<u4") for s in signs]), np.array([number[r] for r in roots]),
+                            np.array(blocks) if across else None, Texts(weigher, shared))
+            found = [(*sorted((nodes[i], nodes[j])), weighted, plain) for i, j, weighted, plain in pairs]
+            if found:
+                yield _linked(found)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text, last = None, None
+        key, rows = None, []
         for b in batches:
-            a, other, text_a, text_b, often_a, often_b = (c.to_pylist() for c in b.columns)
-            out = []
-            for i, t in enumerate(text_a):
-                if t != text:
-                    text, last = t, weighed(t, often_a[i])
-                out.append((a[i], other[i], *similarity(last, weighed(text_b[i], often_b[i]))))
-            rows = [x for x in out if max(x[2:]) >= SIMILARITY]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in rows], pa.binary()), pa.array([x[1] for x in rows], pa.binary()),
-                 pa.array([x[2] for x in rows], pa.float64()), pa.array([x[3] for x in rows], pa.float64())],
-                ["a", "b", "weighted", "plain"])
+            for *k, position, node, sign, bands, root, block, shared in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if k != key:
+                    if len(rows) > 1:
+                        yield from made(key[1] != key[2], at, rows)
+                    key, at, rows = k, position, []
+                rows.append([node, sign, bands, root, block, shared])
+        if len(rows) > 1:
+            yield from made(key[1] != key[2], at, rows)
 
     return run
 
 
-def _filter(nodes: DataFrame) -> np.ndarray:
-    """A filter of a fixed size: the first bits of every node, so that most other texts need not move."""
-    slot = F.conv(F.hex(F.substring(nodes[nodes.columns[0]], 1, FILTER_BITS // 8)), 16, 10).cast("int").alias("slot")
-    bits = np.zeros(1 << FILTER_BITS, bool)
-    bits[nodes.select(slot).distinct().toPandas()["slot"].to_numpy(np.int64)] = True  # at most 2 ** FILTER_BITS numbers
-    return np.packbits(bits)
-
-
-def _in_filter(packed: np.ndarray) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(node, text) of the texts of batches whose node may be wanted."""
+def _verify(weigher: Weigher) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def weighed(shared: bytes) -> tuple:
+        found, n, df, rest = unkept(shared)
+        return (found, weigher.weights(found, n, df)), rest
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(packed).astype(bool)
+        now, last = None, None
         for b in batches:
-            for nodes, blob in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-                names = nodes.as_py()
-                wanted = np.flatnonzero(bits[[int.from_bytes(x[: FILTER_BITS // 8]) for x in names]])
-                if len(wanted):
-                    texts = unfolded(blob)
-                    for some in np.array_split(wanted, -(-len(wanted) // 256)):
-                        yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in some], pa.binary()), pa.array([texts[i] for i in some], pa.string())],
-                                                         ["node", "text"])
+            rows = []
+            for a, other, shared_a, shared_b in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if a != now:
+                    now, last = a, weighed(shared_a)
+                x, rest = weighed(shared_b)
+                rows.append((a, other, *similarity(last[0], x, last[1], rest)))
+            yield _linked([x for x in rows if max(x[2:]) >= SIMILARITY])
 
     return run
 
@@ -463,68 +518,79 @@ def near_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     known = exact_frequencies(batches, bits).select("batch", "slice", *[none(f.name, f.dataType) for f in dealt[1:]], "shingles", "n")
     given = known.unionByName(texts).repartition("batch").sortWithinPartitions("batch", F.col("slice").asc_nulls_last())
     schema = StructType([rows.schema["doc_id"], StructField("node", BinaryType()), StructField("bands", ArrayType(LongType())),
-                         StructField("sign", BinaryType()), StructField("often", BinaryType())])
+                         StructField("sign", BinaryType()), StructField("shared", BinaryType())])
     signed = stored(spark, given.mapInArrow(_signatures(weigher, bits), schema), "signs")
     release_shuffles(spark)  # of the requests and answers, the largest
-    nodes = signed.where("bands is not null").groupBy("node").agg(F.first("bands").alias("bands"), F.first("sign").alias("sign"), F.first("often").alias("often"))
+    nodes = signed.where("bands is not null").groupBy("node").agg(F.first("bands").alias("bands"), F.first("sign").alias("sign"), F.first("shared").alias("shared"))
     nodes = stored(spark, nodes, "nodes")
     pair = StructType([StructField("a", BinaryType()), StructField("b", BinaryType())])
     links = stored(spark, _forests(nodes).mapInArrow(_links, pair).distinct(), "candidates")
     release_shuffles(spark)
-    near = _verified(batches, nodes, links, weigher)
+    near = _verified(nodes, links, weigher)
     release_shuffles(spark)
     roots = components(near)
     nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    more = _apart(nodes).mapInArrow(_open, pair).distinct().join(links, ["a", "b"], "left_anti")
-    return signed.select("doc_id", "node"), near.unionByName(_verified(batches, nodes, stored(spark, more, "open"), weigher))
-
-
-def _dealt(members: DataFrame, blocks: Callable[[Column, Column], Column], *extra: str) -> DataFrame:
-    """Members of buckets (key, n, node, sign, ...) by groups of one or two blocks; ``blocks`` says whom a block meets."""
-    n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("node"), n_blocks).cast("int")
-    members = members.withColumn("i", block).withColumn("j", F.explode(blocks(n_blocks, block))).withColumn("block", F.col("i"))
-    members = members.select("key", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "node", "sign", *extra)
-    return members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+    more = stored(spark, _apart(nodes).mapInArrow(_join_apart(weigher), near.schema), "joined")
+    return signed.select("doc_id", "node"), near.unionByName(more)
 
 
 def _forests(nodes: DataFrame) -> DataFrame:
-    """All buckets of more than one text, by groups."""
+    """All buckets of more than one text (key, i, node, sign), by groups of a block and the next."""
     members = nodes.select(F.explode("bands").alias("key"), "node")
     shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = members.join(shared, "key").join(nodes.select("node", "sign"), "node")
-    others = lambda n, own: F.when(n == 1, F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), n - 1), own))
-    return _dealt(members, others)
+    n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), n_blocks).cast("int")
+    met = F.when(n_blocks <= 2, F.array(F.lit(0))).otherwise(F.array(own, F.pmod(own - 1, n_blocks)))
+    members = members.join(shared, "key").select("key", F.explode(met).alias("i"), "node").join(nodes.select("node", "sign"), "node")
+    return members.select("key", "i", "node", "sign").repartition("key", "i").sortWithinPartitions("key", "i", "node")
 
 
 def _apart(nodes: DataFrame) -> DataFrame:
-    """The buckets whose texts are of several roots, by groups; a block meets itself in a group of its own."""
-    members = nodes.select(F.explode("bands").alias("key"), "node", "root")
-    shared = members.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
-    members = members.drop("root").join(shared.where(F.col("least") != F.col("most")).select("key", "n"), "key")
-    members = members.join(nodes.select("node", "sign", "root"), "node")
-    return _dealt(members, lambda n, own: F.sequence(F.lit(0), n - 1), "root", "block")
-
-
-def _verified(batches: DataFrame, nodes: DataFrame, links: DataFrame, weigher: Weigher) -> DataFrame:
-    """The links (a, b, weighted, plain) that are near by the texts of ``batches`` and their frequencies in ``nodes``."""
-    spark = batches.sparkSession
-    wanted = links.select(F.explode(F.array("a", "b")).alias("wanted")).distinct()
-    pair = StructType([StructField("node", BinaryType()), StructField("text", StringType())])
-    maybe = batches.select("nodes", "texts").mapInArrow(_in_filter(_filter(wanted.select("wanted"))), pair)
-    texts = maybe.join(wanted, F.col("node") == F.col("wanted"), "left_semi").dropDuplicates(["node"])
-    texts = stored(spark, texts.join(nodes.select("node", "often"), "node"), "texts")
-    side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"), F.col("often").alias(f"often_{x}"))
-    both = links.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b", "often_a", "often_b")
+    """The buckets whose texts are of several roots, by groups of one or two blocks.
+
+    Texts of the largest root of a bucket are joined already: their blocks meet
+    those of all others, not each other. Of buckets with the same texts, that
+    of the first band is enough.
+    """
+    members = nodes.select(F.posexplode("bands").alias("position", "key"), "node", "root", F.octet_length("shared").cast("long").alias("bytes"))
+    mark = F.xxhash64("node")
+    by_root = members.groupBy("key", "root").agg(
+        F.min("position").alias("position"), F.count("*").alias("n"), F.sum("bytes").alias("bytes"),
+        F.sum(mark.cast("decimal(38,0)")).alias("total"), F.bit_xor(mark).alias("mixed"))
+    buckets = by_root.groupBy("key").agg(
+        F.min("position").alias("position"), F.count("*").alias("roots"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"),
+        F.sum("total").alias("total"), F.bit_xor("mixed").alias("mixed"), F.max(F.struct("n", "bytes", "root")).alias("main")).where("roots > 1")
+    buckets = buckets.groupBy("n", "total", "mixed").agg(F.min(F.struct("position", "key", "bytes", "main")).alias("b")).select("n", "b.*")
+    blocks = lambda n, size: F.ceil(F.greatest(n / BLOCK, size / BLOCK_BYTES)).cast("int")
+    whole = (F.col("n") <= 2 * BLOCK) & (F.col("bytes") <= 2 * BLOCK_BYTES)
+    buckets = buckets.select("key", "position", F.col("main.root").alias("main"), *[
+        F.when(whole, F.lit(least)).otherwise(x).alias(name) for name, least, x in (
+            ("others", 1, blocks(F.col("n") - F.col("main.n"), F.col("bytes") - F.col("main.bytes"))),
+            ("mains", 0, blocks(F.col("main.n"), F.col("main.bytes"))))])
+    members = members.select("key", "node", "root").join(buckets, "key")
+    of_main = (F.col("root") == F.col("main")) & (F.col("mains") > 0)
+    own = F.when(of_main, F.col("others") + F.pmod(mark, F.col("mains"))).otherwise(F.pmod(mark, F.col("others"))).cast("int")
+    members = members.withColumn("block", own).withColumn("met", F.explode(
+        F.sequence(F.lit(0), F.when(of_main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1)))
+    members = members.select("key", F.least("block", "met").alias("i"), F.greatest("block", "met").alias("j"), "position", "node", "block")
+    members = members.join(nodes, "node").select("key", "i", "j", "position", "node", "sign", "bands", "root", "block", "shared")
+    return members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+
+
+def _verified(nodes: DataFrame, links: DataFrame, weigher: Weigher) -> DataFrame:
+    """The links (a, b, weighted, plain) that are near by the shingles in ``nodes``."""
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("shared").alias(f"shared_{x}"))
+    both = links.join(side("b"), "b").join(side("a"), "a").select("a", "b", "shared_a", "shared_b")
     result = StructType([*links.schema, StructField("weighted", DoubleType()), StructField("plain", DoubleType())])
-    return stored(spark, both.mapInArrow(_verify(weigher), result), "near")
+    return stored(links.sparkSession, both.mapInArrow(_verify(weigher), result), "near")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, class_id, kept, n_links and text_sha (half the text's SHA-256) of every row.
 
     ``class_id`` is the smallest id of the class, and the row that bears it is
-    kept; of different texts that bear it, or of a class without ids, one. ``n_links`` counts the verified links of its text to other texts.
+    kept; of different texts that bear it, or of a class without ids, one. ``n_links`` counts the verified links of its text to other texts:
+    links of a forest in each bucket, not all near pairs.
     Equal texts are of one class; NULL counts as the empty text, and a text
     without words is near to its copies alone. Rows without an id come last in
     the choice of ``class_id``. Of rows that repeat both id and text all are

@@ -205,3 +205,73 @@ def test_one_row_of_a_class_without_ids_or_of_one_id(table):
     out = N.near_groups(table(rows)).collect()
     assert Counter((r.class_id, r.kept) for r in out) == {(None, True): 1, (None, False): 1, (7, True): 1, (7, False): 1}
     assert N.drop_near_copies(table(rows)).count() == 2
+
+
+def kept(weigher, texts, df):
+    out = []
+    for t in texts:
+        _, found, n = N.shingles([t])
+        often = np.array([df[int(s)] > 1 for s in found])
+        times = np.array([df[int(s)] for s in found])
+        rest = float(weigher.weights(found, n, times)[~often].sum()), int((~often).sum())
+        out.append(N.kept_shingles(found[often], n[often], times[often], rest))
+    return out
+
+
+def test_similarities_by_shared_shingles_alone(monkeypatch):
+    monkeypatch.setattr(N, "COMPARED", 150)
+    base = prose(51, 80).split()
+    texts = [" ".join(base[:i] + [f"v{i}"] + base[i:] + base[: i // 7]) for i in range(0, 80, 4)]
+    df = Counter(int(s) for t in texts for s in N.shingles([t])[1])
+    weigher = N.Weigher(len(texts))
+    shared = kept(weigher, texts, df)
+    assert all(len(N.unkept(x)[0]) < len(N.shingles([t])[1]) for x, t in zip(shared, texts, strict=True))
+    sets = N.Texts(weigher, shared)
+    whole = []
+    for t in texts:
+        _, found, n = N.shingles([t])
+        whole.append((found, weigher.weights(found, n, np.array([df[int(s)] for s in found]))))
+    for at in (3, 0, 19):
+        others = np.array([i for i in range(len(texts)) if i != at])
+        got = np.column_stack(sets.similarities(at, others))
+        assert np.allclose(got, [N.similarity(whole[at], whole[i]) for i in others], atol=1e-12)
+
+
+def test_rows_of_a_bucket_that_are_all_near_give_no_more_links_than_join_them():
+    texts = [f"{prose(52, 80)} v{i}" for i in range(60)]
+    df = Counter(int(s) for t in texts for s in N.shingles([t])[1])
+    weigher = N.Weigher(len(texts))
+    sets = N.Texts(weigher, kept(weigher, texts, df))
+    bands, signs = np.zeros((60, 2 * N.BANDS), np.int64), np.zeros((60, 2 * N.SAMPLES), np.uint32)
+    roots = np.arange(60) % 20
+    assert len(list(N.joining(0, bands, signs, roots, None, sets))) == 19
+    assert not list(N.joining(1, bands, signs, roots, None, sets))  # looked at in the first bucket that they share
+    across = list(N.joining(0, bands, signs, roots, np.arange(60) // 30, sets))
+    assert 0 < len(across) <= 19 and all(i // 30 != j // 30 for i, j, *_ in across)
+
+
+def test_groups_of_a_large_bucket_do_not_grow_with_its_square(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 16)
+    rows = [(bytes([i, 1]), [7, 8], b"s", b"x" * 9, b"r" if i < 150 else bytes([i, 1])) for i in range(160)]
+    nodes = spark.createDataFrame(rows, "node binary, bands array<bigint>, sign binary, shared binary, root binary")
+    assert N._forests(nodes.drop("root")).count() <= 2 * 2 * 160
+    groups = N._apart(nodes).collect()
+    # Both buckets hold the same texts; those of the largest root meet the other block alone.
+    assert {(r.key, r.position) for r in groups} == {(7, 0)} and len(groups) <= 150 + 10 * 12
+    met = {}
+    for r in groups:
+        met.setdefault((r.i, r.j), []).append(bytes(r.node))
+    pairs = {tuple(sorted((a, b))) for nodes in met.values() for a in nodes for b in nodes if a != b}
+    assert all(tuple(sorted((bytes([i, 1]), bytes([j, 1])))) in pairs for i in range(150, 160) for j in range(160) if i != j)
+
+
+def test_texts_that_share_too_little_are_no_candidates(table, monkeypatch):
+    """A line in all texts, and a pair just near: only the pair has bands."""
+    seen = {}
+    forests = N._forests
+    monkeypatch.setattr(N, "_forests", lambda nodes: seen.setdefault("nodes", nodes) and forests(nodes))
+    line = prose(60, 12)
+    rows = [row(i, f"{line} {' '.join(f'w{i}x{k}' for k in range(60))}") for i in range(30)]
+    rows += [row(100 + k, f"{line} {' '.join(f'y{i}' for i in range(80))} z{k}") for k in range(2)]
+    out = {r.doc_id: r.class_id for r in N.near_groups(table(rows)).collect()}
+    assert seen["nodes"].count() == 2 and out[101] == out[100] == 100 and len(set(out.values())) == 31
