@@ -49,8 +49,10 @@ HELD_OUT_MOD, HELD_OUT = 7, 2
 # Bytes of text for each bucket of words and of contexts.
 BUCKET_BYTES = 16 << 20
 LEAST_BUCKETS = 16
-# Distinct keys that are kept before equal ones are added up.
-MERGE_KEYS = 1 << 21
+# Distinct keys that are kept before equal ones are added up, or half as many as there are by then.
+MERGE_KEYS = 1 << 20
+# Grams whose contexts are weighed at once, or those of one last pair of bytes.
+WEIGHED_GRAMS = 1 << 16
 
 WORD, GRAM, TEXT = 0, 1, 2
 # No word holds a line feed, no UTF-8 text the byte 255.
@@ -108,24 +110,27 @@ class Counter:
 
     def __init__(self) -> None:
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
-        self.held = 0
+        self.held, self.most = 0, MERGE_KEYS
 
     def add(self, keys: np.ndarray, train: np.ndarray) -> None:
         distinct, place = np.unique(keys, return_inverse=True)
         self.parts.append((distinct, np.bincount(place, train, len(distinct)).astype(np.int64)))
         self.held += len(distinct)
-        if self.held > MERGE_KEYS:
+        if self.held > self.most:
             self.parts = [self.total()]
-            self.held = len(self.parts[0][0]) // 2
+            self.held, self.most = 0, max(MERGE_KEYS, len(self.parts[0][0]) // 2)
 
     def total(self) -> tuple[np.ndarray, np.ndarray]:
+        """Keys in order and their counts, which are handed over."""
         if not self.parts:
             return np.empty(0, np.uint64), np.empty(0, np.int64)
         keys = np.concatenate([k for k, _ in self.parts])
+        counts = np.concatenate([n for _, n in self.parts])
+        self.parts = []  # not beside their copies
         order = np.argsort(keys, kind="stable")
-        keys = keys[order]
+        keys, counts = keys[order], counts[order]
+        del order
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
-        counts = np.concatenate([n for _, n in self.parts])[order]
         return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
@@ -155,8 +160,8 @@ def _ask(n_buckets: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.Rec
                 rows = pack_rows(b.slice(part.start, len(data)))
                 yield pa.RecordBatch.from_arrays([pa.array([TEXT], pa.int32()), pa.nulls(1, pa.int32()), pa.array([block], pa.int64()),
                                                   pa.array([rows], pa.binary()), pa.nulls(1, pa.binary())], names)
-        for kind, counter in found.items():
-            keys, counts = counter.total()
+        for kind in (WORD, GRAM):
+            keys, counts = found.pop(kind).total()
             bucket = bucket_of(kind, keys, n_buckets)
             order = np.argsort(bucket, kind="stable")
             edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1)) if len(keys) else np.zeros(1, np.int64)
@@ -228,6 +233,20 @@ def deep_levels(grams: np.ndarray, counts: np.ndarray) -> tuple[list[Level], lis
     return levels, places
 
 
+def parts_of(grams: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of grams that share their last pairs of bytes before the last byte, and so all contexts of ``deep_levels``, in order, some at a time."""
+    if not len(grams):
+        return
+    pair = (grams >> np.uint64(8)).astype(np.uint16)
+    order = np.argsort(pair, kind="stable")
+    ends = np.append(np.flatnonzero(np.diff(pair[order].astype(np.int32))) + 1, len(grams))
+    start = 0
+    while start < len(grams):
+        end = ends[max(np.searchsorted(ends, start + WEIGHED_GRAMS, "right") - 1, np.searchsorted(ends, start, "right"))]
+        yield np.sort(order[start:end])
+        start = end
+
+
 def _merged(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Keys of each block, all distinct keys and their counts."""
     asked = [unpack_keys(x) for x in table.column("keys").to_pylist()]
@@ -243,9 +262,12 @@ def _top(key: tuple, table: pa.Table) -> pa.Table:
     if key[0].as_py() == WORD:
         rows = np.array([[-1, 0, 0, int((counts > 0).sum()), int(counts.sum())]], float)
     else:
-        level = deep_levels(keys, counts)[0][-1]
-        up, place = np.unique(level.nodes & 0xFFFF, return_inverse=True)
-        rows = np.column_stack([up >> 8, up & 255, *(np.bincount(place, x, len(up)) for x in (level.log_weighted, level.zeros, level.ones))])
+        levels = [deep_levels(keys[x], counts[x])[0][-1] for x in parts_of(keys)]
+        nodes = np.concatenate([x.nodes for x in levels])
+        order = np.argsort(nodes)  # sums do not depend on the parts
+        up, place = np.unique(nodes[order] & 0xFFFF, return_inverse=True)
+        rows = np.column_stack([up >> 8, up & 255, *(np.bincount(place, np.concatenate(x)[order], len(up)) for x in (
+            [y.log_weighted for y in levels], [y.zeros for y in levels], [y.ones for y in levels]))])
     return pa.table({"context": rows[:, 0].astype(np.int32), "node": rows[:, 1].astype(np.int32), "log_weighted": rows[:, 2],
                      "zeros": rows[:, 3].astype(np.int64), "ones": rows[:, 4].astype(np.int64)})
 
@@ -264,6 +286,12 @@ class Tree:
 
     def log10(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """log10 of the probability of each gram's last byte; ``counts`` are the training counts of all grams of its bucket."""
+        out = np.empty(len(grams))
+        for x in parts_of(grams):
+            out[x] = self._log10(grams[x], counts[x])
+        return out
+
+    def _log10(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
         node, bit = decisions(grams)
         shape, bit, node = node.shape, bit.ravel(), node.ravel()
         p = np.full(len(bit), np.nan)

@@ -1,5 +1,6 @@
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -100,3 +101,33 @@ def test_nothing_to_learn_from(table):
 def test_log_gamma():
     x = np.array([0.5, 1, 1.5, 7.5, 1000.5, 1e9])
     assert np.allclose(L.log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-10, atol=1e-9)
+
+
+def test_a_bucket_is_weighed_some_contexts_at_a_time(monkeypatch):
+    rng = np.random.default_rng(8)
+    grams = np.unique(rng.integers(0, 1 << 48, 300_000, np.uint64) & np.uint64(0xFFFFFFFF3FFF))
+    counts = rng.integers(0, 4, len(grams))
+    tree = L.Tree([])
+    tracemalloc.start()
+    got = tree.log10(grams, counts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 160 << 20
+    some = np.isin(grams >> np.uint64(8) & np.uint64(0xFFFF), np.arange(40, 60))
+    assert np.array_equal(got[some], tree._log10(grams[some], counts[some]))
+    table = L.pa.table({"keys": [L.pack_keys(grams)], "counts": [L.pack(counts.astype("<i8"))]})
+    key = (L.pa.scalar(L.GRAM), L.pa.scalar(0))
+    top = L._top(key, table)
+    monkeypatch.setattr(L, "WEIGHED_GRAMS", 1 << 30)
+    assert L._top(key, table).equals(top)
+
+
+def test_parts_hold_whole_pairs_of_bytes_and_every_gram_once(monkeypatch):
+    monkeypatch.setattr(L, "WEIGHED_GRAMS", 50)
+    pairs = np.repeat(np.arange(300, 340), np.arange(1, 121, 3))
+    grams = np.sort(pairs.astype(np.uint64) << np.uint64(8) | np.arange(len(pairs), dtype=np.uint64) << np.uint64(30))
+    parts = list(L.parts_of(grams))
+    pair = grams >> np.uint64(8) & np.uint64(0xFFFF)
+    assert np.array_equal(np.sort(np.concatenate(parts)), np.arange(len(grams)))
+    assert sum(len(np.unique(pair[x])) for x in parts) == 40 and all(len(x) <= 50 or len(np.unique(pair[x])) == 1 for x in parts)
+    assert not list(L.parts_of(grams[:0]))
