@@ -201,6 +201,11 @@ def _write_files(rows: DataFrame, root: str, content: str) -> DataFrame:
     return spark.read.schema(_OUTCOMES).parquet(outcomes).withColumn("output_path", below)
 
 
+def store_files(rows: DataFrame, root: str) -> DataFrame:
+    """Write each row's ``data`` to ``<root>/<session_id>/<name>``, at once; the stored ``filename, output_path`` of each."""
+    return _write_files(rows, root, "bytes").select("filename", "output_path")
+
+
 def export_png(df: DataFrame, root: str, input_root: str | None = None) -> DataFrame:
     """K1 file export, run at once: returns the stored table of one ``results`` row per input row.
 

@@ -1,7 +1,10 @@
 """Image folders as frame rows.
 
 Layout: ``<root>/<session_id>/<file>`` or ``<root>/session_id=<id>/<file>``.
-Spark's ``image`` source decodes PNG and JPEG in the JVM; the extension test
+Spark's ``image`` source decodes PNG and JPEG in the JVM, but generates its
+row writer anew for every file (7 ms of a core, however small the file), so
+:func:`decode_files` decodes plain PNG and BMP files itself, by content, and
+leaves all others to that source. The extension test
 is a case-insensitive glob pushed into the file listing (Spark's
 ``pathGlobFilter`` itself is case-sensitive), so other files are never
 opened. Partition discovery is off (``recursiveFileLookup``) and files below a
@@ -11,19 +14,26 @@ children; the session id is the parent directory name, kept as text.
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from backdrop import schemas, storage
+from backdrop.config import checkpoint_dir
 from backdrop.functions import columns as C
+from backdrop.functions.images import decode_plain
 from backdrop.operators import results as R
 from backdrop.operators import sequence as SEQ
+from backdrop.sinks import frames as SK
 
 
 # Listings up to this many files are broadcast when numbers are joined to frames.
 NUMBERING_BROADCAST_FILES = 1_000_000
+# A batch of decoded frames is closed at so many rows or bytes of pixels.
+_OUT_ROWS, _OUT_BYTES = 1024, 16 << 20
 
 # The fixed schema of Spark's image source (streams must declare it).
 IMAGE_SOURCE_SCHEMA = T.StructType([T.StructField("image", T.StructType([
@@ -92,6 +102,96 @@ def _image_reader(spark: SparkSession, streaming: bool, max_files_per_trigger: i
     return reader
 
 
+def _files_reader(spark: SparkSession, streaming: bool, max_files_per_trigger: int | None = None):
+    """Image files as they are; a stream declares its schema."""
+    reader = spark.readStream.schema(BINARY_FILE_SCHEMA) if streaming else spark.read
+    reader = reader.format("binaryFile").option("pathGlobFilter", C.IMAGE_GLOB).option("recursiveFileLookup", "true")
+    if streaming and max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return reader
+
+
+def _contents(files: DataFrame) -> DataFrame:
+    """``origin`` (as the image source writes it) and ``content`` of binary files."""
+    # The image source writes local paths with an empty authority.
+    return files.select(F.regexp_replace("_metadata.file_path", "^file:/(?=[^/])", "file:///").alias("origin"), "content")
+
+
+_DECODED = T.StructType([schemas.FRAMES[c] for c in ("origin", "height", "width", "n_channels", "mode", "data")])
+_CONTENTS = T.StructType([T.StructField("origin", T.StringType()), T.StructField("content", T.BinaryType())])
+
+
+def _contents_of(batches):
+    """(origin, bytes) of the rows of Arrow batches."""
+    for batch in batches:
+        origins, contents = batch.column(0), batch.column(1)
+        for i in range(batch.num_rows):
+            yield origins[i].as_py(), contents[i].as_buffer().to_pybytes()
+
+
+def _arrow_batches(rows, schema: T.StructType):
+    """Rows as Arrow batches, each closed at ``_OUT_ROWS`` rows or ``_OUT_BYTES`` bytes of the last column."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    arrow, out, size = to_arrow_schema(schema), [], 0
+
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
+
+    for row in rows:
+        out.append(row)
+        size += len(row[-1])
+        if len(out) >= _OUT_ROWS or size >= _OUT_BYTES:
+            yield batch()
+            out, size = [], 0
+    if out:
+        yield batch()
+
+
+def decode_files(contents: DataFrame) -> DataFrame:
+    """Frame rows of image files given as ``origin, content``, each file decoded by its content.
+
+    Plain files are decoded in the tasks that read them. The others (JPEG, other
+    kinds of PNG, broken files) are copied to a scratch folder at once, by one job,
+    from which Spark's image source decodes them, so a file of any kind gives the
+    row that the source gives for it.
+    """
+    spark = contents.sparkSession
+
+    def decoded(batches):
+        rows = ((origin, decode_plain(content)) for origin, content in _contents_of(batches))
+        return _arrow_batches(((origin, *found) for origin, found in rows if found is not None), _DECODED)
+
+    def others(batches):
+        return _arrow_batches((row for row in _contents_of(batches) if decode_plain(row[1]) is None), _CONTENTS)
+
+    rest = contents.mapInArrow(others, _CONTENTS)
+    name = F.sha2("origin", 256)
+    staging = f"{checkpoint_dir(spark).rstrip('/')}/images-{uuid.uuid4().hex}"
+    staged = SK.store_files(rest.select(
+        F.substring(name, 1, 2).alias("session_id"), F.col("origin").alias("filename"), F.concat(name, F.lit(".img")).alias("name"),
+        F.col("content").alias("data")), staging)
+    frames = contents.mapInArrow(decoded, _DECODED)
+    n, lost = staged.agg(F.count(F.lit(1)), F.count_if(F.col("output_path").isNull())).first()
+    if lost:
+        raise RuntimeError(f"{lost} of {n} image files could not be copied to {staging}")
+    if n:
+        images = spark.read.format("image").option("recursiveFileLookup", "true").load(staging)
+        names = staged.select(C.file_name("output_path").alias("name"), F.col("filename").alias("_came"))
+        images = R.attach(images.select("image", C.file_name("image.origin").alias("name")), names, ["name"], "inner")
+        frames = frames.unionByName(images.select(F.struct(F.col("_came").alias("origin"), *[
+            f"image.{c}" for c in ("height", "width", "nChannels", "mode", "data")]).alias("image")).select(
+                "image.origin", "image.height", "image.width", F.col("image.nChannels").alias("n_channels"), "image.mode", "image.data"))
+    return frames
+
+
+def _frame_rows(decoded: DataFrame, session_id: str | None = None) -> DataFrame:
+    """Frames by the columns of :func:`decode_files`."""
+    session = F.lit(session_id) if session_id is not None else C.parent_name("origin")
+    return decoded.withColumns({
+        "session_id": session, "frame_id": F.lit(None).cast("long"), "filename": C.file_name("origin"),
+    }).select(*schemas.FRAMES.fieldNames()).where(C.is_image_name("filename"))
+
+
 def _as_frames(images: DataFrame, session_id: str | None = None) -> DataFrame:
     origin = F.col("image.origin")
     session = F.lit(session_id) if session_id is not None else C.parent_name(origin)
@@ -172,7 +272,11 @@ def read_image_folder(spark: SparkSession, root: str, session_id: str | None = N
     if path is None or not path_exists(spark, path):
         return empty_frames(spark)
     levels = 2 if session_id is None else 1
-    frames = _as_frames(_image_reader(spark, False).load(path), session_id).where(_below(spark, path, levels, "origin"))
+    below = _below(spark, path, levels, "origin")
+    if storage.reachable(storage.resolve(spark, checkpoint_dir(spark))):
+        frames = _frame_rows(decode_files(_contents(_files_reader(spark, False).load(path)).where(below)), session_id)
+    else:  # tasks cannot put files there
+        frames = _as_frames(_image_reader(spark, False).load(path), session_id).where(below)
     zero_length = _zero_length_files(spark, path) if (report_empty or number) else None
     if report_empty:
         empty = empty_image_files(spark, path, session_id, zero_length)
@@ -215,6 +319,17 @@ def stream_image_folder(spark: SparkSession, landing: str, max_files_per_trigger
         _below(spark, landing, 2, "origin"))
 
 
+def stream_image_files(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """S6 by micro-batches: ``origin, content`` of image files as they land, for :func:`landed_frames`."""
+    return _contents(_files_reader(spark, True, max_files_per_trigger).load(landing)).where(
+        _below(spark, landing, 2, "origin"))
+
+
+def landed_frames(batch: DataFrame) -> DataFrame:
+    """The frames of a micro-batch of :func:`stream_image_files`."""
+    return _frame_rows(decode_files(batch))
+
+
 def stream_file_names(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """``session_id, filename`` of image files as they land; contents are not read."""
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA) \
