@@ -497,11 +497,16 @@ class _CaptureStreamReader(_CaptureFiles, DataSourceStreamReader):
     it isn't opened again. A restarted stream isn't told its checkpoint before
     it names an offset, so it reads the headers anew once, without the bound on
     a trigger's bytes: with it, it might name a place behind the checkpoint's.
+
+    The ranges found on the way to an offset are kept until a micro-batch is
+    planned from them, so headers are read once; a micro-batch that is planned
+    anew after a restart reads them again.
     """
 
     def __init__(self, options):
         super().__init__(options)
         self.at: dict[str, dict] = {}
+        self.found: dict[str, list[Range]] = {}  # found and not yet planned
         self.known = False  # whether ``at`` is where the query stands
 
     def initialOffset(self):
@@ -530,9 +535,25 @@ class _CaptureStreamReader(_CaptureFiles, DataSourceStreamReader):
         with storage.open_file(uri) as src:
             for part in find_ranges(src, size, self.framing, uri, uri, place):
                 ended = part.message is not None and _ended(part, self.framing)
+                if part.message is None:
+                    self.found.setdefault(uri, []).append(part)
                 yield {"byte": part.offset + part.length, "seq": part.seq + part.records, "announced": -1 if part.announced is None else part.announced,
                        "end": part.message if ended else "", "size": size if part.message is not None else -1}
 
+    def _ranges(self, uri: str, place: Place, to: int) -> Iterable[Range]:
+        """The ranges from a place to a byte: those found, if they lie end to end between the two, or by a header pass."""
+        found = self.found.pop(uri, [])
+        kept = [p for p in found if p.offset >= to]
+        if kept:
+            self.found[uri] = kept
+        found = [p for p in found if place.byte <= p.offset and p.offset + p.length <= to]
+        first = 4 if place.byte == 0 and self.framing == "session" else place.byte
+        ends = [first, *(p.offset + p.length for p in found)]
+        if ends[-1] == to and ends[:-1] == [p.offset for p in found]:
+            return found
+        with storage.open_file(uri) as src:
+            return [p for p in find_ranges(src, to, self.framing, uri, uri, place) if p.message is None]
+
     def partitions(self, start, end):
         def parts():
             for uri, to in sorted(end.items()):
@@ -541,8 +562,7 @@ class _CaptureStreamReader(_CaptureFiles, DataSourceStreamReader):
                     continue
                 place = _place(was)
                 if to["byte"] > place.byte:
-                    with storage.open_file(uri) as src:
-                        yield from (p for p in find_ranges(src, to["byte"], self.framing, uri, uri, place) if p.message is None)
+                    yield from self._ranges(uri, place, to["byte"])
                 if to["end"]:
                     announced = None if to["announced"] < 0 else to["announced"]
                     yield Range(uri, uri, to["byte"], 0, to["seq"], 0, announced, to["end"], False)

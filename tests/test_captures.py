@@ -238,3 +238,29 @@ def test_bare_capture_cut_inside_a_size_prefix():
         for src in (data + struct.pack("!I", 9)[:cut], io.BytesIO(data + struct.pack("!I", 9)[:cut])):
             last = list(CAP.decode_bare_capture(src, "c"))[-1]
             assert last["truncated"] == (cut > 0)
+
+
+def test_a_stream_reads_headers_once_for_offset_and_plan(tmp, monkeypatch):
+    blobs = {"a.bin": session_capture([(f"a{i}", i, bytes([i]) * 50) for i in range(20)]), "b.bin": session_capture(RECS, announced=9)}
+    opened = []
+    monkeypatch.setattr(CAP.storage, "open_file", lambda uri, whole=CAP.storage.open_file: opened.append(uri) or whole(uri))
+    monkeypatch.setattr(CAP, "RANGE_BYTES", 100)
+
+    def planned(reader, start, end):
+        return [part for split in reader.partitions(start, end) for part in split.parts]
+
+    reader, start = CAP._CaptureStreamReader({"path": tmp}), {}
+    for share in (0.4, 0.6, 1.0):
+        for name, blob in blobs.items():
+            with open(os.path.join(tmp, name), "wb") as fh:
+                fh.write(blob[: int(len(blob) * share)])
+        opened.clear()
+        end = reader.latestOffset()
+        parts = planned(reader, start, end)
+        assert len(opened) == len(blobs)
+        # A reader that has found nothing itself plans the same records.
+        anew = planned(CAP._CaptureStreamReader({"path": tmp}), start, end)
+        rows = [[tuple(r.values()) for r in CAP._decode_ranges(p, "session")] for p in (parts, anew)]
+        assert rows[0] == rows[1] and rows[0]
+        start = end
+    assert not reader.found
