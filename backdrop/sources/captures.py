@@ -20,8 +20,10 @@ many tasks and its length has no limit. The format has no sync marker, which
 is why the first pass has to follow a capture's headers from its start; it
 touches a few bytes of each record. :func:`read_captures` lists and reads any
 file system of :mod:`backdrop.storage`; elsewhere it falls back to whole
-files of Spark's ``binaryFile`` source (up to 2 GiB each). The ``capture``
-data source follows captures that still grow.
+files of Spark's ``binaryFile`` source (up to 2 GiB each).
+:func:`follow_captures` reads captures that still grow: the driver lists them
+to shared storage and holds nothing for each of them; how far one has been
+read is state of the query's tasks.
 
 Every capture ends with one trailer row (``seq`` NULL, ``status='end'``)
 carrying the announced count, the reason it ended and the ``truncated``
@@ -31,8 +33,11 @@ flag, so a streaming decoder never has to hold a capture to flag it.
 from __future__ import annotations
 
 import fnmatch
+import hashlib
 import re
 import struct
+import uuid
+import zlib
 from collections.abc import Callable, Generator, Iterable
 from typing import Iterator, NamedTuple
 
@@ -41,8 +46,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from backdrop import schemas, storage
+from backdrop.config import checkpoint_dir
 
 END_MARKER = 0xFFFFFFFF
 # Big-endian layouts (plain format strings: this module may travel by value,
@@ -435,7 +442,7 @@ def capture_completeness(records: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------
 # The ``capture`` data source: a batch reader, and a stream that follows
-# captures while they grow.
+# captures while they grow, with all that it knows of them on the driver.
 
 class _Ranges(InputPartition):
     def __init__(self, parts: list):
@@ -472,6 +479,16 @@ class _CaptureFiles:
             return [(self.root, size)]
         return sorted((e.uri, e.size) for e in storage.walk(self.root) if fnmatch.fnmatch(e.uri.rsplit("/", 1)[-1], self.pattern))
 
+    def each_file(self) -> Iterator[tuple[str, int]]:
+        """The same in no order, as they are found."""
+        size = storage.size_of(self.root)
+        if size is not None:
+            yield self.root, size
+            return
+        for e in storage.scan(self.root):
+            if fnmatch.fnmatch(e.uri.rsplit("/", 1)[-1], self.pattern):
+                yield e.uri, e.size
+
     def rows(self, partition):
         return _batches(_decode_ranges(partition.parts, self.framing))
 
@@ -591,8 +608,9 @@ class CaptureDataSource(DataSource):
 
     Options: ``framing`` (``session``/``bare``), ``pattern`` (file glob),
     ``partitionBytes`` (default 128 MiB) and, for streams, ``bytesPerTrigger``.
-    The driver lists the directory and reads the headers; :func:`read_captures`
-    has the tasks do that.
+    The driver lists the directory, reads the headers and, for a stream, names
+    every capture in its offsets: for a few thousand captures.
+    :func:`read_captures` and :func:`follow_captures` have the tasks do that.
     """
 
     @classmethod
@@ -619,10 +637,214 @@ def read_capture_files(spark: SparkSession, path: str, framing: str = "session")
     return spark.read.format("capture").option("framing", framing).load(storage.resolve(spark, path))
 
 
+# --------------------------------------------------------------------------
+# Growing captures in any number.
+
+_LISTED = T.StructType([T.StructField("uri", T.StringType()), T.StructField("size", T.LongType())])
+# A listing's files by hash of their URI: what is held at once of one listing, and at most so many tasks read it.
+LISTING_BUCKETS = 32
+# Rows of a bucket that the driver holds before it writes them; tasks are given about so many at least.
+LISTED_ROWS = 4096
+# Captures share the state of the stream by groups; a checkpoint fixes their number.
+FOLLOW_GROUPS = 1024
+
+
+class _Listing(NamedTuple):
+    """Files with their sizes, as stored: the folder, the paths of each bucket's parts, and how many files there are."""
+    folder: str
+    parts: dict[int, list[str]]
+    files: int
+
+
+def _listed(parts: list[str]) -> Iterator[pa.RecordBatch]:
+    for path in parts:
+        with storage.open_file(path) as src, pa.ipc.open_stream(src) as batches:
+            yield from batches
+
+
+def _sizes(parts: list[str]) -> dict[str, int]:
+    return {uri: size for batch in _listed(parts) for uri, size in zip(batch["uri"].to_pylist(), batch["size"].to_pylist())}
+
+
+class _ListedFiles(InputPartition):
+    """Buckets of a listing, each with its parts and those of the listing before it."""
+
+    def __init__(self, buckets: list[tuple[list[str], list[str]]]):
+        super().__init__(buckets)
+        self.buckets = buckets
+
+
+class _ListingStreamReader(_CaptureFiles, DataSourceStreamReader):
+    """Rows of the files that are new, or of another size, since the listing before.
+
+    A listing is stored in parts as it is made, below the option ``listings``, and an offset is a digest of what
+    it holds: neither grows on the driver with the number of files. Listings live as long as the
+    reader. A restarted one gives rows of all files, and a micro-batch
+    that is run again after a restart has the files as they are by then; both are well,
+    as :func:`_follow_listed` knows how far it has read a file. Whether a sink takes that
+    micro-batch or has it already isn't known, so no later rows are left out for it.
+
+    With ``bytesPerTrigger`` a listing has files grow by so many bytes in all
+    since the one before, a file perhaps by a part of a record. A restarted stream takes its first listing whole.
+    """
+
+    def __init__(self, options):
+        super().__init__(options)
+        self.folder = f"{options.get('listings').rstrip('/')}/{uuid.uuid4().hex}"
+        self.listings: dict[str, _Listing] = {}
+        self.again: dict[str, _Listing] = {}  # for micro-batches that are run again
+        self.last: str | None = None  # the listing named last; "" before the first one of a new stream
+
+    def initialOffset(self):
+        self.last = ""
+        return {}
+
+    def latestOffset(self):
+        name, listing = self._store(self.each_file())
+        if self.batch_bytes and self.last is not None:
+            whole = listing
+            name, listing = self._store(self._bounded(whole))
+            storage.delete(whole.folder)
+        if name in self.listings:
+            storage.delete(listing.folder)
+        else:
+            self.listings[name] = listing
+        self.last = name
+        return {"listing": name} if listing.files else {}
+
+    def _store(self, files: Iterable[tuple[str, int]]) -> tuple[str, _Listing]:
+        listing = _Listing(f"{self.folder}/{uuid.uuid4().hex}", {}, 0)
+        storage.make_dir(listing.folder)
+        held: dict[int, list[dict]] = {}
+        digest = n = 0
+        for uri, size in files:
+            # A sum, as files come in no order.
+            digest += int.from_bytes(hashlib.blake2b(f"{uri}\0{size}".encode(), digest_size=16).digest(), "big")
+            n += 1
+            bucket = zlib.crc32(uri.encode()) % LISTING_BUCKETS
+            rows = held.setdefault(bucket, [])
+            rows.append({"uri": uri, "size": size})
+            if len(rows) == LISTED_ROWS:
+                self._write(listing, bucket, held.pop(bucket))
+        for bucket, rows in held.items():
+            self._write(listing, bucket, rows)
+        return f"{digest % (1 << 128):032x}", listing._replace(files=n)
+
+    def _write(self, listing: _Listing, bucket: int, rows: list[dict]) -> None:
+        from pyspark.sql.pandas.types import to_arrow_schema
+        parts = listing.parts.setdefault(bucket, [])
+        parts.append(f"{listing.folder}/{bucket}-{len(parts)}")
+        batch = pa.RecordBatch.from_pylist(rows, to_arrow_schema(_LISTED))
+        with storage.create_file(parts[-1]) as out, pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+            stream.write_batch(batch)
+
+    def _bounded(self, whole: _Listing) -> Iterator[tuple[str, int]]:
+        left = self.batch_bytes
+        for bucket, parts in whole.parts.items():
+            was = _sizes(self._parts(self.last, bucket))
+            for uri, size in _sizes(parts).items():
+                before = was.get(uri, 0)
+                grown = min(max(size - before, 0), left)
+                left -= grown
+                if grown or size <= before or uri in was:
+                    yield uri, min(size, before + grown)
+
+    def _parts(self, name: str | None, bucket: int) -> list[str]:
+        return self.listings[name].parts.get(bucket, []) if name in self.listings else []
+
+    def partitions(self, start, end):
+        name = end.get("listing")
+        if name is None or start == end:  # a restarted stream asks for no rows first
+            return []
+        if name not in self.listings and name not in self.again:
+            self.again[name] = self._store(self.each_file())[1]
+        listing = self.listings.get(name) or self.again[name]
+        buckets = [(parts, self._parts(start.get("listing"), bucket)) for bucket, parts in sorted(listing.parts.items())]
+        tasks = max(1, min(len(buckets), listing.files // LISTED_ROWS))
+        return [_ListedFiles(buckets[i::tasks]) for i in range(tasks)]
+
+    def read(self, partition):
+        for parts, before in partition.buckets:
+            was = _sizes(before)
+            for batch in _listed(parts):
+                yield batch.filter(pa.array([was.get(uri) != size for uri, size in zip(batch["uri"].to_pylist(), batch["size"].to_pylist())]))
+
+    def commit(self, end):
+        for listings in (self.listings, self.again):
+            for name in [x for x in listings if x not in (end.get("listing"), self.last)]:
+                storage.delete(listings.pop(name).folder)
+
+    def stop(self):
+        storage.delete(self.folder)
+
+
+class CaptureListing(DataSource):
+    """A stream of the files under a folder, each again when it has grown; for :func:`follow_captures`."""
+
+    @classmethod
+    def name(cls):
+        return "capture_listing"
+
+    def schema(self):
+        return _LISTED
+
+    def streamReader(self, schema):
+        return _ListingStreamReader(self.options)
+
+
+# What a group of captures has in state, by URI: the place behind the last whole record, whether the capture ended, and its size when it was looked at.
+_FOLLOWED = pa.schema([("uri", pa.string()), ("byte", pa.int64()), ("seq", pa.int64()), ("announced", pa.int64()), ("ended", pa.bool_()), ("size", pa.int64())])
+
+
+def _follow_listed(files: DataFrame, framing: str) -> DataFrame:
+    """The ranges of whole records, and the ends, that listed captures have beyond what was found before."""
+    def step(_, chunks, state):
+        import pandas as pd
+
+        at: dict[str, dict] = {}
+        if state.exists:
+            with pa.ipc.open_stream(pa.py_buffer(bytes(state.get[0]))) as batches:
+                at = {row["uri"]: row for batch in batches for row in batch.to_pylist()}
+        found: list[Range] = []
+        for uri, size in sorted((uri, int(size)) for chunk in chunks for uri, size in zip(chunk["uri"], chunk["size"])):
+            was = at.get(uri)
+            if was and (was["ended"] or size <= was["size"]):
+                continue
+            place = Place(was["byte"], was["seq"], was["announced"]) if was else Place()
+            with storage.open_file(uri) as src:
+                *ranges, end = find_ranges(src, size, framing, uri, uri, place)
+            ended = _ended(end, framing)
+            found += [*ranges, end] if ended else ranges
+            at[uri] = {"uri": uri, "byte": end.offset, "seq": end.seq, "announced": end.announced, "ended": ended, "size": size}
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, _FOLLOWED, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+            stream.write_batch(pa.RecordBatch.from_pylist(list(at.values()), _FOLLOWED))
+        state.update((out.getvalue().to_pybytes(),))
+        for i in range(0, len(found), _OUT_ROWS):
+            # Objects: pandas would make floats of counts beside a None.
+            yield pd.DataFrame(found[i : i + _OUT_ROWS], columns=_RANGES.fieldNames(), dtype=object).drop(columns="capture")
+
+    group = F.pmod(F.xxhash64("uri"), F.lit(FOLLOW_GROUPS)).cast("int")
+    grouped = files.withColumn("captures", group).groupBy("captures")
+    ranges = grouped.applyInPandasWithState(step, T.StructType(_RANGES.fields[1:]), "followed binary", "append", GroupStateTimeout.NoTimeout)
+    # The projection also makes rows that a shuffle can take, which the operator's own are not.
+    return ranges.select(F.col("uri").alias("capture"), *ranges.columns)
+
+
 def follow_captures(spark: SparkSession, path: str, framing: str = "session", bytes_per_trigger: int | None = None) -> DataFrame:
-    """The records of captures under ``path`` as they are appended to, each once, also over restarts."""
-    register_capture_source(spark)
-    reader = spark.readStream.format("capture").option("framing", framing)
+    """The records of captures under ``path`` as they are appended to, each once, also over restarts.
+
+    The driver lists the files, to a scratch folder under ``spark.checkpoint.dir``; tasks read the headers and
+    keep in state how far each capture has been read, and the ranges that they find are dealt evenly over
+    ``spark.sql.shuffle.partitions`` tasks. A capture that stops inside a record may go on, so it has no trailer
+    until it ends by its announced count, an END record or a size of 0; after that it isn't opened again.
+
+    The stream is one of append mode, and a checkpoint fixes its state's partitions.
+    """
+    spark.dataSource.register(CaptureListing)
+    listings = storage.resolve(spark, f"{checkpoint_dir(spark).rstrip('/')}/listings-{uuid.uuid4().hex}")
+    reader = spark.readStream.format("capture_listing").option("framing", framing).option("listings", listings)
     if bytes_per_trigger:
         reader = reader.option("bytesPerTrigger", int(bytes_per_trigger))
-    return reader.load(storage.resolve(spark, path))
+    ranges = _follow_listed(reader.load(storage.resolve(spark, path)), framing)
+    return decode_indexed(ranges.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))), framing)

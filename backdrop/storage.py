@@ -11,6 +11,7 @@ the rest anywhere.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -98,6 +99,29 @@ def walk(uri: str) -> Iterator[Entry]:
                 yield entry
 
 
+def scan(uri: str) -> Iterator[Entry]:
+    """Every file below a directory, in no order; of a local one no more than an entry is held at once."""
+    if scheme_of(uri) != "file":
+        yield from walk(uri)
+        return
+    stack = [_open(uri)[1]]
+    while stack:
+        try:
+            entries = os.scandir(stack.pop())
+        except FileNotFoundError:
+            continue
+        with entries:
+            for entry in entries:
+                if entry.is_dir():
+                    stack.append(entry.path)
+                    continue
+                try:
+                    size = entry.stat().st_size
+                except FileNotFoundError:
+                    continue
+                yield Entry(f"file:{entry.path}", size, False)
+
+
 def size_of(uri: str) -> int | None:
     """Bytes of a file; None if there is no such file."""
     files, path = _open(uri)

@@ -1,5 +1,6 @@
 import io
 import os
+import pickle
 import struct
 
 import pytest
@@ -264,3 +265,99 @@ def test_a_stream_reads_headers_once_for_offset_and_plan(tmp, monkeypatch):
         assert rows[0] == rows[1] and rows[0]
         start = end
     assert not reader.found
+
+
+def grown(folder, blobs, share):
+    os.makedirs(folder, exist_ok=True)
+    for name, blob in blobs.items():
+        with open(os.path.join(folder, name), "wb") as fh:
+            fh.write(blob[: int(len(blob) * share)])
+
+
+def records(rows):
+    return sorted((os.path.basename(r["capture"]), r["seq"], r["payload"], r["message"]) for r in rows if r["seq"] is not None)
+
+
+def whole(blobs):
+    return records({**r, "capture": name} for name, blob in blobs.items() for r in CAP.decode_session_capture(blob, name))
+
+
+def test_growing_captures_are_not_held_by_the_driver(spark, tmp):
+    """Neither offsets nor the tasks' partitions name the captures that a stream follows."""
+    sizes = []
+    for n in (3, 300):
+        blobs = {f"{i}.bin": session_capture(RECS[: 1 + i % 3]) for i in range(n)}
+        folder, out, ck = (os.path.join(tmp, f"{x}{n}") for x in ("in", "out", "ck"))
+        for share in (0.6, 1.0):
+            grown(folder, blobs, share)
+            with J.state_partitions(spark, 2):
+                query = J.write_stream(CAP.follow_captures(spark, folder), out, ck, partition_by=None)
+            J.drain(query)
+        assert records(spark.read.parquet(out).collect()) == whole(blobs)
+        sizes.append([os.path.getsize(os.path.join(ck, "offsets", b)) for b in ("0", "1")])
+    assert sizes[0] == sizes[1]
+    reader = CAP._ListingStreamReader({"path": os.path.join(tmp, "in300"), "listings": os.path.join(tmp, "listings")})
+    parts = reader.partitions(reader.initialOffset(), reader.latestOffset())
+    assert len(pickle.dumps(parts)) < 300 * 40 and sum(b.num_rows for p in parts for b in reader.read(p)) == 300
+
+
+def test_growing_captures_of_a_batch_that_is_run_again(spark, tmp):
+    """A restart repeats the last micro-batch, which a sink may have or not, after the captures have grown."""
+    blobs = {f"{i}.bin": session_capture([(f"{i}-{k}", k, bytes([i, k]) * 20) for k in range(9)]) for i in range(4)}
+    folder = os.path.join(tmp, "in")
+    for sink in ("files", "batches"):
+        out, ck = os.path.join(tmp, f"out-{sink}"), os.path.join(tmp, f"ck-{sink}")
+        for run, share in enumerate((0.3, 0.6, 1.0, 1.0)):
+            grown(folder, blobs, share)
+            if run == 2:  # which runs that micro-batch and no other
+                for name in ("1", ".1.crc"):
+                    os.remove(os.path.join(ck, "commits", name))
+            with J.state_partitions(spark, 2):
+                recs = CAP.follow_captures(spark, folder)
+                query = J.write_stream(recs, out, ck, partition_by=None) if sink == "files" else J.write_batches(recs, out, ck)
+            J.drain(query)
+        assert records(spark.read.parquet(out).collect()) == whole(blobs)
+
+
+def test_growing_captures_while_a_query_runs(spark, tmp):
+    blobs = {f"{i}.bin": session_capture([(f"{i}-{k}", k, bytes([i, k]) * 20) for k in range(9)]) for i in range(4)}
+    for bound in (None, 300):
+        folder, out, ck = (os.path.join(tmp, f"{x}{bound}") for x in ("in", "out", "ck"))
+        grown(folder, blobs, 0.2)
+        with J.state_partitions(spark, 2):
+            query = J.write_stream(CAP.follow_captures(spark, folder, bytes_per_trigger=bound), out, ck, "100 milliseconds", None)
+        try:
+            for share in (0.5, 0.5, 1.0):
+                grown(folder, blobs, share)
+                query.processAllAvailable()
+        finally:
+            query.stop()
+        assert records(spark.read.parquet(out).collect()) == whole(blobs)
+
+
+def test_listings_hold_what_grew_up_to_the_bound(tmp):
+    folder, at = os.path.join(tmp, "in"), {}
+    reader = CAP._ListingStreamReader({"path": folder, "listings": os.path.join(tmp, "listings"), "bytesPerTrigger": "25"})
+    blobs = {f"{i}.bin": bytes(10 * i) for i in range(5)}
+    start = reader.initialOffset()
+    assert start == {} and reader.latestOffset() == {}
+    for share, steps in ((0.5, 2), (1.0, 2), (1.0, 0)):
+        grown(folder, blobs, share)
+        for _ in range(steps):
+            end = reader.latestOffset()
+            new = {os.path.basename(r["uri"]): r["size"] for p in reader.partitions(start, end) for b in reader.read(p) for r in b.to_pylist()}
+            assert sum(size - at.get(name, 0) for name, size in new.items()) == 25
+            at |= new
+            reader.commit(end)
+            start = end
+        assert reader.latestOffset() == start and {n: int(len(b) * share) for n, b in blobs.items()} == at
+    assert reader.partitions(start, start) == [] and len(os.listdir(reader.folder)) == 1
+
+
+def test_scan_finds_what_walk_finds(tmp):
+    for name in ("a", "b/c", "b/d/e.bin", "f/g"):
+        os.makedirs(os.path.dirname(os.path.join(tmp, name)), exist_ok=True)
+        with open(os.path.join(tmp, name), "wb") as fh:
+            fh.write(name.encode())
+    for uri in (tmp, f"file:{tmp}", f"file://{tmp}", f"{tmp}/missing"):
+        assert sorted(CAP.storage.scan(uri)) == sorted(CAP.storage.walk(uri))
